@@ -15,6 +15,8 @@ from gustloom.llm.common import Workspace, settings, text_of
 
 #: Digests with hits that the byte check may broadcast (32 bytes each); beyond it, all rows are checked by a shuffle.
 BROADCAST_HITS = 200_000
+#: Log rows for each state partition: an instance of RocksDB takes several MB of disk however little it holds.
+STATE_ROWS = 50_000
 
 
 def sha256(text: Column) -> Column:
@@ -73,8 +75,10 @@ def _stream_state(log: DataFrame, work: Workspace, files_per_batch: int) -> Data
         batch.write.mode("overwrite").parquet(f"{updates}/batch={number}")
 
     schema = log.groupBy("digest").agg(keeper, F.count(F.lit(1)).alias("group_size")).schema
+    partitions = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-log.count() // STATE_ROWS)))
     with settings(
         spark,
+        spark__sql__streaming__internal__stateStore__partitions=partitions,
         spark__sql__streaming__stateStore__providerClass="org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
         spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage="true",
