@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from gustloom.llm import exact_dedup, sharding
+import public_tokenizers
+
+from gustloom.llm import exact_dedup, minhash_join, packing, prefix_bpe, sharding, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +17,27 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.bpe_round_trip(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.extendible_shards(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op5_sharding)}
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicates(_documents(spark, sf_dir))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_prefix_bpe, op5_sharding, op8_token_counts, op9_minhash_near_dedup, op10_best_fit_packing)}
 
 ORACLE_SQL = {
     "op2_exact_dedup": """
