@@ -6,17 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from gustloom.llm import exact_dedup, minhash_join, packing, prefix_bpe, sharding, token_counts
+from gustloom.llm import brown_lm, exact_dedup, html_render, imatch, language_id, minhash_join, packing, prefix_bpe, sharding, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_render.visible_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edited_fingerprints(_documents(spark, sf_dir))
+
+
 def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.bpe_round_trip(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -25,6 +33,14 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.extendible_shards(_documents(spark, sf_dir))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), _documents(spark, sf_dir))
+
+
+def op7_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.score(_documents(spark, sf_dir))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -37,7 +53,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_prefix_bpe, op5_sharding, op8_token_counts, op9_minhash_near_dedup, op10_best_fit_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_html_extraction, op2_exact_dedup, op3_imatch_fingerprints, op4_prefix_bpe, op5_sharding, op6_language_id, op7_brown_lm, op8_token_counts, op9_minhash_near_dedup, op10_best_fit_packing)
+}
 
 ORACLE_SQL = {
     "op2_exact_dedup": """
