@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustloom.llm.common import Workspace, rows_of
+from gustloom.llm.common import Workspace, rows_of, text_of
 
 COORDINATES, MATCHES = 48, 20
 #: Ids (8 bytes each) that may be broadcast to pick the texts to read again; beyond it, a shuffle picks them.
@@ -78,7 +78,7 @@ def digest(shingles: np.ndarray) -> bytes:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, words: int = 5, coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, kept.
+    """One row per input row: id, n_shingles, component_id, kept, text_hash (xxhash64 of the text, to tell rows with one id apart).
 
     Sets A and B are linked when 100*|A&B| >= percent*|A|B|; component_id is the least id of the component. A null
     or empty text, or one without words, has no shingles, is linked with nothing and keeps its own id. Equal sets
@@ -87,7 +87,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     work = Workspace(spark, "near")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
     signed = work.table("signed", _signed(rows, words, coordinates))
     filled = signed.where("n_shingles > 0")
     classes = filled.groupBy("digest").agg(F.min("id").alias("least"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
@@ -98,9 +98,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = classes.select("node", "digest", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))
     known = member.join(least, "root").select("digest", "component_id")
-    out = filled.select("id", "n_shingles", "digest").join(known, "digest").select("id", "n_shingles", "component_id")
-    out = out.unionByName(signed.where("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id")))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    out = filled.select("id", "n_shingles", "digest", "text_hash").join(known, "digest").select("id", "n_shingles", "component_id", "text_hash")
+    out = out.unionByName(signed.where("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"), "text_hash"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
 
 
 def _signed(rows: DataFrame, words: int, coordinates: int) -> DataFrame:
@@ -109,16 +109,16 @@ def _signed(rows: DataFrame, words: int, coordinates: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words, coordinates)
-        for ids, texts in rows_of(batches, "id", "text"):
+        for ids, hashes, texts in rows_of(batches, "id", "text_hash", "text"):
             sets = [shingler.shingles(t) for t in texts]
             filled = [s for s in sets if len(s)]
             minima = iter(shingler.signatures(filled) if filled else ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, id_type), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.binary()), pa.array([next(minima) if len(s) else None for s in sets], pa.list_(pa.int32()))],
-                ["id", "n_shingles", "digest", "signature"],
+                [pa.array(ids, id_type), pa.array(hashes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.binary()), pa.array([next(minima) if len(s) else None for s in sets], pa.list_(pa.int32()))],
+                ["id", "text_hash", "n_shingles", "digest", "signature"],
             )
 
-    return rows.mapInArrow(run, f"id {id_name}, n_shingles long, digest binary, signature array<int>")
+    return rows.mapInArrow(run, f"id {id_name}, text_hash long, n_shingles long, digest binary, signature array<int>")
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
