@@ -7,10 +7,10 @@ COORDINATES tokens are kept, so a set is posted under a prefix only: its s-MATCH
 sizes can't reach the threshold are skipped, collisions are counted over the whole signatures, and what is
 left is confirmed on the full shingle sets.
 
-Postings are merged by components, not by all pairs: first every set against its posting's first one, then
-against its last one where the components still differ, then, exactly, all pairs of sets whose components
-still differ. A posting whose sets are all connected yields no more pairs, and no link between components
-is lost. The one risk is a pair at or above the threshold that agrees on fewer than MATCHES tokens: for 48
+Postings are merged by components, not by all pairs: first every set against its posting's most central one,
+then against its last one where the components still differ, then, exactly, all pairs of sets whose components
+still differ and whose shingles leave a link possible. A posting whose sets are all connected yields no more
+pairs, and no link between components is lost. The one risk is a pair at or above the threshold that agrees on fewer than MATCHES tokens: for 48
 coordinates, similarity 0.75 and 20 matches, less than one pair in a million.
 """
 
@@ -138,7 +138,9 @@ def _links(rows: DataFrame, classes: DataFrame, work: Workspace, percent: int, w
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     held = tokens.join(shared, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held")).where(F.size("held") >= matches)
     prefix = F.expr(f"slice(held, 1, size(held) - {matches} + 1)")
-    postings = held.select("node", F.explode(prefix).alias("x")).select("node", F.col("x.token").alias("token"))
+    # The weight is high for sets that agree with many others: good centres of their postings.
+    weight = F.aggregate("held", F.lit(0.0), lambda total, x: total + F.log(x["df"])).alias("weight")
+    postings = held.select("node", weight, F.explode(prefix).alias("x")).select("node", "weight", F.col("x.token").alias("token"))
     postings = work.table("postings", postings.join(classes.select("node", "n"), "node"))
 
     # The texts of posted classes are read again for their full sets.
@@ -149,7 +151,7 @@ def _links(rows: DataFrame, classes: DataFrame, work: Workspace, percent: int, w
     sets = _sets(texts, words).dropDuplicates(["digest"])
     live = work.table("live", posted.select("node", "digest", "n", "signature").join(sets, "digest").select("node", "n", "signature", "shingles"))
 
-    first = postings.groupBy("token").agg(F.min(F.struct("node", "n")).alias("one"))
+    first = postings.groupBy("token").agg(F.max(F.struct("weight", "node", "n")).alias("one"))
     pairs = postings.join(first, "token").select(F.col("one.node").alias("a"), F.col("one.n").alias("an"), F.col("node").alias("b"), F.col("n").alias("bn"))
     links = work.table("links0", _confirmed(pairs, live, percent, matches))
 
@@ -159,17 +161,43 @@ def _links(rows: DataFrame, classes: DataFrame, work: Workspace, percent: int, w
     pairs = placed.join(last.select("token", "one"), "token").where("root <> one.root").select(F.col("node").alias("a"), F.col("n").alias("an"), F.col("one.node").alias("b"), F.col("one.n").alias("bn"))
     links = work.table("links1", links.unionByName(_confirmed(pairs, live, percent, matches)))
 
-    # What the two rounds left apart: every pair of sets of a posting whose components differ.
+    # What the two rounds left apart: every pair of sets of a posting whose components differ, unless a bound rules it out.
     roots = _components(links, work, "second")
     placed = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     apart = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-    rest = work.table("rest", placed.join(apart, "token", "left_semi"))
-    other = rest.select(F.col("token"), F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("broot"))
-    pairs = rest.join(other, (rest.token == other.token) & (rest.root < other.broot) & (100 * F.least("n", "bn") >= percent * F.greatest("n", "bn")))
-    pairs = pairs.select(F.col("node").alias("a"), F.col("n").alias("an"), "b", "bn")
+    rest = work.table("rest", placed.join(apart, "token", "left_semi").select("token", "node", "n", "root"))
+    pairs = _open_pairs(rest.select("node", "n", "root").distinct(), live, work, percent)
     return postings, work.table("links2", links.unionByName(_confirmed(pairs, live, percent, matches)))
 
 
+def _open_pairs(nodes: DataFrame, live: DataFrame, work: Workspace, percent: int) -> DataFrame:
+    """Pairs (a, an, b, bn) of different components that their full sets may still link, by exact bounds.
+
+    A link to another component needs percent of a set's own shingles in common with one set there, so a set that
+    shares fewer with all of them together is out; such sets support no others, so the bound is taken again until it
+    rules out few. Each set then posts its rarest shingles, those that no other component has ranking first; a pair
+    whose first common shingle comes too late in either order has too few left and is skipped.
+    """
+    turn, before = 0, None
+    while True:
+        spread = nodes.join(live.select("node", "shingles"), "node").select("node", "n", "root", F.explode("shingles").alias("s"))
+        counted = spread.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("df")).where("low <> high").select("s", "df")
+        mixed = work.table(f"mixed{turn}", counted)
+        kept = spread.join(mixed, "s").groupBy("node").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.array_sort(F.collect_list(F.struct("df", "s"))).alias("held"))
+        able = work.table(f"able{turn}", kept.where(100 * F.size("held") >= percent * F.col("n")))
+        left = able.count()
+        if not left or before is not None and left > 0.9 * before:
+            break
+        before, turn, nodes = left, turn + 1, able.select("node", "n", "root")
+    alone = F.col("n") - F.size("held")
+    prefix = F.expr(f"slice(held, 1, greatest(0, cast(floor(n - {percent} * n / 100D) as int) + 1 - (cast(n as int) - size(held))))")
+    posted = work.table("open", able.select("node", "n", "root", alone.alias("alone"), F.posexplode(prefix).alias("at", "x")).select("node", "n", "root", (F.col("alone") + F.col("at")).alias("at"), F.col("x.s").alias("s")))
+    other = posted.select("s", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("broot"), F.col("at").alias("bat"))
+    enough = (100 + percent) * F.least(F.col("n") - F.col("at"), F.col("bn") - F.col("bat")) >= percent * (F.col("n") + F.col("bn"))
+    pairs = posted.join(other, (posted.s == other.s) & (posted.root < other.broot) & enough)
+    return pairs.select(F.col("node").alias("a"), F.col("n").alias("an"), "b", "bn")
+
+
 def _confirmed(pairs: DataFrame, live: DataFrame, percent: int, matches: int) -> DataFrame:
     """Pairs (a < b) whose signatures collide often enough and whose full sets are similar enough."""
     able = pairs.where((F.col("a") != F.col("b")) & (100 * F.least("an", "bn") >= percent * F.greatest("an", "bn")))
