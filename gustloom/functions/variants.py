@@ -72,3 +72,8 @@ def items(v: Column | str, path: str = "$") -> Column:
 def entries(v: Column | str, path: str = "$") -> Column:
     """An object as a map; an empty map for anything else."""
     return F.coalesce(F.when(kind(v, path) == "object", F.try_variant_get(col(v), path, "map<string,variant>")), F.create_map().cast("map<string,variant>"))
+
+
+def schema_has(v: Column | str, key: str) -> Column:
+    """Whether an object has a key, whatever its value."""
+    return F.map_contains_key(entries(v), key)
