@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gustloom.functions import columns as C
+from gustloom.operators import coverage, ensemble, gate, leads, timeline
+from gustloom.sources import stations
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -36,3 +40,330 @@ def completeness_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = lines.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("n"))
     expected = spans.select("l_orderkey", F.explode(F.sequence(F.lit(1), "n")).alias("l_linenumber"))
     return expected.join(lines, ["l_orderkey", "l_linenumber"], "left_anti")
+
+
+@query("""
+    SELECT DISTINCT l_orderkey, l_linenumber, l_linenumber > 4 AS extra FROM lineitem WHERE l_linenumber > 4""")
+def completeness_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    spans = lines.select("l_orderkey").distinct().select("l_orderkey", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("l_linenumber"))
+    both = coverage.compare(spans, lines, ["l_orderkey", "l_linenumber"])
+    return both.where("received and not expected").select("l_orderkey", "l_linenumber", F.lit(True).alias("extra"))
+
+
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@query(f"""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {", ".join(_LINE[2:])}) AS n FROM lineitem) WHERE n = 1""")
+def duplicate_leads_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(*_LINE)
+    return timeline.first_wins(lines, ["l_orderkey", "l_linenumber"], _LINE[2:]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def duplicate_leads_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.repeats(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("""
+    WITH c AS (SELECT o_orderpriority, o_orderdate FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_linenumber <= 3 GROUP BY ALL HAVING count(DISTINCT l_returnflag) = 3)
+    SELECT o_orderpriority, max(o_orderdate) AS newest FROM c GROUP BY 1""")
+def newest_cycle_all_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey)
+    return coverage.newest_with_all(joined, ["o_orderpriority"], "o_orderdate", "l_returnflag", 3, F.col("l_linenumber") <= 3)
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with ``ts`` as an instant: the table has it without a zone."""
+    return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+_GAPS = """t AS (SELECT DISTINCT user_id, ts FROM events),
+    g AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS after FROM t),
+    m AS (SELECT user_id, ts, after, (epoch_us(ts) - epoch_us(after)) / 6e7 AS gap_minutes FROM g WHERE after IS NOT NULL)"""
+
+
+@query(f"""
+    WITH {_GAPS} SELECT user_id, (epoch_us(ts) - epoch_us(after))::BIGINT AS gap_us, greatest(0, round_even(gap_minutes / 720, 0)::BIGINT - 1)::INT AS missing, ts, after FROM m WHERE gap_minutes > 720.1""")
+def cadence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = timeline.cadence_gaps(events(spark, sf_dir), ["user_id"], "ts", 720.0)
+    return found.select("user_id", F.round(F.col("gap_minutes") * 6e7).cast("long").alias("gap_us"), "missing", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("after").cast("timestamp_ntz").alias("after"))
+
+
+@query(f"WITH {_GAPS} SELECT user_id, max(epoch_us(ts) - epoch_us(after))::BIGINT AS max_gap_us, count(*) AS n FROM m GROUP BY 1")
+def max_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.gaps(events(spark, sf_dir), ["user_id"], "ts").groupBy("user_id").agg(F.round(F.max("gap_minutes") * 6e7).cast("long").alias("max_gap_us"), F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    WITH w AS (SELECT date_trunc('day', min(ts)) AS s, date_trunc('day', max(ts)) AS e FROM events),
+    a AS (SELECT user_id, min(ts) AS f, max(ts) AS l, count(DISTINCT ts) AS n FROM events GROUP BY 1)
+    SELECT user_id, n, greatest(1, floor((epoch_us(e) - epoch_us(s)) / 1e6 / 86400))::INT AS expected_slots, greatest(0, epoch_us(f) - epoch_us(s))::BIGINT AS start_gap_us,
+           greatest(0, epoch_us(e) - epoch_us(l))::BIGINT AS end_gap_us, round(least(1, n / greatest(1, floor((epoch_us(e) - epoch_us(s)) / 1e6 / 86400))), 6) AS coverage_ratio FROM a, w""")
+def window_edge_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = events(spark, sf_dir)
+    start, end = e.agg(F.date_trunc("day", F.min("ts")), F.date_trunc("day", F.max("ts"))).first()
+    found = timeline.edge_coverage(e, ["user_id"], "ts", F.lit(start), F.lit(end), 1440.0)
+    return found.select("user_id", "n", "expected_slots", *(F.round(F.col(c) * 6e7).cast("long").alias(f"{c}_us") for c in ("start_gap", "end_gap")), F.round("coverage_ratio", 6).alias("coverage_ratio"))
+
+
+_NOW = "2024-02-01 00:00:00"
+
+
+@query(f"""
+    WITH a AS (SELECT event_id, (epoch_us(TIMESTAMP '{_NOW}') - epoch_us(ts)) / 6e7 AS age FROM events)
+    SELECT event_id, CASE WHEN age < -15 THEN 'future' WHEN age <= 180 THEN 'recent' WHEN age <= 2880 THEN 'plausible' ELSE 'delayed' END AS archive_class,
+           CASE WHEN age <= 120 THEN 'fresh' WHEN age <= 360 THEN 'delayed' ELSE 'stale' END AS report_class, age < -15 OR greatest(age, 0) >= 150 AS is_due FROM a""")
+def freshness_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    age = (F.unix_micros(F.lit(_NOW).cast("timestamp")) - F.unix_micros("ts")) / 6e7
+    aged = events(spark, sf_dir).select("event_id", age.alias("age"))
+    return aged.select("event_id", C.archive_age_class("age").alias("archive_class"), C.report_age_class("age").alias("report_class"), C.due("age", 150.0).alias("is_due"))
+
+
+@query(f"SELECT event_type, count(*) FILTER (ts <= TIMESTAMP '{_NOW}') AS kept, count(*) FILTER (ts > TIMESTAMP '{_NOW}') AS future_count FROM events GROUP BY 1")
+def future_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    late = F.col("ts") > F.lit(_NOW).cast("timestamp")
+    return events(spark, sf_dir).groupBy("event_type").agg(F.count_if(~late).alias("kept"), F.count_if(late).alias("future_count"))
+
+
+@query("""
+    WITH c AS (SELECT * FROM events WHERE event_type = 'click'), p AS (SELECT * FROM events WHERE event_type = 'purchase'),
+    j AS (SELECT c.event_id AS left_id, p.event_id AS right_id, abs(epoch_us(p.ts) - epoch_us(c.ts)) AS distance_us, p.ts FROM c JOIN p ON c.user_id = p.user_id AND abs(epoch_us(p.ts) - epoch_us(c.ts)) <= 5400000000)
+    SELECT left_id, right_id, distance_us FROM j QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY distance_us, ts, right_id) = 1""")
+def nearest_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
+    found = timeline.nearest(e.where("event_type = 'click'"), e.where("event_type = 'purchase'"), "event_id", "ts", "event_id", "ts", 5400, ["user_id"])
+    return found.select("left_id", "right_id", "distance_us")
+
+
+@query("SELECT l_returnflag, quantile_cont(l_quantity, 0.1) AS p10, quantile_cont(l_quantity, 0.25) AS p25, quantile_cont(l_quantity, 0.75) AS p75, quantile_cont(l_quantity, 0.9) AS p90 FROM lineitem GROUP BY 1")
+def exact_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = F.percentile("l_quantity", F.array(*map(F.lit, (0.1, 0.25, 0.75, 0.9))))
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(q.alias("q")).select("l_returnflag", *(F.get("q", i).alias(n) for i, n in enumerate(("p10", "p25", "p75", "p90"))))
+
+
+@query("SELECT event_type, median(value) AS med, round(stddev_pop(value), 6) AS spread FROM events GROUP BY 1")
+def median_stddev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.median("value").alias("med"), F.round(F.stddev_pop("value"), 6).alias("spread"))
+
+
+@query("""
+    WITH a AS (SELECT user_id, sum(sin(radians(value))) AS s, sum(cos(radians(value))) AS c FROM events GROUP BY 1)
+    SELECT user_id, round((((degrees(atan2(s, c))) % 360) + 360) % 360, 6) AS mean_direction FROM a""")
+def circular_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.round(ensemble.circular_mean("value"), 6).alias("mean_direction"))
+
+
+@query("""
+    WITH d AS (SELECT event_id, abs((((value - user_id) % 360) + 360) % 360) AS d FROM events) SELECT event_id, round(least(d, 360 - d), 6) AS difference FROM d""")
+def circular_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", F.round(C.circular_difference("value", F.col("user_id").cast("double")), 6).alias("difference"))
+
+
+@query("""
+    WITH e AS (SELECT vec_id, embedding[1]::DOUBLE * 10 AS u, embedding[2]::DOUBLE * 10 AS v FROM embeddings), w AS (SELECT vec_id, sqrt(u * u + v * v) AS s, ((270 - degrees(atan2(v, u))) % 360 + 360) % 360 AS d FROM e)
+    SELECT vec_id, round(s, 6) AS speed_ms, round(s * 1.943844, 6) AS speed_kt, round(d, 6) AS direction FROM w""")
+def wind_from_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings").select("vec_id", (F.get("embedding", 0).cast("double") * 10).alias("u"), (F.get("embedding", 1).cast("double") * 10).alias("v"))
+    s = C.wind_speed("u", "v")
+    return e.select("vec_id", F.round(s, 6).alias("speed_ms"), F.round(s * C.KNOTS_PER_MS, 6).alias("speed_kt"), F.round(C.wind_direction("u", "v"), 6).alias("direction"))
+
+
+@query("SELECT vec_id, (i - 1)::INT AS member, embedding[i]::DOUBLE AS value FROM embeddings, generate_series(1, 20) s(i)")
+def member_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(F.slice("embedding", 1, 20)).alias("member", "value"))
+    return e.select("vec_id", "member", F.col("value").cast("double").alias("value"))
+
+
+@query("SELECT l_orderkey, list_sort(list(l_linenumber)) = range(1, 5) AS complete, count(*) AS members FROM lineitem GROUP BY 1")
+def member_set_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_linenumber") - 1).alias("member"))
+    return ensemble.member_set(lines, ["l_orderkey"], expected=4).select("l_orderkey", "complete", F.size("members").cast("long").alias("members"))
+
+
+@query("""
+    WITH m AS (SELECT label, vec_id, 5 + embedding[i]::DOUBLE AS s, 180 + embedding[i + 1]::DOUBLE * 90 AS d, 7 + embedding[i + 2]::DOUBLE AS g FROM embeddings, generate_series(1, 20) t(i))
+    SELECT label, count(*) AS member_count, round(median(s), 6) AS med, round(quantile_cont(s, 0.1), 6) AS p10, round(quantile_cont(s, 0.9), 6) AS p90, round(stddev_pop(s), 6) AS spread,
+           round(((degrees(atan2(sum(sin(radians(d))), sum(cos(radians(d))))) % 360) + 360) % 360, 6) AS direction_mean, round(median(g), 6) AS gust_median, round(quantile_cont(g, 0.9), 6) AS gust_p90 FROM m GROUP BY 1""")
+def ensemble_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lambda i: F.get("embedding", F.col("i") + i).cast("double")
+    e = table(spark, sf_dir, "embeddings").select("label", "embedding", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("i"))
+    m = e.select("label", (5 + at(0)).alias("wind_speed_ms"), (180 + at(1) * 90).alias("wind_direction_deg"), (7 + at(2)).alias("gust_ms"))
+    s = ensemble.statistics(m, ["label"])
+    return s.select("label", "member_count", F.round("median", 6).alias("med"), *(F.round(c, 6).alias(c) for c in ("p10", "p90", "spread", "direction_mean", "gust_median", "gust_p90")))
+
+
+_SEVERITY = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARN' ELSE 'INFO' END"
+
+
+@query(f"""
+    WITH i AS (SELECT user_id % 50 AS grp, {_SEVERITY} AS severity FROM events),
+    c AS (SELECT grp, count(*) FILTER (severity = 'ERROR') AS error_count, count(*) FILTER (severity = 'WARN') AS warning_count, count(*) FILTER (severity = 'INFO') AS info_count FROM i GROUP BY 1)
+    SELECT *, CASE WHEN error_count > 0 THEN 'FAIL' WHEN warning_count > 0 THEN 'PASS_WITH_WARNINGS' ELSE 'PASS' END AS status FROM c""")
+def severity_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    level = F.when(F.col("event_type") == "error", "ERROR").when(F.col("event_type") == "signup", "WARN").otherwise("INFO")
+    return coverage.severity(table(spark, sf_dir, "events").select((F.col("user_id") % 50).alias("grp"), level.alias("severity")), ["grp"])
+
+
+@query("""
+    SELECT o_custkey, count(DISTINCT o_orderpriority) FILTER (o_orderstatus = 'F') AS families, count(DISTINCT o_orderpriority) FILTER (o_orderstatus = 'F') >= 2 AS met FROM orders GROUP BY 1""")
+def family_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.families(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderpriority", F.col("o_orderstatus") == "F")
+
+
+@query("""
+    WITH a AS (SELECT user_id, event_type = 'error' AS bad, event_type = 'purchase' AS good, date_trunc('month', ts) AS stage FROM events)
+    SELECT user_id, stage, CASE WHEN bool_or(bad) AND bool_or(good) THEN 'recovered' WHEN bool_or(bad) THEN 'failed' ELSE 'clean' END AS outcome FROM a GROUP BY 1, 2""")
+def stage_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    word = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "purchase", "success").otherwise("started")
+    a = events(spark, sf_dir).select("user_id", F.date_trunc("month", "ts").cast("timestamp_ntz").alias("stage"), word.alias("status"))
+    return coverage.stage_recovery(a, ["user_id", "stage"])
+
+
+@query("""
+    SELECT l_returnflag, l_linestatus, count(*) AS requested, count(*) FILTER (l_discount < 0.05) AS received, count(*) FILTER (NOT l_discount < 0.05) AS missing, round(sum(l_quantity), 2) AS bytes, round(sum(l_tax), 4) AS seconds,
+           grouping(l_linestatus)::INT AS by_model FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), (l_returnflag, l_linestatus))""")
+def grouped_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = coverage.field_summary(table(spark, sf_dir, "lineitem"), [], "l_returnflag", "l_linestatus", F.col("l_discount") < 0.05, "l_quantity", "l_tax")
+    return s.select("l_returnflag", "l_linestatus", "requested", "received", "missing", F.round("bytes", 2).alias("bytes"), F.round("seconds", 4).alias("seconds"), "by_model")
+
+
+@query("""SELECT page_id, unnest(regexp_extract_all(html, 'href=["'']([^"'']+)', 1)) AS href FROM pages""")
+def href_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", F.explode(stations.hrefs("html")).alias("href"))
+
+
+@query("""SELECT page_id, nullif(regexp_extract(url, '/([a-z]{2})/(\\d+)', 1), '') AS lang, TRY_CAST(nullif(regexp_extract(url, '/([a-z]{2})/(\\d+)', 2), '') AS INT) AS number FROM pages""")
+def filename_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = lambda i: F.nullif(F.regexp_extract("url", r"/([a-z]{2})/(\d+)", i), F.lit(""))
+    return table(spark, sf_dir, "pages").select("page_id", part(1).alias("lang"), part(2).try_cast("int").alias("number"))
+
+
+@query("SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")
+def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "long").alias("k"))
+
+
+@query("SELECT doc_id, sha256(text) AS sha, strlen(text)::INT AS n_bytes FROM documents")
+def sha_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", C.identity_sha("text").alias("sha"), F.octet_length("text").alias("n_bytes"))
+
+
+@query(r"""SELECT doc_id, sha256(regexp_replace(replace(text, 'the', '[REDACTED]'), '((?:api[-_]?(?:key|secret)|token|secret)=)[^&\s"'']+', '\1[REDACTED]', 'gi')) AS sha FROM documents""")
+def redact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(C.redact("text", "the"), 256).alias("sha"))
+
+
+@query("SELECT user_id, max(ts) AS ts, arg_max(event_id, ts) AS event_id FROM (SELECT DISTINCT ON (user_id, ts) * FROM events ORDER BY user_id, ts, event_id DESC) GROUP BY 1")
+def latest_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = events(spark, sf_dir).groupBy("user_id").agg(F.max(F.struct("ts", "event_id")).alias("x"))
+    return e.select("user_id", F.col("x.ts").cast("timestamp_ntz").alias("ts"), "x.event_id")
+
+
+@query("""
+    WITH a AS (SELECT event_type, ts, event_id, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id))) / 6e7 AS gap FROM events)
+    SELECT event_id, coalesce(gap > 1.5 * 60, false) AS continuity_gap, (CASE WHEN gap > 90 THEN greatest(0, floor(gap / 60) - 1) ELSE 0 END)::INT AS missed FROM a""")
+def continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.continuity(events(spark, sf_dir), "event_type", "ts", F.lit(60.0)).select("event_id", "continuity_gap", "missed")
+
+
+@query("""
+    WITH o AS (SELECT o_custkey, max(o_orderdate) AS run FROM orders GROUP BY 1), f AS (SELECT DISTINCT o_custkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'),
+    s AS (SELECT o_custkey, min(o_orderdate) AS run FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderdate) = 1),
+    j AS (SELECT c_custkey AS model, o.run, f.o_custkey IS NOT NULL AS archived, s.o_custkey IS NOT NULL AS seeded FROM customer LEFT JOIN o ON c_custkey = o.o_custkey LEFT JOIN f ON o.o_custkey = f.o_custkey AND o.run = f.o_orderdate LEFT JOIN s ON o.o_custkey = s.o_custkey AND o.run = s.run)
+    SELECT model, run, CASE WHEN run IS NULL OR NOT archived OR NOT seeded THEN 'fetch' ELSE 'carry_forward' END AS action,
+           CASE WHEN run IS NULL THEN 'no_cycle_discovered' WHEN NOT archived THEN 'cycle_not_archived' WHEN NOT seeded THEN 'seed_rows_differ' ELSE 'already_archived' END AS reason FROM j""")
+def carry_forward_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("model"), F.col("o_orderdate").alias("run"), "o_orderstatus")
+    newest = o.groupBy("model").agg(F.max("run").alias("run"))
+    discovered = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("model")).join(newest, "model", "left")
+    archived = o.where("o_orderstatus = 'F'")
+    latest = o.select("model", "run", F.lit(True).alias("complete"))
+    none = spark.createDataFrame([], "model long, run timestamp_ntz, state string, attempts int, not_before timestamp")
+    return gate.plan(discovered, archived, latest, o, none, F.lit(_NOW).cast("timestamp"))
+
+
+@query("""
+    SELECT o_orderkey AS batch, max(l_shipdate) AS generated_at FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_linenumber <= 2 GROUP BY 1
+    HAVING count(DISTINCT l_linenumber) = 2 AND bool_and(l_returnflag <> 'R')""")
+def batch_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2")
+    whole = lines.groupBy(F.col("l_orderkey").alias("batch")).agg(F.count_distinct("l_linenumber").alias("n"), F.bool_and(F.col("l_returnflag") != "R").alias("ok"), F.max("l_shipdate").alias("generated_at"))
+    return whole.where("n = 2 and ok").select("batch", "generated_at")
+
+
+@query("""
+    WITH b(lo, hi, step, hours) AS (VALUES (0, 48, 3, [0, 6, 12, 18]), (51, 72, 3, [0, 6, 12, 18]), (78, 120, 6, [0, 6, 12, 18]), (132, 240, 12, [0, 12]), (264, 384, 24, [0, 12]), (408, 840, 24, [0])),
+    m AS (SELECT r_regionkey, h.hour, CASE r_regionkey WHEN 0 THEN 48 WHEN 1 THEN 120 WHEN 2 THEN CASE WHEN h.hour IN (0, 12) THEN 360 ELSE 144 END WHEN 3 THEN 384 ELSE CASE WHEN h.hour = 0 THEN 840 ELSE 384 END END AS most FROM region, (SELECT unnest([0, 6, 12, 18]) AS hour) h),
+    x AS (SELECT r_regionkey, m.hour, most, unnest(generate_series(lo, hi, step)) AS lead FROM m JOIN b ON list_contains(b.hours, m.hour))
+    SELECT r_regionkey, hour::INT AS hour, lead::INT AS lead FROM x WHERE lead <= most""")
+def expected_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.array(*map(F.lit, ("ICON-D2", "ICON-EU", "ECMWF-IFS", "GFS", "GEFS-control")))
+    r = table(spark, sf_dir, "region").select("r_regionkey", F.get(names, F.col("r_regionkey")).alias("model"), F.explode(F.lit([0, 6, 12, 18])).alias("hour"))
+    return r.select("r_regionkey", "hour", F.explode(leads.grid("model", "hour")).alias("lead"))
+
+
+@query("""
+    SELECT 'both' AS op, * FROM (SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier)
+    UNION ALL SELECT 'no_supplier', * FROM (SELECT n_nationkey FROM nation EXCEPT SELECT s_nationkey FROM supplier)
+    UNION ALL SELECT 'either', * FROM (SELECT c_nationkey FROM customer UNION SELECT s_nationkey FROM supplier)""")
+def set_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"))
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"))
+    tag = lambda df, t: df.select(F.lit(t).alias("op"), "k")
+    return tag(c.intersect(s), "both").unionByName(tag(n.exceptAll(s).distinct().join(s, "k", "left_anti"), "no_supplier")).unionByName(tag(c.union(s).distinct(), "either"))
+
+
+@query("""
+    SELECT 'event_type' AS field, event_type AS value, count(*) AS n FROM events WHERE event_type NOT IN ('click', 'view') GROUP BY ALL
+    UNION ALL SELECT 'status', o_orderstatus, count(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY ALL""")
+def enum_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = lambda t, c, field, ok: table(spark, sf_dir, t).where(~F.col(c).isin(*ok)).groupBy(F.lit(field).alias("field"), F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return bad("events", "event_type", "event_type", ("click", "view")).unionByName(bad("orders", "o_orderstatus", "status", ("F", "O")))
+
+
+@query("""
+    WITH s AS (SELECT user_id, max(ts) AS selected FROM events WHERE event_type = 'purchase' GROUP BY 1)
+    SELECT e.user_id, s.selected, count(*) AS probes FROM events e JOIN s USING (user_id) WHERE e.ts >= s.selected GROUP BY ALL""")
+def newest_eligible_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = events(spark, sf_dir).select("user_id", "ts", (F.col("event_type") == "purchase").alias("published"))
+    found = timeline.newest_eligible(e, ["user_id"], "ts", "published")
+    return found.select("user_id", F.col("selected").cast("timestamp_ntz").alias("selected"), F.size("trail").cast("long").alias("probes"))
+
+
+@query("""
+    WITH a AS (SELECT user_id, ts, event_id, lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM events) SELECT user_id, bool_and(b IS NULL OR b < ts) AS axis_valid FROM a GROUP BY 1""")
+def axis_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.axis_valid(events(spark, sf_dir), ["user_id"], "event_id", "ts")
+
+
+@query("""SELECT l_returnflag, count(*) AS records, count(*) FILTER (l_discount > 0) AS derived_records, count(*) FILTER (l_discount > 0) > 0 AS success, count(*) FILTER (l_discount > 0) >= 100 AS complete FROM lineitem GROUP BY 1""")
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.quality(table(spark, sf_dir, "lineitem"), ["l_returnflag"], F.col("l_discount") > 0, F.lit(100))
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, max(p) AS price FROM (SELECT l_orderkey, l_linenumber, max(l_extendedprice) AS p FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL
+    UNION ALL SELECT l_orderkey, l_linenumber, max(l_extendedprice) FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM lineitem r WHERE r.l_returnflag = 'R' AND r.l_orderkey = l.l_orderkey AND r.l_linenumber = l.l_linenumber) GROUP BY ALL) GROUP BY ALL""")
+def upsert_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    best = lambda df: df.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_extendedprice").alias("price"))
+    return coverage.upsert(best(lines), best(lines.where("l_returnflag = 'R'")), ["l_orderkey", "l_linenumber"])
+
+
+@query("""SELECT event_id, strftime(ts, '%Y%m%d%H') AS cycle, 'model=' || event_type || '/year=' || strftime(ts, '%Y') || '/month=' || strftime(ts, '%m') || '/day=' || strftime(ts, '%d') || '/run=' || strftime(ts, '%H') AS path FROM events""")
+def evidence_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).select("event_id", C.cycle_id("ts").alias("cycle"), C.evidence_path("event_type", "ts").alias("path"))
+
+
+@query("""
+    WITH w(code, hours) AS (VALUES ('0m-15m', 0.25), ('0m-90m', 1.5), ('0-3', 3.0), ('6', 6.0), ('1d', 24.0), ('', NULL))
+    SELECT n_nationkey, code, hours::DOUBLE AS hours FROM nation, w""")
+def step_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = F.lit(["0m-15m", "0m-90m", "0-3", "6", "1d", ""])
+    n = table(spark, sf_dir, "nation").select("n_nationkey", F.explode(codes).alias("code"))
+    return n.select("n_nationkey", "code", C.step_end_hours("code").alias("hours"))
