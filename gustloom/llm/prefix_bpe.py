@@ -31,6 +31,13 @@ class PrefixBPE:
         self.ranks = ranks
         self.pattern = regex.compile(pattern) if pattern else BYTE_LEVEL
         self.longest = max(map(len, ranks))
+        # Tokens by their bytes from the last to the first: a walk back from a position meets all that end there.
+        self.ends: dict = {}
+        for b, r in ranks.items():
+            node = self.ends
+            for x in reversed(b):
+                node = node.setdefault(x, {})
+            node[-1] = r
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.parts: dict[int, tuple[int, int] | None] = {}  # the last merge that makes a token; None for a single byte
         self.single: set[int] = set()  # tokens that are their bytes' own encoding
@@ -83,11 +90,24 @@ class PrefixBPE:
 
     def extend(self, data: bytes, last: list[int], start: int, old: list[int] | None = None, shift: int = 0) -> None:
         """Fill last[i], the last token of data[:i], for i > start. With the table before an edit, stop once it agrees over the longest token."""
-        ranks, agreed = self.ranks, 0
+        ends, pairs, agreed = self.ends, self.pairs, 0
         for i in range(start + 1, len(data) + 1):
-            for j in range(max(0, i - self.longest), i):
-                t = ranks.get(data[j:i])
-                if t is not None and (self.may_follow(last[j], t) if j else t in self.single):
+            node, j, found = ends, i, []
+            while j:
+                node = node.get(data[j - 1])
+                if node is None:
+                    break
+                j -= 1
+                if (t := node.get(-1)) is not None:
+                    found.append((j, t))
+            for j, t in reversed(found):  # the longest first: it's most often the one
+                if j == 0:
+                    if t in self.single:
+                        last.append(t)
+                        break
+                    continue
+                ok = pairs.get((last[j], t))
+                if self.may_follow(last[j], t) if ok is None else ok:
                     last.append(t)
                     break
             if old is not None and i - shift > 0 and shift < i:
@@ -142,28 +162,49 @@ class EditablePiece:
 
 
 class Codec:
-    """Encodes and decodes texts stretch by stretch; keeps the stretches it has met."""
+    """Encodes and decodes texts by their stretches; keeps the stretches that it has met lately."""
 
     def __init__(self, path: str, cache: int = CACHE):
         self.bpe, self.known, self.limit = PrefixBPE.from_file(path), {}, cache
 
-    def run(self, text: str) -> tuple[int, bytes, bytes]:
-        """Number of ids, the ids as decimal text joined by commas, the bytes that the ids decode to."""
-        found = []
-        for chunk in stretches(text, self.bpe.pattern):
-            x = self.known.get(chunk)
-            if x is None:
-                ids = self.bpe.encode_piece(chunk.encode()) if chunk.isalpha() or chunk[:1] == " " and chunk[1:].isalpha() else self.bpe.encode(chunk)
-                x = len(ids), ",".join(map(str, ids)), self.bpe.decode(ids)
-                if len(self.known) >= self.limit:
-                    self.known.clear()
-                if len(chunk) <= 64:
-                    self.known[chunk] = x
-            found.append(x)
-        if not found:
-            return 0, b"", b""
-        n, ids, data = zip(*found)
-        return sum(n), ",".join(ids).encode(), b"".join(data)
+    def run(self, texts: list[str]) -> list[tuple[int, bytes, bytes]]:
+        """Of each text: the number of ids, the ids as decimal text joined by commas, the bytes that the ids decode to."""
+        parts = [stretches(t, self.bpe.pattern) for t in texts]
+        seen = set().union(*parts)
+        self._learn(seen - self.known.keys())
+        out = []
+        for own in parts:
+            if own:
+                n, ids, data = zip(*map(self.known.__getitem__, own))
+                out.append((sum(n), ",".join(ids).encode(), b"".join(data)))
+            else:
+                out.append((0, b"", b""))
+        if len(self.known) > self.limit:
+            self.known = {c: self.known[c] for c in seen if len(c) <= 64}
+        return out
+
+    def _learn(self, chunks: set[str]) -> None:
+        split = {}
+        for c in chunks:
+            split[c] = [c] if c.isalpha() or c[:1] == " " and c[1:].isalpha() else self.bpe.pattern.findall(c)
+        known, bpe = self.known, self.bpe
+        # In byte order each pre-token's table extends the one before from where they part.
+        last, before = [-1], b""
+        for data in sorted({p.encode() for own in split.values() for p in own if p not in known}):
+            if data in bpe.ranks:
+                ids = [bpe.ranks[data]]
+            else:
+                same, most = 0, min(len(data), len(before))
+                while same < most and data[same] == before[same]:
+                    same += 1
+                del last[same + 1 :]
+                bpe.extend(data, last, same)
+                ids, before = bpe.walk(last), data
+            known[data.decode()] = len(ids), ",".join(map(str, ids)), bpe.decode(ids)
+        for c, own in split.items():
+            if len(own) > 1:
+                n, ids, data = zip(*map(known.__getitem__, own))
+                known[c] = sum(n), ",".join(ids), b"".join(data)
 
 
 _codecs: dict[str, Codec] = {}
@@ -181,8 +222,7 @@ def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             _codecs[path] = Codec(path)
         for ids, texts in rows_of(batches, "id", "text"):
             n, a, b = [], [], []
-            for text in texts:
-                count, joined, data = _codecs[path].run(text)
+            for count, joined, data in _codecs[path].run(texts):
                 n.append(count)
                 a.append(hashlib.sha256(joined).hexdigest())
                 b.append(hashlib.sha256(data).hexdigest())
