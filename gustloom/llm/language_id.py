@@ -14,12 +14,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustloom.llm.common import Workspace, rows_of
 
-#: Bounds of the labelled sample: so many documents of each language, so many languages (the commonest).
+#: Bounds of the labelled sample: so many documents of each language as a mean, so many languages (the commonest).
 TRAIN_DOCS, LANGUAGES = 1500, 64
 #: Hash places of the trigram model; a text counts for at most so many independent trigrams.
 PLACES, WEIGHT = 1 << 16, 200.0
@@ -66,14 +66,14 @@ class TextModel:
 
 
 def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> TextModel:
-    """Fit the trigram model on at most TRAIN_DOCS labelled documents of each of LANGUAGES languages, whole texts, chosen by a hash of their ids."""
+    """Fit the trigram model on about TRAIN_DOCS labelled documents of each of LANGUAGES languages at most, whole texts, drawn by a hash of their ids."""
     known = documents.where(F.col(lang_col).isNotNull() & (F.col(lang_col) != ""))
-    common = [r[0] for r in known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(LANGUAGES).collect()]
-    languages = sorted(common) or ["und"]
-    number = F.xxhash64(id_col)
-    first = Window.partitionBy("lang").orderBy("draw")
-    chosen = known.select(F.col(lang_col).alias("lang"), number.alias("draw")).where(F.col("lang").isin(languages)).withColumn("n", F.row_number().over(first)).where(F.col("n") <= TRAIN_DOCS).select("draw").distinct()
-    sample = known.withColumn("draw", number).join(F.broadcast(chosen), "draw", "left_semi").select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
+    common = known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(LANGUAGES).collect()
+    languages = sorted(r[0] for r in common) or ["und"]
+    # A share of each language's ids by their hash: no ranking, so a common language needs no task of its own.
+    share = F.create_map(*(F.lit(x) for r in common for x in (r[0], min(1.0, TRAIN_DOCS / r[1])))) if common else F.create_map().cast("map<string,double>")
+    drawn = F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < 1_000_000 * F.try_element_at(share, F.col(lang_col))
+    sample = known.where(drawn).select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {}
