@@ -27,8 +27,8 @@ from gustloom.llm.common import Workspace, rows_of
 SEQUENCE, END = 4096, 1
 #: Pieces per block, islands per block, rounds of migration, packings per island, crossovers per round.
 BLOCK, ISLANDS, ROUNDS, POPULATION, CROSSOVERS = 2048, 2, 2, 4, 16
-#: Of each block's bins, one in so many (and one at least) is opened for packing across blocks.
-OPENED = 32
+#: Of each block's bins, one in so many at most (and one at least) is opened for packing across blocks, if it isn't as full as FULL.
+OPENED, FULL = 4, 0.99
 CACHE = 400_000
 _INFORMATION_SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"\s+")
@@ -227,7 +227,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         if blocks > 1:
             # The least-filled bins of each block go on; a block has a bounded number of bins.
             sizes = bins.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("fill", "bin"))).alias("all"))
-            opened = sizes.select("block", F.explode(F.expr(f"slice(all, 1, greatest(1, size(all) div {OPENED}))")).alias("x")).where(F.col("x.fill") < capacity).select("block", F.col("x.bin").alias("bin"))
+            opened = sizes.select("block", F.explode(F.expr(f"slice(all, 1, greatest(1, size(all) div {OPENED}))")).alias("x")).where(F.col("x.fill") < FULL * capacity).select("block", F.col("x.bin").alias("bin"))
             closed, items = best.join(opened, ["block", "bin"], "left_anti"), best.join(opened, ["block", "bin"], "left_semi").select("row", "length")
         else:
             closed, items = best, items.limit(0)
