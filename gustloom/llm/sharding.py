@@ -62,13 +62,15 @@ def extendible_shards(docs: DataFrame, key_col: str = "doc_id", text_col: str =
             rows, used = work.table(f"rows{len(done)}", rows.withColumn("h", key_hash(unique))), 0
             done.append(_alone(rows, shard_bytes))
             rows = rows.where(F.col("n_bytes") <= shard_bytes)
-    out = done[0].select(*_COLUMNS)
+    out = done[0].select(*_columns())
     for part in done[1:]:
-        out = out.unionByName(part.select(*_COLUMNS))
+        out = out.unionByName(part.select(*_columns()))
     return out.withColumnRenamed("key", key_col)
 
 
-_COLUMNS = ["key", "n_bytes", F.concat("head", "bits").alias("shard"), F.length(F.concat("head", "bits")).alias("depth"), "shard_bytes", "shard_docs", "oversize"]
+def _columns() -> list:
+    shard = F.concat("head", "bits")
+    return ["key", "n_bytes", shard.alias("shard"), F.length(shard).alias("depth"), "shard_bytes", "shard_docs", "oversize"]
 
 
 def _entry(used: int, bits: int) -> Column:
