@@ -77,3 +77,8 @@ def entries(v: Column | str, path: str = "$") -> Column:
 def schema_has(v: Column | str, key: str) -> Column:
     """Whether an object has a key, whatever its value."""
     return F.map_contains_key(entries(v), key)
+
+
+def canonical_sha(v: Column | str) -> Column:
+    """SHA-256 of a value's JSON with sorted keys: variants keep an object's keys in order, so to_json() is canonical."""
+    return F.sha2(F.to_json(col(v)), 256)

@@ -68,3 +68,42 @@ def defaults(bundles: DataFrame) -> DataFrame:
         "path", F.coalesce(V.text("payload", "$.mode"), F.lit("unknown")).alias("mode"), V.text("payload", "$.retrieved_at_utc").alias("retrieved_at_utc"),
         F.coalesce(F.try_variant_get("payload", "$.schema_version", "int"), F.lit(1)).alias("schema_version"), V.entries("payload", "$.models").alias("models"), V.items("payload", "$.quality.errors").alias("errors"),
     )
+
+
+def request_diagnostics(bundles: DataFrame) -> DataFrame:
+    """(path, endpoint, success, http_status, elapsed_seconds, exception_type): requests recorded as an object by endpoint or as a list."""
+    one = bundles.select("path", F.explode(V.entries("payload", "$.request_diagnostics")).alias("endpoint", "d"))
+    many = bundles.select("path", F.explode(V.items("payload", "$.requests")).alias("d")).select("path", V.text("d", "$.kind").alias("endpoint"), "d")
+    return one.unionByName(many).select(
+        "path", "endpoint", V.truth("d", "$.success").alias("success"), F.try_variant_get("d", "$.http_status", "int").alias("http_status"), V.number("d", "$.elapsed_seconds").alias("elapsed_seconds"), V.text("d", "$.exception_type").alias("exception_type")
+    )
+
+
+def verified_payloads(spark: SparkSession, path: str, expected: DataFrame) -> DataFrame:
+    """(path, payload, reject): gzip files whose unpacked bytes must have the hash that ``expected`` (path, sha256) gives."""
+    import gzip
+    import hashlib
+    import zlib
+    from collections.abc import Iterable, Iterator
+
+    import pyarrow as pa
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select(F.regexp_extract("path", r"[^/]+$", 0).alias("path"), "content")
+
+    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                try:
+                    raw = gzip.decompress(content)
+                except (OSError, EOFError, zlib.error):
+                    out.append((name, None, None))
+                    continue
+                out.append((name, raw.decode("utf-8", "replace"), hashlib.sha256(raw).hexdigest()))
+            names, texts, hashes = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string()), pa.array(hashes, pa.string())], ["path", "text", "got"])
+
+    raw = files.mapInArrow(unpack, "path string, text string, got string")
+    joined = expected.select("path", "sha256").join(raw, "path", "left")
+    reject = F.when(F.col("got").isNull(), "absent_or_not_gzip").when(F.col("got") != F.col("sha256"), "sha256_mismatch").when(F.try_parse_json("text").isNull(), "not_json")
+    return joined.select("path", F.when(reject.isNull(), F.try_parse_json("text")).alias("payload"), reject.alias("reject"))

@@ -92,3 +92,21 @@ def availability(messages: DataFrame, key: list[str], variable_col: str = "varia
     """A map from every context variable to whether a product has it."""
     have = messages.groupBy(*key).agg(F.collect_set(variable_col).alias("have"))
     return have.select(*key, F.map_from_entries(F.transform(F.lit(list(VARIABLES)), lambda v: F.struct(v.alias("key"), F.array_contains("have", v).alias("value")))).alias("available"))
+
+
+def json_metadata(files: DataFrame, text: str = "text") -> DataFrame:
+    """One row per message of a tool's JSON output {"messages": [[{"key", "value"}...]...]} or {"messages": [{...}...]}, in order."""
+    from gustloom.functions import variants as V
+
+    rest = [c for c in files.columns if c != text]
+    messages = files.select(*rest, F.posexplode(V.items(F.try_parse_json(text), "$.messages")).alias("pos", "m"))
+    pairs = F.map_from_entries(F.transform(V.items("m"), lambda e: F.struct(V.text(e, "$.key").alias("key"), V.text(e, "$.value").alias("value"))))
+    flat = F.map_from_entries(F.transform(F.map_entries(V.entries("m")), lambda e: F.struct(e["key"].alias("key"), V.text(e["value"]).alias("value"))))
+    meta = F.when(V.kind("m") == "array", pairs).otherwise(flat)
+    names = {"short_name": "shortName", "name": "name", "units": "units", "level_type": "typeOfLevel", "step_type": "stepType", "step_range": "stepRange"}
+    typed = messages.withColumn("meta", meta)
+    at = lambda k: F.try_element_at("meta", F.lit(k))
+    return typed.select(
+        *rest, "pos", *(at(v).alias(k) for k, v in names.items()), at("paramId").try_cast("int").alias("param_id"), at("level").try_cast("int").alias("level"),
+        C.message_time(at("dataDate"), at("dataTime")).alias("run"), C.message_time(at("validityDate"), at("validityTime")).alias("valid"),
+    )
