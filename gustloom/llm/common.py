@@ -42,13 +42,13 @@ class Workspace:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def drop(self, name: str | None = None) -> None:
-        """Delete one table, or all of them; a stopped session leaves the folder to its owner."""
+    def drop(self, *names: str) -> None:
+        """Delete tables that no later result reads, or all of them; a stopped session leaves the folder to its owner."""
         if self.spark._jsc is None or self.spark.sparkContext._jsc is None:
             return
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.root)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        for place in map(self.path, names) if names else (self.root,):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager

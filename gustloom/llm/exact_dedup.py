@@ -94,7 +94,9 @@ def _stream_state(log: DataFrame, work: Workspace, files_per_batch: int) -> Data
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{updates}/batch=-1")
     work.drop("state")
     last = spark.read.schema(schema).parquet(updates).groupBy("digest").agg(F.max("keeper").alias("keeper"), F.max("group_size").alias("group_size"))
-    return work.table("last", last)  # as a table: a join with it can split the rows of a hot digest
+    table = work.table("last", last)  # as a table: a join with it can split the rows of a hot digest
+    work.drop("updates")
+    return table
 
 
 def _by_bytes(docs: DataFrame, log: DataFrame, unequal: DataFrame, id_col: str, text: Column, digest) -> DataFrame:

@@ -139,6 +139,7 @@ def identify(rows: DataFrame, model: TextModel, key_cols: list[str], text_col: s
     table = hosts.join(level(hosts, "domain", "d"), "domain").join(level(hosts, "suffix", "s"), "suffix")
     table = work.table("priors", table.select("host", F.array("n", "dn", "sn").alias("ns"), *(F.array(f"p{i}", f"d{i}", f"s{i}").alias(f"c{i}") for i in range(size))))
 
+    work.drop("hosts")
     joined = evidence.join(table, "host", "left")
     own = F.when(F.col("n_trigrams") > 0, 1.0).otherwise(0.0)
     scores = []

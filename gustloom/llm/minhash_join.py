@@ -92,9 +92,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     filled = signed.where("n_shingles > 0")
     classes = filled.groupBy("digest").agg(F.min("id").alias("least"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
     classes = work.table("classes", classes.withColumn("node", F.monotonically_increasing_id()))
-    postings, links = _links(rows, classes, work, percent, words, matches)
+    links = _links(rows, classes, work, percent, words, matches)
 
     roots = _components(links, work, "all")
+    work.drop("postings", "live", "rest", "open", "links0", "links1", "links2")
     member = classes.select("node", "digest", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))
     known = member.join(least, "root").select("digest", "component_id")
@@ -131,8 +132,8 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("text").mapInArrow(run, "digest binary, shingles array<long>")
 
 
-def _links(rows: DataFrame, classes: DataFrame, work: Workspace, percent: int, words: int, matches: int) -> tuple[DataFrame, DataFrame]:
-    """Postings of the prefix tokens, and confirmed links that connect what all links connect."""
+def _links(rows: DataFrame, classes: DataFrame, work: Workspace, percent: int, words: int, matches: int) -> DataFrame:
+    """Confirmed links that connect what all links connect."""
     token = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     tokens = classes.select("node", F.posexplode("signature").alias("pos", "value")).select("node", token.alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -167,7 +168,7 @@ def _links(rows: DataFrame, classes: DataFrame, work: Workspace, percent: int, w
     apart = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
     rest = work.table("rest", placed.join(apart, "token", "left_semi").select("token", "node", "n", "root"))
     pairs = _open_pairs(rest.select("node", "n", "root").distinct(), live, work, percent)
-    return postings, work.table("links2", links.unionByName(_confirmed(pairs, live, percent, matches)))
+    return work.table("links2", links.unionByName(_confirmed(pairs, live, percent, matches)))
 
 
 def _open_pairs(nodes: DataFrame, live: DataFrame, work: Workspace, percent: int) -> DataFrame:

@@ -223,6 +223,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     while (count := items.count()) > 0:
         blocks = -(-count // BLOCK)
         best = work.table(f"best{level}", _pack_blocks(items, blocks, capacity, work, f"level{level}"))
+        work.drop(f"level{level}-{ROUNDS - 1}")
         bins = best.groupBy("block", "bin").agg(F.sum("length").alias("fill"))
         if blocks > 1:
             # The least-filled bins of each block go on; a block has a bounded number of bins.
