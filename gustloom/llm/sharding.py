@@ -42,8 +42,9 @@ def extendible_shards(docs: DataFrame, key_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     work = Workspace(spark, "shards")
     rows = docs.select(F.col(key_col).alias("key"), F.octet_length(text_of(text_col)).cast("long").alias("n_bytes")).withColumn("h", key_hash(F.col("key")))
-    done, head, used = [], F.lit(""), 0
-    rows = rows.withColumn("head", head)
+    # The texts are read once, for their sizes; all rounds work on these slim rows.
+    rows = work.table("rows", rows.withColumn("head", F.lit("")))
+    done, used = [], 0
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     while True:
         bits = min(ROUND_BITS, KEY_BITS - used, max(4, math.ceil(math.log2(max(1, total / shard_bytes))) + 4))
