@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gustloom.functions import columns as C
-from gustloom.operators import coverage, ensemble, gate, leads, timeline
-from gustloom.sources import stations
+from gustloom.functions import variants as V
+from gustloom.operators import coverage, ensemble, gate, leads, records, timeline
+from gustloom.sources import grib_text, stations
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -367,3 +368,86 @@ def step_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = F.lit(["0m-15m", "0m-90m", "0-3", "6", "1d", ""])
     n = table(spark, sf_dir, "nation").select("n_nationkey", F.explode(codes).alias("code"))
     return n.select("n_nationkey", "code", C.step_end_hours("code").alias("hours"))
+
+
+@query("SELECT l_orderkey, count(DISTINCT round(l_discount, 6)) > 1 AS moved, count(DISTINCT round(l_discount, 6)) AS points FROM lineitem GROUP BY 1")
+def grid_points_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count_distinct(F.round("l_discount", 6)).alias("points"))
+    return points.select("l_orderkey", (F.col("points") > 1).alias("moved"), "points")
+
+
+@query("""
+    SELECT l_orderkey AS k, max(CASE WHEN l_returnflag = 'A' THEN l_linenumber END) AS "A", max(CASE WHEN l_returnflag = 'N' THEN l_linenumber END) AS "N", max(CASE WHEN l_returnflag = 'R' THEN l_linenumber END) AS "R" FROM lineitem GROUP BY 1""")
+def max_lead_by_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("field"), F.col("l_linenumber").alias("lead"))
+    return records.max_leads(files, ["k"], ["A", "N", "R"])
+
+
+@query("""
+    SELECT l_orderkey AS k, count(DISTINCT l_returnflag) >= 2 AS two_models, count(DISTINCT l_linestatus) FILTER (l_returnflag <> 'R') >= 2 AS without_one FROM lineitem WHERE l_discount > 0 GROUP BY 1""")
+def independent_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").where("l_discount > 0")
+    return lines.groupBy(F.col("l_orderkey").alias("k")).agg((F.count_distinct("l_returnflag") >= 2).alias("two_models"), (F.count_distinct(F.when(F.col("l_returnflag") != "R", F.col("l_linestatus"))) >= 2).alias("without_one"))
+
+
+@query("""
+    SELECT o_orderkey, l_linenumber FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_linenumber <= 3 AND o_orderstatus = 'F'
+    UNION ALL SELECT o_orderkey, l_linenumber FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_linenumber > 3 AND o_orderstatus = 'O'""")
+def base_and_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber").join(o, "o_orderkey")
+    part = lambda s: lines.where(F.col("o_orderstatus") == s).select("o_orderkey", "l_linenumber")
+    return records.extend_base(part("F"), part("O"), "l_linenumber", 3)
+
+
+@query(f"SELECT event_id, value FROM events WHERE ts >= TIMESTAMP '{_NOW}' - INTERVAL 21 DAYS AND ts <= TIMESTAMP '{_NOW}' + INTERVAL 15 MINUTES")
+def retention_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    now = F.lit(_NOW).cast("timestamp_ntz")
+    kept = table(spark, sf_dir, "events").where((F.col("ts") >= now - F.expr("interval 21 days")) & (F.col("ts") <= now + F.expr("interval 15 minutes")))
+    return kept.select("event_id", "value")
+
+
+@query("""
+    WITH x AS (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS n, l_returnflag FROM lineitem WHERE l_discount > 0.09)
+    SELECT l_returnflag, l_orderkey, l_linenumber, n FROM x WHERE n <= 20""")
+def bounded_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first twenty of each kind: here the limit is the feature."""
+    bad = table(spark, sf_dir, "lineitem").where("l_discount > 0.09")
+    n = F.row_number().over(Window.partitionBy("l_returnflag").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    return bad.select("l_returnflag", "l_orderkey", "l_linenumber", n.cast("long").alias("n")).where("n <= 20")
+
+
+@query("""
+    SELECT l_orderkey AS k, l_linenumber AS lead, count(*) AS parts, count(DISTINCT l_returnflag) > 1 AS conflict FROM lineitem GROUP BY ALL""")
+def product_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("lead"), F.col("l_returnflag").alias("point"), F.array("l_partkey").alias("v"))
+    merged = coverage.merge_products(parts, ["k", "lead"], "point", "v")
+    return merged.select("k", "lead", F.size("v").cast("long").alias("parts"), "conflict")
+
+
+@query("""
+    SELECT vec_id, i - 1 AS pos, embedding[i]::DOUBLE AS speed, embedding[i + 20]::DOUBLE AS direction FROM embeddings, generate_series(1, 20) s(i) WHERE embedding[i + 40] > 0""")
+def positional_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = lambda a, n: F.slice("embedding", a, 20).alias(n)
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.sequence(F.lit(0), F.lit(19)).alias("pos"), part(1, "speed"), part(21, "direction"), part(41, "gust"))
+    rows = grib_text.zipped(e, ["vec_id"], ["pos", "speed", "direction", "gust"])
+    return rows.where("gust > 0").select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("speed").cast("double").alias("speed"), F.col("direction").cast("double").alias("direction"))
+
+
+@query("""
+    WITH r AS (SELECT c_custkey AS k, c_acctbal AS v FROM customer) SELECT k, v BETWEEN 0 AND 360 AS direction_ok, v >= 0 AS speed_ok, abs(v - 500) <= 300 AS near FROM r""")
+def valid_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.col("c_acctbal")
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), (C.finite(v) & v.between(0, 360)).alias("direction_ok"), (C.finite(v) & (v >= 0)).alias("speed_ok"), (F.abs(v - 500) <= 300).alias("near"))
+
+
+@query("SELECT o_custkey AS k, count(DISTINCT o_orderdate) = 1 AS one_run, count(DISTINCT o_orderdate) AS runs FROM orders GROUP BY 1")
+def run_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count_distinct("o_orderdate").alias("runs"))
+    return o.select("k", (F.col("runs") == 1).alias("one_run"), "runs")
+
+
+@query("SELECT event_id, '{\"k\":' || json_extract(props, '$.k') || '}' AS canonical, sha256('{\"k\":' || json_extract(props, '$.k') || '}') AS sha FROM events")
+def canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id", F.try_parse_json("props").alias("v"))
+    return e.select("event_id", F.to_json("v").alias("canonical"), V.canonical_sha("v").alias("sha"))
