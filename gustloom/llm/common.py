@@ -85,6 +85,16 @@ def chunks(texts: list[str], limit: int = 1_000_000) -> Iterator[tuple[int, int]
         yield start, len(texts)
 
 
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """mapInArrow() over small batches. The settings stay with the session: the plan reads them when it runs.
+
+    A worker holds a batch as Arrow and as Python objects, and the next one while it lets go of the last.
+    """
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")):
+        df.sparkSession.conf.set(key, value)
+    return df.mapInArrow(function, schema)
+
+
 def rows_of(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
     """The named columns of Arrow batches as lists, dealt in ranges of bounded text; the last column is the text."""
     for batch in batches:

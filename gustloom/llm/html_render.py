@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustloom.llm.common import rows_of
+from gustloom.llm.common import map_arrow, rows_of
 
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -430,4 +430,4 @@ def visible_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
                 ["id", "text", "n_chars", "n_lines"],
             )
 
-    return rows.mapInArrow(run, f"id {id_name}, text string, n_chars long, n_lines long").withColumnRenamed("id", id_col)
+    return map_arrow(rows, run, f"id {id_name}, text string, n_chars long, n_lines long").withColumnRenamed("id", id_col)

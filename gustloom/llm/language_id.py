@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustloom.llm.common import Workspace, rows_of
+from gustloom.llm.common import Workspace, map_arrow, rows_of
 
 #: Bounds of the labelled sample: so many documents of each language as a mean, so many languages (the commonest).
 TRAIN_DOCS, LANGUAGES = 1500, 64
@@ -88,7 +88,7 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["lang", "place", "n"])
 
     counts = np.zeros((len(languages), PLACES))
-    for lang, places, ns in sample.mapInArrow(count, "lang string, place int, n long").groupBy("lang", "place").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.collect_list("place"), F.collect_list("n")).where(F.col("lang").isin(languages)).collect():
+    for lang, places, ns in map_arrow(sample, count, "lang string, place int, n long").groupBy("lang", "place").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.collect_list("place"), F.collect_list("n")).where(F.col("lang").isin(languages)).collect():
         counts[languages.index(lang), places] = ns
     return TextModel(languages, counts)
 
@@ -128,7 +128,7 @@ def identify(rows: DataFrame, model: TextModel, key_cols: list[str], text_col: s
                 arrays = [pa.array(list(x), pa.list_(pa.float64())) for x in (likelihood, posterior)]
                 yield pa.RecordBatch.from_arrays([*cut, *arrays, pa.array(n, pa.int64())], [*carried, "likelihood", "posterior", "n_trigrams"])
 
-    evidence = work.table("evidence", given.mapInArrow(score, schema))
+    evidence = work.table("evidence", map_arrow(given, score, schema))
     # Only rows with text say anything about their host.
     says = evidence.where("n_trigrams > 0").select("host", *(F.get("posterior", i).alias(f"p{i}") for i in range(size)))
     sums = lambda of: [F.sum(f"{of}{i}").alias(f"{of}{i}") for i in range(size)]

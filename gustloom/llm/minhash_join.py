@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustloom.llm.common import Workspace, rows_of, text_of
+from gustloom.llm.common import Workspace, map_arrow, rows_of, text_of
 
 COORDINATES, MATCHES = 48, 20
 #: Ids (8 bytes each) that may be broadcast to pick the texts to read again; beyond it, a shuffle picks them.
@@ -119,7 +119,7 @@ def _signed(rows: DataFrame, words: int, coordinates: int) -> DataFrame:
                 ["id", "text_hash", "n_shingles", "digest", "signature"],
             )
 
-    return rows.mapInArrow(run, f"id {id_name}, text_hash long, n_shingles long, digest binary, signature array<int>")
+    return map_arrow(rows, run, f"id {id_name}, text_hash long, n_shingles long, digest binary, signature array<int>")
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
@@ -129,7 +129,7 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
             sets = [shingler.shingles(t) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["digest", "shingles"])
 
-    return rows.select("text").mapInArrow(run, "digest binary, shingles array<long>")
+    return map_arrow(rows.select("text"), run, "digest binary, shingles array<long>")
 
 
 def _links(rows: DataFrame, classes: DataFrame, work: Workspace, percent: int, words: int, matches: int) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustloom.llm.bpe_arrays import Vocabulary
-from gustloom.llm.common import Workspace, rows_of
+from gustloom.llm.common import Workspace, map_arrow, rows_of
 
 SEQUENCE, END = 4096, 1
 #: Pieces per block, islands per block, rounds of migration, packings per island, crossovers per round.
@@ -105,7 +105,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             a, b, c, d, e = zip(*out)
             yield pa.RecordBatch.from_arrays([pa.array(a, id_type), pa.array(b, pa.int32()), pa.array(c, pa.int64()), pa.array(d, pa.int64()), pa.array(e, pa.int64())], ["id", "piece", "start", "length", "ids_crc32"])
 
-    return rows.mapInArrow(run, f"id {id_name}, piece int, start long, length long, ids_crc32 long")
+    return map_arrow(rows, run, f"id {id_name}, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(order: Iterable[int], sizes: list[int], bins: list[list[int]], free: list[int], capacity: int) -> None:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustloom.llm.bpe_arrays import BYTE_LEVEL
-from gustloom.llm.common import rows_of
+from gustloom.llm.common import map_arrow, rows_of
 from gustloom.llm.token_counts import stretches
 
 #: Stretches of text, and token pairs, that a worker keeps.
@@ -230,7 +230,7 @@ def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = pa.string() if dict(rows.dtypes)["id"] == "string" else pa.int64()
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
 def encode_column(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -244,4 +244,4 @@ def encode_column(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = pa.string() if dict(rows.dtypes)["id"] == "string" else pa.int64()
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, ids array<int>").withColumnRenamed("id", id_col)
+    return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, ids array<int>").withColumnRenamed("id", id_col)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustloom.llm.bpe_arrays import Vocabulary
-from gustloom.llm.common import rows_of
+from gustloom.llm.common import map_arrow, rows_of
 
 #: Chunks of text whose counts a worker keeps; beyond it, those of the latest range stay.
 CACHE = 400_000
@@ -91,4 +91,4 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = pa.string() if dict(rows.dtypes)["id"] == "string" else pa.int64()
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, n_bytes long, n_tokens long, over_limit boolean").withColumnRenamed("id", id_col)
+    return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, n_bytes long, n_tokens long, over_limit boolean").withColumnRenamed("id", id_col)
