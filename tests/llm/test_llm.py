@@ -289,6 +289,18 @@ def test_brown(docs, texts):
     assert out.score.sum() > out.base_score.sum() and (got.perplexity > 1).all()
 
 
+def test_brown_gives_every_word_a_class(spark, monkeypatch):
+    """Words outside of the types, all with one ending, get the class of the types that have their neighbours: half of them may follow each common word."""
+    monkeypatch.setattr(brown_lm, "WORD_TYPES", 12)
+    monkeypatch.setattr(brown_lm, "ENDING_TYPES", 1)
+    draw = random.Random(3)
+    word = lambda k: f"{k}{draw.randrange(5) if draw.random() < 0.5 else draw.randrange(5, 40)}end"
+    rows = [(i, f"to {word('n')} is {word('v')}") for i in range(4000)]
+    got = brown_lm.score(spark.createDataFrame(rows, "doc_id long, text string"), held=F.col("doc_id") < 400)
+    mean = got.where("held_out").agg(F.avg("score")).first()[0]
+    assert mean > -(1 + math.log10(70)) - 0.15  # with one class for all 70 words outside of the types, 0.3 less at best
+
+
 def test_exchange_finds_classes():
     draw = np.random.default_rng(1)
     kind = np.arange(12) % 2  # words of two kinds that follow each other in turn
