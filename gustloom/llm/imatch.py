@@ -29,9 +29,10 @@ def term_hashes(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, text: Column, low: float = IDF_LOW, high: float = IDF_HIGH) -> DataFrame:
-    """Hashes (h) of the terms in the band, counted over all documents; a term of one document only can't match and is left out."""
-    n = docs.count()
-    found = docs.select(F.explode(term_hashes(text)).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    """Hashes (h) of the terms in the band, counted over all distinct texts, so that copies push no term out of it; a term of one text only is left out."""
+    key = F.xxhash64(text).alias("key")
+    n = docs.select(key).distinct().count()
+    found = docs.select(key, term_hashes(text).alias("terms")).dropDuplicates(["key"]).select(F.explode("terms").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(float(max(n, 1))) / F.col("df"))
     return found.where((F.col("df") > 1) & idf.between(low, high)).select("h")
 
@@ -64,10 +65,12 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(F.size(F.array_intersect(x, y)) / F.greatest(parts, F.lit(1))).cast("double")
 
 
-def _signature(terms: str, whole: str) -> Column:
-    """'00' and 24 bits of the whole's hash, then the parts' tokens. Without a term in the band, all terms stand for it."""
+def _signature(terms: str, others: str, whole: str) -> Column:
+    """'00' and 24 bits of the whole's hash, then the parts' tokens. Without a term in the band all terms, tagged '0w', take its place; without any term the characters do."""
     head = lambda tag, h: F.concat(F.lit(tag), F.right(F.lpad(F.hex(h), 16, "0"), F.lit(6)))
-    return F.when(F.size(terms) == 0, F.concat(head("0w", F.col(whole)), head("0x", F.xxhash64(whole)))).otherwise(F.concat(head("00", F.xxhash64(terms)), F.array_join(_tokens(terms), "")))
+    parts = lambda t: F.array_join(_tokens(t), "")
+    bare = F.concat(head("0w", F.col(whole)), head("0x", F.xxhash64(whole)))
+    return F.when(F.size(terms) > 0, F.concat(head("00", F.xxhash64(terms)), parts(terms))).when(F.size(others) > 0, F.concat(head("0w", F.col(whole)), parts(others))).otherwise(bare)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -86,7 +89,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     work = Workspace(spark, "imatch")
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    words = work.table("lexicon", lexicon(docs, text_of(text_col)).unionByName(spark.range(1).select(F.lit(0).cast("long").alias("h"))))
+    words = work.table("lexicon", lexicon(docs, text_of(text_col))).select(F.col("h").alias("known"))
     small = F.broadcast if words.count() <= BROADCAST_TERMS else (lambda x: x)
 
     # Buckets of consecutive ids; the cuts are few and only balance the work.
@@ -113,11 +116,12 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     whole = F.when(F.size("x.terms") == 0, F.col("x.raw")).otherwise(F.xxhash64(F.sort_array("x.terms")))
     carried = ("extra", "id", "n_chars", "edited_sha256", "whole")
     split = split.select("bucket", "place", "extra", "id", "n_chars", "edited_sha256", F.col("x.kind").alias("kind"), whole.alias("whole"), "x.terms")
-    # Term 0 is in the lexicon and holds the place of texts without any other.
+    # Term 0 holds the place of texts without any other.
     spread = split.select("bucket", "place", "kind", *carried, F.explode(F.concat(F.array(F.lit(0).cast("long")), "terms")).alias("h"))
-    kept = spread.join(small(words), "h", "left_semi")
-    terms = F.sort_array(F.filter(F.collect_list("h"), lambda h: h != 0)).alias("terms")
-    signed = kept.groupBy("bucket", "place", "kind").agg(terms, *(F.first(c).alias(c) for c in carried)).withColumn("signature", _signature("terms", "whole"))
+    marked = spread.join(small(words), F.col("h") == F.col("known"), "left")
+    some = lambda which: F.sort_array(F.collect_list(F.when(which & (F.col("h") != 0), F.col("h"))))
+    lists = (some(F.col("known").isNotNull()).alias("terms"), some(F.col("known").isNull()).alias("others"))
+    signed = marked.groupBy("bucket", "place", "kind").agg(*lists, *(F.first(c).alias(c) for c in carried)).withColumn("signature", _signature("terms", "others", "whole"))
     pick = lambda k: F.max(F.when(F.col("kind") == k, F.col("signature")))
     paired = signed.groupBy("bucket", "place").agg(*(F.first(c).alias(c) for c in ("extra", "id", "n_chars", "edited_sha256")), pick(0).alias("fingerprint"), pick(1).alias("edited_fingerprint"))
     ordered = Window.partitionBy("bucket").orderBy("place")

@@ -272,6 +272,17 @@ def test_imatch(docs, texts):
     assert ((e[:, None] > n).mean() + 0.5 * (e[:, None] == n).mean()) > 0.95 and e.min() >= 0 and e.max() <= 1
 
 
+def test_imatch_of_copies_and_rare_terms(spark, docs):
+    """A third of the rows are copies of one text, and one text has only terms of its own: an edit leaves parts of both alike."""
+    own = docs.select("doc_id", "text").collect()
+    hot = max(own, key=lambda r: len(r["text"]))["text"]
+    rare = " ".join(f"rare{i}q" for i in range(200))
+    rows = [(r["doc_id"], r["text"]) for r in own] + [(10_000 + i, hot) for i in range(len(own) // 2)] + [(20_000, hot + " zzz"), (20_001, hot), (20_002, rare), (20_003, rare + " zzz")]
+    got = {r["doc_id"]: r for r in imatch.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id >= 10000").collect()}
+    assert got[20_001]["fingerprint"] == got[10_000]["fingerprint"] and got[20_001]["fingerprint"].startswith("00")
+    assert got[20_000]["near_next"] > 0.5 and got[20_002]["near_next"] > 0.5
+
+
 def test_brown(docs, texts):
     got = brown_lm.score(docs).toPandas().set_index("doc_id")
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
