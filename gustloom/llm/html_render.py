@@ -42,6 +42,8 @@ IMPLIED_END = {
     "caption": (("caption",), ("table",)),
 }
 SECTIONS = frozenset(("thead", "tbody", "tfoot"))
+#: Start tags that leave an open head open; any other begins the body.
+IN_HEAD = frozenset("base link meta title style script noscript template".split())
 _SCOPE = frozenset("html table td th caption button object template".split())
 
 _TOKEN = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+>?|</[^a-zA-Z][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)(>|\Z)""", re.S)
@@ -86,7 +88,7 @@ def parse(source: str) -> Node:
     """The tree of a page; text nodes are strings. Any input gives a tree."""
     root = Node("html")
     stack, at, n = OpenElements(root), 0, len(source)
-    find, lower = _TOKEN.search, None
+    find, lower, begun = _TOKEN.search, None, False  # begun: there was a head, or the body is open
     while at < n:
         m = find(source, at)
         if m is None:
@@ -94,6 +96,7 @@ def parse(source: str) -> Node:
             break
         if m.start() > at:
             _text(stack, source[at : m.start()])
+            begun = begun or not source[at : m.start()].isspace()
         at = m.end()
         name = m[2]
         if not name:
@@ -104,9 +107,16 @@ def parse(source: str) -> Node:
             continue
         if name in ("html", "body"):
             if name == "body":
+                begun = True
                 _end(stack, "head")
             stack[-1 if name == "body" else 0].attributes += " " + (m[3] or "") if name == "html" else ""
             continue
+        if name == "head" and begun:
+            continue
+        if name == "head" or name not in IN_HEAD and not stack.count["template"] and not stack.count["noscript"]:
+            begun = True
+            if stack.count["head"]:
+                _end_head(stack)
         _implied(stack, name)
         node = Node(name, m[3] or "")
         stack[-1].children.append(node)
@@ -128,6 +138,14 @@ def parse(source: str) -> Node:
     return root
 
 
+def _end_head(stack: OpenElements) -> None:
+    """End the open head and all that is open in it."""
+    for i in range(1, len(stack)):
+        if stack[i].name == "head":
+            stack.cut(i)
+            return
+
+
 def _text(stack: OpenElements, text: str) -> None:
     top = stack[-1]
     if top.name == "head" and not text.isspace():  # text isn't part of the head: the body begins

@@ -344,6 +344,11 @@ PAGE = """<!DOCTYPE html><html lang=en><head><title>T</title><style>p{}</style><
    b</pre>x &lt;tag&gt; &amp;</body></html>"""
 
 
+def test_html_implied_head_and_body():
+    for page in ("<html><head><title>T</title><p>Hello<p>you", "<head><meta charset=utf-8><link rel=x><style>p{}</style><div>Hello</div><p>you", "<html><head><title>T</title></head><head><p>Hello<p>you", "<p>Hello<head><title>T</title><p>you", "Hello<head><p>you", "<html><head><noscript><img></noscript><p>Hello<p>you"):
+        assert html_render.render(page).split() == ["Hello", "you"], page
+
+
 def test_html():
     assert html_render.render(PAGE).split("\n") == [
         "Hello bold world", "", "para one", "", "para two", "line", "", "- a", "- b", "  1. x", "  2. y", "- c", "", "Name       Qty", "Apple pie  3", "r          1", "           2", "", "  a", "   b", "", "x <tag> &",
