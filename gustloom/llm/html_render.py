@@ -46,8 +46,9 @@ SECTIONS = frozenset(("thead", "tbody", "tfoot"))
 IN_HEAD = frozenset("base link meta title style script noscript template".split())
 _SCOPE = frozenset("html table td th caption button object template".split())
 
-_TOKEN = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+>?|</[^a-zA-Z][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)(>|\Z)""", re.S)
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+# A quote opens a value only after '='; elsewhere it is a character of a name or of an unquoted value.
+_TOKEN = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+>?|</[^a-zA-Z][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+)?+)*+)(>|\Z)""", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"?|'([^']*+)'?|([^\s>"'][^\s>]*+))?+)?+""")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 

@@ -349,6 +349,12 @@ def test_html_implied_head_and_body():
         assert html_render.render(page).split() == ["Hello", "you"], page
 
 
+def test_html_quotes():
+    for stray in ('href="x""', "href='x''", 'href=x"', '"', "title=it's", 'href="x"\'', 'a="b>c""', 'x =  "a>b" y', '="'):
+        assert html_render.render(f'<p>one <a {stray}>two</a> three <a href="y">four</a> five</p><p>six</p>').split() == "one two three four five six".split(), stray
+    assert html_render.render('<p class="a"" style="display:none">no</p><p title=it\'s hidden>no</p><p title="a>b" hidden>no</p>yes') == "yes"
+
+
 def test_html():
     assert html_render.render(PAGE).split("\n") == [
         "Hello bold world", "", "para one", "", "para two", "line", "", "- a", "- b", "  1. x", "  2. y", "- c", "", "Name       Qty", "Apple pie  3", "r          1", "           2", "", "  a", "   b", "", "x <tag> &",
