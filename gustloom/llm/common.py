@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -95,10 +95,39 @@ def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
-def rows_of(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
+def rows_of(batches: Iterable[pa.RecordBatch], *columns: str, limit: int = 1_000_000) -> Iterator[tuple[list, ...]]:
     """The named columns of Arrow batches as lists, dealt in ranges of bounded text; the last column is the text."""
     for batch in batches:
         lists = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns]
         lists[-1] = [t or "" for t in lists[-1]]
-        for start, end in chunks(lists[-1]):
+        for start, end in chunks(lists[-1], limit):
             yield tuple(x[start:end] for x in lists)
+
+
+class Lately:
+    """What a worker has worked out, by key, in two generations: keys that were met lately outlive those that weren't."""
+
+    def __init__(self, limit: int):
+        self.young, self.old, self.half = {}, {}, max(1, limit // 2)
+
+    def of(self, keys: list, learn: Callable[[list], list]) -> list:
+        """The values of distinct keys; ``learn`` gives those of keys that aren't known."""
+        out = list(map(self.young.get, keys))
+        missed = [k for k, v in zip(keys, out) if v is None]
+        if not missed:
+            return out
+        found = {k: v for k in missed if (v := self.old.get(k)) is not None}
+        new = [k for k in missed if k not in found]
+        if new:
+            found.update(zip(new, learn(new)))
+        for i, v in enumerate(out):
+            if v is None:
+                out[i] = found[keys[i]]
+        if new:
+            for k in new:
+                if len(k) > 64:
+                    del found[k]
+        self.young.update(found)
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+        return out

@@ -10,102 +10,74 @@ then opened and packed again across blocks, until one block holds what is open.
 from __future__ import annotations
 
 import bisect
-import re
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustloom.llm.bpe_arrays import Vocabulary
-from gustloom.llm.common import Workspace, map_arrow, rows_of
+from gustloom.llm.bpe_arrays import Vocabulary, ragged
+from gustloom.llm.common import Lately, Workspace, map_arrow, rows_of
 
 SEQUENCE, END = 4096, 1
 #: Pieces per block, islands per block, rounds of migration, packings per island, crossovers per round.
 BLOCK, ISLANDS, ROUNDS, POPULATION, CROSSOVERS = 2048, 2, 2, 4, 16
 #: Of each block's bins, one in so many at most (and one at least) is opened for packing across blocks, if it isn't as full as FULL.
 OPENED, FULL = 4, 0.99
-CACHE = 400_000
-_INFORMATION_SEPARATORS = re.compile("[\x1c-\x1f]")
-_SPACE = regex.compile(r"\s+")
+#: Pre-tokens that a worker keeps, in two halves; characters that it encodes at once.
+CACHE, RANGE = 600_000, 4_000_000
 
 
 class Encoder:
-    """Token ids of texts as little-endian 32-bit bytes; keeps the words it has met."""
+    """Token ids of texts; keeps the pre-tokens it has met lately."""
 
     def __init__(self, path: str, cache: int = CACHE):
-        self.vocabulary, self.known, self.limit = Vocabulary(path), {}, cache
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Special strings inside a text are special tokens, as the library has them."""
-        # str.split() also splits at four control characters that aren't white space to the pre-tokenizer.
-        parts = [t.split() if not _INFORMATION_SEPARATORS.search(t) else [x for x in _SPACE.split(t) if x] for t in texts]
-        seen = set().union(*parts)
-        self._learn(list(seen - self.known.keys()))
-        get = self.known.__getitem__
-        out = [b"".join(map(get, p)) for p in parts]
-        if len(self.known) > self.limit:
-            self.known = {s: get(s) for s in seen if len(s) <= 64}
-        return out
-
-    def _learn(self, new: list[str]) -> None:
-        vocabulary, pieces, plan = self.vocabulary, [], []
-        for word in new:
-            marked = any(s in word for s in vocabulary.special)
-            own = []  # special ids, and None for each piece
-            for stretch in [x for x in vocabulary.split_special.split(word) if x] if marked else [word]:
-                if stretch in vocabulary.special:
-                    own.append(vocabulary.special[stretch])
-                else:
-                    found = vocabulary.pieces(stretch)
-                    pieces += found
-                    own += [None] * len(found)
-            plan.append(own)
-        ids, counts = vocabulary.encode_pieces(pieces) if pieces else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        data, ends, at = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist(), 0
-        for word, own in zip(new, plan):
-            if None not in own or any(x is not None for x in own):
-                out = []
-                for x in own:
-                    if x is None:
-                        out.append(data[ends[at - 1] if at else 0 : ends[at]])
-                        at += 1
-                    else:
-                        out.append(x.to_bytes(4, "little"))
-                self.known[word] = b"".join(out)
-            else:
-                start = ends[at - 1] if at else 0
-                at += len(own)
-                self.known[word] = data[start : ends[at - 1]]
+        self.vocabulary, self.known = Vocabulary(path), Lately(cache)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and the number of each. Special strings inside a text are special tokens, as the library has them."""
+        which, distinct, sizes = self.vocabulary.split(texts)
+        return ragged(self.known.of(distinct, self._learn), which, sizes, "<u4")
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        special = self.vocabulary.special
+        plain = [x for x in new if x not in special]
+        ids, counts = self.vocabulary.encode_pieces(plain) if plain else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        own = dict(zip(plain, (data[a:b] for a, b in zip([0, *ends], ends))))
+        return [own[x] if x in own else special[x].to_bytes(4, "little") for x in new]
 
 
 _encoders: dict[str, Encoder] = {}
 
 
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = SEQUENCE, end: int = END) -> DataFrame:
-    """id, piece, start, length, ids_crc32 and token_ids (binary, little-endian 32-bit) of every document's pieces. A null text is empty: only its end."""
+    """id, piece, start, length and token_ids (binary, little-endian 32-bit) of every document's pieces. A null text is empty: only its end."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_name = dict(rows.dtypes)["id"]
     id_type = pa.string() if id_name == "string" else pa.int64()
+    last = np.array([end], "<u4")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _encoders:
             _encoders[path] = Encoder(path)
-        for ids, texts in rows_of(batches, "id", "text"):
-            out: list[tuple] = []
-            for key, data in zip(ids, _encoders[path].encode(texts)):
-                data += end.to_bytes(4, "little")
-                for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                    part = data[at : at + 4 * capacity]
-                    out.append((key, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            a, b, c, d, e = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(a, id_type), pa.array(b, pa.int32()), pa.array(c, pa.int64()), pa.array(d, pa.int64()), pa.array(e, pa.int64())], ["id", "piece", "start", "length", "ids_crc32"])
-
-    return map_arrow(rows, run, f"id {id_name}, piece int, start long, length long, ids_crc32 long")
+        for keys, texts in rows_of(batches, "id", "text", limit=RANGE):
+            ids, counts = _encoders[path].encode(texts)
+            ends = np.cumsum(counts)
+            ids, counts = np.insert(ids, ends, last), counts + 1
+            # Each text's pieces: full ones, then the rest.
+            cut = -(-counts // capacity)
+            owner = np.repeat(np.arange(len(texts)), cut)
+            number = np.arange(len(owner)) - (np.cumsum(cut) - cut)[owner]
+            start = number * capacity
+            length = np.minimum(counts[owner] - start, capacity)
+            offsets = pa.array(np.concatenate([[0], 4 * np.cumsum(length)]), pa.int32())
+            data = pa.Array.from_buffers(pa.binary(), len(owner), [None, offsets.buffers()[1], pa.py_buffer(ids.astype("<u4"))])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, id_type).take(pa.array(owner)), pa.array(number, pa.int32()), pa.array(start), pa.array(length), data], ["id", "piece", "start", "length", "token_ids"])
+
+    return map_arrow(rows, run, f"id {id_name}, piece int, start long, length long, token_ids binary")
 
 
 def best_fit(order: Iterable[int], sizes: list[int], bins: list[list[int]], free: list[int], capacity: int) -> None:
@@ -210,14 +182,18 @@ def _pack_blocks(items: DataFrame, blocks: int, capacity: int, work: Workspace,
     return packed.join(best, ["block", "island"]).select("block", "bin", "row", "length")
 
 
-def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = SEQUENCE, end: int = END) -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
+def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = SEQUENCE, end: int = END, carry: dict[str, Column] | None = None) -> DataFrame:
+    """One row per piece: id, piece, start, length, token_ids (binary, little-endian 32-bit), sequence_id, offset.
+
+    ``carry`` names what each piece has in place of its token_ids, as expressions over them.
 
     Only documents longer than a sequence are cut; no two pieces of a sequence overlap and none leaves a gap. A null
     or empty text is one piece, its end token. Repeated rows are packed each. An empty table gives no rows.
     """
     work = Workspace(docs.sparkSession, "pack")
-    table = work.table("pieces", pieces(docs, path, id_col, text_col, capacity, end).withColumn("row", F.monotonically_increasing_id()))
+    carry = {"token_ids": F.col("token_ids")} if carry is None else carry
+    cut = pieces(docs, path, id_col, text_col, capacity, end).select("id", "piece", "start", "length", *(c.alias(f"carry{i}") for i, c in enumerate(carry.values())))
+    table = work.table("pieces", cut.withColumn("row", F.monotonically_increasing_id()))
     whole = table.where(F.col("length") == capacity).select("row", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     placed, items, level = [whole], table.where(F.col("length") < capacity).select("row", "length"), 0
     while (count := items.count()) > 0:
@@ -241,4 +217,4 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     places = placed[0]
     for part in placed[1:]:
         places = places.unionByName(part)
-    return table.join(places, "row").select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return table.join(places, "row").select(F.col("id").alias(id_col), "piece", "start", "length", *(F.col(f"carry{i}").alias(n) for i, n in enumerate(carry)), "sequence_id", "offset")

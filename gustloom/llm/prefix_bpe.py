@@ -8,20 +8,19 @@ the table; an edit keeps what lies before it and stops where the table has caugh
 from __future__ import annotations
 
 import base64
-import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustloom.llm.bpe_arrays import BYTE_LEVEL
-from gustloom.llm.common import map_arrow, rows_of
-from gustloom.llm.token_counts import stretches
+from gustloom.llm.bpe_arrays import BYTE_LEVEL, Splitter, ragged, split_texts
+from gustloom.llm.common import Lately, map_arrow, rows_of
 
-#: Stretches of text, and token pairs, that a worker keeps.
-CACHE, PAIRS = 300_000, 2_000_000
+#: Pre-tokens, and token pairs, that a worker keeps.
+CACHE, PAIRS = 600_000, 2_000_000
 
 
 class PrefixBPE:
@@ -29,7 +28,7 @@ class PrefixBPE:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str | None = None):
         self.ranks = ranks
-        self.pattern = regex.compile(pattern) if pattern else BYTE_LEVEL
+        self.pattern = Splitter(pattern or BYTE_LEVEL)
         self.longest = max(map(len, ranks))
         # Tokens by their bytes from the last to the first: a walk back from a position meets all that end there.
         self.ends: dict = {}
@@ -162,37 +161,23 @@ class EditablePiece:
 
 
 class Codec:
-    """Encodes and decodes texts by their stretches; keeps the stretches that it has met lately."""
+    """Encodes and decodes texts; keeps the pre-tokens that it has met lately."""
 
     def __init__(self, path: str, cache: int = CACHE):
-        self.bpe, self.known, self.limit = PrefixBPE.from_file(path), {}, cache
-
-    def run(self, texts: list[str]) -> list[tuple[int, bytes, bytes]]:
-        """Of each text: the number of ids, the ids as decimal text joined by commas, the bytes that the ids decode to."""
-        parts = [stretches(t, self.bpe.pattern) for t in texts]
-        seen = set().union(*parts)
-        self._learn(seen - self.known.keys())
-        out = []
-        for own in parts:
-            if own:
-                n, ids, data = zip(*map(self.known.__getitem__, own))
-                out.append((sum(n), ",".join(ids).encode(), b"".join(data)))
-            else:
-                out.append((0, b"", b""))
-        if len(self.known) > self.limit:
-            self.known = {c: self.known[c] for c in seen if len(c) <= 64}
-        return out
+        self.bpe, self.known = PrefixBPE.from_file(path), Lately(cache)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end (int32), and the number of each text's."""
+        which, distinct, sizes = split_texts(texts, self.bpe.pattern.findall)
+        return ragged(self.known.of(distinct, self._learn), which, sizes, "<i4")
 
-    def _learn(self, chunks: set[str]) -> None:
-        split = {}
-        for c in chunks:
-            split[c] = [c] if c.isalpha() or c[:1] == " " and c[1:].isalpha() else self.bpe.pattern.findall(c)
-        known, bpe = self.known, self.bpe
+    def _learn(self, new: list[str]) -> list[bytes]:
+        bpe, known = self.bpe, {}
         # In byte order each pre-token's table extends the one before from where they part.
         last, before = [-1], b""
-        for data in sorted({p.encode() for own in split.values() for p in own if p not in known}):
-            if data in bpe.ranks:
-                ids = [bpe.ranks[data]]
+        for data in sorted(x.encode() for x in new):
+            if (whole := bpe.ranks.get(data)) is not None:
+                ids = [whole]
             else:
                 same, most = 0, min(len(data), len(before))
                 while same < most and data[same] == before[same]:
@@ -200,48 +185,42 @@ class Codec:
                 del last[same + 1 :]
                 bpe.extend(data, last, same)
                 ids, before = bpe.walk(last), data
-            known[data.decode()] = len(ids), ",".join(map(str, ids)), bpe.decode(ids)
-        for c, own in split.items():
-            if len(own) > 1:
-                n, ids, data = zip(*map(known.__getitem__, own))
-                known[c] = sum(n), ",".join(ids), b"".join(data)
+            known[data] = array("i", ids).tobytes()
+        return [known[x.encode()] for x in new]
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The bytes that the ids stand for, of each text."""
+        own = np.split(ids, np.cumsum(counts)[:-1])
+        return [self.bpe.decode(x.tolist()) for x in own]
 
 
 _codecs: dict[str, Codec] = {}
 
 
-def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_tokens, ids_sha256, decoded_sha256 of the encoding and its decoding.
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, token_ids (array of int), decoded (binary): the text's encoding and what that decodes to.
 
     ``path`` is a rank file that every worker can open. No special tokens. A null text counts as empty: no tokens,
-    and the digests of nothing. Null and repeated ids pass through. Other columns are not read.
+    no bytes. Null and repeated ids pass through, each row by itself. Long texts are encoded whole; a worker holds one
+    batch's tokens at a time. Other columns are not read. An empty table gives no rows.
     """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    id_name = dict(rows.dtypes)["id"]
+    id_type = pa.string() if id_name == "string" else pa.int64()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _codecs:
             _codecs[path] = Codec(path)
-        for ids, texts in rows_of(batches, "id", "text"):
-            n, a, b = [], [], []
-            for count, joined, data in _codecs[path].run(texts):
-                n.append(count)
-                a.append(hashlib.sha256(joined).hexdigest())
-                b.append(hashlib.sha256(data).hexdigest())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    id_type = pa.string() if dict(rows.dtypes)["id"] == "string" else pa.int64()
-    return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
-
+        codec = _codecs[path]
+        for keys, texts in rows_of(batches, "id", "text"):
+            ids, counts = codec.encode(texts)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, id_type), lists, pa.array(codec.decode(ids, counts), pa.binary())], ["id", "token_ids", "decoded"])
 
-def encode_column(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and the text's token ids as an array, for use of the encoding itself."""
+    return map_arrow(rows, run, f"id {id_name}, token_ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _codecs:
-            _codecs[path] = Codec(path)
-        for ids, texts in rows_of(batches, "id", "text"):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array([_codecs[path].bpe.encode(t) for t in texts], pa.list_(pa.int32()))], ["id", "ids"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    id_type = pa.string() if dict(rows.dtypes)["id"] == "string" else pa.int64()
-    return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, ids array<int>").withColumnRenamed("id", id_col)
+def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """id, n_tokens, ids_sha256 (decimal ids joined by commas) and decoded_sha256 of round_trip()'s rows."""
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    return encoded.select(id_col, F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

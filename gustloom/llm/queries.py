@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
@@ -26,7 +27,7 @@ def op3_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix_bpe.bpe_round_trip(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return prefix_bpe.digests(prefix_bpe.round_trip(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +51,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), carry={"ids_crc32": F.crc32("token_ids")})
 
 
 QUERIES = {

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,62 +10,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustloom.llm.bpe_arrays import Vocabulary
-from gustloom.llm.common import map_arrow, rows_of
+from gustloom.llm.common import Lately, map_arrow, rows_of
 
-#: Chunks of text whose counts a worker keeps; beyond it, those of the latest range stay.
-CACHE = 400_000
-_MIXED_SPACE = re.compile(r" \s")
-
-
-def stretches(text: str, pattern) -> list[str]:
-    """Parts of a text that pre-tokenize alike alone and in place: each starts at a space before a word.
-
-    A pre-token takes at most one space, in front, so a space followed by something else than white space always
-    starts one. Texts with a space before white space go through the whole pattern instead.
-    """
-    if _MIXED_SPACE.search(text):
-        return pattern.findall(text)
-    head, *rest = text.split(" ")
-    parts = [" " + x for x in rest]
-    return [head, *parts] if head else parts
+#: Pre-tokens whose counts a worker keeps.
+CACHE = 600_000
 
 
 class Counter:
-    """Counts tokens of texts; keeps the counts of stretches it has met."""
+    """Counts tokens of texts; keeps the counts of pre-tokens it has met lately."""
 
     def __init__(self, path: str, cache: int = CACHE):
-        self.vocabulary, self.known, self.limit = Vocabulary(path), {}, cache
+        self.vocabulary, self.known = Vocabulary(path), Lately(cache)
 
     def count(self, texts: list[str]) -> list[int]:
         """Special strings inside a text are special tokens, one each."""
-        parts, extra = [], []
-        for text in texts:
-            found, n = [text], 0
-            if any(s in text for s in self.vocabulary.special):
-                cut = [x for x in self.vocabulary.split_special.split(text) if x]
-                found = [x for x in cut if x not in self.vocabulary.special]
-                n = len(cut) - len(found)
-                parts.append([p for x in found for p in self.vocabulary.pattern.findall(x)])
-            else:
-                parts.append(stretches(text, self.vocabulary.pattern))
-            extra.append(n)
-        seen = set().union(*parts)
-        self._learn(list(seen - self.known.keys()))
-        get = self.known.__getitem__
-        counts = [n + sum(map(get, p)) for p, n in zip(parts, extra)]
-        if len(self.known) > self.limit:
-            self.known = {s: get(s) for s in seen if len(s) <= 64}
-        return counts
-
-    def _learn(self, new: list[str]) -> None:
-        pieces, owner = [], []
-        for i, chunk in enumerate(new):
-            own = self.vocabulary.pieces(chunk)
-            pieces += own
-            owner += [i] * len(own)
-        if pieces:
-            counts = self.vocabulary.encode_pieces(pieces)[1]
-            self.known.update(zip(new, np.bincount(owner, counts, len(new)).astype(int).tolist()))
+        which, distinct, sizes = self.vocabulary.split(texts)
+        ends = np.concatenate([[0], np.cumsum(np.array(self.known.of(distinct, self._learn), np.int64)[which])]) if len(which) else np.zeros(1, np.int64)
+        return np.diff(ends[np.concatenate([[0], np.cumsum(sizes)])]).tolist()
+
+    def _learn(self, new: list[str]) -> list[int]:
+        plain = [x for x in new if x not in self.vocabulary.special]
+        counts = dict(zip(plain, self.vocabulary.encode_pieces(plain)[1].tolist())) if plain else {}
+        return [counts.get(x, 1) for x in new]
 
 
 _counters: dict[str, Counter] = {}
@@ -76,7 +41,8 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """One row per input row: id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 
     ``path`` is a byte-level BPE file of the tokenizers library that every worker can open. A null text counts as
-    empty and has no tokens. Null and repeated ids pass through. Other columns are not read.
+    empty and has no tokens. Null and repeated ids pass through, each row by itself. Long texts are counted whole; a
+    worker holds one batch's pre-tokens at a time. Other columns are not read. An empty table gives no rows.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

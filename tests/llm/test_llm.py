@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gustloom.llm import brown_lm, exact_dedup, html_render, imatch, language_id, minhash_join, packing, prefix_bpe, queries, sharding, token_counts
+from gustloom.llm import bpe_arrays, brown_lm, common, exact_dedup, html_render, imatch, language_id, minhash_join, packing, prefix_bpe, queries, sharding, token_counts
 
 BYTE, MULTI, WORD = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken", "word_bpe_49k.json"))
 ODD = ["", "  a  b", "x\n y\n\n  z \t", "foo<|endoftext|>bar <|endoftext|> baz\n <|endoftext|>", "a" * 30 + " b'sx 'll I'm", "Σίσυφος ΟΔΟΣ İstanbul", "日本語 ñandú é", "\x1c\x1d a\x85b\xa0c", "ab" * 2000, "\n", "Ⅷ ½ ²x 🙂"]
@@ -54,7 +55,7 @@ def test_every_operator_handles_odd_rows(odd, docs):
     hp = odd.select(F.col("doc_id").alias("page_id"), F.col("text").alias("html"), F.lit(None).cast("string").alias("url"), "id", "host", "row")
     runs = {
         "html": lambda d: html_render.visible_text(d.select(F.col("doc_id").alias("page_id"), F.col("text").alias("html"), "id", "row")),
-        "exact": exact_dedup.exact_dedup, "imatch": imatch.edited_fingerprints, "bpe": lambda d: prefix_bpe.bpe_round_trip(d, MULTI), "shards": sharding.extendible_shards,
+        "exact": exact_dedup.exact_dedup, "imatch": imatch.edited_fingerprints, "bpe": lambda d: prefix_bpe.round_trip(d, MULTI), "shards": sharding.extendible_shards,
         "brown": brown_lm.score, "count": lambda d: token_counts.token_counts(d, BYTE), "near": minhash_join.near_duplicates,
     }
     for name, run in runs.items():
@@ -146,11 +147,38 @@ def noise(seed, n=400):
 
 def test_prefix_bpe_is_tiktokens(ranks, texts):
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    codec = prefix_bpe.Codec(MULTI)
+    codec = prefix_bpe.Codec(MULTI, cache=500)
     xs = [*ODD, *noise(1), *texts.values()]
-    for x, (n, ids, data) in zip(xs, codec.run(xs)):
-        want = enc.encode_ordinary(x)
-        assert (n, ids.decode(), data) == (len(want), ",".join(map(str, want)), x.encode())
+    for k in range(0, len(xs), 60):
+        ids, counts = codec.encode(xs[k : k + 60])
+        want = [enc.encode_ordinary(x) for x in xs[k : k + 60]]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for own in want for i in own]
+        assert codec.decode(ids, counts) == [x.encode() for x in xs[k : k + 60]]
+
+
+def test_round_trip_digests(spark, ranks):
+    """The query's columns on null, empty, repeated and long texts, and on null ids."""
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = [*enumerate(ODD), (3, ODD[3]), (None, "one"), (50, None), (51, "of the " * 40_000)]
+    got = prefix_bpe.digests(prefix_bpe.round_trip(spark.createDataFrame(rows, "doc_id long, text string"), MULTI)).collect()
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = [(i, len(ids := enc.encode_ordinary(t or "")), sha(",".join(map(str, ids)).encode()), sha((t or "").encode())) for i, t in rows]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.characters(max_codepoint=0x24F, exclude_categories=("Cs",)) | st.sampled_from("'sSſtTrvmlLdD \n\x1c\x85\u2003é²½ªＡ"), max_size=40))
+def test_near_splitter_splits_alike(text):
+    for pattern in (bpe_arrays.BYTE_LEVEL, bpe_arrays.WORD_END, public_tokenizers.PATTERN, r"(?i:'s|'ll)|[^\r\n\p{L}\p{N}]?+\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]++[\r\n]*|\s*[\r\n]|\s+(?!\S)|\s+"):
+        assert bpe_arrays.Splitter(pattern).findall(text) == regex.findall(pattern, text)
+
+
+def test_generations_keep_what_was_met_lately():
+    lately, learnt = common.Lately(4), []
+    learn = lambda new: learnt.extend(new) or [x.upper() for x in new]
+    for keys in (["a", "b"], ["a", "c"], ["a", "d"], ["a", "x" * 65], ["a", "e", "f"], ["b", "x" * 65]):
+        assert lately.of(keys, learn) == [k.upper() for k in keys]
+    assert learnt.count("a") == 1 and learnt.count("b") == 2 and learnt.count("x" * 65) == 2 and len(lately.young) + len(lately.old) <= 6
 
 
 @settings(max_examples=60, deadline=None)
@@ -180,6 +208,7 @@ def test_packing(spark, texts):
     rows = [(i, t) for i, t in enumerate([*ODD, *noise(3, 100), *texts.values(), "the cat " * 9000])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = packing.pack(df, WORD).toPandas()
+    got["ids_crc32"] = got.token_ids.map(zlib.crc32)
     want = []
     for (i, _), e in zip(rows, lib.encode_batch([t for _, t in rows], add_special_tokens=False)):
         ids = np.array([*e.ids, 1], "<u4")
