@@ -59,8 +59,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The pieces of all documents and their places in sequences; a null or empty text is one piece, its end token. No rows for an empty table."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), carry={"ids_crc32": F.crc32("token_ids")})
 
 
 STAGES = [("language_id", identify_language), ("exact_dedup", drop_exact_copies), ("near_dedup", drop_near_copies), ("packing", pack_sequences)]
