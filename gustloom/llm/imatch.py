@@ -1,10 +1,9 @@
 """I-Match document fingerprints.
 
-Terms within a band of inverse document frequency form the lexicon. A text's distinct lexicon terms are sorted
-and hashed once as a whole, and once for each of several randomised subsets of the lexicon. Subsets come in
-rungs: a rung splits the lexicon into 4, 16, 64, ... random parts, and SUBSETS of its parts are used. A text
-uses the rung whose parts hold about one of its terms each, and the next one, so that long and short texts
-alike have parts that an edit leaves alone.
+Terms within a band of inverse document frequency form the lexicon. A text's distinct lexicon terms are sorted and
+hashed: once as a whole, and once for each of a fixed number of random subsets of the lexicon, the same for all texts.
+Subsets are drawn at several densities, so that long and short texts alike have subsets that an edit leaves alone; a
+subset that has none of a text's terms says nothing about it.
 """
 
 from __future__ import annotations
@@ -16,10 +15,12 @@ from gustloom.llm.common import Workspace, text_of
 
 #: The band: ln(documents / documents with the term).
 IDF_LOW, IDF_HIGH = 1.6, 7.5
-SUBSETS = 24
+#: The random subsets: (tag, first bit, bits, subsets). A term's hash is its random draw: it is in subset k where the hash's
+#: ``bits`` bits from ``first bit`` on are k. Densities are 1/4 to 1/4096; the two "dense" ones hold the terms where two bits aren't 0.
+LADDER = (("1", 0, 2, 4), ("2", 2, 4, 8), ("3", 6, 6, 16), ("4", 12, 8, 16), ("5", 20, 10, 16), ("6", 30, 12, 16))
+DENSE = (("8", 42), ("9", 44))
 #: Terms (8 bytes each) that may be broadcast. The band bounds their number by e**IDF_HIGH times the mean number of terms of a text.
 BROADCAST_TERMS = 1_000_000
-TOP_RUNG = 12
 
 
 def term_hashes(text: Column) -> Column:
@@ -38,18 +39,17 @@ def lexicon(docs: DataFrame, text: Column, low: float = IDF_LOW, high: float = I
 
 
 def _tokens(terms: str) -> Column:
-    """Eight characters for each used part that holds any of the sorted terms: rung, part, 24 bits of its terms' hash."""
-    return F.expr(f"""
-    flatten(transform(
-      array(greatest(1, least({TOP_RUNG}, cast(ceil(log(4D, size({terms}) / 2D)) as int))), greatest(1, least({TOP_RUNG}, cast(ceil(log(4D, size({terms}) / 2D)) as int))) + 1),
-      rung -> transform(
-        array(filter(flatten(transform(
-          sequence(0, case rung when 1 then 5 when 2 then 1 else 0 end),
-          draw -> transform({terms}, h -> named_struct('part', case when rung > 2 then 0L else draw * cast(power(4, rung) as long) end + pmod(xxhash64(h, rung, draw), cast(power(4, rung) as long)), 'h', h)))),
-          x -> x.part < {SUBSETS})),
-        held -> transform(sort_array(array_distinct(held.part)),
-          part -> concat(substr('0123456789abcdefg', rung + 1, 1), substr('0123456789abcdefghijklmnopqrstuvwxyz', cast(part as int) + 1, 1),
-                         right(lpad(hex(xxhash64(filter(held, x -> x.part = part).h)), 16, '0'), 6))))[0]))""")
+    """Eight characters for each subset that holds any of the sorted terms: tag, subset, 24 bits of its terms' hash."""
+    token = lambda tag, subset: f"if(size(own) = 0, '', concat('{tag}', {subset}, right(lpad(hex(xxhash64(own)), 16, '0'), 6)))"
+    parts = []
+    for tag, first, bits, subsets in LADDER:
+        draw = f"(shiftrightunsigned(h, {first}) & {(1 << bits) - 1})"
+        some = f"filter({terms}, h -> {draw} < {subsets})" if subsets < 1 << bits else terms
+        each = f"transform(array(filter(some, h -> {draw} = k)), own -> {token(tag, 'lower(hex(k))')})[0]"
+        parts.append(f"transform(array({some}), some -> transform(sequence(0L, {subsets - 1}L), k -> {each}))[0]")
+    for tag, first in DENSE:
+        parts.append(f"transform(array(filter({terms}, h -> (shiftrightunsigned(h, {first}) & 3) <> 0)), own -> {token(tag, chr(39) + '0' + chr(39))})")
+    return F.expr(f"filter(flatten(array({', '.join(parts)})), t -> t <> '')")
 
 
 def _split(tokens: Column) -> Column:
@@ -58,7 +58,7 @@ def _split(tokens: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the parts used by either fingerprint on which both agree; 1 for equal fingerprints."""
+    """Share of the subsets that hold a term of either text on which both agree; 1 for equal fingerprints."""
     x, y = _split(a), _split(b)
     place = lambda t: F.substring(t, 1, 2)
     parts = F.size(F.array_union(F.transform(x, place), F.transform(y, place)))
@@ -66,7 +66,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _signature(terms: str, others: str, whole: str) -> Column:
-    """'00' and 24 bits of the whole's hash, then the parts' tokens. Without a term in the band all terms, tagged '0w', take its place; without any term the characters do."""
+    """'00' and 24 bits of the whole's hash, then the subsets' tokens. Without a term in the band all terms, tagged '0w', take its place; without any term the characters do."""
     head = lambda tag, h: F.concat(F.lit(tag), F.right(F.lpad(F.hex(h), 16, "0"), F.lit(6)))
     parts = lambda t: F.array_join(_tokens(t), "")
     bare = F.concat(head("0w", F.col(whole)), head("0x", F.xxhash64(whole)))
