@@ -21,8 +21,10 @@ from gustloom.llm.common import map_arrow, rows_of
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
-HIDDEN = frozenset("head title script style template noscript iframe noembed noframes object audio video canvas svg math datalist".split())
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure fieldset hr form".split())
+HIDDEN = frozenset("head title script style template noscript iframe noembed noframes audio video canvas datalist".split())
+HIDDEN_IN_SVG = frozenset("title desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter".split())
+HIDDEN_IN_MATH = frozenset(("annotation", "annotation-xml"))
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre listing xmp table figure fieldset hr form".split())
 BLOCK = SPACED | frozenset("html body address article aside center dd details dialog dir div dt figcaption footer header hgroup legend li main menu nav optgroup option search section summary tr caption".split())
 CLOSES_P = (SPACED | frozenset("address article aside center details dialog dir div dd dt figcaption footer header hgroup li main menu nav search section summary".split())) - {"table"}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -42,6 +44,10 @@ IMPLIED_END = {
     "caption": (("caption",), ("table",)),
 }
 SECTIONS = frozenset(("thead", "tbody", "tfoot"))
+PREFORMATTED = frozenset("pre listing xmp".split())
+#: Start tags that end an open svg or math element, unless one of its HTML holders is open.
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+HOLDERS = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 #: Start tags that leave an open head open; any other begins the body.
 IN_HEAD = frozenset("base link meta title style script noscript template".split())
 _SCOPE = frozenset("html table td th caption button object template".split())
@@ -50,7 +56,8 @@ _SCOPE = frozenset("html table td th caption button object template".split())
 _TOKEN = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+>?|</[^a-zA-Z][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+)?+)*+)(>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"?|'([^']*+)'?|([^\s>"'][^\s>]*+))?+)?+""")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-_NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
+_DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
 
 
 class Node:
@@ -84,12 +91,17 @@ class OpenElements(list):
             self.count[node.name] -= 1
         del self[start:]
 
+    def foreign(self) -> bool:
+        """Whether svg or math is open, and no foreignObject, whose content is HTML again."""
+        return bool((self.count["svg"] or self.count["math"]) and not self.count["foreignobject"])
+
 
 def parse(source: str) -> Node:
     """The tree of a page; text nodes are strings. Any input gives a tree."""
     root = Node("html")
     stack, at, n = OpenElements(root), 0, len(source)
-    find, lower, begun = _TOKEN.search, None, False  # begun: there was a head, or the body is open
+    find, begun = _TOKEN.search, False  # begun: there was a head, or the body is open
+    body = ""  # attributes of body tags: of attributes that are repeated the first counts
     while at < n:
         m = find(source, at)
         if m is None:
@@ -107,10 +119,12 @@ def parse(source: str) -> Node:
             _end(stack, name)
             continue
         if name in ("html", "body"):
-            if name == "body":
+            if name == "html":
+                root.attributes += " " + (m[3] or "")
+            else:
                 begun = True
+                body += " " + (m[3] or "")
                 _end(stack, "head")
-            stack[-1 if name == "body" else 0].attributes += " " + (m[3] or "") if name == "html" else ""
             continue
         if name == "head" and begun:
             continue
@@ -118,17 +132,23 @@ def parse(source: str) -> Node:
             begun = True
             if stack.count["head"]:
                 _end_head(stack)
-        _implied(stack, name)
+        foreign = stack.foreign()
+        if foreign and name in BREAKS_OUT and not any(stack.count[x] for x in HOLDERS):
+            stack.cut(next(i for i, x in enumerate(stack) if x.name in ("svg", "math")))
+            foreign = False
+        if not foreign:
+            _implied(stack, name)
         node = Node(name, m[3] or "")
         stack[-1].children.append(node)
-        if name in VOID:
+        if name in VOID or (foreign or name in ("svg", "math")) and node.attributes.endswith("/"):
             continue
-        if name in RAW:
-            lower = lower or source.lower()
-            end = lower.find("</" + name, at)
-            end = n if end < 0 else end
+        if name in RAW and (not foreign or name in ("script", "style")):
+            close = _RAW_END[name].search(source, at)
+            end = close.start() if close else n
             if name in ("textarea", "title"):
                 node.children.append(source[at:end])
+            elif name == "xmp":
+                node.children.append(html.escape(source[at:end], quote=False))
             close = source.find(">", end)
             at = n if close < 0 else close + 1
         elif name == "plaintext":
@@ -136,6 +156,9 @@ def parse(source: str) -> Node:
             break
         else:
             stack.push(node)
+    if body.strip():
+        inner = Node("body", body)
+        inner.children, root.children = root.children, [inner]
     return root
 
 
@@ -270,77 +293,95 @@ def width(text: str) -> int:
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
-def shown(node: Node) -> bool:
-    if node.name in HIDDEN:
-        return False
-    if not node.attributes:
-        return True
-    style = node.get("style")
-    return node.get("hidden") is None and not (style and _NOT_SHOWN.search(style))
+def style_of(node: Node) -> dict[str, str]:
+    """The display and visibility that the node's style declares: the last one, or the last that is important."""
+    out, firm = {}, set()
+    for m in _DECLARED.finditer(node.get("style") or ""):
+        key = m[1].lower()
+        if m[3] or key not in firm:
+            out[key] = m[2].lower()
+        if m[3]:
+            firm.add(key)
+    return out
 
 
 class _Table:
-    """Cells by row and column; spans take their columns and rows."""
+    """Cells by row; a cell that goes down several rows keeps its columns taken in those that there are."""
 
     def __init__(self) -> None:
-        self.rows: list[dict[int, tuple[list[str], int]]] = []
-        self.taken: set[tuple[int, int]] = set()
+        self.rows: list[list[tuple[int, int, list[str]]]] = []  # first column, columns, lines
+        self.taken: list[list[int]] = []  # first column, column after, rows below that it still takes
         self.caption: list[str] = []
+        self.next = self.at = 0  # the next free column; the taken places before it
+
+    def row(self) -> None:
+        self.rows.append([])
+        self.next = self.at = 0
+        for x in self.taken:
+            x[2] -= 1
+        self.taken = sorted(x for x in self.taken if x[2] >= 0)
+
+    def section(self) -> None:
+        """No cell goes down out of its section."""
+        self.taken, self.at = [], 0
 
     def cell(self, lines: list[str], across: int, down: int) -> None:
         if not self.rows:
-            self.rows.append({})
-        r = len(self.rows) - 1
-        c = max((k + v[1] for k, v in self.rows[r].items()), default=0)
-        while (r, c) in self.taken:
-            c += 1
-        self.rows[r][c] = (lines, across)
-        for i in range(1, down):
-            self.taken.update((r + i, c + j) for j in range(across))
+            self.row()
+        while self.at < len(self.taken) and self.taken[self.at][0] <= self.next:
+            self.next = max(self.next, self.taken[self.at][1])
+            self.at += 1
+        self.rows[-1].append((self.next, across, lines))
+        self.next += across
+        if down > 1:
+            self.taken.append([self.next - across, self.next, down - 1])  # what ends here is no hindrance to the row's next cells
 
     def layout(self) -> list[str]:
-        widths: dict[int, int] = {}
-        cells = [(c, lines, across) for row in self.rows for c, (lines, across) in row.items()]
-        for c, lines, across in sorted(cells, key=lambda x: x[2]):
+        cells = [x for row in self.rows for x in row]
+        # Only columns where a cell begins or ends are told apart.
+        edges = sorted({c for c, across, _ in cells} | {c + across for c, across, _ in cells})
+        place = {c: i for i, c in enumerate(edges)}
+        widths = [0] * len(edges)
+        for c, across, lines in sorted(cells, key=lambda x: x[1]):
+            first, last = place[c], place[c + across] - 1
             need = max(map(width, lines), default=0)
-            if across == 1:
-                widths[c] = max(widths.get(c, 0), need)
-            else:
-                have = sum(widths.get(c + j, 0) for j in range(across)) + 2 * (across - 1)
-                if need > have:
-                    widths[c + across - 1] = widths.get(c + across - 1, 0) + need - have
-        starts, x = {}, 0
-        for c in range(max(widths, default=-1) + 1):
-            starts[c] = x
-            x += widths.get(c, 0) + 2 if widths.get(c, 0) else 0
+            have = sum(widths[first : last + 1]) + 2 * (last - first)
+            if need > have:
+                widths[last] += need - have
+        starts, x = [], 0
+        for w in widths:
+            starts.append(x)
+            x += w + 2 if w else 0
         out = list(self.caption)
         for row in self.rows:
-            for k in range(max((len(lines) for lines, _ in row.values()), default=0)):
+            for k in range(max((len(lines) for _, _, lines in row), default=0)):
                 line, used = "", 0
-                for c in sorted(row):
-                    lines = row[c][0]
+                for c, _, lines in row:
                     if k < len(lines) and lines[k]:
-                        pad = starts.get(c, used) - used
-                        line += " " * max(pad, 0) + lines[k]
-                        used += max(pad, 0) + width(lines[k])
+                        pad = max(starts[place[c]] - used, 0)
+                        line += " " * pad + lines[k]
+                        used += pad + width(lines[k])
                 out.append(line)
         return out
 
 
 def _span(node: Node, key: str, most: int) -> int:
     value = (node.get(key) or "1").strip()
-    return min(most, max(1, int(value))) if value.isascii() and value.isdigit() and len(value) < 6 else 1
+    return min(most, int(value)) if value.isascii() and value.isdigit() and len(value) < 6 else 1
 
 
 def render(source: str) -> str:
     """The visible text of a page. Walks without recursion, so any depth will do."""
     sinks, tables, lists = [Sink()], [], []
     indent, pre = [""], 0
+    unseen, inside = [False], {"svg": 0, "math": 0}  # visibility is inherited
     todo: list[tuple[Node | str, bool]] = [(parse(source), False)]
     while todo:
         node, leaving = todo.pop()
         sink = sinks[-1]
         if isinstance(node, str):
+            if unseen[-1]:
+                continue
             text = html.unescape(node) if "&" in node else node
             if pre:
                 parts = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
@@ -357,10 +398,11 @@ def render(source: str) -> str:
             continue
         name = node.name
         if leaving:
+            unseen.pop()
             if name in ("td", "th") and tables:
                 lines = sinks.pop().done()
                 indent.pop()
-                tables[-1].cell(lines, _span(node, "colspan", 1000), _span(node, "rowspan", 1000))
+                tables[-1].cell(lines, max(1, _span(node, "colspan", 1000)), _span(node, "rowspan", 65534) or 65534)
             elif name == "caption" and tables:
                 tables[-1].caption = sinks.pop().done()
                 indent.pop()
@@ -377,13 +419,25 @@ def render(source: str) -> str:
                 indent.pop()
                 if name == "blockquote":
                     sink.block(True)
-            elif name == "pre":
+            elif name in PREFORMATTED:
                 pre -= 1
                 sink.block(True)
             elif name in BLOCK:
                 sink.block(name in SPACED)
+            elif name in inside:
+                inside[name] -= 1
+            elif name == "text" and inside["svg"]:
+                sink.space = True
+            continue
+        if name in HIDDEN or inside["svg"] and name in HIDDEN_IN_SVG or inside["math"] and name in HIDDEN_IN_MATH:
             continue
-        if not shown(node):
+        hush = unseen[-1]
+        if node.attributes:
+            style = style_of(node)
+            if style.get("display", "none" if node.get("hidden") is not None else "") == "none":
+                continue
+            hush = style.get("visibility", "hidden" if hush else "visible") in ("hidden", "collapse")
+        if name == "dialog" and node.get("open") is None:
             continue
         if name == "br":
             if not sink.line and sink.lines and not sink.gap:
@@ -394,14 +448,16 @@ def render(source: str) -> str:
             sink.block(True)
             continue
         if name == "wbr" or name in VOID:
-            if name == "input" and (node.get("type") or "").lower() in ("submit", "button", "reset"):
+            if name == "input" and not hush and (node.get("type") or "").lower() in ("submit", "button", "reset"):
                 sink.text(node.get("value") or "", indent[-1])
             continue
         if name == "table":
             sink.end_line()
             tables.append(_Table())
         elif name == "tr" and tables:
-            tables[-1].rows.append({})
+            tables[-1].row()
+        elif name in SECTIONS and tables:
+            tables[-1].section()
         elif name in ("td", "th", "caption") and tables:
             sinks.append(Sink())
             indent.append("")
@@ -416,8 +472,9 @@ def render(source: str) -> str:
                 mark = f"{lists[-1][1]}. "
                 lists[-1][1] += 1
             base = indent[-1]
-            sink._start(base + mark)
-            sink.marked = True
+            if not hush:
+                sink._start(base + mark)
+                sink.marked = True
             indent.append(base + " " * len(mark))
         elif name == "dd":
             sink.end_line()
@@ -425,18 +482,30 @@ def render(source: str) -> str:
         elif name == "blockquote":
             sink.block(True)
             indent.append(indent[-1] + "  ")
-        elif name == "pre":
+        elif name in PREFORMATTED:
             sink.block(True)
             pre += 1
         elif name in BLOCK:
             sink.block(name in SPACED)
+        elif name in inside:
+            inside[name] += 1
+        elif name == "text" and inside["svg"]:
+            sink.space = True
+        unseen.append(hush)
         todo.append((node, True))
-        todo += [(child, False) for child in reversed(node.children)]
+        children = node.children
+        if name == "details" and node.get("open") is None:
+            children = [x for x in children if isinstance(x, Node) and x.name == "summary"][:1]
+        todo += [(child, False) for child in reversed(children)]
     return "\n".join(sinks[0].done())
 
 
 def visible_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """One row per input row: id, text, n_chars, n_lines. Null or empty HTML has empty text. Null and repeated ids pass through; other columns are not read."""
+    """One row per input row: id, text, n_chars, n_lines.
+
+    Null or empty HTML has empty text and no lines. Null and repeated ids pass through, each row by itself. Long pages
+    are rendered whole, in time proportional to their length. Other columns are not read. An empty table gives no rows.
+    """
     rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html"))
     id_name = dict(rows.dtypes)["id"]
     id_type = pa.string() if id_name == "string" else pa.int64()
