@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from gustloom.llm.common import Workspace, map_arrow, rows_of
 
-#: Bounds of the labelled sample: so many documents of each language as a mean, so many languages (the commonest).
-TRAIN_DOCS, LANGUAGES = 1500, 64
+#: The labelled sample: about so many documents of each language. All languages that have labels are learned, at half a MB each.
+TRAIN_DOCS = 1500
 #: Hash places of the trigram model; a text counts for at most so many independent trigrams.
 PLACES, WEIGHT = 1 << 16, 200.0
 #: Chance that declared markup is right; pseudo-rows by which each level of the prior is drawn to the one above.
@@ -66,9 +66,9 @@ class TextModel:
 
 
 def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> TextModel:
-    """Fit the trigram model on about TRAIN_DOCS labelled documents of each of LANGUAGES languages at most, whole texts, drawn by a hash of their ids."""
+    """Fit the trigram model on about TRAIN_DOCS labelled documents of each language, whole texts, drawn by a hash of their ids."""
     known = documents.where(F.col(lang_col).isNotNull() & (F.col(lang_col) != ""))
-    common = known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(LANGUAGES).collect()
+    common = known.groupBy(lang_col).count().collect()
     languages = sorted(r[0] for r in common) or ["und"]
     # A share of each language's ids by their hash: no ranking, so a common language needs no task of its own.
     share = F.create_map(*(F.lit(x) for r in common for x in (r[0], min(1.0, TRAIN_DOCS / r[1])))) if common else F.create_map().cast("map<string,double>")
@@ -88,7 +88,7 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["lang", "place", "n"])
 
     counts = np.zeros((len(languages), PLACES))
-    for lang, places, ns in map_arrow(sample, count, "lang string, place int, n long").groupBy("lang", "place").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.collect_list("place"), F.collect_list("n")).where(F.col("lang").isin(languages)).collect():
+    for lang, places, ns in map_arrow(sample, count, "lang string, place int, n long").groupBy("lang", "place").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.collect_list("place"), F.collect_list("n")).collect():
         counts[languages.index(lang), places] = ns
     return TextModel(languages, counts)
 
@@ -161,8 +161,16 @@ def identify(rows: DataFrame, model: TextModel, key_cols: list[str], text_col: s
     )
 
 
+def declared_language(page: Column) -> Column:
+    """The language that a page's markup declares: on html (lang or xml:lang), else on body, else for its content in a meta tag; null if none."""
+    lang = r"""\b(?:xml:)?lang\s*=\s*["']?\s*([a-z]{2,3})\b"""
+    content = r"""\bcontent\s*=\s*["']?\s*([a-z]{2,3})\b"""
+    name = r"""\b(?:http-equiv|name)\s*=\s*["']?(?:content-language|language)\b"""
+    patterns = (rf"<html\b[^>]*?{lang}", rf"<body\b[^>]*?{lang}", rf"<meta\b(?=[^>]*?{name})[^>]*?{content}")
+    return F.coalesce(*(F.nullif(F.regexp_extract(F.coalesce(page, F.lit("")), f"(?i){p}", 1), F.lit("")) for p in patterns))
+
+
 def identify_pages(pages: DataFrame, documents: DataFrame) -> DataFrame:
-    """Pages by their text, their declared language and their address; the text model learns from labelled documents."""
+    """Pages by their text, their declared language and their address; the text model learns from labelled documents. Rows as of identify()."""
     host = F.regexp_replace(F.coalesce(F.try_parse_url("url", F.lit("HOST")), F.lit("")), r":\d+$", "")
-    declared = F.nullif(F.regexp_extract(F.coalesce("html", F.lit("")), r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([a-z]{2,3})""", 1), F.lit(""))
-    return identify(pages, train(documents), ["page_id"], "html", host, declared, markup=True)
+    return identify(pages, train(documents), ["page_id"], "html", host, declared_language(F.col("html")), markup=True)
