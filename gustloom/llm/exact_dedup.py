@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gustloom.llm.common import Workspace, settings, text_of
 
-#: Digests with hits that the byte check may broadcast (32 bytes each); beyond it, all rows are checked by a shuffle.
+#: Digests with hits that the byte check may broadcast (32 bytes each); beyond it, a shuffle of all rows' digests finds their texts.
 BROADCAST_HITS = 200_000
 #: Log rows for each state partition: an instance of RocksDB takes several MB of disk however little it holds.
 STATE_ROWS = 50_000
@@ -51,8 +51,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     hits = state.where("group_size > 1").select("digest")
     texts = docs.select(digest(text).alias("digest"), text.alias("text"))
-    if hits.count() <= BROADCAST_HITS:
-        texts = texts.join(F.broadcast(hits), "digest", "left_semi")
+    texts = texts.join(F.broadcast(hits) if hits.count() <= BROADCAST_HITS else hits, "digest", "left_semi")
     # Equal bytes under a digest: its least text is its greatest. Partial aggregates combine a hot group before the shuffle.
     unequal = work.table("unequal", texts.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("most")).where("least <> most").select("digest"))
     if unequal.isEmpty():
