@@ -10,6 +10,10 @@ import public_tokenizers
 from gustloom.llm import brown_lm, exact_dedup, html_render, imatch, language_id, minhash_join, packing, prefix_bpe, sharding, token_counts
 
 
+#: The shard limit of op5's query: small enough that the small tables split too.
+QUERY_SHARD = 256 << 10
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -31,7 +35,7 @@ def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.extendible_shards(_documents(spark, sf_dir))
+    return sharding.extendible_shards(_documents(spark, sf_dir), shard_bytes=QUERY_SHARD)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,5 +67,5 @@ ORACLE_SQL = {
     "op2_exact_dedup": """
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
     FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
-    "op5_sharding": sharding.oracle_sql(),
+    "op5_sharding": sharding.oracle_sql(QUERY_SHARD),
 }

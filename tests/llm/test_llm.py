@@ -1,11 +1,15 @@
 """The llm operators against brute force, the tokenizer libraries, round trips and held-out accuracy."""
 
 import base64
+import functools
 import hashlib
+import html
 import math
 import random
+import time
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
@@ -13,6 +17,7 @@ import public_tokenizers
 import pytest
 import regex
 import tiktoken
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -68,19 +73,68 @@ def test_every_operator_handles_odd_rows(odd, docs):
     assert kept == odd.select(F.coalesce("text", F.lit(""))).distinct().count()
 
 
+def test_values_on_odd_rows(odd):
+    """Nulls count as empty, repeated rows and rows without an id are treated each, whatever other columns there are."""
+    rows = [(r["doc_id"], r["text"] or "") for r in odd.collect()]
+    key = lambda r: (r[0] is None, r)
+    lib = Tokenizer.from_file(BYTE)
+    got = sorted((tuple(r) for r in token_counts.token_counts(odd, BYTE).collect()), key=str)
+    assert got == sorted(((i, len(t.encode()), n := len(lib.encode(t, add_special_tokens=False).ids), n > 512) for i, t in rows), key=str)
+    got = sorted(((r["page_id"], r["text"], r["n_chars"]) for r in html_render.visible_text(odd.select(F.col("doc_id").alias("page_id"), F.col("text").alias("html"), "row")).collect()), key=str)
+    assert got == sorted(((i, x := html_render.render(t), len(x)) for i, t in rows), key=str)
+    shards = sharding.extendible_shards(odd, shard_bytes=40_000).collect()
+    assert sorted((str(r["doc_id"]), r["n_bytes"]) for r in shards) == sorted((str(i), len(t.encode())) for i, t in rows)
+    held = {}
+    for r in shards:
+        held.setdefault(r["shard"], []).append(r)
+    assert all(sum(x["n_bytes"] for x in g) == g[0]["shard_bytes"] and len(g) == g[0]["shard_docs"] and (g[0]["shard_bytes"] <= 40_000 or len(g) == 1) for g in held.values())
+    c = Counter(w for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2 for w in [*brown_lm.words(t), b""])
+    n, v = sum(c.values()), len(c)
+    score = lambda t: round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in [*brown_lm.words(t), b""]), 3)
+    got = brown_lm.score(odd).collect()
+    assert sorted((str(r["doc_id"]), r["n_tokens"], round(r["base_score"], 3)) for r in got) == sorted((str(i), len(brown_lm.words(t)) + 1, score(t)) for i, t in rows)
+    near = minhash_join.near_duplicates(odd).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"]) for r in near) == sorted((str(i), len(shingles(t))) for i, t in rows)
+    assert all(r["component_id"] == r["doc_id"] for r in near if not r["n_shingles"])
+    prints = imatch.edited_fingerprints(odd).collect()
+    assert sorted((str(r["doc_id"]), r["n_chars"]) for r in prints) == sorted((str(i), len(t)) for i, t in rows)
+    by = {}
+    for r in exact_dedup.exact_dedup(odd).collect():
+        by.setdefault(r["text_sha256"], []).append(r)
+    assert all(sum(r["kept"] for r in g) == 1 and {r["group_size"] for r in g} == {len(g)} and len({r["keep_id"] for r in g}) == 1 for g in by.values())
+
+
 def test_stages_handle_odd_rows(spark, odd):
-    for name, stage in corpus_pipeline.STAGES[:3]:
+    for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, odd, "")
-        assert out.columns == odd.columns and 0 < out.count() <= odd.count(), name
+        if name == "packing":
+            ids = {(r["doc_id"], r["piece"]) for r in out.collect()}
+            assert {i for i, _ in ids} == {r["doc_id"] for r in odd.collect()} and out.count() >= odd.count()
+        else:
+            assert out.columns == odd.columns and 0 < out.count() <= odd.count(), name
         assert stage(spark, odd.limit(0), "").count() == 0, name
 
 
-def test_pipeline(spark, sf, docs):
+def test_pipeline_by_brute_force(spark, sf, docs):
+    """Each stage by hand on what the one before kept; the pieces of what is left are the library's."""
     out = corpus_pipeline.run(spark, sf)
-    left = {r["doc_id"] for r in out.select("doc_id").distinct().collect()}
-    rows = docs.select("doc_id", "text").toPandas()
-    exact = set(rows.groupby("text").doc_id.max())
-    assert left <= exact and len(left) > 0.8 * len(exact)
+    rows = [(r["doc_id"], r["source"], r["text"] or "") for r in docs.collect()]
+    model = language_id.train(docs)
+    evidence = [(i, source, t, *(x[0] for x in model.posteriors([t]))) for i, source, t in rows]
+    known = fused([(i, source.lower(), None, likelihood, posterior, n) for i, source, _, likelihood, posterior, n in evidence], model.languages)
+    kept = {i: t for i, _, t in rows if not known[i][3]}
+    last = {}
+    for i in sorted(kept):
+        last[kept[i]] = i
+    kept = {i: kept[i] for i in last.values()}
+    roots = near_roots([(i, kept[i]) for i in sorted(kept)])
+    kept = {i: kept[i] for i in kept if roots[i] == i}
+    assert {r["doc_id"] for r in out.select("doc_id").distinct().collect()} == set(kept) and len(kept) < len(rows)
+    lib, want = Tokenizer.from_file(WORD), []
+    for i, t in kept.items():
+        ids = np.array([*lib.encode(t, add_special_tokens=False).ids, 1], "<u4")
+        want += [(i, k // 4096, k, len(ids[k : k + 4096]), zlib.crc32(ids[k : k + 4096].tobytes())) for k in range(0, len(ids), 4096)]
+    assert sorted(want) == sorted(tuple(r) for r in out.select("doc_id", "piece", "start", "length", "ids_crc32").collect())
     fill = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
     assert all(r["n"] == r["end"] <= 4096 for r in fill)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "packing"] and corpus_pipeline.ORACLE_SQL is None
@@ -247,8 +301,8 @@ def shingles(text):
     return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def check_near(spark, rows):
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in minhash_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+def near_roots(rows):
+    """The least id of each row's component, by comparing all sets that share a shingle."""
     sets = {i: shingles(t) for i, t in rows}
     root = {i: i for i in sets}
 
@@ -266,7 +320,13 @@ def check_near(spark, rows):
             if 100 * n >= 75 * (len(sets[i]) + len(sets[j]) - n):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
-    assert got == {i: (len(sets[i]), find(i), find(i) == i) for i in sets}
+    return {i: find(i) for i in sets}
+
+
+def check_near(spark, rows):
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in minhash_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    roots = near_roots(rows)
+    assert got == {i: (len(shingles(t)), roots[i], roots[i] == i) for i, t in rows}
 
 
 def test_near_duplicates_by_brute_force(spark, texts):
@@ -301,6 +361,52 @@ def test_imatch(docs, texts):
     assert ((e[:, None] > n).mean() + 0.5 * (e[:, None] == n).mean()) > 0.95 and e.min() >= 0 and e.max() <= 1
 
 
+def spark_hash(data: bytes | int, seed: int = 42) -> int:
+    """What xxhash64() gives for a string or a long."""
+    data = data if isinstance(data, bytes) else data.to_bytes(8, "little", signed=True)
+    return int.from_bytes(xxhash.xxh64(data, seed=seed & (1 << 64) - 1).digest(), "big", signed=True)
+
+
+def imatch_by_hand(xs: list[str]) -> list[tuple[str, str]]:
+    """Fingerprints of the texts and of their edited texts, term by term."""
+    terms = lambda t: {spark_hash(w.encode()) for w in regex.split(r"[^\p{L}\p{N}]+", t.lower()) if w}
+    fold = lambda hs: functools.reduce(lambda seed, h: spark_hash(h, seed), sorted(hs), 42)
+    six = lambda h: format(h & 0xFFFFFF, "06X")
+    signed = lambda h: h & (1 << 64) - 1
+    df = Counter(h for t in set(xs) for h in terms(t))
+    band = {h for h, n in df.items() if n > 1 and 1.6 <= math.log(len(set(xs)) / n) <= 7.5}
+
+    def fingerprint(text):
+        own = terms(text)
+        used = own & band or own
+        if not used:
+            raw = spark_hash(text.encode())
+            return "0w" + six(raw) + "0x" + six(spark_hash(raw))
+        out = "00" + six(fold(used)) if own & band else "0w" + six(fold(own))
+        for rung, first in enumerate((0, 2, 6, 12, 20, 30), 1):
+            for k in range((4, 8, 16, 16, 16, 16)[rung - 1]):
+                some = [h for h in used if (signed(h) >> first) % 4**rung == k]
+                out += f"{rung}{k:x}{six(fold(some))}" if some else ""
+        for tag, first in (("8", 42), ("9", 44)):
+            some = [h for h in used if (signed(h) >> first) % 4]
+            out += f"{tag}0{six(fold(some))}" if some else ""
+        return out
+
+    edited = [x[: len(x) - len(x) // 2] + y[: len(x) // 2] for x, y in zip(xs, xs[1:] + xs[:1])]
+    return [(fingerprint(x), fingerprint(e)) for x, e in zip(xs, edited)]
+
+
+def test_imatch_by_brute_force(spark, texts):
+    xs = [t or "" for _, t in sorted(texts.items())][:120] + ["", "  ", "...", "zz qq", "zz qq", "ÉCOLE ñandú Ⅷ ½", "only once here", "x" * 50_000]
+    got = imatch.edited_fingerprints(spark.createDataFrame(list(enumerate(xs)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(r["fingerprint"], r["edited_fingerprint"]) for r in got] == imatch_by_hand(xs)
+    split = lambda f: {f[i : i + 8] for i in range(0, len(f), 8)}
+    for r, after in zip(got, got[1:] + got[:1]):
+        for near, other in (("near_edited", r["edited_fingerprint"]), ("near_next", after["fingerprint"])):
+            a, b = split(r["fingerprint"]), split(other)
+            assert r[near] == pytest.approx(len(a & b) / len({t[:2] for t in a | b}))
+
+
 def test_imatch_of_copies_and_rare_terms(spark, docs):
     """A third of the rows are copies of one text, and one text has only terms of its own: an edit leaves parts of both alike."""
     own = docs.select("doc_id", "text").collect()
@@ -329,6 +435,63 @@ def test_brown(docs, texts):
     assert out.score.sum() > out.base_score.sum() and (got.perplexity > 1).all()
 
 
+def test_brown_score_by_brute_force(docs, texts, monkeypatch):
+    """The score, token by token, from a classing of all words by hand on top of the exchange."""
+    monkeypatch.setattr(brown_lm, "WORD_TYPES", 60)
+    monkeypatch.setattr(brown_lm, "ENDING_TYPES", 20)
+    got = {r["doc_id"]: r["score"] for r in brown_lm.score(docs).collect()}
+    words = {i: [*brown_lm.words(t or ""), b""] for i, t in texts.items()}
+    train = {i: w for i, w in words.items() if zlib.crc32(str(i).encode()) % 7 != 2}
+    c = Counter(w for own in train.values() for w in own)
+    common = sorted((w for w in c if 0 < len(w) <= 64), key=lambda w: (-c[w], w))[:60]
+    endings = Counter()
+    for w in c:
+        if w and w not in common:
+            endings[w[-3:]] += c[w]
+    endings = sorted(endings, key=lambda e: (-endings[e], e))[:20]
+    kind = lambda w: 0 if not w else 1 + common.index(w) if w in common else 61 + endings.index(w[-3:]) if w[-3:] in endings else 81
+    kinds = {w: kind(w) for own in words.values() for w in own}
+    bigrams = np.zeros((82, 82))
+    for own in train.values():
+        for a, b in zip([b"", *own], own):
+            bigrams[kinds[a], kinds[b]] += 1
+    at = brown_lm.exchange(bigrams)
+    k = brown_lm.CLASSES
+
+    def moves(pairs):
+        table = np.zeros((k, k))
+        for a, b in pairs:
+            table[a, b] += pairs[a, b]
+        share = (table.sum(axis=0) + 1) / (table.sum() + k)
+        return np.array([[math.log10((table[a, b] + share[b]) / (table[a].sum() + 1)) for b in range(k)] for a in range(k)]), table
+
+    pairs = Counter()
+    for a in range(82):
+        for b in range(82):
+            pairs[at[a], at[b]] += bigrams[a, b]
+    step, table = moves(pairs)
+    entry = np.log10(table.sum(axis=0) + 1)
+    before, after = {}, {}
+    for own in train.values():
+        for a, w, b in zip([b"", *own], own, [*own[1:], None]):
+            if kinds[w] > 60:
+                before.setdefault(w, Counter())[at[kinds[a]]] += 1
+                after.setdefault(w, Counter())[at[kinds[b]]] += 1
+    classed = {w: at[kinds[w]] for w in c}
+    for w in before:
+        gain = [sum(n * (step[a, own] - entry[own]) for a, n in before[w].items()) + sum(n * step[own, b] for b, n in after[w].items()) for own in range(k)]
+        classed[w] = int(np.argmax(gain))
+    mass = np.bincount(at[61:], minlength=k).astype(float)
+    for w in c:
+        mass[classed[w]] += c[w] + 1
+    of = lambda w: classed[w] if w in classed else at[kinds[w]]
+    pairs = Counter((of(a), of(b)) for own in train.values() for a, b in zip([b"", *own], own))
+    step, _ = moves(pairs)
+    for i, own in words.items():
+        want = sum(step[of(a), of(b)] + math.log10(c[b] + 1) - math.log10(max(mass[of(b)], 1)) for a, b in zip([b"", *own], own))
+        assert got[i] == pytest.approx(want, rel=1e-9), i
+
+
 def test_brown_gives_every_word_a_class(spark, monkeypatch):
     """Words outside of the types, all with one ending, get the class of the types that have their neighbours: half of them may follow each common word."""
     monkeypatch.setattr(brown_lm, "WORD_TYPES", 12)
@@ -358,6 +521,61 @@ def test_language_accuracy_held_out(docs):
     assert (out.language == out.lang).mean() > 0.98 and not out.rejected.any()
 
 
+def fused(evidence, languages):
+    """(language, n_trigrams, confidence, rejected) of each key, row by row: likelihood, declared language and the host's smoothed prior without the row itself."""
+    size, out = len(languages), {}
+    level = [lambda h: h, lambda h: ".".join(h.split(".")[-2:]), lambda h: h.split(".")[-1], lambda h: ""]
+    counts, sums = Counter(), {}
+    for _, host, _, _, posterior, n in evidence:
+        for k, of in enumerate(level) if n else ():
+            counts[k, of(host)] += 1
+            sums[k, of(host)] = sums.get((k, of(host)), 0) + posterior
+    for key, host, declared, likelihood, posterior, n in evidence:
+        own, mine = (1, posterior) if n else (0, 0 * posterior)
+        prior = (sums[3, ""] - mine + 1) / (counts[3, ""] - own + size)
+        for k in (2, 1, 0):
+            prior = (np.maximum(sums.get((k, level[k](host)), 0) - mine, 0) + 5 * prior) / (max(counts[k, level[k](host)] - own, 0) + 5)
+        said = np.array([1.0 if declared not in languages else 0.9 if x == declared else 0.1 / (size - 1) for x in languages])
+        scores = likelihood + np.log(np.maximum(prior, 1e-9)) + np.log(said)
+        share = 1 / np.exp(scores - scores.max()).sum()
+        out[key] = languages[int(scores.argmax())], n, share, bool(n == 0 or share < 0.5)
+    return out
+
+
+def test_language_fusion_by_brute_force(spark, sf, docs):
+    """Every page: likelihood, declared language and the host's smoothed prior, row by row."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    rows = [(r["page_id"], r["url"], r["html"]) for r in pages.collect()] + [(9001, None, None), (9002, "http://Own.example.net:80/", "<p>12"), (None, "http://own.example.net/a", "<body lang='de'>und die der das ist nicht")]
+    model = language_id.train(docs)
+    got = {(r["page_id"], r["host"]): r for r in language_id.identify_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), docs).collect()}
+    evidence = []
+    for key, url, page in rows:
+        host = (regex.match(r"\w+://([^/:?#]*)", url)[1] if url else "").lower()
+        likelihood, posterior, n = (x[0] for x in model.posteriors([html.unescape(language_id._MARKUP.sub(" ", page or ""))]))
+        evidence.append((key, host, (regex.search(r"(?i)<(?:html|body)[^>]*?lang\s*=\s*[\"']?([a-z]+)", page or "") or [None, None])[1], likelihood, posterior, n))
+    for (key, host, *_), (language, n, confidence, rejected) in zip(evidence, fused(evidence, model.languages).values()):
+        r = got[key, host]
+        assert (r["language"], r["n_trigrams"], r["rejected"]) == (language, n, rejected) and r["confidence"] == pytest.approx(confidence, rel=1e-6)
+    assert len(got) == len(rows)
+
+
+def test_language_ties_go_to_the_first_by_name(spark):
+    same = spark.createDataFrame([(i, "alpha beta gamma", lang) for i in range(40) for lang in ("zz", "aa")], "doc_id long, text string, lang string")
+    got = language_id.identify(same, language_id.train(same), ["doc_id"], "text", F.lit("h"), F.lit(None).cast("string")).select("language", "text_language").distinct().collect()
+    assert [tuple(r) for r in got] == [("aa", "aa")]
+
+
+def test_all_labelled_languages_are_learned(spark):
+    rows = [(i, chr(97 + i % 26) * 3 + " " + chr(97 + i // 26) * 4, f"l{i:03}") for i in range(90)]
+    assert language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string")).languages == [r[2] for r in rows]
+
+
+def test_declared_languages(spark):
+    cases = {"<html lang=en>": "en", '<HTML xml:lang="fr-CA">': "fr", "<html><body lang='de'>": "de", '<meta http-equiv="Content-Language" content="es">': "es", '<meta content="it" name=language>': "it", "<html><p lang=en>": None, "": None, None: None, '<meta name=x content="it">': None}
+    got = spark.createDataFrame([(k,) for k in cases], "html string").select("html", language_id.declared_language(F.col("html"))).collect()
+    assert {r[0]: r[1] for r in got} == cases
+
+
 def test_language_evidence(spark, docs):
     """Without text the host's other pages and the declared language decide; without a letter a page is rejected."""
     en = docs.where("lang = 'en'").limit(6).collect()
@@ -373,6 +591,82 @@ PAGE = """<!DOCTYPE html><html lang=en><head><title>T</title><style>p{}</style><
    b</pre>x &lt;tag&gt; &amp;</body></html>"""
 
 
+def test_html_visibility():
+    cases = {
+        "İ" * 20 + "<style>p{}</style>visible text here": "İ" * 20 + "visible text here",
+        "a<math><mi>x</mi><annotation>no</annotation></math>b<svg><title>no</title><text>lbl</text><text>two</text><path/></svg>c": "axb lbl two c",
+        "<svg><g><p>out": "out", "<svg/>x": "x", "<svg><foreignObject><p>in</p></foreignObject></svg>x": "in\n\nx", "<object>fallback</object>": "fallback",
+        "<body hidden>x": "", "<body style='display:none'>x": "", "<html hidden>x": "", "<body class=a>x": "x",
+        "<div style='visibility:hidden'>a<b style='visibility:visible'>c</b><ul><li>d</ul></div>": "c",
+        "<p hidden style='display:block'>x": "x", "<p style='display:none;display:block'>x": "x", "<p style='display:none!important;display:block'>x": "",
+        "<details>x<summary>s</summary>y</details>z": "s\nz", "<details open>x<summary>s</summary>y</details>z": "x\ns\ny\nz", "<dialog>d</dialog>e<dialog open>f</dialog>": "e\nf",
+        "<xmp><b>x</b>  y</XMP>z": "<b>x</b>  y\n\nz", "<script>a</scripty>b</SCRIPT >c": "c", "<listing>a\n b</listing>": "a\n b",
+    }
+    assert {k: html_render.render(k) for k in cases} == cases
+
+
+def test_html_spans():
+    table = lambda rows: html_render.render(f"<table>{rows}</table>").split("\n")
+    assert table("<tr><td rowspan=2>r<td>1<tr><td>2<tr><td>a<td>b") == ["r  1", "   2", "a  b"]
+    assert table("<tr><td rowspan=0>r<td>1<tr><td>2<tr><td>b") == ["r  1", "   2", "   b"]
+    assert table("<tr><td>a<td rowspan=9>s<td>c<tr><td>d<td>f<tbody><tr><td>g<td>h<td>i") == ["a  s  c", "d     f", "g  h  i"]
+    assert table("<tr><td colspan=2>wide cell<td>x<tr><td>a<td>b<td>c") == ["wide cell  x", "a  b       c"]
+    assert table("<tr><td rowspan=2>a<td rowspan=3>b<td>c<tr><td>d<tr><td>e<td>f") == ["a  b  c", "      d", "e     f"]
+    began = time.perf_counter()
+    assert html_render.render("<table>" + "<tr>" + "<td rowspan=65000 colspan=1000>x" * 3000 + "<tr><td>y" * 50).count("x") == 3000
+    assert time.perf_counter() - began < 10
+
+
+class Words(HTMLParser):
+    """An independent reading of well-formed pages: the visible words and list marks, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.words, self.lists = [], [], []
+
+    def hidden(self):
+        return any(h for _, h in self.open)
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        style = (a.get("style") or "").replace(" ", "").lower()
+        if tag in html_render.VOID:
+            return
+        if tag == "li" and not self.hidden():
+            top = self.lists[-1] if self.lists else None
+            if top and top[0] == "ol":
+                top[1] += 1
+            self.words.append(f"{top[1]}." if top and top[0] == "ol" else "-")
+        if tag in ("ul", "ol"):
+            self.lists.append([tag, 0])
+        self.open.append((tag, tag in html_render.HIDDEN or "hidden" in a or "display:none" in style or "visibility:hidden" in style))
+
+    def handle_endtag(self, tag):
+        if tag in ("ul", "ol") and self.lists:
+            self.lists.pop()
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] == tag:
+                del self.open[i:]
+                return
+
+    def handle_data(self, data):
+        if not self.hidden():
+            self.words += data.split()
+
+
+def test_html_against_another_parser(spark, sf):
+    """Every page of the table: the same visible words, whatever the layout. Cells of several lines interleave, so order isn't compared."""
+    rows = html_render.visible_text(spark.read.parquet(f"{sf}/pages.parquet")).join(spark.read.parquet(f"{sf}/pages.parquet"), "page_id").collect()
+    joined = lambda words: Counter("".join(words))  # inline tags may part a word
+    for r in rows:
+        other = Words()
+        other.feed(r["html"] or "")
+        other.close()
+        assert joined(r["text"].split()) == joined(other.words), r["page_id"]
+        assert (r["n_chars"], r["n_lines"]) == (len(r["text"]), r["text"].count("\n") + 1 if r["text"] else 0)
+    assert len(rows) > 40
+
+
 def test_html_implied_head_and_body():
     for page in ("<html><head><title>T</title><p>Hello<p>you", "<head><meta charset=utf-8><link rel=x><style>p{}</style><div>Hello</div><p>you", "<html><head><title>T</title></head><head><p>Hello<p>you", "<p>Hello<head><title>T</title><p>you", "Hello<head><p>you", "<html><head><noscript><img></noscript><p>Hello<p>you"):
         assert html_render.render(page).split() == ["Hello", "you"], page
