@@ -39,6 +39,11 @@ def hours_between(start: Column, end: Column) -> Column:
     return (F.unix_micros(end) - F.unix_micros(start)) / 3.6e9
 
 
+def retained(at: Column | str, now: Column, days: int = 21, tolerance_minutes: int = 15) -> Column:
+    """Whether a row is neither too old to be kept nor from the future."""
+    return (col(at) >= now - F.make_dt_interval(days=F.lit(days))) & (col(at) <= now + F.make_dt_interval(mins=F.lit(tolerance_minutes)))
+
+
 def age_minutes(now: Column, at: Column | str) -> Column:
     """Signed minutes from an instant to ``now``, to two places. ``now`` is always given, never the clock."""
     return py_round((F.unix_micros(now) - F.unix_micros(col(at))) / 6e7, 2)
@@ -180,8 +185,8 @@ def sector_degrees(code: Column | str) -> Column:
 
 
 def variable_direction(raw: Column | str, direction: Column | str) -> Column:
-    """A report says VRB, or its direction isn't a number."""
-    said = F.concat(F.lit(" "), F.coalesce(col(raw), F.lit("")), F.lit(" ")).contains(" VRB ")
+    """A report has a word that begins with VRB, or its direction isn't a number."""
+    said = F.concat(F.lit(" "), F.coalesce(col(raw), F.lit(""))).contains(" VRB")
     return said | F.coalesce(col(direction).isNotNull() & col(direction).try_cast("double").isNull(), F.lit(False))
 
 
@@ -190,6 +195,15 @@ def circular_difference(a: Column | str, b: Column | str) -> Column:
     return F.least(d, 360 - d)
 
 
+#: Fixed value: what stands in place of a secret.
+REDACTED = "***REDACTED***"
+#: The provider's eleven weather fields and the parameters that they stand for.
+CANONICAL_PARAMETERS = {
+    "t_2m": "air_temperature_2m", "td_2m": "dewpoint_2m", "relhum_2m": "relative_humidity_2m", "pmsl": "mean_sea_level_pressure", "ps": "surface_pressure", "tot_prec": "precipitation_amount",
+    "clct": "total_cloud_fraction", "aswdir_s": "surface_downward_shortwave_direct", "aswdifd_s": "surface_downward_shortwave_diffuse", "cape_ml": "cape_mixed_layer", "cin_ml": "cin_mixed_layer",
+}
+
+
 # --- text -------------------------------------------------------------------------------------------------
 
 
@@ -211,15 +225,21 @@ def first_alias(values: Column | str, *names: str) -> Column:
 
 
 def redact(text: Column | str, *secrets: str) -> Column:
-    """Secrets as they are and URL-encoded, and any value of a key, token or secret parameter."""
+    """Secrets as they are and URL-encoded, an api-key parameter's value, and an X-Api-Secret header's."""
     from urllib.parse import quote, quote_plus
 
     out = col(text)
     for secret in secrets:
         for form in dict.fromkeys((secret, quote(secret, safe=""), quote_plus(secret))):
             if form:
-                out = F.replace(out, F.lit(form), F.lit("[REDACTED]"))
-    return F.regexp_replace(out, r"(?i)((?:api[-_]?(?:key|secret)|token|secret)=)[^&\s\"']+", "$1[REDACTED]")
+                out = F.replace(out, F.lit(form), F.lit(REDACTED))
+    out = F.regexp_replace(out, r"(?i)([?&]api-key=)[^&\s'\"]+", f"$1{REDACTED}")
+    return F.regexp_replace(out, r"(?i)(X-Api-Secret[=: ]+)[^,;\s'\"]+", f"$1{REDACTED}")
+
+
+def canonical_parameter(name: Column | str) -> Column:
+    """The parameter that a provider's field name stands for; null for names that aren't known."""
+    return F.try_element_at(F.create_map(*(F.lit(x) for pair in CANONICAL_PARAMETERS.items() for x in pair)), F.lower(col(name)))
 
 
 def present_fields(values: Column | str) -> Column:
@@ -243,7 +263,10 @@ OLD_AVAILABILITY = {"not_offered": "not_yet_published", "missing": "fetch_error"
 
 def archive_age_class(age: Column | str) -> Column:
     a = col(age)
-    return F.when(a < -15, "future").when(a <= 180, "recent").when(a <= 2880, "plausible").otherwise("delayed")
+    return (
+        F.when(a < -15, "timestamp_validation_failure").when(a <= 180, "recent_historical_reference")
+        .when(a <= 2880, "provider_archive_lag_plausible").otherwise("provider_archive_unusually_delayed")
+    )
 
 
 def report_age_class(age: Column | str) -> Column:
@@ -257,6 +280,15 @@ def due(age: Column | str, limit: Column | float, future_tolerance: float = 15.0
     return F.when(a.isNull() | (a < -future_tolerance), True).otherwise(F.greatest(a, F.lit(0.0)) >= limit)
 
 
+def due_reason(age: Column | str, limit: Column | float, future_tolerance: float = 15.0) -> Column:
+    """Why work is due or isn't, for the same inputs as due()."""
+    a = col(age)
+    return (
+        F.when(a.isNull(), "latest_success_has_no_generated_at_fail_open").when(a < -future_tolerance, "latest_success_timestamp_future_fail_open")
+        .when(F.greatest(a, F.lit(0.0)) >= limit, "last_success_age_exceeds_threshold").otherwise("last_success_within_threshold")
+    )
+
+
 def family(model: Column | str) -> Column:
     return F.element_at(F.create_map(*(F.lit(x) for pair in FAMILY.items() for x in pair)), col(model))
 

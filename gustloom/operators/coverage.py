@@ -17,6 +17,20 @@ def compare(expected: DataFrame, received: DataFrame, key: list[str]) -> DataFra
     return e.join(r, key, "full_outer").na.fill(False, ["expected", "received"])
 
 
+def set_views(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
+    """(op, key): distinct keys of both, of the left alone, and of either; nulls count as equal. One shuffle of distinct keys serves all three."""
+    tag = lambda df, c: df.select(*key).distinct().withColumn(c, F.lit(True))
+    merged = tag(left, "_l").withColumn("_r", F.lit(False)).unionByName(tag(right, "_r").withColumn("_l", F.lit(False))).groupBy(*key).agg(F.bool_or("_l").alias("_l"), F.bool_or("_r").alias("_r"))
+    ops = F.array(F.lit("either"), F.when(F.col("_l") & F.col("_r"), "both"), F.when(F.col("_l") & ~F.col("_r"), "left_only"))
+    return merged.select(F.explode(F.filter(ops, lambda x: x.isNotNull())).alias("op"), *key)
+
+
+def distinct_points(rows: DataFrame, key: list[str], *coordinates: str, places: int = 6) -> DataFrame:
+    """How many grid points each key's rows have, and whether there is more than one."""
+    n = F.count_distinct(*(F.round(c, places) for c in coordinates))
+    return rows.groupBy(*key).agg(n.alias("points")).withColumn("moved", F.col("points") > 1)
+
+
 def newest_with_all(rows: DataFrame, group: list[str], cycle: str, part: str, parts: int, where: Column) -> DataFrame:
     """The newest cycle of each group that has all of so many distinct parts."""
     whole = rows.where(where).groupBy(*group, cycle).agg(F.countDistinct(part).alias("n")).where(F.col("n") == parts)
@@ -73,5 +87,5 @@ def upsert(base: DataFrame, patch: DataFrame, key: list[str]) -> DataFrame:
 
 
 def merge_products(parts: DataFrame, key: list[str], point: str, values: str) -> DataFrame:
-    """Products of one lead as one record: values joined, a conflict where the points differ."""
-    return parts.groupBy(*key).agg(F.flatten(F.collect_list(values)).alias(values), (F.count_distinct(point) > 1).alias("conflict"))
+    """Products of one lead as one record: values joined in their own order, a conflict where the points differ. A lead has a few products."""
+    return parts.groupBy(*key).agg(F.flatten(F.array_sort(F.collect_list(values))).alias(values), (F.count_distinct(point) > 1).alias("conflict"))

@@ -10,25 +10,35 @@ from gustloom.functions.columns import hours_between
 RETRY_DELAY_H, RETRY_MOST = 3, 1
 
 
+#: The model whose supplement may be tried again.
+SUPPLEMENTED = "GEFS-control"
+
+
 def rows_match(seed: DataFrame) -> DataFrame:
     """(model, run): the one run that all of a model's seed rows have; models with several or unparseable runs are left out."""
-    held = seed.groupBy("model").agg(F.collect_set("run").alias("runs"), F.bool_or(F.col("run").isNull()).alias("broken"))
-    return held.where((F.size("runs") == 1) & ~F.col("broken")).select("model", F.get("runs", 0).alias("run"))
+    held = seed.groupBy("model").agg(F.min("run").alias("run"), F.max("run").alias("high"), F.bool_or(F.col("run").isNull()).alias("broken"))
+    return held.where((F.col("run") == F.col("high")) & ~F.col("broken")).select("model", "run")
 
 
 def plan(discovered: DataFrame, archived: DataFrame, latest: DataFrame, seed: DataFrame, retries: DataFrame, now: Column) -> DataFrame:
-    """(model, run, action, reason). Inputs: discovered and archived (model, run), latest (model, run, complete), seed rows (model, run), retries (model, run, state, attempts, not_before).
+    """(model, run, action, reason). Inputs: discovered (model, run, and maybe probe_error), archived (model, run), latest (model, run, complete), seed rows (model, run), retries (model, run, state, attempts, not_before).
 
-    A cycle with all three proofs is carried over, or only supplemented when a retry is due; anything less is fetched.
+    A cycle with all three proofs is carried over, or its supplement tried again where the model has one and it's due.
+    Anything less is fetched, and the reason lists the proofs that are missing; so is a model whose probe failed.
     """
     a = archived.select("model", "run").distinct().withColumn("archived", F.lit(True))
     b = latest.where("complete").select("model", "run").distinct().withColumn("current", F.lit(True))
     c = rows_match(seed).withColumn("seeded", F.lit(True))
-    d = retries.select("model", "run", due(F.col("state"), F.col("attempts"), F.col("not_before"), now).alias("retry"))
+    d = retries.where(F.col("model").cast("string") == SUPPLEMENTED).select("model", "run", due(F.col("state"), F.col("attempts"), F.col("not_before"), now).alias("retry"))
     keys = ["model", "run"]
     joined = discovered.join(a, keys, "left").join(b, keys, "left").join(c, keys, "left").join(d, keys, "left").na.fill(False, ["archived", "current", "seeded", "retry"])
-    reason = F.when(F.col("run").isNull(), "no_cycle_discovered").when(~F.col("archived"), "cycle_not_archived").when(~F.col("current"), "source_not_current").when(~F.col("seeded"), "seed_rows_differ").when(F.col("retry"), "supplement_due").otherwise("already_archived")
-    action = F.when(reason == "already_archived", "carry_forward").when(reason == "supplement_due", "supplement").otherwise("fetch")
+    failed = F.col("probe_error").isNotNull() if "probe_error" in discovered.columns else F.lit(False)
+    missing = F.concat_ws("_", *(F.when(~F.col(c), n) for c, n in (("archived", "private_cycle_evidence"), ("current", "latest_success_source"), ("seeded", "seed_payload_rows"))))
+    reason = (
+        F.when(failed, "provider_cycle_probe_failed_fail_open").when(F.col("run").isNull(), "probe_not_run_fail_open").when(missing != "", F.concat(F.lit("fetch_fail_open_missing_"), missing))
+        .when(F.col("retry"), "archived_cycle_has_due_bounded_pgrb2b_retry").otherwise("selected_cycle_already_archived")
+    )
+    action = F.when(reason == "selected_cycle_already_archived", "carry_forward").when(reason == "archived_cycle_has_due_bounded_pgrb2b_retry", "supplemental_retry").otherwise("fetch")
     return joined.select("model", "run", action.alias("action"), reason.alias("reason"))
 
 

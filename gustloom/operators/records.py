@@ -20,8 +20,8 @@ def batch_records(messages: DataFrame, key: list[str]) -> DataFrame:
 
 def one_cycle(records: DataFrame, key: list[str], run: str = "run") -> DataFrame:
     """(key, run, reject): the single cycle of each source, or why there is none."""
-    held = records.groupBy(*key).agg(F.collect_set(run).alias("runs"))
-    return held.select(*key, F.when(F.size("runs") == 1, F.get("runs", 0)).alias("run"), F.when(F.size("runs") != 1, F.concat(F.lit("expected one cycle, found "), F.size("runs").cast("string"))).alias("reject"))
+    held = records.groupBy(*key).agg(F.count_distinct(run).alias("n"), F.min(run).alias("one"))
+    return held.select(*key, F.when(F.col("n") == 1, F.col("one")).alias("run"), F.when(F.col("n") != 1, F.concat(F.lit("expected one cycle, found "), F.col("n").cast("string"))).alias("reject"))
 
 
 def extend_base(base: DataFrame, extension: DataFrame, lead: str = "lead", most: int = 48) -> DataFrame:
@@ -64,10 +64,10 @@ def ensemble_metadata(meta: DataFrame, keys: tuple[str, ...] = ("last_run_initia
     return meta.withColumns({f"{k}_utc": F.timestamp_seconds(F.col(k).try_cast("long")) for k in keys} | {"reject": F.when(F.size(lacking) > 0, F.concat(F.lit("metadata lacks "), F.array_join(lacking, ",")))})
 
 
-def state_pointers(kinds: tuple[str, ...] = ("models", "svg", "skm", "wunstorf", "etnw")) -> list[tuple[str, str, str]]:
-    """(kind, pointer path, the field that has its time); the two secondary kinds share a batch pointer."""
-    batch = {"wunstorf", "etnw"}
-    return [(k, f"state/latest_success/{'secondary_batch' if k in batch else k}.json", "generated_at_utc") for k in kinds]
+def state_pointers(kinds: tuple[str, ...] = ("models", "svg", "wunstorf", "etnw", "secondary")) -> list[tuple[str, str, str]]:
+    """(kind, pointer path, the field that has its time). Each kind has its own pointer; the batch of secondary ones has its newest receipt."""
+    batch = ("transfer_receipts/secondary/latest.json", "source_generated_at_utc")
+    return [(k, f"data/inbox/public_collector/{path}", field) for k in kinds for path, field in [batch if k == "secondary" else (f"integrity/{k}/latest_success.json", "generated_at_utc")]]
 
 
 def older_than_latest(attempts: DataFrame, latest: DataFrame, kind: str = "kind", time: str = "generated_at") -> DataFrame:

@@ -33,13 +33,48 @@ def edge_coverage(rows: DataFrame, key: list[str], time: str, start: Column, end
     )
 
 
-def continuity(attempts: DataFrame, kind: str, time: str, nominal: Column) -> DataFrame:
-    """Each attempt against the newest before it in input order by time: gap, whether it's over 1.5 times nominal, estimated missed ones."""
-    w = Window.partitionBy(kind).orderBy(time)
-    gap = (_seconds(time) - _seconds(F.lag(time).over(w))) / 60
-    out = attempts.withColumn("gap_minutes", gap).withColumn("nominal", nominal)
-    late = F.coalesce(F.col("gap_minutes") > 1.5 * F.col("nominal"), F.lit(False))
-    return out.withColumn("continuity_gap", late).withColumn("missed", F.when(late, F.greatest(F.lit(0), F.floor(F.col("gap_minutes") / F.col("nominal")).cast("int") - 1)).otherwise(0))
+def range_of(rows: DataFrame, order: str, ranges: int = 0) -> Column:
+    """The number of a row's range of ``order`` (numbers or instants), by cuts that deal the rows about evenly; nulls are in range 0.
+
+    The cuts, fewer than the ranges, are all that comes to the driver. Equal values share a range.
+    """
+    ranges = ranges or 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.unix_micros(order) if dict(rows.dtypes)[order].startswith("timestamp") else F.col(order)
+    cuts = rows.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0] if ranges > 1 else []
+    cuts = sorted(set(cuts or []))
+    if not cuts:
+        return F.lit(0)
+    # Halving: how many cuts are at most the key.
+    step = lambda at, p: F.when((at + p <= len(cuts)) & (F.get(F.lit(cuts), at + p - 1) <= key), at + p).otherwise(at)
+    return F.coalesce(F.aggregate(F.lit([1 << i for i in reversed(range(len(cuts).bit_length()))]), F.lit(0), step), F.lit(0))
+
+
+def lagged(rows: DataFrame, key: list[str], order: str, value: str, name: str, ranges: int = 0) -> DataFrame:
+    """Each row with ``value`` of the row before it in its key by ``order``, which tells the key's rows apart.
+
+    A key may hold most of all rows: every range of the order is a task of its own, and only each range's last row of a
+    key goes on to the next ranges.
+    """
+    dealt = rows.withColumn("_r", range_of(rows, order, ranges))
+    here = Window.partitionBy(*key, "_r").orderBy(order)
+    own = dealt.withColumn(name, F.lag(value).over(here)).withColumn("_first", F.row_number().over(here) == 1)
+    last = dealt.groupBy(*key, "_r").agg(F.max_by(F.struct(F.col(value).alias("v")), order).alias("_last"))
+    carried = F.lag("_last").over(Window.partitionBy(*key).orderBy("_r"))  # a row a range
+    border = last.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(key)), F.col("_r").alias("_b"), carried.alias("_before"))
+    same = F.col("_r") == F.col("_b")
+    for i, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return own.join(border, same, "left").withColumn(name, F.when(F.col("_first"), F.col("_before.v")).otherwise(F.col(name))).select(*rows.columns, name)
+
+
+def continuity(attempts: DataFrame, kind: str, order: str, time: str, nominal: Column) -> DataFrame:
+    """Each attempt against the one before it in input order: the gap in minutes, whether it's over 1.5 times nominal, estimated missed ones, and whether it's older than that one."""
+    gap = (_seconds(time) - _seconds("_at")) / 60
+    out = lagged(attempts, [kind], order, time, "_at").withColumn("gap_minutes", gap).withColumn("nominal", nominal)
+    over = F.coalesce(F.col("gap_minutes") > 1.5 * F.col("nominal"), F.lit(False))
+    missed = F.coalesce(F.greatest(F.lit(0), F.floor(F.greatest(F.col("gap_minutes"), F.lit(0.0)) / F.col("nominal")).cast("int") - 1), F.lit(0))
+    older = F.coalesce(F.col("gap_minutes") < 0, F.lit(False))
+    return out.drop("_at").withColumns({"continuity_gap": over, "missed": missed, "older_than_latest": older})
 
 
 def axis_valid(rows: DataFrame, key: list[str], position: str, time: str) -> DataFrame:
@@ -48,9 +83,12 @@ def axis_valid(rows: DataFrame, key: list[str], position: str, time: str) -> Dat
     return rows.withColumn("_ok", before.isNull() | (before < F.col(time))).groupBy(*key).agg(F.bool_and("_ok").alias("axis_valid"))
 
 
-def first_wins(rows: DataFrame, key: list[str], order: list[Column | str]) -> DataFrame:
-    """The first row of each key by a total order."""
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")
+def first_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key by a total order of columns; as an aggregate it combines before the shuffle. Nulls come last."""
+    rest = [c for c in rows.columns if c not in key and c not in order]
+    nulls = lambda c: F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v"))
+    best = rows.groupBy(*key).agg(F.min_by(F.struct(*order, *rest), F.struct(*(nulls(c).alias(f"_{i}") for i, c in enumerate(order)))).alias("_x"))
+    return best.select(*(F.col(c) if c in key else F.col(f"_x.{c}").alias(c) for c in rows.columns))
 
 
 def last_wins(rows: DataFrame, key: list[str], order: str) -> DataFrame:
@@ -60,6 +98,11 @@ def last_wins(rows: DataFrame, key: list[str], order: str) -> DataFrame:
     return best.select(*key, *(F.col(f"_x.{c}") for c in rest))
 
 
+def top(rows: DataFrame, key: list[str], order: list[str], most: int) -> DataFrame:
+    """The first ``most`` rows of each key by a total order, numbered from 1 (``n``). Each task ranks what it has before the shuffle."""
+    return rows.withColumn("n", F.row_number().over(Window.partitionBy(*key).orderBy(*order)).cast("long")).where(F.col("n") <= most)
+
+
 def repeats(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
@@ -81,9 +124,13 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, left_time: str, rig
     return best.select(*key, "left_id", "left_time", "x.right_id", "x.right_time", "x.distance_us")
 
 
-def newest_eligible(cycles: DataFrame, key: list[str], cycle: str, published: str) -> DataFrame:
-    """The newest cycle that is published, and the trail of probes that led to it: all cycles from it on, newest first."""
+def newest_eligible(cycles: DataFrame, key: list[str], cycle: str, published: str, most: int = 0) -> DataFrame:
+    """The newest cycle that is published, and how many probes led to it: all cycles from it on. With ``most``, the newest so many of them as a trail, newest first."""
     chosen = cycles.where(published).groupBy(*key).agg(F.max(cycle).alias("selected"))
-    trail = cycles.join(chosen, key).where(F.col(cycle) >= F.col("selected"))
-    steps = F.sort_array(F.collect_list(F.struct(F.col(cycle).alias("cycle"), F.col(published).alias("published"))), asc=False)
-    return trail.groupBy(*key, "selected").agg(steps.alias("trail"))
+    probed = cycles.join(chosen, key).where(F.col(cycle) >= F.col("selected"))
+    counted = probed.groupBy(*key, "selected").agg(F.count(F.lit(1)).alias("probes"))
+    if not most:
+        return counted
+    newest = probed.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc(cycle)))).where(F.col("_n") <= most)
+    trail = newest.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(F.col(cycle).alias("cycle"), F.col(published).alias("published"))), asc=False).alias("trail"))
+    return counted.join(trail, key)

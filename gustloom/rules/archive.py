@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gustloom.functions import columns as C
 from gustloom.functions import variants as V
 from gustloom.operators import leads as L
+from gustloom.operators.coverage import distinct_points
 from gustloom.rules.engine import issues, rule
 from gustloom.sources import bundles as B
 from gustloom.sources.requests import SPOT
@@ -58,7 +59,7 @@ def validate(bundles: DataFrame) -> tuple[DataFrame, DataFrame]:
         V.kind("rec", "$.derived.gust_ms").isNull().alias("gust_absent"), V.aware_instant("rec", "$.valid_time_utc").alias("valid"), V.aware_instant("rec", "$.retrieved_at_utc").alias("retrieved"),
     )
     nth = F.row_number().over(Window.partitionBy("path", "model", "lead").orderBy("pos"))
-    points = typed.groupBy("path", "model", "product").agg(F.count_distinct(F.round("lat", 6), F.round("lon", 6)).alias("points"))
+    points = distinct_points(typed, ["path", "model", "product"], "lat", "lon").drop("moved")
     typed = typed.withColumn("nth", nth).join(points, ["path", "model", "product"], "left")
     far = lambda c, want: F.abs(F.col(c) - want) > 0.30
     excused = (F.col("model") == "GEFS-control") & (F.col("lead") > 240) & (V.kind("rec", "$.field_availability.gust") == "boolean") & ~V.true("rec", "$.field_availability.gust")

@@ -24,7 +24,7 @@ def issues(rows: DataFrame, key: list[str], *rules: Column, more: list[Column] |
 
 
 def bundle_rules(prefix: str, source: str, bundle: str = "BUNDLE", absent: str = "_FILE_NOT_CREATED") -> list[Column]:
-    """Absent and not JSON. A file that can't be read at all fails its task; what a reader reports as such comes as n_bytes null."""
+    """Absent, not readable (present, but without a size) and not JSON."""
     p = f"{prefix}_{bundle}"
     out = [rule(p + absent, "ERROR", source, "bundle", ~F.col("present"), path=F.col("path"))]
     if absent == "_FILE_NOT_CREATED":

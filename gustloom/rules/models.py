@@ -79,7 +79,7 @@ def audit(bundles: DataFrame, now: Column, full_validation: bool = False) -> tup
         F.count(F.lit(1)).alias("record_count"), F.array_sort(F.collect_set(F.when(F.length("run_text") > 0, F.col("run_text")))).alias("run_values"), F.count_if("foreign").alias("foreign"),
         F.count_if(F.col("lead").isNull()).alias("invalid_leads"), F.array_sort(F.collect_set(F.when(F.col("nth") > 1, F.col("lead")))).alias("duplicates"), F.array_sort(F.collect_set("lead")).alias("got"),
     )
-    empty = F.array().cast("array<int>")
+    empty, full = F.array().cast("array<int>"), F.lit(full_validation)
     base = envelope.crossJoin(F.broadcast(models)).join(runs, ["path", "model"], "left").withColumns({
         "record_count": F.coalesce("record_count", F.lit(0)), "run_values": F.coalesce("run_values", F.array().cast("array<string>")), "foreign": F.coalesce("foreign", F.lit(0)),
         "invalid_leads": F.coalesce("invalid_leads", F.lit(0)), "duplicates": F.coalesce("duplicates", empty), "got": F.coalesce("got", empty),
@@ -113,7 +113,7 @@ def audit(bundles: DataFrame, now: Column, full_validation: bool = False) -> tup
         "missing": F.array_except("expected", "got"), "extra": F.array_except("got", "expected"),
         "critical": F.filter("errors", lambda e: e["classification"] == "critical"), "optional": F.filter("errors", lambda e: e["classification"] == "optional"),
         "own_errors": F.filter("quality_errors", lambda e: e.startswith(F.concat(F.col("model"), F.lit(":")))),
-        "run_age": C.hours_between(F.col("bundle_run"), now), "exception": F.when(F.col("model") == "GEFS-control", mature_exception(V.part("payload", "$.provider_selection_evidence.GEFS-control"), F.col("bundle_run"), now)).otherwise("not_applicable"),
+        "run_age": C.hours_between(F.col("bundle_run"), now), "exception": F.when(F.col("model") == "GEFS-control", mature_exception(V.part("payload", "$.provider_selection_evidence.GEFS-control"), F.col("bundle_run"), now, full)).otherwise("not_applicable"),
     })
     old = (F.col("run_age") >= -RUN_FUTURE_MIN / 60) & (F.col("run_age") > F.col("max_age"))
     some = lambda c: F.size(c) > 0
@@ -255,11 +255,11 @@ def hourly_failures(source: Column, run: Column) -> Column:
     return F.when(F.coalesce(there, F.lit(False)), F.filter(F.array(*reasons), lambda x: x.isNotNull())).otherwise(F.array(F.lit("ensemble_hourly_source_missing")))
 
 
-def mature_exception(evidence: Column, run: Column, now: Column) -> Column:
-    """Why an old GEFS cycle isn't proven the newest mature one; null where it is.
+def mature_exception(evidence: Column, run: Column, now: Column, full: Column) -> Column:
+    """Why an old GEFS cycle isn't proven the newest mature one; null where it is. Only full validation can prove it.
 
-    Every newer due cycle (six hours apart) must be probed at its own last lead and found unpublished; of several
-    probes of a cycle the last counts.
+    Every newer due cycle (six hours apart), one at least, must be probed at its own last lead and found unpublished;
+    of several probes of a cycle the last counts.
     """
     hour = F.hour(run)
     most = L.native_max(F.lit("GEFS-control"), hour)
@@ -270,11 +270,13 @@ def mature_exception(evidence: Column, run: Column, now: Column) -> Column:
     due = lambda c: L.native_max(F.lit("GEFS-control"), F.hour(c))
     own = last(run)
     return (
-        F.when(F.coalesce(V.kind(evidence) != "object", F.lit(True)), "selection_evidence_missing")
+        F.when(~F.coalesce(full, F.lit(False)) | run.isNull(), "not_full_validation")
+        .when(F.coalesce(V.kind(evidence) != "object", F.lit(True)), "selection_evidence_missing")
         .when(F.coalesce(V.text(evidence, "$.method_version") != "gefs-newest-mature-cycle-selection-v1", F.lit(True)), "method_version_mismatch")
         .when(~V.true(evidence, "$.full_horizon_publication_required"), "full_horizon_not_required")
         .when(F.coalesce(V.instant(evidence, "$.selected_cycle_run_time_utc") != run, F.lit(True)), "selected_cycle_mismatch")
         .when(F.coalesce((V.number(evidence, "$.selected_expected_max_lead_hours") != most) | (V.number(evidence, "$.selected_publication_probe_lead") != most), F.lit(True)), "selected_horizon_mismatch")
         .when(F.coalesce((own["status"] != "published") | (own["lead"] != most), F.lit(True)), "selected_cycle_not_proven_published")
+        .when(F.size(newer) == 0, "no_newer_due_cycle_to_explain_age_excess")
         .when(F.exists(newer, lambda c: F.coalesce((last(c)["status"] != "not_published") | (last(c)["lead"] != due(c)), F.lit(True))), "newer_cycle_not_proven_unpublished")
     )

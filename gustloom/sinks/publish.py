@@ -1,80 +1,187 @@
-"""Publication to a table directory: immutable objects, monotonic pointers, receipts. One writer at a time.
+"""Publication to a table directory: immutable objects, monotonic pointers, receipts, in commits that are whole or not there.
 
-Plain files have no compare-and-swap, so a commit is staged, read back, then moved into place with a marker; a rerun
-finds what is already there and repairs only what is missing.
+A commit's files are staged where no reader looks, read back, and moved to a folder of the commit's own. It counts from
+the moment that its marker is in the log: the marker of version n + 1 names version n as its parent, and only one
+writer can create it. Who comes second looks at what has changed and tries again on top of it. A commit that failed
+leaves files that no marker names.
 """
 
 from __future__ import annotations
 
+import gzip
+import json
+import time
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustloom.functions.columns import dated_path
+from gustloom.operators.gate import has_work
 from gustloom.operators.timeline import last_wins
 
-OBJECTS, POINTERS, RECEIPTS = "objects", "pointers", "receipts"
-OBJECT = "path string, sha256 string, content binary, kind string, day date"
-POINTER = "kind string, path string, sha256 string, generated_at timestamp"
-RECEIPT = "kind string, path string, sha256 string, generated_at timestamp, verified_at timestamp, ready boolean"
+OBJECTS, POINTERS, RECEIPTS, OUTCOMES = "objects", "pointers", "receipts", "outcomes"
+OBJECT = "path string, sha256 string, source_sha256 string, content binary, commit string, kind string, day date"
+POINTER = "kind string, path string, sha256 string, generated_at timestamp, commit string"
+RECEIPT = "kind string, path string, sha256 string, source_sha256 string, generated_at timestamp, verified_at timestamp, ready boolean, commit string"
+OUTCOME = "kind string, path string, outcome string, commit string"
+#: Attempts to be the next version, and the seconds before another one; the last counts for all that follow.
+ATTEMPTS, DELAYS = 8, (1, 2, 4, 8, 12, 16, 20, 30)
 
 
 class Conflict(RuntimeError):
     """An immutable path holds other bytes."""
 
 
-def _read(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.schema(schema).parquet(f"{root}/{name}") if fs.exists(path) else spark.createDataFrame([], schema)
+class Store:
+    """The files of a publication root, on any file system that the session knows."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.jvm = spark, root.rstrip("/"), spark._jvm
+        self.fs = self.path("").getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+
+    def version(self) -> int:
+        """The newest version; 0 before the first."""
+        log = self.path("log")
+        if not self.fs.exists(log):
+            return 0
+        names = (str(f.getPath().getName()) for f in self.fs.listStatus(log))
+        return max((int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith(("_", "."))), default=0)
+
+    def claim(self, version: int, commit: str) -> bool:
+        """Create the marker of a version; False if another writer has. It appears with all of its bytes at once."""
+        staged, marker = self.path(f"log/_{commit}-{version}"), self.path(f"log/{version:020d}.json")
+        out = self.fs.create(staged, True)
+        out.write(bytearray(json.dumps({"version": version, "parent": version - 1, "commit": commit}).encode() + b"\n"))
+        out.close()
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(staged.toUri() if staged.toUri().getScheme() else self.fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        none = self.spark.sparkContext._gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            context.rename(context.makeQualified(staged), context.makeQualified(marker), none)  # never over a marker that is there
+        except Exception as error:
+            self.fs.delete(staged, False)
+            if self.fs.exists(marker):
+                return False
+            raise error
+        return True
+
+    def move(self, source: str, target: str) -> None:
+        self.fs.mkdirs(self.path(target).getParent())
+        if not self.fs.rename(self.path(source), self.path(target)):
+            raise RuntimeError(f"could not move {source} to {target}")
+
+    def table(self, name: str, schema: str, version: int | None = None) -> DataFrame:
+        """The rows of a table that commits up to a version brought in."""
+        if not self.version() or not self.fs.exists(self.path(name)):
+            return self.spark.createDataFrame([], schema)
+        log = self.spark.read.schema("version long, commit string").json(f"{self.root}/log")
+        seen = log if version is None else log.where(F.col("version") <= version)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}").join(F.broadcast(seen.select("commit")), "commit", "left_semi")  # a short row a publication
 
 
 def pointers(spark: SparkSession, root: str) -> DataFrame:
-    """The current pointer of each kind: of all that were appended, the newest; an absent one gives no row."""
-    return last_wins(_read(spark, root, POINTERS, POINTER), ["kind"], "generated_at")
+    """The current pointer of each kind: of all that were committed, the newest; an absent one gives no row."""
+    return last_wins(Store(spark, root).table(POINTERS, POINTER), ["kind"], "generated_at")
 
 
 def receipts(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, RECEIPTS, RECEIPT)
+    return Store(spark, root).table(RECEIPTS, RECEIPT)
 
 
 def objects(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, OBJECTS, OBJECT)
+    """Committed objects; their content is gzip."""
+    return Store(spark, root).table(OBJECTS, OBJECT)
+
+
+def packed(rows: DataFrame, content: str = "content") -> DataFrame:
+    """``content`` as gzip whose bytes depend on nothing but the content, with ``source_sha256`` of what was packed."""
+    kept = [f for f in rows.schema.fields if f.name != content]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.schema.get_field_index(content)
+            data = pa.array([None if x is None else gzip.compress(x, 9, mtime=0) for x in b.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(f.name)) for f in kept), data], [*(f.name for f in kept), content])
+
+    source = rows.withColumn("source_sha256", F.sha2(content, 256))
+    kept = [f for f in source.schema.fields if f.name != content]
+    return source.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", `{content}` binary")
 
 
 def place(rows: DataFrame) -> DataFrame:
-    """(kind, generated_at, content) with the path, hash and day that an object gets."""
-    return rows.select("kind", "generated_at", "content", dated_path("payloads", "kind", "generated_at", ".json.gz").alias("path"), F.sha2("content", 256).alias("sha256"), F.to_date("generated_at").alias("day"))
+    """(kind, generated_at, content, ready) with the path, hashes and day that an object gets; its content is packed."""
+    out = packed(rows.select("kind", "generated_at", "content", "ready"))
+    return out.withColumns({"path": dated_path("payloads", "kind", "generated_at", ".json.gz"), "sha256": F.sha2("content", 256), "day": F.to_date("generated_at")})
 
 
-def publish(spark: SparkSession, root: str, rows: DataFrame, now: Column, ready: Column | None = None) -> DataFrame:
-    """Write new objects, read them back, then receipts, then pointers. Returns (path, outcome): written, same.
+def publish(spark: SparkSession, root: str, rows: DataFrame, now: Column, ready: Column | None = None, plan: DataFrame | None = None, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Commit new objects with their receipts and pointers. Returns (kind, path, outcome): written, same, suppressed_noop.
 
-    Other bytes at a path raise Conflict and nothing is written. A pointer moves only forward, and only to ready objects.
+    Other bytes at a path raise Conflict and nothing is committed. A pointer moves only forward, and only to ready
+    objects. With a ``plan`` of the gate that leaves no work, models aren't transferred. If all objects are there and no
+    pointer moves, no version is made.
     """
-    placed = place(rows).withColumn("ready", F.lit(True) if ready is None else ready).dropDuplicates(["path", "sha256"]).cache()
-    if placed.groupBy("path").agg(F.count_distinct("sha256").alias("n")).where("n > 1").limit(1).count():
+    store, commit = Store(spark, root), uuid.uuid4().hex
+    given = rows.withColumn("ready", F.lit(True) if ready is None else ready)
+    idle = plan is not None and not has_work(plan).first()[0]
+    suppressed = given.where("kind = 'models'") if idle else given.limit(0)
+    stage = f"staging/{commit}"
+    at = lambda name: f"{store.root}/{stage}/{name}"
+    place(given.where("kind <> 'models'") if idle else given).dropDuplicates(["path", "sha256"]).write.parquet(at("given"))
+    placed = spark.read.parquet(at("given"))
+    if placed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
         raise Conflict("two contents for one immutable path")
-    have = objects(spark, root).select("path", F.col("sha256").alias("have"))
-    state = placed.join(have, "path", "left")
+    try:
+        for attempt in range(ATTEMPTS):
+            parent = store.version()
+            if _stage(store, placed, at, now, parent, suppressed):
+                for name in (OBJECTS, RECEIPTS, POINTERS, OUTCOMES):
+                    if not store.fs.exists(store.path(f"{name}/commit={commit}")):
+                        store.move(f"{stage}/{name}", f"{name}/commit={commit}")
+                if store.claim(parent + 1, commit):
+                    return store.table(OUTCOMES, OUTCOME).where(F.col("commit") == commit).drop("commit")
+                for name in (OBJECTS, RECEIPTS, POINTERS, OUTCOMES):
+                    store.fs.delete(store.path(f"{name}/commit={commit}"), True)
+            else:
+                return spark.createDataFrame(spark.read.parquet(at(OUTCOMES)).toArrow())  # nothing new: a row for each object of this run
+            if attempt < ATTEMPTS - 1:
+                sleep(DELAYS[min(attempt, len(DELAYS) - 1)])
+        raise RuntimeError(f"another writer was first {ATTEMPTS} times")
+    finally:
+        store.fs.delete(store.path(stage), True)
+
+
+def _stage(store: Store, placed: DataFrame, at: Callable[[str], str], now: Column, parent: int, suppressed: DataFrame) -> bool:
+    """Write what this run adds to version ``parent`` and read it back; whether it adds anything."""
+    spark = store.spark
+    keys = placed.select("kind", "day", "path")
+    days = F.broadcast(keys.select("kind", "day").distinct()) if keys.count() < 100_000 else keys.select("kind", "day").distinct()
+    have = store.table(OBJECTS, OBJECT, parent).join(days, ["kind", "day"], "left_semi").select("path", F.col("sha256").alias("have"))  # only this run's partitions
+    state = placed.join(have, "path", "left").select("kind", "day", "path", "sha256", "source_sha256", "content", "generated_at", "ready", "have")
     if bad := state.where("have is not null and have <> sha256").select("path").limit(1).collect():
         raise Conflict(f"immutable path holds other bytes: {bad[0][0]}")
-    new = state.where("have is null").select("path", "sha256", "content", "kind", "day")
-    outcome = state.select("path", F.when(F.col("have").isNull(), "written").otherwise("same").alias("outcome"))
-    result = spark.createDataFrame(outcome.collect(), outcome.schema)  # one row per published object of this run
-    new.write.mode("append").partitionBy("kind", "day").option("compression", "gzip").parquet(f"{root}/{OBJECTS}")
-    held = objects(spark, root).select("path", F.sha2("content", 256).alias("read_sha"))
-    verified = placed.join(held, "path").where("read_sha = sha256")
-    if verified.count() != placed.count():
+    new = state.where("have is null")
+    new.select("path", "sha256", "source_sha256", "content", "kind", "day").write.mode("overwrite").partitionBy("kind", "day").option("compression", "none").parquet(at(OBJECTS))
+    spark.createDataFrame([], "path string, sha256 string, source_sha256 string, content binary").write.mode("append").parquet(at(OBJECTS) + "/kind=none/day=1970-01-01")
+    back = spark.read.parquet(at(OBJECTS)).select("path", F.sha2("content", 256).alias("read_sha"))
+    fits = new.select("path", "sha256").join(back, "path", "left").agg(F.coalesce(F.bool_and(F.coalesce(F.col("read_sha") == F.col("sha256"), F.lit(False))), F.lit(True))).first()[0]
+    if not fits:
         raise RuntimeError("read-back differs from what was written")
-    old = receipts(spark, root).select("path", "sha256")
-    fresh = verified.join(old, ["path", "sha256"], "left_anti").select("kind", "path", "sha256", "generated_at", now.alias("verified_at"), "ready")
-    fresh.write.mode("append").parquet(f"{root}/{RECEIPTS}")
-    current = pointers(spark, root).select("kind", F.col("generated_at").alias("at"))
-    moved = receipts(spark, root).where("ready").join(placed.select("path"), "path", "left_semi").join(current, "kind", "left").where("at is null or generated_at >= at")
-    last_wins(moved.select("kind", "path", "sha256", "generated_at"), ["kind"], "generated_at").write.mode("append").parquet(f"{root}/{POINTERS}")
-    placed.unpersist()
-    return result
+    old = store.table(RECEIPTS, RECEIPT, parent).select("path", F.lit(True).alias("receipted"))
+    fresh = state.join(old, "path", "left").where("receipted is null").select("kind", "path", "sha256", "source_sha256", "generated_at", now.alias("verified_at"), "ready")
+    fresh.write.mode("overwrite").parquet(at(RECEIPTS))
+    current = last_wins(store.table(POINTERS, POINTER, parent), ["kind"], "generated_at").select("kind", F.col("generated_at").alias("at"))
+    moved = last_wins(state.where("ready").select("kind", "path", "sha256", "generated_at"), ["kind"], "generated_at").join(current, "kind", "left").where("at is null or generated_at > at")
+    moved.drop("at").write.mode("overwrite").parquet(at(POINTERS))
+    outcome = state.select("kind", "path", F.when(F.col("have").isNull(), "written").otherwise("same").alias("outcome"))
+    held = suppressed.select("kind", dated_path("payloads", "kind", "generated_at", ".json.gz").alias("path"), F.lit("suppressed_noop").alias("outcome"))
+    outcome.unionByName(held).write.mode("overwrite").parquet(at(OUTCOMES))
+    return any(not spark.read.parquet(at(name)).isEmpty() for name in (OBJECTS, RECEIPTS, POINTERS))
 
 
 def preserved(spark: SparkSession, root: str, before: DataFrame) -> DataFrame:
@@ -112,10 +219,25 @@ def markdown(reports: DataFrame, found: DataFrame) -> DataFrame:
     return reports.join(lines, "path", "left").select("path", F.concat(head, F.coalesce(F.array_join(F.transform("x", lambda i: i["line"]), "\n"), F.lit("No issues."))).alias("markdown"))
 
 
-def snapshot(spark: SparkSession, records: DataFrame, out: str) -> None:
-    """Overwrite a snapshot of records, with each bundle's distinct sorted leads."""
+def snapshot(spark: SparkSession, records: DataFrame, out: str, now: Column) -> None:
+    """Put a new snapshot of records in place of the last: by lead within each path, with the path's distinct sorted leads and the retrieval time.
+
+    The new one counts from its marker on, so readers see the old or the new one whole, and records may come from the old.
+    """
+    store, commit = Store(spark, out), uuid.uuid4().hex
     leads = records.groupBy("path").agg(F.array_sort(F.collect_set("lead")).alias("leads_hours"))
-    records.join(leads, "path").write.mode("overwrite").parquet(out)
+    kept = [c for c in records.columns if c not in ("leads_hours", "retrieved_at")]
+    whole = records.select(*kept).join(leads, "path").withColumn("retrieved_at", now)
+    whole.repartition("path").sortWithinPartitions("path", "lead").write.parquet(f"{store.root}/data/commit={commit}")
+    while not store.claim(store.version() + 1, commit):
+        pass
+
+
+def read_snapshot(spark: SparkSession, out: str) -> DataFrame:
+    """The newest snapshot."""
+    store = Store(spark, out)
+    with_marker = spark.read.schema("version long, commit string").json(f"{store.root}/log").where(F.col("version") == store.version()).first()
+    return spark.read.parquet(f"{store.root}/data/commit={with_marker['commit']}")
 
 
 def append_failure(spark: SparkSession, root: str, model: str, stage: str, now: str, kind: str = "timeout") -> None:

@@ -13,13 +13,15 @@ MODEL_KINDS = ("models", "svg", "skm", "wunstorf", "etnw")
 def read_bundles(spark: SparkSession, path: str, manifest: DataFrame | None = None) -> DataFrame:
     """(path, present, sha256, n_bytes, payload): the hash and size stay where the bytes aren't JSON.
 
-    ``manifest`` has the paths that should be there (column ``path``, file name); one that isn't has present = false.
+    A file that is listed but can't be read is present with a null size; it doesn't end the job. ``manifest`` has the
+    paths that should be there (column ``path``, file name); one that isn't has present = false.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    found = files.select(F.regexp_extract("path", r"[^/]+$", 0).alias("path"), F.sha2("content", 256).alias("sha256"), F.octet_length("content").alias("n_bytes"), F.try_parse_json(F.expr("try_validate_utf8(content)")).alias("payload"))
-    if manifest is not None:
-        found = manifest.select("path").join(found, "path", "left")
-    return found.select("path", F.col("sha256").isNotNull().alias("present"), "sha256", "n_bytes", "payload")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").load(path)
+    name = F.regexp_extract("path", r"[^/]+$", 0)
+    read = files.select(name.alias("path"), F.sha2("content", 256).alias("sha256"), F.octet_length("content").alias("n_bytes"), F.try_parse_json(F.expr("try_validate_utf8(content)")).alias("payload"))
+    listed = files.select(name.alias("path"), F.lit(True).alias("present"))  # without the content no file is opened
+    found = listed.join(read, "path", "left") if manifest is None else manifest.select("path").join(listed, "path", "left").join(read, "path", "left")
+    return found.select("path", F.coalesce("present", F.lit(False)).alias("present"), "sha256", "n_bytes", "payload")
 
 
 def from_text(rows: DataFrame, id_col: str = "bundle_id", json_col: str = "json") -> DataFrame:
@@ -71,12 +73,29 @@ def defaults(bundles: DataFrame) -> DataFrame:
 
 
 def request_diagnostics(bundles: DataFrame) -> DataFrame:
-    """(path, endpoint, success, http_status, elapsed_seconds, exception_type): requests recorded as an object by endpoint or as a list."""
+    """(path, endpoint, success, http_status, elapsed_seconds, response_bytes, exception_type, provider_error): requests recorded as an object by endpoint or as a list.
+
+    A provider that answers with an error flag (anything but 0, "0", false or null) hasn't succeeded.
+    """
     one = bundles.select("path", F.explode(V.entries("payload", "$.request_diagnostics")).alias("endpoint", "d"))
     many = bundles.select("path", F.explode(V.items("payload", "$.requests")).alias("d")).select("path", V.text("d", "$.kind").alias("endpoint"), "d")
+    flag = F.to_json(V.part("d", "$.provider_error"))
+    error = F.when(~F.coalesce(flag, F.lit("null")).isin("null", "0", '"0"', "false", "0.0"), V.text("d", "$.provider_error"))
     return one.unionByName(many).select(
-        "path", "endpoint", V.truth("d", "$.success").alias("success"), F.try_variant_get("d", "$.http_status", "int").alias("http_status"), V.number("d", "$.elapsed_seconds").alias("elapsed_seconds"), V.text("d", "$.exception_type").alias("exception_type")
-    )
+        "path", "endpoint", (V.truth("d", "$.success") & error.isNull()).alias("success"), F.try_variant_get("d", "$.http_status", "int").alias("http_status"), V.number("d", "$.elapsed_seconds").alias("elapsed_seconds"),
+        F.try_variant_get("d", "$.response_bytes", "long").alias("response_bytes"), V.text("d", "$.exception_type").alias("exception_type"), error.alias("provider_error"),
+    )
+
+
+def response_bytes(diagnostics: DataFrame) -> DataFrame:
+    """(path, requests, response_bytes): what each bundle's requests brought in, 0 where none says."""
+    return diagnostics.groupBy("path").agg(F.count(F.lit(1)).alias("requests"), F.coalesce(F.sum("response_bytes"), F.lit(0)).alias("response_bytes"))
+
+
+def pointer_json(meta: DataFrame, content: str = "content") -> DataFrame:
+    """Pointers whose JSON came as base64 text with line breaks, as a VARIANT ``pointer``; null where there is none or it isn't JSON."""
+    raw = F.try_to_binary(F.regexp_replace(F.col(content), r"\s+", ""), F.lit("base64"))
+    return meta.withColumn("pointer", F.try_parse_json(raw.cast("string"))).drop(content)
 
 
 def verified_payloads(spark: SparkSession, path: str, expected: DataFrame) -> DataFrame:

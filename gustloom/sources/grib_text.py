@@ -6,15 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustloom.functions import columns as C
+from gustloom.sources.requests import CONTEXT, context_variables
 
 
 def identities(lines: DataFrame, line: str = "line") -> DataFrame:
-    """shortName, run, valid and step end of lines 'name date time stepRange validityDate validityTime'."""
-    p = F.split(F.trim(F.col(line)), r"\s+")
-    return lines.where(F.size(p) == 6).select(
-        *[c for c in lines.columns if c != line], p[0].alias("short_name"), C.message_time(p[1], p[2]).alias("run"), p[3].alias("step_range"),
-        C.step_end_hours(p[3]).alias("step_end"), C.message_time(p[4], p[5]).alias("valid"),
+    """short_name, run, valid, step end and reject of lines 'name date time stepRange validityDate validityTime'.
+
+    Empty lines are left out; one with fewer fields, or with a date or time that can't be read, is kept and says why.
+    """
+    p = F.filter(F.split(F.col(line), r"\s+"), lambda x: x != "")
+    at = lambda i: F.get(p, i)
+    typed = lines.where(F.size(p) > 0).select(
+        *[c for c in lines.columns if c != line], at(0).alias("short_name"), C.message_time(at(1), at(2)).alias("run"), at(3).alias("step_range"),
+        C.step_end_hours(at(3)).alias("step_end"), C.message_time(at(4), at(5)).alias("valid"), F.size(p).alias("_n"),
     )
+    reject = F.when(F.col("_n") < 6, "incomplete_identity_row").when(F.col("run").isNull(), "reference_time_unreadable").when(F.col("valid").isNull(), "validity_time_unreadable")
+    return typed.withColumn("reject", reject).drop("_n")
 
 
 def exact(messages: DataFrame, run: Column, valid: Column) -> DataFrame:
@@ -28,10 +35,24 @@ def identity_reject(messages: DataFrame, key: list[str], run: Column, valid: Col
     return agg.select(*key, F.when(F.col("n") == 0, "no_messages").when(~F.col("runs"), "run_time_mismatch").when(~F.col("valids"), "valid_time_mismatch").when(~F.col("steps"), "step_range_mismatch").alias("reason"))
 
 
-def batch_leads(messages: DataFrame, key: list[str], expected: Column) -> DataFrame:
-    """Missing and unexpected leads of a file that should hold several."""
-    got = F.array_sort(F.collect_set(C.integral("step_end")))
-    return messages.groupBy(*key).agg(got.alias("leads")).select(*key, "leads", F.array_except(expected, "leads").alias("missing_leads"), F.array_except("leads", expected).alias("extra_leads"))
+def batch_leads(messages: DataFrame, key: list[str], run: Column, expected: Column) -> DataFrame:
+    """(key, leads, failures): the leads of a file that should hold several, and why it doesn't hold those.
+
+    Each failure is a reason with what it is about: a message of another run, one whose validity is no whole lead, one
+    whose step ends elsewhere, one of an unexpected lead; and the expected leads that are missing. A file is bounded.
+    """
+    hours = C.hours_between(F.col("run"), F.col("valid"))
+    ours = F.coalesce(F.col("run") == run, F.lit(False))
+    whole = ours & F.coalesce((F.abs(hours - F.rint(hours)) <= 1e-9) & (hours >= 0), F.lit(False))
+    lead = F.when(whole, F.rint(hours).cast("int"))
+    fault = lambda when, reason: F.when(when, F.struct(F.lit(reason).alias("reason"), F.col("short_name").alias("short_name"), lead.alias("lead")))
+    faults = F.filter(F.array(
+        fault(~ours, "run_time_mismatch"), fault(ours & ~whole, "non_integral_validity_lead"), fault(whole & F.coalesce(F.abs(F.col("step_end") - lead) > 1e-9, F.lit(True)), "step_validity_disagreement"),
+        fault(whole & ~F.array_contains(expected, lead), "unexpected_lead"),
+    ), lambda x: x.isNotNull())
+    agg = messages.select(*key, lead.alias("_lead"), faults.alias("_f"), expected.alias("_e")).groupBy(*key).agg(F.array_sort(F.collect_set("_lead")).alias("leads"), F.array_sort(F.flatten(F.collect_list("_f"))).alias("f"), F.first("_e").alias("e"))
+    missing = F.transform(F.array_sort(F.array_except("e", "leads")), lambda h: F.struct(F.lit("expected_leads_missing_from_grib_batch").alias("reason"), F.lit(None).cast("string").alias("short_name"), h.alias("lead")))
+    return agg.select(*key, "leads", F.concat("f", missing).alias("failures"))
 
 
 def zipped(columns: DataFrame, key: list[str], names: list[str]) -> DataFrame:
@@ -47,11 +68,35 @@ def zip_reject(columns: DataFrame, key: list[str], names: list[str]) -> DataFram
     return columns.where(F.array_min(sizes) != F.array_max(sizes)).select(*key, F.lit("metadata_column_length_mismatch").alias("reason"))
 
 
-def nearest(lines: DataFrame, line: str = "line") -> DataFrame:
-    """shortName, value and grid point of 'name value lat lon' lines."""
-    p = F.split(F.trim(F.col(line)), r"\s+")
-    rest = [c for c in lines.columns if c != line]
-    return lines.where(F.size(p) == 4).select(*rest, p[0].alias("short_name"), C.safe_double(p[1]).alias("value"), C.safe_double(p[2]).alias("latitude"), C.safe_double(p[3]).alias("longitude"))
+_POINT = r"Grid Point chosen .*?latitude=([+-]?\d+(?:\.\d+)?) longitude=([+-]?\d+(?:\.\d+)?)"
+#: How lines begin, and what they hold, that have no value.
+_NO_VALUE = r"^(?:edition|shortName|Other grid|- )|messages in|total messages|Input Point:|Grid Point"
+
+
+def nearest(lines: DataFrame, key: list[str], line: str = "line", pos: str = "pos") -> DataFrame:
+    """(key, pos, short_name, step_range, value, latitude, longitude): values at the grid point that a tool chose, in the order of its output.
+
+    A value's line is 'name stepRange ... value'; the point is in a line of its own. ``pos`` numbers the values from 0.
+    """
+    text = F.trim(F.col(line))
+    p = F.split(text, r"\s+")
+    part = lambda i: F.nullif(F.regexp_extract(F.col(line), _POINT, i), F.lit("")).try_cast("double")
+    points = lines.select(*key, pos, part(1).alias("latitude"), part(2).alias("longitude")).where("latitude is not null")
+    chosen = points.groupBy(*key).agg(F.min_by(F.struct("latitude", "longitude"), pos).alias("_p"))
+    value = F.element_at(p, -1).try_cast("double")
+    rows = lines.where(~text.rlike(_NO_VALUE) & (F.size(p) >= 3) & value.isNotNull()).select(*key, pos, p[0].alias("short_name"), p[1].alias("step_range"), value.alias("value"))
+    listed = rows.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(pos, "short_name", "step_range", "value"))).alias("_v"))  # one tool's output
+    both = listed.join(chosen, key).select(*key, "_p", F.posexplode("_v").alias("pos", "_x"))
+    return both.select(*key, "pos", "_x.short_name", "_x.step_range", "_x.value", "_p.latitude", "_p.longitude")
+
+
+def nearest_reject(lines: DataFrame, key: list[str], line: str = "line") -> DataFrame:
+    """(key, reject): outputs without a chosen point, or without any value."""
+    text = F.trim(F.col(line))
+    p = F.split(text, r"\s+")
+    has_value = ~text.rlike(_NO_VALUE) & (F.size(p) >= 3) & F.element_at(p, -1).try_cast("double").isNotNull()
+    agg = lines.groupBy(*key).agg(F.bool_or(F.col(line).rlike(_POINT)).alias("a"), F.bool_or(has_value).alias("b"))
+    return agg.select(*key, F.when(~F.col("a"), "no_grid_point").when(~F.col("b"), "no_values").alias("reject")).where("reject is not null")
 
 
 def with_metadata(metadata: DataFrame, values: DataFrame, key: list[str]) -> DataFrame:
@@ -73,25 +118,31 @@ def native_grid(grid: str, returned: str) -> Column:
     return (F.col(f"{grid}.grid_type") == "unstructured_grid") & (F.col(f"{grid}.grid_number") == 47) & (F.length(f"{grid}.uuid") > 0) & near("latitude") & near("longitude")
 
 
-# The nine context variables by short name or label.
+#: By which native names, or which words of its label, a message is a context variable.
+MATCHES = {
+    "DPT": ("2d dpt", ("dew point",)), "RH": ("2r", ("relative humidity",)), "PRMSL": ("prmsl msl", ("pressure reduced to msl",)), "TCDC": ("tcc", ("total cloud cover",)),
+    "CAPE": ("cape", ("convective available potential energy",)), "CIN": ("cin", ("convective inhibition",)), "DSWRF": ("dswrf sdswrf", ("downward short-wave radiation flux", "downward shortwave radiation flux")),
+}
 VARIABLES = ("TMP", "DPT", "RH", "PRMSL", "PRES", "TCDC", "CAPE", "CIN", "DSWRF")
 
 
-def variable(name: Column | str, label: Column | str, level_type: Column | str, level: Column | str) -> Column:
-    """The context variable that a message holds; temperature needs 2 m above ground and isn't a dew point."""
-    n, t = F.lower(C.col(name)), F.lower(F.coalesce(C.col(label), F.lit("")))
-    two = (C.col(level_type) == "heightAboveGround") & (C.col(level) == 2)
-    return (
-        F.when((n.isin("2d", "dpt") | t.contains("dew")) & two, "DPT").when((n.isin("2t", "t", "tmp") | t.contains("temperature")) & two & ~t.contains("dew"), "TMP")
-        .when(n.isin("2r", "r", "rh") & two, "RH").when(n.isin("prmsl", "msl", "mslet"), "PRMSL").when((n.isin("sp", "pres")) & (C.col(level_type) == "surface"), "PRES")
-        .when(n.isin("tcc", "tcdc"), "TCDC").when(n == "cape", "CAPE").when(n == "cin", "CIN").when(n.isin("sdswrf", "dswrf"), "DSWRF")
-    )
+def variables(name: Column | str, label: Column | str, level_type: Column | str, level: Column | str) -> Column:
+    """The context variables that a message holds. Temperature needs a label that says so, not of a dew point, 2 m above ground; pressure is the surface's."""
+    n, t = F.lower(F.coalesce(C.col(name), F.lit(""))), F.lower(F.coalesce(C.col(label), F.lit("")))
+    two = F.coalesce((C.col(level_type) == "heightAboveGround") & (C.col(level).cast("string") == "2"), F.lit(False))
+    holds = {"TMP": t.contains("temperature") & ~t.contains("dew") & two, "PRES": (n == "sp") | (t == "surface pressure")}
+    for variable, (names, words) in MATCHES.items():
+        holds[variable] = n.isin(*names.split())
+        for w in words:
+            holds[variable] = holds[variable] | t.contains(w)
+    return F.filter(F.array(*(F.when(holds[v], F.lit(v)) for v in VARIABLES)), lambda v: v.isNotNull())
 
 
-def availability(messages: DataFrame, key: list[str], variable_col: str = "variable") -> DataFrame:
-    """A map from every context variable to whether a product has it."""
-    have = messages.groupBy(*key).agg(F.collect_set(variable_col).alias("have"))
-    return have.select(*key, F.map_from_entries(F.transform(F.lit(list(VARIABLES)), lambda v: F.struct(v.alias("key"), F.array_contains("have", v).alias("value")))).alias("available"))
+def availability(messages: DataFrame, key: list[str], product: str = "product", variables_col: str = "variables") -> DataFrame:
+    """(key, product, available): a map from each of the product's own context variables to whether any message holds it."""
+    own = F.create_map(*(F.lit(x) for p in CONTEXT for x in (p, context_variables(p))))
+    have = messages.groupBy(*key, product).agg(F.flatten(F.collect_set(variables_col)).alias("have"))  # sets of nine names at most
+    return have.select(*key, product, F.map_from_entries(F.transform(F.try_element_at(own, F.col(product)), lambda v: F.struct(v.alias("key"), F.array_contains("have", v).alias("value")))).alias("available"))
 
 
 def json_metadata(files: DataFrame, text: str = "text") -> DataFrame:

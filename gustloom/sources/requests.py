@@ -6,29 +6,64 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPOT = (52.4942, 9.3418)
-# Wind flags that every product gets, and weather flags by product.
-WIND_FLAGS = ("var_UGRD=on", "var_VGRD=on", "lev_10_m_above_ground=on")
-WEATHER_FLAGS = {
-    "gfs_0p25": ("var_GUST=on", "var_APCP=on", "var_TMP=on", "var_DPT=on", "var_RH=on", "var_PRMSL=on", "var_PRES=on", "var_TCDC=on", "var_CAPE=on", "var_CIN=on", "var_DSWRF=on", "lev_surface=on", "lev_2_m_above_ground=on", "lev_mean_sea_level=on"),
-    "gefs_0p25s": ("var_GUST=on", "var_APCP=on", "var_TMP=on", "var_RH=on", "var_PRMSL=on", "var_PRES=on", "var_TCDC=on", "var_CAPE=on", "var_CIN=on", "var_DSWRF=on", "lev_surface=on", "lev_2_m_above_ground=on", "lev_mean_sea_level=on"),
-    "gefs_0p50a": ("var_APCP=on", "var_TMP=on", "var_RH=on", "var_PRMSL=on", "var_PRES=on", "var_TCDC=on", "lev_surface=on", "lev_2_m_above_ground=on", "lev_mean_sea_level=on"),
-    "gefs_0p50b": ("var_DPT=on", "var_CAPE=on", "var_CIN=on", "lev_surface=on", "lev_2_m_above_ground=on"),
+# The fields and levels of the context that each product offers.
+CONTEXT = {
+    "gfs_0p25": ("TMP DPT RH PRMSL PRES TCDC CAPE CIN DSWRF", "2_m_above_ground mean_sea_level surface entire_atmosphere 180-0_mb_above_ground 90-0_mb_above_ground 255-0_mb_above_ground"),
+    "gefs_0p25s": ("TMP DPT RH PRMSL PRES TCDC CAPE CIN DSWRF", "2_m_above_ground mean_sea_level surface entire_atmosphere 180-0_mb_above_ground"),
+    "gefs_0p50a": ("TMP RH PRMSL PRES TCDC CAPE CIN DSWRF", "2_m_above_ground mean_sea_level surface entire_atmosphere 180-0_mb_above_ground"),
+    "gefs_0p50b": ("DPT CAPE CIN", "2_m_above_ground surface 255-0_mb_above_ground"),
 }
+# Each product's file and folder (a date, an hour and a lead go into them), the fields that every request asks for, and the digits of its box.
+FILES = {
+    "gfs_0p25": ("gfs.t%02dz.pgrb2.0p25.f%03d", "/gfs.%s/%02d/atmos", "UGRD VGRD GUST", "10_m_above_ground surface", 3),
+    "gefs_0p25s": ("gec00.t%02dz.pgrb2s.0p25.f%03d", "/gefs.%s/%02d/atmos/pgrb2sp25", "UGRD VGRD GUST APCP", "10_m_above_ground surface", 3),
+    "gefs_0p50a": ("gec00.t%02dz.pgrb2a.0p50.f%03d", "/gefs.%s/%02d/atmos/pgrb2ap5", "UGRD VGRD", "10_m_above_ground", 4),
+    "gefs_0p50b": ("gec00.t%02dz.pgrb2b.0p50.f%03d", "/gefs.%s/%02d/atmos/pgrb2bp5", "", "", 4),
+}
+#: Fixed value: the field that the first product asks for unless it only probes.
+NOT_PROBED = {"gfs_0p25": "APCP"}
+
+
+def context_variables(product: str) -> list[str]:
+    """The context fields that a product offers."""
+    return CONTEXT[product][0].split()
+
 
+def flags(product: str, weather: bool = True, probe: bool = False) -> list[str]:
+    """The var_ and lev_ parameters of a product, each once; a probe asks for the wind alone."""
+    fields, levels = FILES[product][2].split(), FILES[product][3].split()
+    if not probe:
+        fields += NOT_PROBED.get(product, "").split()
+        if weather:
+            fields += context_variables(product)
+            levels += CONTEXT[product][1].split()
+    return [f"{kind}_{x}=on" for kind, names in (("var", fields), ("lev", levels)) for x in dict.fromkeys(names)]
 
-def box(padding: Column | float) -> list[Column]:
+
+def box(padding: Column | float, digits: Column | int = 4) -> list[Column]:
     """The bounding box around the spot."""
-    pad = padding if isinstance(padding, Column) else F.lit(padding)
-    side = lambda name, x: F.concat(F.lit(f"{name}="), F.format_string("%.4f", x))
+    pad, form = (x if isinstance(x, Column) else F.lit(x) for x in (padding, digits))
+    number = lambda x: F.when(form == 3, F.format_string("%.3f", x)).otherwise(F.format_string("%.4f", x))
+    side = lambda name, x: F.concat(F.lit(f"{name}="), number(x))
     return [F.lit("subregion="), side("leftlon", F.lit(SPOT[1]) - pad), side("rightlon", F.lit(SPOT[1]) + pad), side("toplat", F.lit(SPOT[0]) + pad), side("bottomlat", F.lit(SPOT[0]) - pad)]
 
 
-def plan(leads: DataFrame, products: dict[str, float], weather: bool = True) -> DataFrame:
+def plan(leads: DataFrame, products: dict[str, float], weather: bool = True, probe: bool = False) -> DataFrame:
     """(model, run, lead, product, query): rows of (model, run, lead) times products, each with its padding in degrees."""
     spark: SparkSession = leads.sparkSession
-    dims = spark.createDataFrame([(p, pad, list(WIND_FLAGS + (WEATHER_FLAGS.get(p, ()) if weather else ()))) for p, pad in products.items()], "product string, padding double, flags array<string>")
-    query = F.concat_ws("&", F.concat(F.lit("cycle="), F.date_format("run", "yyyyMMddHH")), F.concat(F.lit("lead="), F.lpad(F.col("lead").cast("string"), 3, "0")), F.concat_ws("&", "flags"), *box(F.col("padding")))
-    return leads.join(F.broadcast(dims)).select("model", "run", "lead", "product", query.alias("query"))
+    rows = [(p, pad, flags(p, weather, probe), FILES[p][0], FILES[p][1], FILES[p][4]) for p, pad in products.items()]
+    dims = spark.createDataFrame(rows, "product string, padding double, flags array<string>, file string, dir string, digits int")
+    joined = leads.join(F.broadcast(dims))  # a handful of products
+    fill = lambda c, *xs: F.printf(F.col(c), *xs)
+    day, hour = F.date_format("run", "yyyyMMdd"), F.hour("run")
+    query = F.concat_ws("&", F.concat(F.lit("file="), fill("file", hour, F.col("lead"))), F.concat_ws("&", "flags"), *box(F.col("padding"), F.col("digits")), F.concat(F.lit("dir="), F.url_encode(fill("dir", day, hour))))
+    return joined.select("model", "run", "lead", "product", query.alias("query"))
+
+
+def wrong_cycle(answers: DataFrame, key: list[str], wanted: str = "target", got: str = "retrieved") -> DataFrame:
+    """Probe answers (key, target, retrieved): a field of another cycle than the one asked for proves nothing; ``reject`` says so."""
+    same = F.col(got).eqNullSafe(F.col(wanted)) & F.col(wanted).isNotNull()
+    return answers.select(*key, wanted, got, F.when(F.col(got).isNull(), "probe_without_run_time").when(~same, "probe_returned_another_cycle").alias("reject"))
 
 
 def jobs(models: DataFrame, rows: DataFrame, parameters: list[str], inventory: DataFrame) -> DataFrame:

@@ -19,29 +19,45 @@ SENSOR_TYPE, CURRENT, HISTORIC = 48, 2, 4
 
 
 def sensor_rows(payloads: DataFrame, structure: int) -> DataFrame:
-    """(path, row): data rows of the wanted sensor."""
-    sensors = payloads.select("path", F.explode(V.items("payload", "$.sensors")).alias("s"))
-    wanted = (V.number("s", "$.sensor_type") == SENSOR_TYPE) & (V.number("s", "$.data_structure_type") == structure)
-    return sensors.where(wanted).select("path", F.explode(V.items("s", "$.data")).alias("row"))
+    """(path, row): data rows, objects only, of the first sensor that has the wanted type and structure."""
+    wanted = lambda s: F.coalesce((V.number(s, "$.sensor_type") == SENSOR_TYPE) & (V.number(s, "$.data_structure_type") == structure), F.lit(False))
+    sensor = F.get(F.filter(V.items("payload", "$.sensors"), wanted), 0)
+    rows = payloads.select("path", sensor.alias("s")).select("path", F.explode(V.items("s", "$.data")).alias("row"))
+    return rows.where(V.kind("row") == "object")
 
 
-def _observation(row: str, speed: str, gust: str, direction: Column) -> list[Column]:
-    return [
-        F.timestamp_seconds(V.number(row, "$.ts")).alias("time"), C.mph_to_ms(V.number(row, speed)).alias("wind_speed_ms"), C.mph_to_ms(V.number(row, gust)).alias("wind_gust_ms"), direction.alias("wind_direction_deg"),
-    ]
+def _loose(row: str, path: str) -> Column:
+    """A number, or text that reads as one."""
+    return F.coalesce(V.number(row, path), V.text(row, path).try_cast("double"))
+
+
+def _time() -> Column:
+    return F.timestamp_seconds(_loose("row", "$.ts")).alias("time")
 
 
 def current_observation(payloads: DataFrame) -> DataFrame:
-    """The newest row of each payload's sensor."""
-    rows = sensor_rows(payloads, CURRENT).where(V.number("row", "$.ts").isNotNull())
-    typed = rows.select("path", *_observation("row", "$.wind_speed_last", "$.wind_speed_hi_last_10_min", V.number("row", "$.wind_dir_last")))
-    return typed.groupBy("path").agg(F.max_by(F.struct("time", "wind_speed_ms", "wind_gust_ms", "wind_direction_deg"), "time").alias("latest")).select("path", "latest.*")
+    """The newest row of each payload's sensor: the mean of ten minutes, the speed of the moment, the gust of ten minutes, the direction in degrees."""
+    speed = lambda path, name: C.mph_to_ms(_loose("row", path)).alias(name)
+    typed = sensor_rows(payloads, CURRENT).select(
+        "path", _time(), speed("$.wind_speed_10_min_avg", "wind_speed_ms"), speed("$.wind_speed", "wind_speed_instant_ms"), speed("$.wind_gust_10_min", "wind_gust_ms"), _loose("row", "$.wind_dir").alias("wind_direction_deg"),
+    )
+    fields = ("time", "wind_speed_ms", "wind_speed_instant_ms", "wind_gust_ms", "wind_direction_deg")
+    return typed.where("time is not null").groupBy("path").agg(F.max_by(F.struct(*fields), "time").alias("latest")).select("path", "latest.*")
 
 
 def historic_observations(payloads: DataFrame) -> DataFrame:
-    """Rows of the archive; those without a time are dropped. Directions come as sixteenths."""
-    rows = sensor_rows(payloads, HISTORIC)
-    return rows.select("path", *_observation("row", "$.wind_speed_avg", "$.wind_speed_hi", C.sector_degrees(V.number("row", "$.wind_dir_of_prevail")))).where("time is not null")
+    """Rows of the archive; those without a time are dropped. Directions, of the wind and of the highest speed, come as sixteenths."""
+    sector = lambda path, name: C.sector_degrees(_loose("row", path)).alias(name)
+    return sensor_rows(payloads, HISTORIC).select(
+        "path", _time(), C.mph_to_ms(_loose("row", "$.wind_speed_avg")).alias("wind_speed_ms"), C.mph_to_ms(_loose("row", "$.wind_speed_hi")).alias("wind_gust_ms"),
+        sector("$.wind_dir_of_prevail", "wind_direction_deg"), sector("$.wind_dir_of_hi", "wind_gust_direction_deg"), _loose("row", "$.wind_num_samples").cast("int").alias("wind_samples"),
+    ).where("time is not null")
+
+
+def historic_series(payloads: DataFrame) -> DataFrame:
+    """(path, observations): each payload's archive rows as one array, by time. A payload bounds it."""
+    rows = historic_observations(payloads)
+    return rows.groupBy("path").agg(F.array_sort(F.collect_list(F.struct(*[c for c in rows.columns if c != "path"]))).alias("observations"))
 
 
 def chart_series(payloads: DataFrame, now: Column) -> DataFrame:
@@ -75,7 +91,7 @@ def metar_reports(payloads: DataFrame, icao: str, now: Column, tolerance_minutes
     number = lambda p: F.coalesce(V.number("r", p), V.text("r", p).try_cast("double"))
     typed = rows.withColumn("accepted", F.coalesce(fits, F.lit(False))).select(
         "path", "pos", "accepted", time.alias("time"), C.knots_to_ms(number("$.wspd")).alias("wind_speed_ms"), C.knots_to_ms(number("$.wgst")).alias("wind_gust_ms"),
-        F.when(~variable, number("$.wdir")).alias("wind_direction_deg"), variable.alias("wind_direction_variable"),
+        number("$.wdir").alias("wind_direction_deg"), variable.alias("wind_direction_variable"),
     )
     return typed.withColumn("future", F.col("time") > now + F.make_dt_interval(mins=F.lit(tolerance_minutes)))
 
@@ -88,21 +104,32 @@ def metar_latest(reports: DataFrame) -> DataFrame:
 
 
 def metar_quality(reports: DataFrame, now: Column) -> DataFrame:
-    """Counts, availability in percent of hourly reports, the largest gap in minutes, and the class of the age."""
+    """A station's quality: kept, source, rejected and future rows, availability of speed and of a direction (or a variable one) in percent of kept ones, the widest gap in minutes, age and its class."""
     from gustloom.operators.timeline import gaps
 
+    readable = F.col("accepted") & F.col("time").isNotNull()
+    counts = reports.groupBy("path").agg(F.count(F.lit(1)).alias("source_rows"), F.count_if(~readable).alias("rejected_rows"), F.count_if(readable & F.col("future")).alias("future_rows"))
     kept = metar_latest(reports)
-    widest = gaps(kept, ["path"], "time").groupBy("path").agg(F.max("gap_minutes").alias("max_gap_minutes"))
-    agg = kept.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.count_if("wind_direction_variable").alias("variable"), F.min("time").alias("first"), F.max("time").alias("last"))
-    hours = F.greatest(F.lit(1.0), C.hours_between(F.col("first"), F.col("last")) + 1)
-    age = C.age_minutes(now, "last")
-    return agg.join(widest, "path", "left").withColumns({"availability_pct": C.py_round(F.least(F.lit(100.0), 100 * F.col("n") / hours), 1), "age_minutes": age, "availability": C.report_age_class(age)})
+    widest = gaps(kept, ["path"], "time").groupBy("path").agg(C.py_round(F.max("gap_minutes"), 1).alias("max_gap_minutes"))
+    share = lambda c: C.py_round(100 * F.count_if(c) / F.count(F.lit(1)), 1)
+    agg = kept.groupBy("path").agg(
+        F.count(F.lit(1)).alias("records"), share(F.col("wind_speed_ms").isNotNull()).alias("wind_speed_availability_pct"),
+        share(F.col("wind_direction_deg").isNotNull() | F.col("wind_direction_variable")).alias("direction_or_variable_availability_pct"), F.max("time").alias("latest"),
+    )
+    age = F.greatest(F.lit(0.0), C.py_round((F.unix_micros(now) - F.unix_micros("latest")) / 6e7, 1))
+    return counts.join(agg, "path", "left").join(widest, "path", "left").na.fill(0, ["records"]).withColumn("age_minutes", age).withColumn("availability", F.when(F.col("latest").isNotNull(), C.report_age_class("age_minutes")))
+
 
+#: What the names of archive members with measurements hold, and the headers of time, speed and direction.
+PRODUCT_MEMBERS = ("produkt_", "product_")
+CSV_HEADERS = (("MESS_DATUM", "MESS_DATUM_WOZ"), ("F", "FF"), ("D", "DD"))
 
-def station_csv(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
-    """(path, member, time, wind_speed_ms, wind_direction_deg): semicolon CSV in Latin-1 inside zip files, from the member with the most usable rows.
 
-    Headers are matched without case or spaces; -900 and less stand for missing.
+def station_csv(spark: SparkSession, path: str, now: Column | None = None, days: int = 21) -> DataFrame:
+    """(path, member, time, wind_speed_ms, wind_direction_deg): semicolon CSV in Latin-1 inside zip files, from the member with the most usable rows (the first of several).
+
+    Of a file's .txt members those named as products count, or all where none is. Headers are matched without case or
+    surrounding spaces; -900 and less stand for missing. With ``now``, rows older than so many days are left out.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select(F.regexp_extract("path", r"[^/]+$", 0).alias("path"), "content")
 
@@ -110,32 +137,48 @@ def station_csv(spark: SparkSession, path: str, since: str | None = None) -> Dat
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for member in z.namelist():
+                    texts = [m for m in z.namelist() if m.lower().endswith(".txt")]
+                    for order, member in enumerate([m for m in texts if any(p in m.lower() for p in PRODUCT_MEMBERS)] or texts):
                         rows = csv.reader(io.StringIO(z.read(member).decode("latin-1")), delimiter=";")
-                        heads = {h.strip().lower().replace(" ", ""): i for i, h in enumerate(next(rows, []))}
-                        at = [next((heads[a] for a in names if a in heads), None) for names in (("mess_datum", "datum"), ("f", "ff", "wind_speed"), ("d", "dd", "wind_direction"))]
+                        heads = {h.strip().upper(): i for i, h in enumerate(next(rows, []))}
+                        at = [next((heads[h] for h in names if h in heads), None) for names in CSV_HEADERS]
                         if None in at:
                             continue
                         cells = [[r[i] if i < len(r) else None for i in at] for r in rows]
                         if cells:
                             t, s, d = zip(*cells)
-                            yield pa.RecordBatch.from_arrays([pa.array([name] * len(t)), pa.array([member] * len(t)), pa.array(t, pa.string()), pa.array(s, pa.string()), pa.array(d, pa.string())], ["path", "member", "t", "s", "d"])
+                            yield pa.RecordBatch.from_arrays([pa.array([name] * len(t)), pa.array([order] * len(t), pa.int32()), pa.array([member] * len(t)), pa.array(t, pa.string()), pa.array(s, pa.string()), pa.array(d, pa.string())], ["path", "nth", "member", "t", "s", "d"])
 
-    raw = files.mapInArrow(unzip, "path string, member string, t string, s string, d string")
-    typed = raw.select("path", "member", C.packed_time("t").alias("time"), C.locale_number("s").alias("wind_speed_ms"), C.locale_number("d").alias("wind_direction_deg")).where("time is not null and wind_speed_ms is not null and wind_direction_deg is not null")
-    if since is not None:
-        typed = typed.where(F.col("time") >= F.lit(since).cast("timestamp"))
-    counts = typed.groupBy("path", "member").agg(F.count(F.lit(1)).alias("n"))
-    best = counts.groupBy("path").agg(F.max_by("member", F.struct("n", "member")).alias("member"))
-    return typed.join(best, ["path", "member"], "left_semi")
+    raw = files.mapInArrow(unzip, "path string, nth int, member string, t string, s string, d string")
+    typed = raw.select("path", "nth", "member", C.packed_time("t").alias("time"), C.locale_number("s").alias("wind_speed_ms"), C.locale_number("d").alias("wind_direction_deg")).where("time is not null and wind_speed_ms is not null and wind_direction_deg is not null")
+    counts = typed.groupBy("path", "nth").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("path").agg(F.max_by("nth", F.struct("n", -F.col("nth"))).alias("nth"))
+    kept = typed.join(best, ["path", "nth"], "left_semi").drop("nth")
+    return kept if now is None else kept.where(F.col("time") >= now - F.make_dt_interval(days=F.lit(days)))
 
 
 def hrefs(html: Column | str, base: Column | None = None) -> Column:
-    """Links of a directory page; relative ones are put behind ``base``."""
+    """Links of a directory page; with ``base``, the page's address, as they resolve against it."""
     found = F.regexp_extract_all(C.col(html), F.lit("href=[\"']([^\"']+)"), F.lit(1))
-    if base is None:
-        return found
-    return F.transform(found, lambda x: F.when(x.rlike("^[a-z]+://"), x).otherwise(F.concat(F.regexp_replace(base, "/$", ""), F.lit("/"), F.regexp_replace(x, "^/", ""))))
+    return found if base is None else F.transform(found, lambda x: resolved(x, base))
+
+
+def resolved(link: Column, base: Column) -> Column:
+    """A link against the address of its page: whole addresses, //host, /path, ?query, #fragment, and relative paths with . and .. steps."""
+    bare = F.regexp_replace(base, r"[?#].*$", "")
+    scheme = F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
+    site = F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)", 1)
+    path = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "")
+    own, rest = F.regexp_extract(link, r"^([^?#]*)", 1), F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
+    joined = F.when(own.startswith("/"), own).otherwise(F.concat(F.regexp_replace(F.when(path == "", "/").otherwise(path), r"[^/]*$", ""), own))
+    steps = F.split(joined, "/")
+    # A step .. takes the last one back, never above the root; a final . or .. leaves a folder.
+    kept = F.aggregate(steps, F.array().cast("array<string>"), lambda done, x: F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.least(F.size(done), F.lit(1)), F.size(done) - 1))).otherwise(F.concat(done, F.array(x))))
+    folder = F.when(F.element_at(steps, -1).isin(".", ".."), "/").otherwise("")
+    return (
+        F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link).when(link.startswith("//"), F.concat(scheme, link)).when(link.startswith("#") | (link == ""), F.concat(F.regexp_replace(base, r"#.*$", ""), link))
+        .when(link.startswith("?"), F.concat(bare, link)).otherwise(F.concat(site, F.array_join(kept, "/"), folder, rest))
+    )
 
 
 def cycle_and_lead(name: Column | str) -> tuple[Column, Column]:

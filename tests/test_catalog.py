@@ -1,11 +1,16 @@
 """Every registered query of the engine against DuckDB on the same tables."""
 
 import math
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
 
-from gustloom.plans import catalog
+from gustloom.plans import audits, catalog, inputs  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -44,3 +49,15 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(catalog.QUERIES) <= set(entry.queries()) and set(catalog.ORACLE_SQL) <= set(entry.oracle_sql())
+
+
+def test_entry_without_the_llm_folders(tmp_path):
+    """The other queries are there when the llm subpackage, with or without the pipeline, has been taken away."""
+    root = Path(__file__).parent.parent
+    shutil.copytree(root / "gustloom", tmp_path / "gustloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    check = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert 'audit_svg' in q and 'audit_svg' in o and not any(n.startswith('op') or n == 'pipeline' for n in [*q, *o])"
+    for name in ("", "corpus_pipeline.py"):
+        if name and (root / name).exists():
+            shutil.copy(root / name, tmp_path)
+        subprocess.run([sys.executable, "-c", check], cwd=tmp_path, check=True, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})

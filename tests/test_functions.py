@@ -58,9 +58,9 @@ def test_steps(spark):
 def test_small_things(spark):
     r = one(
         spark, C.locale_number(F.lit(" 3,5 ")), C.locale_number(F.lit("-999")), C.sector_degrees(F.lit(4)), C.sector_degrees(F.lit(16)), C.circular_difference(F.lit(350.0), F.lit(10.0)), C.mph_to_ms(F.lit(10.0)), C.knots_to_ms(F.lit(10.0)),
-        C.variable_direction(F.lit("ETNW VRB 02KT"), F.lit("1")), C.variable_direction(F.lit("x"), F.lit("VRB")), C.variable_direction(F.lit("x"), F.lit("120")), C.redact(F.lit("a k&y b k%26y token=abc&x=1"), "k&y"), C.finite(F.lit(float("nan"))),
+        C.variable_direction(F.lit("ETNW VRB 02KT"), F.lit("1")), C.variable_direction(F.lit("x"), F.lit("VRB")), C.variable_direction(F.lit("x"), F.lit("120")), C.redact(F.lit("a k&y b k%26y ?API-KEY=abc&x=1 x-api-secret: d; token=e"), "k&y"), C.finite(F.lit(float("nan"))),
     )
-    assert list(r) == [3.5, None, 90.0, None, 20.0, 4.4704, 5.144, True, True, False, "a [REDACTED] b [REDACTED] token=[REDACTED]&x=1", False]
+    assert list(r) == [3.5, None, 90.0, None, 20.0, 4.4704, 5.144, True, True, False, "a ***REDACTED*** b ***REDACTED*** ?API-KEY=***REDACTED***&x=1 x-api-secret: ***REDACTED***; token=e", False]
     s, bad = C.availability_status(F.lit("not_offered"), F.lit(False)), C.availability_status(F.lit("odd"), F.lit(False))
     r = one(spark, s[0], s[1], bad[0], bad[1], C.availability_status(F.lit(None).cast("string"), F.lit(True))[0])
     assert r[0] == "not_yet_published" and r[1] is None and r[2] is None and r[3] and r[4] == "fetch_error"
@@ -68,7 +68,7 @@ def test_small_things(spark):
 
 def test_classes(spark):
     r = one(spark, *(C.archive_age_class(F.lit(x)) for x in (-16.0, 180.0, 2880.0, 2881.0)), *(C.report_age_class(F.lit(x)) for x in (120.0, 360.0, 361.0)), *(C.due(F.lit(x), 150.0) for x in (-16.0, -1.0, 149.9, 150.0)), C.due(F.lit(None).cast("double"), 150.0))
-    assert list(r) == ["future", "recent", "plausible", "delayed", "fresh", "delayed", "stale", True, False, False, True, True]
+    assert list(r) == ["timestamp_validation_failure", "recent_historical_reference", "provider_archive_lag_plausible", "provider_archive_unusually_delayed", "fresh", "delayed", "stale", True, False, False, True, True]
 
 
 def test_first_alias(spark):

@@ -1,17 +1,19 @@
 """Gate, publication, streaming, sources and small operators."""
 
 import gzip
-import io
+import hashlib
 import json
 import zipfile
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gustloom.operators import coverage, ensemble, gate, timeline
+from gustloom.rules.engine import bundle_rules, issues
 from gustloom.sinks import publish as P
 from gustloom.sources import bundles as B
 from gustloom.sources import grib_text, requests, stations
@@ -22,32 +24,94 @@ T0 = datetime(2026, 9, 25, 0)
 
 def test_gate(spark):
     run = "model string, run timestamp"
-    found = spark.createDataFrame([("A", T0), ("B", T0), ("C", T0), ("D", T0), ("E", None)], run)
-    have = spark.createDataFrame([("A", T0), ("B", T0), ("D", T0)], run)
-    latest = spark.createDataFrame([("A", T0, True), ("B", T0, False), ("D", T0, True)], run + ", complete boolean")
-    seed = spark.createDataFrame([("A", T0), ("A", T0), ("B", T0), ("D", T0)], run)
-    retry = spark.createDataFrame([("D", T0, "pending", 0, T0 + timedelta(hours=3))], run + ", state string, attempts int, not_before timestamp")
+    found = spark.createDataFrame([("A", T0, None), ("B", T0, None), ("C", T0, None), ("GEFS-control", T0, None), ("E", None, None), ("F", T0, "timeout")], run + ", probe_error string")
+    have = spark.createDataFrame([("A", T0), ("B", T0), ("GEFS-control", T0), ("F", T0)], run)
+    latest = spark.createDataFrame([("A", T0, True), ("B", T0, False), ("GEFS-control", T0, True), ("F", T0, True)], run + ", complete boolean")
+    seed = spark.createDataFrame([("A", T0), ("A", T0), ("B", T0), ("B", T0 + timedelta(hours=6)), ("GEFS-control", T0), ("F", T0)], run)
+    later = T0 + timedelta(hours=3)
+    retry = spark.createDataFrame([("GEFS-control", T0, "pending", 0, later), ("A", T0, "pending", 0, later)], run + ", state string, attempts int, not_before timestamp")
     plan = lambda h: {r["model"]: (r["action"], r["reason"]) for r in gate.plan(found, have, latest, seed, retry, F.lit(T0 + timedelta(hours=h))).collect()}
-    assert plan(3) == {"A": ("carry_forward", "already_archived"), "B": ("fetch", "source_not_current"), "C": ("fetch", "cycle_not_archived"), "D": ("supplement", "supplement_due"), "E": ("fetch", "no_cycle_discovered")}
-    assert plan(2.9)["D"] == ("carry_forward", "already_archived")
+    assert plan(3) == {
+        "A": ("carry_forward", "selected_cycle_already_archived"), "B": ("fetch", "fetch_fail_open_missing_latest_success_source_seed_payload_rows"), "C": ("fetch", "fetch_fail_open_missing_private_cycle_evidence_latest_success_source_seed_payload_rows"),
+        "GEFS-control": ("supplemental_retry", "archived_cycle_has_due_bounded_pgrb2b_retry"), "E": ("fetch", "probe_not_run_fail_open"), "F": ("fetch", "provider_cycle_probe_failed_fail_open"),
+    }
+    assert plan(2.9)["GEFS-control"] == ("carry_forward", "selected_cycle_already_archived")
     states = spark.createDataFrame([(None, None, 0, False), (None, None, 2, False), ("pending", 0, 2, True), ("pending", 0, 0, True)], "s string, a int, m int, t boolean")
     assert [r[0] for r in states.select(gate.next_retry(F.col("s"), F.col("a"), F.col("m"), F.col("t"), F.lit(T0))["state"]).collect()] == ["not_needed", "pending", "exhausted", "complete"]
 
 
+def contents(spark, *rows):
+    return spark.createDataFrame([(kind, T0 + timedelta(hours=h), content) for kind, h, content in rows], "kind string, generated_at timestamp, content binary")
+
+
 def test_publish(spark, tmp_path):
-    root = str(tmp_path / "store")
-    row = lambda kind, h, content: (kind, T0 + timedelta(hours=h), content)
-    df = lambda *rows: spark.createDataFrame(rows, "kind string, generated_at timestamp, content binary")
-    now = F.lit(T0)
-    first = P.publish(spark, root, df(row("models", 2, b"a"), row("svg", 1, b"b")), now)
+    root, now = str(tmp_path / "store"), F.lit(T0)
+    first = P.publish(spark, root, contents(spark, ("models", 2, b"a"), ("svg", 1, b"b")), now)
     assert sorted(r["outcome"] for r in first.collect()) == ["written", "written"]
     before = P.objects(spark, root).select("path", "sha256")
-    again = P.publish(spark, root, df(row("models", 2, b"a"), row("models", 1, b"old")), now)
+    again = P.publish(spark, root, contents(spark, ("models", 2, b"a"), ("models", 1, b"old")), now)
     assert sorted(r["outcome"] for r in again.collect()) == ["same", "written"]
     assert {r["kind"]: r["generated_at"] for r in P.pointers(spark, root).collect()} == {"models": T0 + timedelta(hours=2), "svg": T0 + timedelta(hours=1)}
-    assert P.preserved(spark, root, before).count() == 0 and P.receipts(spark, root).count() == 3
+    assert P.preserved(spark, root, before).count() == 0 and P.receipts(spark, root).count() == 3 and P.Store(spark, root).version() == 2
     with pytest.raises(P.Conflict):
-        P.publish(spark, root, df(row("models", 2, b"other")), now)
+        P.publish(spark, root, contents(spark, ("models", 2, b"other")), now)
+    third = P.publish(spark, root, contents(spark, ("models", 2, b"a")), now)
+    assert [r["outcome"] for r in third.collect()] == ["same"] and P.Store(spark, root).version() == 2 and P.objects(spark, root).count() == 3
+    held = P.objects(spark, root).where("kind = 'svg'").first()
+    assert gzip.decompress(held["content"]) == b"b" and held["source_sha256"] == hashlib.sha256(b"b").hexdigest() and held["sha256"] == hashlib.sha256(gzip.compress(b"b", 9, mtime=0)).hexdigest()
+
+
+def test_publish_behind_another_writer(spark, tmp_path, monkeypatch):
+    """Who loses the race for a version looks again: a pointer that has moved on stays, and the objects go on top of the winner's."""
+    root, now, waits = str(tmp_path / "store"), F.lit(T0), []
+    claim, raced = P.Store.claim, []
+
+    def late(store, version, commit):
+        if not raced:
+            raced.append(version)
+            P.publish(spark, root, contents(spark, ("models", 5, b"theirs")), now)
+        return claim(store, version, commit)
+
+    monkeypatch.setattr(P.Store, "claim", late)
+    ours = P.publish(spark, root, contents(spark, ("models", 3, b"ours"), ("svg", 3, b"ours too")), now, sleep=waits.append)
+    assert sorted(r["outcome"] for r in ours.collect()) == ["written", "written"] and waits == [1] and raced == [1]
+    assert {r["kind"]: r["generated_at"].hour for r in P.pointers(spark, root).collect()} == {"models": 5, "svg": 3}
+    assert P.objects(spark, root).count() == 3 and P.Store(spark, root).version() == 2
+    monkeypatch.setattr(P.Store, "claim", lambda *a: False)
+    with pytest.raises(RuntimeError, match="another writer"):
+        P.publish(spark, root, contents(spark, ("svg", 9, b"z")), now, sleep=waits.append)
+    assert waits[1:] == [1, 2, 4, 8, 12, 16, 20] and P.objects(spark, root).count() == 3
+
+
+def test_uncommitted_files_are_not_there(spark, tmp_path, monkeypatch):
+    root, now = str(tmp_path / "store"), F.lit(T0)
+    P.publish(spark, root, contents(spark, ("svg", 1, b"b")), now)
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(P.Store, "claim", lost)
+        with pytest.raises(OSError):
+            P.publish(spark, root, contents(spark, ("svg", 2, b"c")), now)
+    assert P.objects(spark, root).count() == 1 and P.pointers(spark, root).first()["generated_at"].hour == 1
+    assert [r["outcome"] for r in P.publish(spark, root, contents(spark, ("svg", 2, b"c")), now).collect()] == ["written"] and P.objects(spark, root).count() == 2
+
+
+def test_publish_without_work(spark, tmp_path):
+    root = str(tmp_path / "store")
+    plan = spark.createDataFrame([("GFS", "carry_forward")], "model string, action string")
+    out = P.publish(spark, root, contents(spark, ("models", 1, b"a"), ("svg", 1, b"b")), F.lit(T0), plan=plan)
+    assert {r["kind"]: r["outcome"] for r in out.collect()} == {"models": "suppressed_noop", "svg": "written"} and P.objects(spark, root).count() == 1
+
+
+def test_snapshot_replaces_what_it_is_made_of(spark, tmp_path):
+    out = str(tmp_path / "snap")
+    rows = spark.createDataFrame([("p", 6, 1.0), ("p", 3, 2.0), ("q", 0, 3.0)], "path string, lead int, v double")
+    P.snapshot(spark, rows, out, F.lit(T0))
+    P.snapshot(spark, P.read_snapshot(spark, out).where("lead > 0"), out, F.lit(T0 + timedelta(hours=1)))
+    got = P.read_snapshot(spark, out).orderBy("path", "lead").collect()
+    assert [(r["path"], r["lead"], r["leads_hours"], r["retrieved_at"]) for r in got] == [("p", 3, [3, 6], T0 + timedelta(hours=1)), ("p", 6, [3, 6], T0 + timedelta(hours=1))]
 
 
 def test_batch(spark):
@@ -86,51 +150,100 @@ def test_bundle_files(spark, tmp_path):
     b = B.read_bundles(spark, str(tmp_path), manifest)
     got = {r["path"]: (r["present"], r["n_bytes"] is not None, r["p"]) for r in b.select("path", "present", "n_bytes", F.col("payload").isNotNull().alias("p")).collect()}
     assert got == {"a.json": (True, True, True), "b.json": (True, True, False), "c.json": (False, False, False)}
+    (tmp_path / ".a.json.crc").write_bytes(b"crc\0\0\0\2\0wrong sums")  # the file system finds other bytes than were written
+    broken = B.read_bundles(spark, str(tmp_path), manifest)
+    got = {r["path"]: (r["present"], r["n_bytes"]) for r in broken.select("path", "present", "n_bytes").collect()}
+    assert got["a.json"] == (True, None) and got["b.json"][1] == 2
+    codes = {(r["path"], r["code"]) for r in issues(broken, ["path"], *bundle_rules("MODEL", "collector")).collect()}
+    assert codes == {("a.json", "MODEL_BUNDLE_FILE_READ_FAILED"), ("b.json", "MODEL_BUNDLE_JSON_INVALID"), ("c.json", "MODEL_BUNDLE_FILE_NOT_CREATED")}
+    (tmp_path / ".a.json.crc").unlink()
     values = {(r["parameter"], r["message"]): (r["value"], r["error"]) for r in B.native_values(B.records(b)).collect()}
     assert values == {("t", 0): (1.0, None), ("u", 0): (2.0, None), ("u", 1): (3.0, None), ("w", 0): (None, "x")}
 
 
-def test_station_sources(spark, tmp_path):
-    z = io.BytesIO()
-    with zipfile.ZipFile(z, "w") as f:
-        f.writestr("meta.txt", "a;b\n1;2\n")
-        f.writestr("data.txt", "STATIONS_ID; MESS_DATUM;  F;  D;eor\n5705;2026092500;  3,5; 240;eor\n5705;2026092501; -999; 240;eor\n5705;2026092502;4.0;250;eor\n".encode("latin-1"))
-    (tmp_path / "x.zip").write_bytes(z.getvalue())
-    rows = stations.station_csv(spark, str(tmp_path)).orderBy("time").collect()
-    assert [(r["time"], r["wind_speed_ms"]) for r in rows] == [(T0, 3.5), (T0 + timedelta(hours=2), 4.0)]
-    payload = {"sensors": [{"sensor_type": 48, "data_structure_type": 2, "data": [{"ts": 10, "wind_speed_last": 10.0, "wind_dir_last": 90}, {"ts": 20, "wind_speed_last": 20.0}]}, {"sensor_type": 48, "data_structure_type": 4, "data": [{"ts": 5, "wind_speed_avg": 1.0, "wind_dir_of_prevail": 4}, {"wind_speed_avg": 1.0}]}]}
-    p = B.from_text(spark.createDataFrame([("s", json.dumps(payload))], "bundle_id string, json string"))
-    assert stations.current_observation(p).first()["wind_speed_ms"] == 8.9408
-    assert [r["wind_direction_deg"] for r in stations.historic_observations(p).collect()] == [90.0]
-    metar = [{"icaoId": "ETNW", "obsTime": 1790294400, "wspd": 10, "wdir": "VRB", "rawOb": "ETNW 250000Z VRB10KT"}, {"icaoId": "XXXX"}, 5, {"obsTime": 1790294400, "wspd": 12, "wdir": 240}, {"reportTime": "2026-09-25T02:00:00Z", "obsTime": "bad", "wspd": 5, "wdir": 240}]
-    m = B.from_text(spark.createDataFrame([("m", json.dumps(metar))], "bundle_id string, json string"))
-    reports = stations.metar_reports(m, "ETNW", F.lit(T0 + timedelta(hours=3)))
-    kept = stations.metar_latest(reports).orderBy("time").collect()
-    assert [(r["wind_speed_ms"], r["wind_direction_variable"]) for r in kept] == [(6.173, False), (2.572, False)]
-    q = stations.metar_quality(reports, F.lit(T0 + timedelta(hours=3))).first()
-    assert q["n"] == 2 and q["max_gap_minutes"] == 120.0 and q["availability"] == "fresh"
-    chart = {"data": {"data": [{"x": "2026-09-25 00:00:00", "y": 1.5}, {"x": "2026-09-25 09:00:00", "y": 2.5}, {"x": "bad", "y": 1}]}}
-    c = B.from_text(spark.createDataFrame([("c", json.dumps(chart))], "bundle_id string, json string"))
-    s = stations.chart_summary(stations.chart_series(c, F.lit(T0)), ["path"]).first()
-    assert (s["n"], s["future_count"], s["latest_value"]) == (1, 1, 1.5)
+def test_station_csv(spark, tmp_path):
+    """Members named as products come before others; of several the one with the most usable rows; old rows go where a clock is given."""
+    row = lambda *cells: ";".join(cells) + ";eor\n"
+    head = row("STATIONS_ID", " mess_datum_woz", "  F", "   D")
+    files = {
+        "a.zip": {"meta.txt": head + row("1", "2025010100", "1", "10") * 9, "Produkt_x.txt": head + row("1", "2025010100", " 3,5", "240") + row("1", "2025010101", "-999", "240") + row("1", "2025010102", "4.0", "250"), "produkt_y.txt": head + row("1", "2025010100", "9", "1"), "produkt.csv": head},
+        "b.zip": {"one.txt": "a;b\n1;2\n", "two.txt": row("MESS_DATUM", "FF", "DD") + row("202412010030", "2", "0") + row("2024120101", "2", "") + row("2025010100", "2", "5")}, "c.zip": {"notes.md": head},
+    }
+    for name, members in files.items():
+        with zipfile.ZipFile(tmp_path / name, "w") as f:
+            for member, text in members.items():
+                f.writestr(member, text.encode("latin-1"))
+    day = datetime(2025, 1, 1)
+    got = lambda now: sorted((r["path"], r["member"], r["time"], r["wind_speed_ms"]) for r in stations.station_csv(spark, str(tmp_path), now).collect())
+    kept = [("a.zip", "Produkt_x.txt", day, 3.5), ("a.zip", "Produkt_x.txt", day + timedelta(hours=2), 4.0), ("b.zip", "two.txt", day, 2.0)]
+    assert got(None) == sorted([*kept, ("b.zip", "two.txt", datetime(2024, 12, 1, 0, 30), 2.0)]) and got(F.lit(day)) == kept
+
+
+def test_sensors(spark):
+    wanted = lambda kind, *rows: {"sensor_type": 48, "data_structure_type": kind, "data": list(rows)}
+    now = wanted(2, {"ts": 10, "wind_speed_10_min_avg": 1}, "x", {"ts": "20", "wind_speed_10_min_avg": "20", "wind_speed": 5, "wind_gust_10_min": None, "wind_dir": 90}, {"wind_speed": 7})
+    then = wanted(4, {"ts": 90, "wind_speed_avg": 2, "wind_dir_of_prevail": 4, "wind_dir_of_hi": 16, "wind_num_samples": 40}, {"wind_speed_avg": 3}, {"ts": 30, "wind_dir_of_hi": 15})
+    p = B.from_text(spark.createDataFrame([("s", json.dumps({"sensors": [{"sensor_type": 1, "data_structure_type": 2, "data": [{"ts": 99}]}, now, then, wanted(2, {"ts": 50})]})), ("t", "[]")], "bundle_id string, json string"))
+    assert [tuple(r)[2:] for r in stations.current_observation(p).collect()] == [(8.9408, 2.2352, None, 90.0)]
+    series = stations.historic_series(p).first()["observations"]
+    assert [(x["time"].timestamp(), x["wind_speed_ms"], x["wind_direction_deg"], x["wind_gust_direction_deg"], x["wind_samples"]) for x in series] == [(30, None, None, 337.5, None), (90, 0.8941, 90.0, None, 40)]
 
 
 def test_grib_text(spark):
-    lines = spark.createDataFrame([("f", "10u 20260920 600 3 20260920 900"), ("f", "10v 20260920 600 0-6 20260920 1200"), ("g", "10u 20260920 600 3 20260920 900")], "file string, line string")
+    lines = spark.createDataFrame([("f", "10u 20250314 600 3 20250314 900"), ("f", " 10v  20250314 600 0-6 20250314 1200 x"), ("g", "10u 20250314 600 3 20250314 900"), ("g", "  "), ("h", "10u 20250314 600 3")], "file string, line string")
     m = grib_text.identities(lines)
-    run, valid = F.lit(datetime(2026, 9, 20, 6)), F.lit(datetime(2026, 9, 20, 9))
-    assert {r["file"]: r["reason"] for r in grib_text.identity_reject(m, ["file"], run, valid).collect()} == {"f": "valid_time_mismatch", "g": None}
+    run, valid = F.lit(datetime(2025, 3, 14, 6)), F.lit(datetime(2025, 3, 14, 9))
+    assert [(r["file"], r["reject"]) for r in m.where("reject is not null").collect()] == [("h", "incomplete_identity_row")] and m.count() == 4
+    assert {r["file"]: r["reason"] for r in grib_text.identity_reject(m.where("reject is null"), ["file"], run, valid).collect()} == {"f": "valid_time_mismatch", "g": None}
     assert grib_text.exact(m, run, valid).count() == 2
-    b = {r["file"]: (r["missing_leads"], r["extra_leads"]) for r in grib_text.batch_leads(m, ["file"], F.lit([3, 6])).collect()}
-    assert b == {"f": ([], []), "g": ([6], [])}
-    v = spark.createDataFrame([("tcc", "x", "surface", 0), ("2t", "2 metre temperature", "heightAboveGround", 2), ("2t", "2 metre temperature", "heightAboveGround", 10), ("2d", "2 metre dewpoint temperature", "heightAboveGround", 2)], "n string, l string, t string, v int")
-    assert [r[0] for r in v.select(grib_text.variable("n", "l", "t", "v")).collect()] == ["TCDC", "TMP", None, "DPT"]
-    plan = requests.plan(spark.createDataFrame([("GFS", T0, 3)], "model string, run timestamp, lead int"), {"gfs_0p25": 0.3}).first()["query"]
-    assert "lead=003" in plan and "leftlon=9.0418" in plan and "var_UGRD=on" in plan
+    b = {r["file"]: (r["leads"], [tuple(x) for x in r["failures"]]) for r in grib_text.batch_leads(m.where("reject is null"), ["file"], run, F.lit([3, 6])).collect()}
+    assert b == {"f": ([3, 6], []), "g": ([3], [("expected_leads_missing_from_grib_batch", None, 6)])}
+    out = [("a", i, x) for i, x in enumerate(["edition 2", "tcc 0-3 20250314 0.75", "2t 3 x 281.5", "2t 3 missing", "Grid Point chosen #2 index=4 latitude=-52.5 longitude=9.25 distance=1 (Km)"])] + [("b", 0, "2t 3 1.5"), ("c", 0, "Grid Point chosen latitude=1 longitude=2")]
+    tool = spark.createDataFrame(out, "f string, pos int, line string")
+    assert [tuple(r) for r in grib_text.nearest(tool, ["f"]).orderBy("pos").collect()] == [("a", 0, "tcc", "0-3", 0.75, -52.5, 9.25), ("a", 1, "2t", "3", 281.5, -52.5, 9.25)]
+    assert {r["f"]: r["reject"] for r in grib_text.nearest_reject(tool, ["f"]).collect()} == {"b": "no_grid_point", "c": "no_values"}
+    meta = spark.createDataFrame([("a", 0, "tcc"), ("a", 1, "2d")], "f string, pos int, short_name string")
+    assert [r["mismatch"] for r in grib_text.with_metadata(meta, grib_text.nearest(tool, ["f"]), ["f"]).orderBy("pos").collect()] == [False, True]
+    plan = requests.plan(spark.createDataFrame([("GFS", T0, 3)], "model string, run timestamp, lead int"), {"gfs_0p25": 0.3}, probe=True).first()["query"]
+    assert "f003" in plan and "leftlon=9.042" in plan and "var_UGRD=on" in plan and "APCP" not in plan and "TMP" not in plan
     cols = spark.createDataFrame([("a", [1, 2], ["x", "y"]), ("b", [1], ["x", "y"])], "f string, p array<int>, q array<string>")
     assert grib_text.zipped(cols, ["f"], ["p", "q"]).count() == 2 and grib_text.zip_reject(cols, ["f"], ["p", "q"]).first()["f"] == "b"
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(-5, 40)), min_size=1, max_size=60), st.integers(1, 9))
+def test_lag_over_ranges_by_brute_force(spark, rows, ranges):
+    df = spark.createDataFrame([(i, k if k == "a" else None, v) for i, (k, v) in enumerate(rows)], "i int, k string, v int")
+    got = {r["i"]: r["before"] for r in timeline.lagged(df, ["k"], "i", "v", "before", ranges).collect()}
+    last, want = {}, {}
+    for i, (k, v) in enumerate(rows):
+        want[i] = last.get(k)
+        last[k] = v
+    assert got == want
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.one_of(st.none(), st.integers(-3, 3).map(float), st.floats(-1e6, 1e6))), min_size=1, max_size=80), st.integers(2, 9))
+def test_large_percentiles_by_brute_force(spark, rows, bins):
+    df = spark.createDataFrame([(k if k == "a" else None, v) for k, v in rows], "k string, v double")
+    shares = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {r["k"]: tuple(r)[1:] for r in ensemble.large_percentiles(df, ["k"], "v", shares, bins).collect()}
+    want = {}
+    for key in {k if k == "a" else None for k, v in rows if v is not None}:
+        vs = [v for k, v in rows if (k if k == "a" else None) == key and v is not None]
+        want[key] = (len(vs), *(pytest.approx(float(np.quantile(vs, s)), abs=1e-6) for s in shares))
+    assert got == want
+
+
+def test_first_wins_and_top(spark):
+    rows = spark.createDataFrame([("a", 2, "x"), ("a", None, "y"), ("a", 1, None), ("b", None, "z")], "k string, o int, v string")
+    assert sorted(map(tuple, timeline.first_wins(rows, ["k"], ["o"]).collect())) == [("a", 1, None), ("b", None, "z")]
+    assert sorted((r["k"], r["n"]) for r in timeline.top(rows, ["k"], ["o", "v"], 2).collect()) == [("a", 1), ("a", 2), ("b", 1)]
+    cycles = spark.createDataFrame([("a", 1, True), ("a", 2, False), ("a", 3, False), ("b", 1, False)], "k string, c int, p boolean")
+    assert [tuple(r) for r in timeline.newest_eligible(cycles, ["k"], "c", "p").collect()] == [("a", 1, 3)]
+    assert [[x["cycle"] for x in r["trail"]] for r in timeline.newest_eligible(cycles, ["k"], "c", "p", most=2).collect()] == [[3, 2]]
+
+
 def test_ensemble(spark):
     rows = spark.createDataFrame([("k", ["2026-09-25T00:00:00Z", "2026-09-25T01:00:00Z"], {"wind_speed_10m": {"0": [1.0, 2.0], "1": [3.0, 4.0]}})], "k string, times array<string>, columns map<string, map<string, array<double>>>")
     long = ensemble.unpivot_hourly(rows, ["k"])

@@ -1,5 +1,6 @@
 """Records of cycles, verified payloads, JSON metadata, canonical hashes."""
 
+import base64
 import gzip
 import hashlib
 import json
@@ -45,7 +46,8 @@ def test_summaries(spark):
     assert {r["kind"]: r["older_than_latest"] for r in R.older_than_latest(a, late).collect()} == {"k": True, "n": False}
     s = spark.createDataFrame([([3, 6, 9], [3, 9])], "got array<int>, ok array<int>")
     assert R.filter_lead_lists(s, ["got"], "ok").first()["got"] == [3, 9]
-    assert dict((k, p) for k, p, _ in R.state_pointers())["etnw"].endswith("secondary_batch.json")
+    own = {k: (p.split("/", 3)[3], f) for k, p, f in R.state_pointers()}
+    assert own["etnw"] == ("integrity/etnw/latest_success.json", "generated_at_utc") and own["secondary"] == ("transfer_receipts/secondary/latest.json", "source_generated_at_utc")
 
 
 def test_verified_payloads(spark, tmp_path):
@@ -73,6 +75,15 @@ def test_canonical_sha(spark):
 
 
 def test_request_diagnostics(spark):
-    p = {"request_diagnostics": {"current": {"success": True, "http_status": 200}}, "requests": [{"kind": "wind", "success": False, "exception_type": "Timeout"}]}
-    rows = {r["endpoint"]: (r["success"], r["http_status"], r["exception_type"]) for r in B.request_diagnostics(B.from_text(spark.createDataFrame([("a", json.dumps(p))], "bundle_id string, json string"))).collect()}
-    assert rows == {"current": (True, 200, None), "wind": (False, None, "Timeout")}
+    p = {"request_diagnostics": {"current": {"success": True, "http_status": 200, "response_bytes": 70}}, "requests": [{"kind": "wind", "success": False, "exception_type": "Timeout"}, {"kind": "gust", "success": True, "provider_error": 7, "response_bytes": 5}, {"kind": "rain", "success": True, "provider_error": "0"}]}
+    d = B.request_diagnostics(B.from_text(spark.createDataFrame([("a", json.dumps(p))], "bundle_id string, json string")))
+    rows = {r["endpoint"]: (r["success"], r["http_status"], r["exception_type"], r["provider_error"]) for r in d.collect()}
+    assert rows == {"current": (True, 200, None, None), "wind": (False, None, "Timeout", None), "gust": (False, None, None, "7"), "rain": (True, None, None, None)}
+    assert tuple(B.response_bytes(d).first()) == ("a", 4, 75)
+
+
+def test_pointers_from_base64(spark):
+    text = base64.b64encode(b'{"generated_at_utc": "2025-01-01T00:00:00Z"}').decode()
+    rows = [("a", text[:9] + "\n" + text[9:] + "\n"), ("b", None), ("c", "***"), ("d", base64.b64encode(b"{").decode())]
+    got = {r["k"]: r["t"] for r in B.pointer_json(spark.createDataFrame(rows, "k string, content string")).select("k", V.text("pointer", "$.generated_at_utc").alias("t")).collect()}
+    assert got == {"a": "2025-01-01T00:00:00Z", "b": None, "c": None, "d": None}
