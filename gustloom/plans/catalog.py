@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustloom.functions import columns as C
 from gustloom.functions import variants as V
 from gustloom.operators import coverage, ensemble, gate, leads, records, timeline
+from gustloom.sinks import publish
 from gustloom.sources import grib_text, stations
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,7 +41,7 @@ def completeness_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
     spans = lines.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("n"))
     expected = spans.select("l_orderkey", F.explode(F.sequence(F.lit(1), "n")).alias("l_linenumber"))
-    return expected.join(lines, ["l_orderkey", "l_linenumber"], "left_anti")
+    return coverage.missing(expected, lines, ["l_orderkey", "l_linenumber"])
 
 
 @query("""
@@ -116,18 +117,22 @@ _NOW = "2024-02-01 00:00:00"
 
 @query(f"""
     WITH a AS (SELECT event_id, (epoch_us(TIMESTAMP '{_NOW}') - epoch_us(ts)) / 6e7 AS age FROM events)
-    SELECT event_id, CASE WHEN age < -15 THEN 'future' WHEN age <= 180 THEN 'recent' WHEN age <= 2880 THEN 'plausible' ELSE 'delayed' END AS archive_class,
-           CASE WHEN age <= 120 THEN 'fresh' WHEN age <= 360 THEN 'delayed' ELSE 'stale' END AS report_class, age < -15 OR greatest(age, 0) >= 150 AS is_due FROM a""")
+    SELECT event_id, CASE WHEN age < -15 THEN 'timestamp_validation_failure' WHEN age <= 180 THEN 'recent_historical_reference' WHEN age <= 2880 THEN 'provider_archive_lag_plausible' ELSE 'provider_archive_unusually_delayed' END AS archive_class,
+           CASE WHEN age <= 120 THEN 'fresh' WHEN age <= 360 THEN 'delayed' ELSE 'stale' END AS report_class, age < -15 OR greatest(age, 0) >= 150 AS is_due,
+           CASE WHEN age < -15 THEN 'latest_success_timestamp_future_fail_open' WHEN age >= 150 THEN 'last_success_age_exceeds_threshold' ELSE 'last_success_within_threshold' END AS due_reason FROM a""")
 def freshness_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     age = (F.unix_micros(F.lit(_NOW).cast("timestamp")) - F.unix_micros("ts")) / 6e7
     aged = events(spark, sf_dir).select("event_id", age.alias("age"))
-    return aged.select("event_id", C.archive_age_class("age").alias("archive_class"), C.report_age_class("age").alias("report_class"), C.due("age", 150.0).alias("is_due"))
+    return aged.select("event_id", C.archive_age_class("age").alias("archive_class"), C.report_age_class("age").alias("report_class"), C.due("age", 150.0).alias("is_due"), C.due_reason("age", 150.0).alias("due_reason"))
 
 
-@query(f"SELECT event_type, count(*) FILTER (ts <= TIMESTAMP '{_NOW}') AS kept, count(*) FILTER (ts > TIMESTAMP '{_NOW}') AS future_count FROM events GROUP BY 1")
+@query(f"""
+    WITH e AS (SELECT *, ts > TIMESTAMP '{_NOW}' AS future FROM events)
+    SELECT event_type, count(*) FILTER (NOT future) AS n, count(*) FILTER (future) AS future_count, min(ts) FILTER (NOT future) AS first_time, max(ts) FILTER (NOT future) AS last_time FROM e GROUP BY 1""")
 def future_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    late = F.col("ts") > F.lit(_NOW).cast("timestamp")
-    return events(spark, sf_dir).groupBy("event_type").agg(F.count_if(~late).alias("kept"), F.count_if(late).alias("future_count"))
+    points = events(spark, sf_dir).select("event_type", F.col("ts").alias("time"), "value", (F.col("ts") > F.lit(_NOW).cast("timestamp")).alias("future"))
+    ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return stations.chart_summary(points, ["event_type"]).select("event_type", "n", "future_count", ntz("first_time"), ntz("last_time"))
 
 
 @query("""
@@ -142,13 +147,15 @@ def nearest_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_returnflag, quantile_cont(l_quantity, 0.1) AS p10, quantile_cont(l_quantity, 0.25) AS p25, quantile_cont(l_quantity, 0.75) AS p75, quantile_cont(l_quantity, 0.9) AS p90 FROM lineitem GROUP BY 1")
 def exact_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = F.percentile("l_quantity", F.array(*map(F.lit, (0.1, 0.25, 0.75, 0.9))))
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(q.alias("q")).select("l_returnflag", *(F.get("q", i).alias(n) for i, n in enumerate(("p10", "p25", "p75", "p90"))))
+    found = ensemble.large_percentiles(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_quantity", [0.1, 0.25, 0.75, 0.9])
+    return found.select("l_returnflag", *(F.col(f"p{i}").alias(n) for i, n in enumerate(("p10", "p25", "p75", "p90"))))
 
 
 @query("SELECT event_type, median(value) AS med, round(stddev_pop(value), 6) AS spread FROM events GROUP BY 1")
 def median_stddev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.median("value").alias("med"), F.round(F.stddev_pop("value"), 6).alias("spread"))
+    e = table(spark, sf_dir, "events")
+    middle = ensemble.large_percentiles(e, ["event_type"], "value", [0.5]).select("event_type", F.col("p0").alias("med"))
+    return e.groupBy("event_type").agg(F.round(F.stddev_pop("value"), 6).alias("spread")).join(middle, "event_type")
 
 
 @query("""
@@ -173,10 +180,14 @@ def wind_from_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("vec_id", F.round(s, 6).alias("speed_ms"), F.round(s * C.KNOTS_PER_MS, 6).alias("speed_kt"), F.round(C.wind_direction("u", "v"), 6).alias("direction"))
 
 
-@query("SELECT vec_id, (i - 1)::INT AS member, embedding[i]::DOUBLE AS value FROM embeddings, generate_series(1, 20) s(i)")
+@query("""
+    SELECT vec_id, f.field, m AS member, t AS time, embedding[f.start + 4 * m + t + 1]::DOUBLE AS value FROM embeddings, (VALUES ('speed', 0), ('gust', 20)) f(field, start), (SELECT unnest(range(5))::INT AS m) s, (SELECT unnest(range(4))::INT AS t) u""")
 def member_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(F.slice("embedding", 1, 20)).alias("member", "value"))
-    return e.select("vec_id", "member", F.col("value").cast("double").alias("value"))
+    """Columns of five members over four times, in two fields, as rows."""
+    member = lambda start, m: F.slice("embedding", start + 4 * m + 1, 4).cast("array<double>")
+    field = lambda start: F.create_map(*(x for m in range(5) for x in (F.lit(str(m)), member(start, m))))
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.sequence(F.lit(0), F.lit(3)).alias("times"), F.create_map(F.lit("speed"), field(0), F.lit("gust"), field(20)).alias("columns"))
+    return ensemble.unpivot_hourly(e, ["vec_id"])
 
 
 @query("SELECT l_orderkey, list_sort(list(l_linenumber)) = range(1, 5) AS complete, count(*) AS members FROM lineitem GROUP BY 1")
@@ -186,15 +197,15 @@ def member_set_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH m AS (SELECT label, vec_id, 5 + embedding[i]::DOUBLE AS s, 180 + embedding[i + 1]::DOUBLE * 90 AS d, 7 + embedding[i + 2]::DOUBLE AS g FROM embeddings, generate_series(1, 20) t(i))
-    SELECT label, count(*) AS member_count, round(median(s), 6) AS med, round(quantile_cont(s, 0.1), 6) AS p10, round(quantile_cont(s, 0.9), 6) AS p90, round(stddev_pop(s), 6) AS spread,
+    WITH m AS (SELECT vec_id, 5 + embedding[i]::DOUBLE AS s, 180 + embedding[i + 1]::DOUBLE * 90 AS d, 7 + embedding[i + 2]::DOUBLE AS g FROM embeddings, generate_series(1, 20) t(i))
+    SELECT vec_id, count(*) AS member_count, round(median(s), 6) AS med, round(quantile_cont(s, 0.1), 6) AS p10, round(quantile_cont(s, 0.9), 6) AS p90, round(stddev_pop(s), 6) AS spread,
            round(((degrees(atan2(sum(sin(radians(d))), sum(cos(radians(d))))) % 360) + 360) % 360, 6) AS direction_mean, round(median(g), 6) AS gust_median, round(quantile_cont(g, 0.9), 6) AS gust_p90 FROM m GROUP BY 1""")
 def ensemble_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = lambda i: F.get("embedding", F.col("i") + i).cast("double")
-    e = table(spark, sf_dir, "embeddings").select("label", "embedding", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("i"))
-    m = e.select("label", (5 + at(0)).alias("wind_speed_ms"), (180 + at(1) * 90).alias("wind_direction_deg"), (7 + at(2)).alias("gust_ms"))
-    s = ensemble.statistics(m, ["label"])
-    return s.select("label", "member_count", F.round("median", 6).alias("med"), *(F.round(c, 6).alias(c) for c in ("p10", "p90", "spread", "direction_mean", "gust_median", "gust_p90")))
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("i"))
+    m = e.select("vec_id", (5 + at(0)).alias("wind_speed_ms"), (180 + at(1) * 90).alias("wind_direction_deg"), (7 + at(2)).alias("gust_ms"))
+    s = ensemble.statistics(m, ["vec_id"])
+    return s.select("vec_id", "member_count", F.round("median", 6).alias("med"), *(F.round(c, 6).alias(c) for c in ("p10", "p90", "spread", "direction_mean", "gust_median", "gust_p90")))
 
 
 _SEVERITY = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARN' ELSE 'INFO' END"
@@ -237,15 +248,20 @@ def href_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.explode(stations.hrefs("html")).alias("href"))
 
 
-@query("""SELECT page_id, nullif(regexp_extract(url, '/([a-z]{2})/(\\d+)', 1), '') AS lang, TRY_CAST(nullif(regexp_extract(url, '/([a-z]{2})/(\\d+)', 2), '') AS INT) AS number FROM pages""")
+@query("""
+    SELECT o_orderkey, l_linenumber, CASE WHEN l_linenumber < 5 THEN strftime(o_orderdate, '%Y%m%d%H') END AS cycle, CASE WHEN l_linenumber < 5 THEN l_linenumber * 3 END::INT AS lead FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
 def filename_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = lambda i: F.nullif(F.regexp_extract("url", r"/([a-z]{2})/(\d+)", i), F.lit(""))
-    return table(spark, sf_dir, "pages").select("page_id", part(1).alias("lang"), part(2).try_cast("int").alias("number"))
+    """Names of files, those of the last lines without a cycle."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyyMMddHH").alias("c"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber").join(o, "o_orderkey")
+    name = F.when(F.col("l_linenumber") < 5, F.format_string("icon_single-level_%s_%03d_2d_t_2m.grib2", "c", F.col("l_linenumber") * 3)).otherwise(F.concat(F.lit("icon_"), "c", F.lit("_latest.grib2")))
+    cycle, lead = stations.cycle_and_lead(name)
+    return lines.select("o_orderkey", "l_linenumber", cycle.alias("cycle"), lead.alias("lead"))
 
 
 @query("SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")
 def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "long").alias("k"))
+    return table(spark, sf_dir, "events").select("event_id", V.number(F.try_parse_json("props"), "$.k").cast("long").alias("k"))
 
 
 @query("SELECT doc_id, sha256(text) AS sha, strlen(text)::INT AS n_bytes FROM documents")
@@ -253,34 +269,39 @@ def sha_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", C.identity_sha("text").alias("sha"), F.octet_length("text").alias("n_bytes"))
 
 
-@query(r"""SELECT doc_id, sha256(regexp_replace(replace(text, 'the', '[REDACTED]'), '((?:api[-_]?(?:key|secret)|token|secret)=)[^&\s"'']+', '\1[REDACTED]', 'gi')) AS sha FROM documents""")
+@query(r"""
+    WITH t AS (SELECT doc_id, 'GET /v1?station=' || doc_id || '&API-key=k' || doc_id || '&x=1 X-Api-Secret: ' || n_chars || '; token=' || n_chars || ' s/cret ' || coalesce(text, '') || ' s%2Fcret' AS t FROM documents)
+    SELECT doc_id, sha256(regexp_replace(regexp_replace(replace(replace(t, 's/cret', '***REDACTED***'), 's%2Fcret', '***REDACTED***'), '([?&]api-key=)[^&\s''"]+', '\1***REDACTED***', 'gi'), '(X-Api-Secret[=: ]+)[^,;\s''"]+', '\1***REDACTED***', 'gi')) AS sha FROM t""")
 def redact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(C.redact("text", "the"), 256).alias("sha"))
+    parts = (F.lit("GET /v1?station="), "doc_id", F.lit("&API-key=k"), "doc_id", F.lit("&x=1 X-Api-Secret: "), "n_chars", F.lit("; token="), "n_chars", F.lit(" s/cret "), F.coalesce("text", F.lit("")), F.lit(" s%2Fcret"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(C.redact(F.concat(*parts), "s/cret"), 256).alias("sha"))
 
 
 @query("SELECT user_id, max(ts) AS ts, arg_max(event_id, ts) AS event_id FROM (SELECT DISTINCT ON (user_id, ts) * FROM events ORDER BY user_id, ts, event_id DESC) GROUP BY 1")
 def latest_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir).groupBy("user_id").agg(F.max(F.struct("ts", "event_id")).alias("x"))
-    return e.select("user_id", F.col("x.ts").cast("timestamp_ntz").alias("ts"), "x.event_id")
+    e = events(spark, sf_dir).select("user_id", "ts", "event_id", F.struct("ts", "event_id").alias("at"))
+    return timeline.last_wins(e, ["user_id"], "at").select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
 
 
 @query("""
-    WITH a AS (SELECT event_type, ts, event_id, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id))) / 6e7 AS gap FROM events)
-    SELECT event_id, coalesce(gap > 1.5 * 60, false) AS continuity_gap, (CASE WHEN gap > 90 THEN greatest(0, floor(gap / 60) - 1) ELSE 0 END)::INT AS missed FROM a""")
+    WITH a AS (SELECT event_type, ts, event_id, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type ORDER BY event_id))) / 6e7 AS gap FROM events)
+    SELECT event_id, coalesce(gap > 1.5 * 60, false) AS continuity_gap, coalesce(greatest(0, floor(greatest(gap, 0) / 60) - 1), 0)::INT AS missed, coalesce(gap < 0, false) AS older_than_latest FROM a""")
 def continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeline.continuity(events(spark, sf_dir), "event_type", "ts", F.lit(60.0)).select("event_id", "continuity_gap", "missed")
+    found = timeline.continuity(events(spark, sf_dir), "event_type", "event_id", "ts", F.lit(60.0))
+    return found.select("event_id", "continuity_gap", "missed", "older_than_latest")
 
 
 @query("""
     WITH o AS (SELECT o_custkey, max(o_orderdate) AS run FROM orders GROUP BY 1), f AS (SELECT DISTINCT o_custkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'),
     s AS (SELECT o_custkey, min(o_orderdate) AS run FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderdate) = 1),
     j AS (SELECT c_custkey AS model, o.run, f.o_custkey IS NOT NULL AS archived, s.o_custkey IS NOT NULL AS seeded FROM customer LEFT JOIN o ON c_custkey = o.o_custkey LEFT JOIN f ON o.o_custkey = f.o_custkey AND o.run = f.o_orderdate LEFT JOIN s ON o.o_custkey = s.o_custkey AND o.run = s.run)
-    SELECT model, run, CASE WHEN run IS NULL OR NOT archived OR NOT seeded THEN 'fetch' ELSE 'carry_forward' END AS action,
-           CASE WHEN run IS NULL THEN 'no_cycle_discovered' WHEN NOT archived THEN 'cycle_not_archived' WHEN NOT seeded THEN 'seed_rows_differ' ELSE 'already_archived' END AS reason FROM j""")
+    SELECT model, run, CASE WHEN model % 50 = 0 OR run IS NULL OR NOT archived OR NOT seeded THEN 'fetch' ELSE 'carry_forward' END AS action,
+           CASE WHEN model % 50 = 0 THEN 'provider_cycle_probe_failed_fail_open' WHEN run IS NULL THEN 'probe_not_run_fail_open' WHEN NOT archived AND NOT seeded THEN 'fetch_fail_open_missing_private_cycle_evidence_seed_payload_rows'
+                WHEN NOT archived THEN 'fetch_fail_open_missing_private_cycle_evidence' WHEN NOT seeded THEN 'fetch_fail_open_missing_seed_payload_rows' ELSE 'selected_cycle_already_archived' END AS reason FROM j""")
 def carry_forward_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("model"), F.col("o_orderdate").alias("run"), "o_orderstatus")
     newest = o.groupBy("model").agg(F.max("run").alias("run"))
-    discovered = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("model")).join(newest, "model", "left")
+    discovered = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("model")).join(newest, "model", "left").withColumn("probe_error", F.when(F.col("model") % 50 == 0, "timeout"))
     archived = o.where("o_orderstatus = 'F'")
     latest = o.select("model", "run", F.lit(True).alias("complete"))
     none = spark.createDataFrame([], "model long, run timestamp_ntz, state string, attempts int, not_before timestamp")
@@ -288,12 +309,16 @@ def carry_forward_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT o_orderkey AS batch, max(l_shipdate) AS generated_at FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_linenumber <= 2 GROUP BY 1
-    HAVING count(DISTINCT l_linenumber) = 2 AND bool_and(l_returnflag <> 'R')""")
+    WITH c AS (SELECT l_orderkey AS batch, l_linenumber AS n, max(l_shipdate) AS t, bool_and(l_returnflag <> 'R') AS verified, bool_and(l_tax < 0.07) AS clean FROM lineitem WHERE l_linenumber <= 2 GROUP BY ALL)
+    SELECT batch, max(t) AS generated_at FROM c GROUP BY 1 HAVING count(*) = 2 AND bool_and(verified AND clean)""")
 def batch_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2")
-    whole = lines.groupBy(F.col("l_orderkey").alias("batch")).agg(F.count_distinct("l_linenumber").alias("n"), F.bool_and(F.col("l_returnflag") != "R").alias("ok"), F.max("l_shipdate").alias("generated_at"))
-    return whole.where("n = 2 and ok").select("batch", "generated_at")
+    """A batch's two kinds are its first lines; returned ones weren't read back, taxed ones have an error."""
+    kind = F.when(F.col("l_linenumber") == 1, "wunstorf").otherwise("etnw").alias("kind")
+    lines = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2").groupBy(F.col("l_orderkey").alias("batch"), kind).agg(F.max("l_shipdate").alias("generated_at"), F.bool_and(F.col("l_returnflag") != "R").alias("verified"), F.bool_and(F.col("l_tax") < 0.07).alias("clean"))
+    sha = F.concat_ws("/", "batch", "kind").alias("sha256")
+    reports = lines.select("batch", F.concat_ws(":", "kind", "batch").alias("kind"), "generated_at", sha, F.when(F.col("clean"), 0).otherwise(1).alias("error_count"), F.lit(True).alias("ready"))
+    found = lines.select(F.concat_ws(":", "kind", "batch").alias("kind"), "generated_at", sha, F.col("verified").alias("readback_verified"), F.lit("private-transfer-readback-v2").alias("method_version"))
+    return publish.batch_receipts(reports, found)[0]
 
 
 @query("""
@@ -309,22 +334,20 @@ def expected_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT 'both' AS op, * FROM (SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier)
-    UNION ALL SELECT 'no_supplier', * FROM (SELECT n_nationkey FROM nation EXCEPT SELECT s_nationkey FROM supplier)
+    UNION ALL SELECT 'left_only', * FROM (SELECT c_nationkey FROM customer EXCEPT SELECT s_nationkey FROM supplier)
     UNION ALL SELECT 'either', * FROM (SELECT c_nationkey FROM customer UNION SELECT s_nationkey FROM supplier)""")
 def set_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k"))
-    s = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"))
-    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"))
-    tag = lambda df, t: df.select(F.lit(t).alias("op"), "k")
-    return tag(c.intersect(s), "both").unionByName(tag(n.exceptAll(s).distinct().join(s, "k", "left_anti"), "no_supplier")).unionByName(tag(c.union(s).distinct(), "either"))
+    return coverage.set_views(table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")), table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k")), ["k"])
 
 
 @query("""
-    SELECT 'event_type' AS field, event_type AS value, count(*) AS n FROM events WHERE event_type NOT IN ('click', 'view') GROUP BY ALL
-    UNION ALL SELECT 'status', o_orderstatus, count(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY ALL""")
+    WITH e AS (SELECT event_id, value > 50 AS failed, CASE event_type WHEN 'click' THEN 'received' WHEN 'view' THEN 'missing' WHEN 'purchase' THEN 'unsupported' WHEN 'error' THEN 'lost' END AS given FROM events),
+    m AS (SELECT event_id, CASE WHEN given IS NULL THEN CASE WHEN failed THEN 'fetch_error' ELSE 'received' END WHEN given = 'missing' THEN 'fetch_error' WHEN given = 'unsupported' THEN 'unsupported_by_provider_or_product' ELSE given END AS s FROM e)
+    SELECT event_id, CASE WHEN s <> 'lost' THEN s END AS status, CASE WHEN s = 'lost' THEN 'unknown availability status lost' END AS reject FROM m""")
 def enum_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = lambda t, c, field, ok: table(spark, sf_dir, t).where(~F.col(c).isin(*ok)).groupBy(F.lit(field).alias("field"), F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return bad("events", "event_type", "event_type", ("click", "view")).unionByName(bad("orders", "o_orderstatus", "status", ("F", "O")))
+    words = F.create_map(*(F.lit(x) for x in ("click", "received", "view", "missing", "purchase", "unsupported", "error", "lost")))
+    status, reject = C.availability_status("given", F.col("value") > 50)
+    return events(spark, sf_dir).withColumn("given", F.try_element_at(words, F.col("event_type"))).select("event_id", status.alias("status"), reject.alias("reject"))
 
 
 @query("""
@@ -333,7 +356,7 @@ def enum_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def newest_eligible_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir).select("user_id", "ts", (F.col("event_type") == "purchase").alias("published"))
     found = timeline.newest_eligible(e, ["user_id"], "ts", "published")
-    return found.select("user_id", F.col("selected").cast("timestamp_ntz").alias("selected"), F.size("trail").cast("long").alias("probes"))
+    return found.select("user_id", F.col("selected").cast("timestamp_ntz").alias("selected"), "probes")
 
 
 @query("""
@@ -372,8 +395,7 @@ def step_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_orderkey, count(DISTINCT round(l_discount, 6)) > 1 AS moved, count(DISTINCT round(l_discount, 6)) AS points FROM lineitem GROUP BY 1")
 def grid_points_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count_distinct(F.round("l_discount", 6)).alias("points"))
-    return points.select("l_orderkey", (F.col("points") > 1).alias("moved"), "points")
+    return coverage.distinct_points(table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_discount")
 
 
 @query("""
@@ -384,10 +406,13 @@ def max_lead_by_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT l_orderkey AS k, count(DISTINCT l_returnflag) >= 2 AS two_models, count(DISTINCT l_linestatus) FILTER (l_returnflag <> 'R') >= 2 AS without_one FROM lineitem WHERE l_discount > 0 GROUP BY 1""")
+    WITH m(n, model, family) AS (VALUES (1, 'ICON-D2', 'DWD-ICON'), (2, 'ICON-EU', 'DWD-ICON'), (3, 'ECMWF-IFS', 'ECMWF'), (4, 'GFS', 'GFS'), (5, 'GEFS-control', 'GFS'), (6, 'ICON-D2-EPS', 'DWD-ICON'), (7, 'ICON-D2', 'DWD-ICON')),
+    j AS (SELECT l_orderkey AS k, model, family, l_discount > 0.03 AS good FROM lineitem JOIN m ON n = l_linenumber)
+    SELECT k, count(DISTINCT model) FILTER (good) >= 2 AS two_models, count(DISTINCT family) FILTER (good AND model <> 'GEFS-control') >= 2 AS two_families_without_gefs, count(DISTINCT family) FILTER (good) >= 2 AS two_families_with_gefs FROM j GROUP BY 1""")
 def independent_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where("l_discount > 0")
-    return lines.groupBy(F.col("l_orderkey").alias("k")).agg((F.count_distinct("l_returnflag") >= 2).alias("two_models"), (F.count_distinct(F.when(F.col("l_returnflag") != "R", F.col("l_linestatus"))) >= 2).alias("without_one"))
+    names = F.lit(["ICON-D2", "ICON-EU", "ECMWF-IFS", "GFS", "GEFS-control", "ICON-D2-EPS", "ICON-D2"])
+    lines = table(spark, sf_dir, "lineitem").where("l_linenumber <= 7").select(F.col("l_orderkey").alias("k"), F.get(names, F.col("l_linenumber") - 1).alias("model"), (F.col("l_discount") > 0.03).alias("good"))
+    return coverage.two_model_rules(lines, ["k"], "model", F.col("good"))
 
 
 @query("""
@@ -402,9 +427,7 @@ def base_and_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT event_id, value FROM events WHERE ts >= TIMESTAMP '{_NOW}' - INTERVAL 21 DAYS AND ts <= TIMESTAMP '{_NOW}' + INTERVAL 15 MINUTES")
 def retention_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    now = F.lit(_NOW).cast("timestamp_ntz")
-    kept = table(spark, sf_dir, "events").where((F.col("ts") >= now - F.expr("interval 21 days")) & (F.col("ts") <= now + F.expr("interval 15 minutes")))
-    return kept.select("event_id", "value")
+    return table(spark, sf_dir, "events").where(C.retained("ts", F.lit(_NOW).cast("timestamp_ntz"))).select("event_id", "value")
 
 
 @query("""
@@ -413,8 +436,7 @@ def retention_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bounded_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first twenty of each kind: here the limit is the feature."""
     bad = table(spark, sf_dir, "lineitem").where("l_discount > 0.09")
-    n = F.row_number().over(Window.partitionBy("l_returnflag").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    return bad.select("l_returnflag", "l_orderkey", "l_linenumber", n.cast("long").alias("n")).where("n <= 20")
+    return timeline.top(bad, ["l_returnflag"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 20).select("l_returnflag", "l_orderkey", "l_linenumber", "n")
 
 
 @query("""
@@ -441,13 +463,17 @@ def valid_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), (C.finite(v) & v.between(0, 360)).alias("direction_ok"), (C.finite(v) & (v >= 0)).alias("speed_ok"), (F.abs(v - 500) <= 300).alias("near"))
 
 
-@query("SELECT o_custkey AS k, count(DISTINCT o_orderdate) = 1 AS one_run, count(DISTINCT o_orderdate) AS runs FROM orders GROUP BY 1")
+@query("""
+    SELECT o_custkey AS k, CASE WHEN count(DISTINCT o_orderdate) = 1 THEN min(o_orderdate) END AS run, CASE WHEN count(DISTINCT o_orderdate) <> 1 THEN 'expected one cycle, found ' || count(DISTINCT o_orderdate) END AS reject FROM orders GROUP BY 1""")
 def run_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count_distinct("o_orderdate").alias("runs"))
-    return o.select("k", (F.col("runs") == 1).alias("one_run"), "runs")
+    return records.one_cycle(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("run")), ["k"])
 
 
-@query("SELECT event_id, '{\"k\":' || json_extract(props, '$.k') || '}' AS canonical, sha256('{\"k\":' || json_extract(props, '$.k') || '}') AS sha FROM events")
+@query("""
+    WITH j AS (SELECT o_orderkey, '{"a":' || o_custkey || ',"b":[' || o_orderkey % 7 || ',"' || o_orderstatus || '"],"c":null,"z":{"m":true,"n":"' || trim(o_orderpriority) || '"}}' AS canonical FROM orders)
+    SELECT o_orderkey, canonical, sha256(canonical) AS sha FROM j""")
 def canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("event_id", F.try_parse_json("props").alias("v"))
-    return e.select("event_id", F.to_json("v").alias("canonical"), V.canonical_sha("v").alias("sha"))
+    """Objects whose keys come in another order than the canonical one."""
+    text = F.format_string('{"z": {"n": "%s", "m": true}, "c": null, "b": [%s, "%s"], "a": %s}', F.trim("o_orderpriority"), (F.col("o_orderkey") % 7).cast("string"), "o_orderstatus", F.col("o_custkey").cast("string"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.try_parse_json(text).alias("v"))
+    return o.select("o_orderkey", F.to_json("v").alias("canonical"), V.canonical_sha("v").alias("sha"))
