@@ -28,7 +28,11 @@ def _without(docs: DataFrame, dropped: DataFrame, work: Workspace, **key: Column
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose language is known: text likelihood and the source's prior; rows without letters or without a clear language go."""
+    """Rows whose language is known: text likelihood and the source's prior; rows without letters or without a clear language go.
+
+    Null and empty texts have no letters. A null source is a source of its own. Repeated rows share their fate; null ids
+    are told apart by text and source. An empty table gives no rows. Other columns pass through under their own names.
+    """
     rows = docs.select("doc_id", "source", "text", F.xxhash64(text_of()).alias("h"))
     found = language_id.identify(rows, language_id.train(docs), ["doc_id", "h", "source"], "text", F.col("source"), F.lit(None).cast("string"))
     dropped = found.where("rejected").select(F.col("doc_id").alias("d"), "h", F.col("source").alias("s"))
@@ -36,7 +40,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each text: the one with the largest doc_id. Of rows that repeat both, any one."""
+    """One row of each text: the one with the largest doc_id. Of rows that repeat both, any one.
+
+    Null counts as empty, so that all rows without text leave one. A null id is less than any other. An empty table
+    gives no rows. Other columns pass through.
+    """
     work = Workspace(spark, "stage-exact")
     marks = work.table("marks", exact_dedup.exact_dedup(docs).select(F.col("doc_id").alias("d"), F.unhex("text_sha256").alias("h"), "kept"))
     pairs = marks.groupBy("d", "h").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
@@ -52,14 +60,22 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates: the one with the least doc_id."""
+    """One row of each group of near-duplicates: the one with the least doc_id.
+
+    Rows without words are linked with nothing and stay. A row with a null id stays only if no row of its group has an
+    id. Rows that repeat id and text share their fate. An empty table gives no rows. Other columns pass through.
+    """
     marks = minhash_join.near_duplicates(docs)
     lost = marks.where("not kept").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
     return _without(docs, lost, Workspace(spark, "stage-near"), d=docs["doc_id"], h=F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences; a null or empty text is one piece, its end token. No rows for an empty table."""
+    """The pieces of all documents and their places in sequences, with a checksum of each piece's ids.
+
+    A null or empty text is one piece, its end token. Rows with null or repeated ids are packed each. Only documents
+    longer than a sequence are cut. An empty table gives no rows. Other columns aren't read.
+    """
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), carry={"ids_crc32": F.crc32("token_ids")})
 
 
