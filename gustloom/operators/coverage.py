@@ -75,10 +75,26 @@ def quality(records: DataFrame, key: list[str], derived: Column, expected: Colum
     return records.groupBy(*key).agg(F.count(F.lit(1)).alias("records"), F.count_if(derived).alias("derived_records")).withColumns({"success": F.col("derived_records") > 0, "complete": F.col("derived_records") >= expected})
 
 
-def field_summary(fields: DataFrame, key: list[str], model: str, parameter: str, received: Column, size: str, seconds: str) -> DataFrame:
-    """Requested, received, missing, bytes and seconds by model and by parameter, in one pass of grouping sets."""
-    g = fields.groupingSets([[*key, F.col(model)], [*key, F.col(model), F.col(parameter)]], *key, F.col(model), F.col(parameter))
-    return g.agg(F.count(F.lit(1)).alias("requested"), F.count_if(received).alias("received"), F.count_if(~received).alias("missing"), F.sum(size).alias("bytes"), F.sum(seconds).alias("seconds"), F.grouping(parameter).cast("int").alias("by_model"))
+def field_summary(fields: DataFrame, key: list[str], model: str, parameter: str, status: str, size: str, seconds: str) -> DataFrame:
+    """Requested, received, missing, bytes, seconds and counts by status, by model and by parameter, in one shuffle.
+
+    Rows are counted by model, parameter and status before the shuffle; of the few counts that are left both levels are made.
+    """
+    fine = fields.groupBy(*key, model, parameter, F.col(status).alias("_s")).agg(F.count(F.lit(1)).alias("_n"), F.sum(size).alias("_b"), F.sum(seconds).alias("_t"))
+    level = F.explode(F.array(F.struct(F.lit(0).alias("by_model"), F.col(parameter).alias("_p")), F.struct(F.lit(1).alias("by_model"), F.lit(None).alias("_p")))).alias("_l")
+    both = fine.select(*key, model, "_s", "_n", "_b", "_t", level).select(*key, model, "_l.by_model", F.col("_l._p").alias(parameter), "_s", "_n", "_b", "_t")
+    got = F.coalesce(F.sum(F.when(F.col("_s") == "received", F.col("_n"))), F.lit(0)).alias("received")
+    merged = both.groupBy(*key, model, parameter, "by_model", "_s").agg(F.sum("_n").alias("_n"), F.sum("_b").alias("_b"), F.sum("_t").alias("_t"))
+    counts = F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("_s").isNotNull(), F.struct("_s", "_n"))))).alias("status_counts")  # an entry a status
+    out = merged.groupBy(*key, model, parameter, "by_model").agg(F.sum("_n").alias("requested"), got, F.sum("_b").alias("bytes"), F.sum("_t").alias("seconds"), counts)
+    return out.withColumn("missing", F.col("requested") - F.col("received"))
+
+
+def probe_summary(fields: DataFrame, key: list[str], parameter: str, status: str) -> DataFrame:
+    """Of each probe: how many parameters were received and weren't, and which, by name. A probe asks for a few parameters."""
+    got = F.coalesce(F.col(status) == "received", F.lit(False))
+    listed = lambda c: F.array_sort(F.collect_list(F.when(c, F.col(parameter))))
+    return fields.groupBy(*key).agg(F.count_if(got).alias("received_count"), F.count_if(~got).alias("missing_count"), listed(got).alias("received_parameters"), listed(~got).alias("missing_parameters"))
 
 
 def upsert(base: DataFrame, patch: DataFrame, key: list[str]) -> DataFrame:

@@ -82,6 +82,13 @@ def unpivot_hourly(rows: DataFrame, key: list[str], times: str = "times", column
     return zipped.toDF(*key, "field", "member", "time", "value")
 
 
+def at_leads(long: DataFrame, cycles: DataFrame, key: list[str], time: str = "time") -> DataFrame:
+    """Member values at the leads of their cycle. ``cycles``: key, run, leads (array); rows of ``long`` whose time is no lead's valid time are left out, leads without values have none."""
+    due = cycles.select(*key, "run", F.explode("leads").alias("lead"))
+    valid = F.timestamp_seconds(F.unix_micros("run") / 1e6 + F.col("lead") * 3600)
+    return due.withColumn(time, valid).join(long, [*key, time], "left")
+
+
 def member_of(name: Column | str, prefix: str) -> Column:
     """The member of a column name: prefix_memberNN, or the bare prefix for member 0; null for other names."""
     n = F.col(name) if isinstance(name, str) else name

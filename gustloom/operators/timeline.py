@@ -100,7 +100,8 @@ def last_wins(rows: DataFrame, key: list[str], order: str) -> DataFrame:
 
 def top(rows: DataFrame, key: list[str], order: list[str], most: int) -> DataFrame:
     """The first ``most`` rows of each key by a total order, numbered from 1 (``n``). Each task ranks what it has before the shuffle."""
-    return rows.withColumn("n", F.row_number().over(Window.partitionBy(*key).orderBy(*order)).cast("long")).where(F.col("n") <= most)
+    ranked = rows.withColumn("n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where(F.col("n") <= most)
+    return ranked.withColumn("n", F.col("n").cast("long"))
 
 
 def repeats(rows: DataFrame, key: list[str]) -> DataFrame:

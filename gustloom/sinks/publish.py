@@ -240,6 +240,15 @@ def read_snapshot(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(f"{store.root}/data/commit={with_marker['commit']}")
 
 
+def report_json(reports: DataFrame, found: DataFrame) -> DataFrame:
+    """(path, json): each report with its issues, worst first and then by source and code, as one JSON text."""
+    order = F.array_position(F.lit(["ERROR", "WARN", "INFO"]), F.col("severity"))
+    listed = found.groupBy("path").agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), "source", "code", "severity", "scope", "details"))).alias("x"))
+    issues = F.transform(F.coalesce("x", F.array().cast(listed.schema["x"].dataType)), lambda i: F.struct(*(i[c].alias(c) for c in ("code", "severity", "source", "scope", "details"))))
+    kept = [c for c in reports.columns if c != "path"]
+    return reports.join(listed, "path", "left").select("path", F.to_json(F.struct("path", *kept, issues.alias("issues")), {"ignoreNullFields": "false"}).alias("json"))
+
+
 def append_failure(spark: SparkSession, root: str, model: str, stage: str, now: str, kind: str = "timeout") -> None:
     """One failed attempt of a process outside."""
     row = spark.createDataFrame([(model, stage, "failed_external", kind)], "model string, stage string, status string, exception_type string")

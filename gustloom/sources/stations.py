@@ -187,8 +187,15 @@ def cycle_and_lead(name: Column | str) -> tuple[Column, Column]:
     return F.nullif(F.regexp_extract(n, r"_(\d{10})_(\d{3})_", 1), F.lit("")), F.regexp_extract(n, r"_(\d{10})_(\d{3})_", 2).try_cast("int")
 
 
-def regular_file(listing: DataFrame, cycle: str, lead: int, parameter: str) -> DataFrame:
-    """The first link, by name, of a regular-lat-lon file for a cycle, lead and parameter."""
-    url = F.lower("url")
-    fits = url.contains("regular-lat-lon") & url.contains(cycle) & url.contains(f"_{lead:03d}_") & url.contains(parameter.lower())
-    return listing.where(fits).agg(F.min("url").alias("url"))
+def product_files(listing: DataFrame, wanted: DataFrame, regular: bool = True) -> DataFrame:
+    """(cycle, lead, parameter, url): of the links (column ``url``) the first by name for each wanted (cycle, lead, parameter); null where there is none.
+
+    A file's name must have the cycle, the lead as _NNN_ and the parameter, and that of a regular grid unless ``regular`` is
+    false; without such a one, any of that cycle and lead will do then. Cycle and lead join as equals.
+    """
+    cycle, lead = cycle_and_lead("url")
+    links = listing.select("url", F.regexp_extract("url", r"[^/]*$", 0).alias("name"), cycle.alias("cycle"), lead.alias("lead")).where("lead is not null")
+    links = links.where(F.col("name").contains("regular-lat-lon")) if regular else links
+    joined = wanted.join(links, ["cycle", "lead"], "left")
+    fits = F.min(F.when(F.col("name").contains(F.col("parameter")), F.col("url")))
+    return joined.groupBy("cycle", "lead", "parameter").agg((fits if regular else F.coalesce(fits, F.min("url"))).alias("url"))

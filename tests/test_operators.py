@@ -124,6 +124,13 @@ def test_batch(spark):
     assert {(r["batch"], r["fault"]) for r in faults.collect()} >= {("c", "receipt_missing")}
 
 
+def test_reports_as_json(spark):
+    reports = spark.createDataFrame([("a", "FAIL", 1), ("b", "PASS", 0)], "path string, status string, error_count int")
+    found = spark.createDataFrame([("a", "C2", "WARN", "s", "x", "{}"), ("a", "C1", "ERROR", "t", "y", '{"n":1}')], "path string, code string, severity string, source string, scope string, details string")
+    got = {r["path"]: json.loads(r["json"]) for r in P.report_json(reports, found).collect()}
+    assert got["b"] == {"path": "b", "status": "PASS", "error_count": 0, "issues": []} and [i["code"] for i in got["a"]["issues"]] == ["C1", "C2"] and got["a"]["issues"][0]["details"] == '{"n":1}'
+
+
 def test_streams(spark, tmp_path):
     land, out = tmp_path / "land", str(tmp_path / "out")
     land.mkdir()
