@@ -235,12 +235,27 @@ def stage_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.stage_recovery(a, ["user_id", "stage"])
 
 
-@query("""
-    SELECT l_returnflag, l_linestatus, count(*) AS requested, count(*) FILTER (l_discount < 0.05) AS received, count(*) FILTER (NOT l_discount < 0.05) AS missing, round(sum(l_quantity), 2) AS bytes, round(sum(l_tax), 4) AS seconds,
-           grouping(l_linestatus)::INT AS by_model FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), (l_returnflag, l_linestatus))""")
+_STATUS = "CASE WHEN l_discount < 0.05 THEN 'received' WHEN l_discount < 0.08 THEN 'missing' END"
+
+
+@query(f"""
+    WITH l AS (SELECT *, {_STATUS} AS status FROM lineitem)
+    SELECT l_returnflag, l_linestatus, count(*) AS requested, count(*) FILTER (status = 'received') AS received, count(*) FILTER (status IS DISTINCT FROM 'received') AS missing, round(sum(l_quantity), 2) AS bytes, round(sum(l_tax), 4) AS seconds,
+           grouping(l_linestatus)::INT AS by_model, count(*) FILTER (status = 'missing') AS said_missing FROM l GROUP BY GROUPING SETS ((l_returnflag), (l_returnflag, l_linestatus))""")
 def grouped_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = coverage.field_summary(table(spark, sf_dir, "lineitem"), [], "l_returnflag", "l_linestatus", F.col("l_discount") < 0.05, "l_quantity", "l_tax")
-    return s.select("l_returnflag", "l_linestatus", "requested", "received", "missing", F.round("bytes", 2).alias("bytes"), F.round("seconds", 4).alias("seconds"), "by_model")
+    lines = table(spark, sf_dir, "lineitem").withColumn("status", F.expr(_STATUS))
+    s = coverage.field_summary(lines, [], "l_returnflag", "l_linestatus", "status", "l_quantity", "l_tax")
+    said = F.coalesce(F.try_element_at("status_counts", F.lit("missing")), F.lit(0)).alias("said_missing")
+    return s.select("l_returnflag", "l_linestatus", "requested", "received", "missing", F.round("bytes", 2).alias("bytes"), F.round("seconds", 4).alias("seconds"), "by_model", said)
+
+
+@query(f"""
+    WITH l AS (SELECT l_orderkey AS k, l_linenumber::VARCHAR AS p, {_STATUS} IS NOT DISTINCT FROM 'received' AS got FROM lineitem)
+    SELECT k, count(*) FILTER (got) AS received_count, count(*) FILTER (NOT got) AS missing_count, coalesce(string_agg(p, ',' ORDER BY p) FILTER (got), '') AS received, coalesce(string_agg(p, ',' ORDER BY p) FILTER (NOT got), '') AS missing FROM l GROUP BY 1""")
+def probe_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("string").alias("p"), F.expr(_STATUS).alias("status"))
+    s = coverage.probe_summary(lines, ["k"], "p", "status")
+    return s.select("k", "received_count", "missing_count", F.array_join("received_parameters", ",").alias("received"), F.array_join("missing_parameters", ",").alias("missing"))
 
 
 @query("""SELECT page_id, unnest(regexp_extract_all(html, 'href=["'']([^"'']+)', 1)) AS href FROM pages""")

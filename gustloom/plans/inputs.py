@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustloom.functions import columns as C
-from gustloom.operators import leads, records
+from gustloom.operators import ensemble, leads, records
 from gustloom.plans.catalog import query, table
 from gustloom.rules import availability
 from gustloom.sources import bundles, grib_text, requests, stations
@@ -309,3 +309,32 @@ def availability_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _payloads(table(spark, sf_dir, "customer"), "c_custkey", F.to_json(F.struct(F.struct(F.array(record).alias("GFS")).alias("models"))))
     out = availability.stamp(bundles.native_values(bundles.records(p)), F.lit("2025-03-14T09:00:00Z"))
     return out.select(F.col("path").alias("k"), "status", "reject", F.coalesce(F.col("available_at").isNotNull(), F.lit(False)).alias("carried"))
+
+
+@query("""
+    WITH o AS (SELECT DISTINCT strftime(o_orderdate, '%Y%m%d%H') AS cycle FROM orders), w AS (SELECT cycle, n::INT AS lead, p AS parameter FROM o, (VALUES (3), (6), (9)) a(n), (VALUES ('t_2m'), ('ps')) b(p)),
+    l AS (SELECT cycle, n AS lead, 'https://e.org/' || g || '_' || cycle || '_' || lpad(n::VARCHAR, 3, '0') || '_2d_' || p || v || '.bz2' AS url, p FROM o, (VALUES (3), (6)) a(n), (VALUES ('t_2m'), ('clct')) b(p), (VALUES ('regular-lat-lon'), ('icosahedral')) c(g), (VALUES ('.b'), ('')) d(v) WHERE NOT (n = 6 AND cycle LIKE '%1%')),
+    r AS (SELECT w.*, min(url) FILTER (p = parameter AND contains(url, 'regular-lat-lon')) AS url, coalesce(min(url) FILTER (p = parameter), min(url)) AS any_url FROM w LEFT JOIN l USING (cycle, lead) GROUP BY ALL)
+    SELECT * FROM r""")
+def product_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two parameters, in two grids and two versions, for the cycles of all orders; some leads have none."""
+    o = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyyMMddHH").alias("cycle")).distinct()
+    every = lambda df, name, *values: df.select("*", F.explode(F.lit(list(values))).alias(name))
+    wanted = every(every(o, "lead", 3, 6, 9), "parameter", "t_2m", "ps")
+    l = every(every(every(every(o, "n", 3, 6), "p", "t_2m", "clct"), "g", "regular-lat-lon", "icosahedral"), "v", ".b", "").where(~((F.col("n") == 6) & F.col("cycle").contains("1")))
+    listing = l.select(F.format_string("https://e.org/%s_%s_%03d_2d_%s%s.bz2", "g", "cycle", "n", "p", "v").alias("url"))
+    any_ = stations.product_files(listing, wanted, regular=False).withColumnRenamed("url", "any_url")
+    return stations.product_files(listing, wanted).join(any_, ["cycle", "lead", "parameter"])
+
+
+@query("""
+    WITH c AS (SELECT vec_id AS k, TIMESTAMP '2025-03-14 06:00:00' + INTERVAL (vec_id % 4) HOUR AS run FROM embeddings), d AS (SELECT k, run, unnest([0, 2, 5]) AS lead FROM c)
+    SELECT d.k, lead::INT AS lead, embedding[i]::DOUBLE AS value FROM d JOIN embeddings ON vec_id = k LEFT JOIN (SELECT unnest(range(1, 9)) AS i) t ON run + INTERVAL (lead) HOUR = TIMESTAMP '2025-03-14 05:00:00' + INTERVAL (i) HOUR""")
+def members_at_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly values from six o'clock on, at three leads of cycles that begin up to three hours later."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("k"), "embedding")
+    start = F.lit("2025-03-14 06:00:00").cast("timestamp")
+    hour = lambda n: start + F.make_dt_interval(hours=n)
+    long = e.select("k", F.posexplode(F.slice("embedding", 1, 8)).alias("i", "value")).select("k", hour(F.col("i")).alias("time"), F.col("value").cast("double").alias("value"))
+    cycles = e.select("k", hour((F.col("k") % 4).cast("int")).alias("run"), F.lit([0, 2, 5]).alias("leads"))
+    return ensemble.at_leads(long, cycles, ["k"]).select("k", "lead", "value")
