@@ -101,7 +101,7 @@ def metar_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     WITH {_METAR},
     j AS (SELECT kept.*, event_type, kept.t - lag(kept.t) OVER (PARTITION BY kept.k ORDER BY kept.t) AS gap FROM kept JOIN r USING (event_id)),
-    a AS (SELECT k, count(*) AS records, round(100.0 * count(*) FILTER (event_type <> 'error') / count(*), 1) AS speed_pct, max(gap) AS gap, max(t) AS latest FROM j GROUP BY 1),
+    a AS (SELECT k, count(*) AS records, round_even(100.0 * count(*) FILTER (event_type <> 'error') / count(*), 1) AS speed_pct, max(gap) AS gap, max(t) AS latest FROM j GROUP BY 1),
     b AS (SELECT k, count(*) AS source_rows, count(*) FILTER (other OR untimed) AS rejected_rows, count(*) FILTER (future AND NOT other AND NOT untimed) AS future_rows FROM r GROUP BY 1)
     SELECT b.*, coalesce(records, 0) AS records, abs(coalesce(speed_pct, 0)) AS speed_pct, 100.0::DOUBLE AS direction_pct, round(gap / 60.0, 1)::DOUBLE AS max_gap_minutes,
            CASE WHEN latest IS NULL THEN NULL WHEN (epoch(TIMESTAMP '{_NOW}') - latest) / 60 <= 120 THEN 'fresh' WHEN (epoch(TIMESTAMP '{_NOW}') - latest) / 60 <= 360 THEN 'delayed' ELSE 'stale' END AS availability
