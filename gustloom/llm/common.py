@@ -11,6 +11,7 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -73,6 +74,11 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def arrow_type(df: DataFrame, column: str) -> pa.DataType:
+    """The Arrow type of a column of any type, for batches that carry its values back."""
+    return to_arrow_type(df.schema[column].dataType)
+
+
 def chunks(texts: list[str], limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of a batch's rows that hold about ``limit`` characters; a longer text is a range of its own."""
     start, size = 0, 0

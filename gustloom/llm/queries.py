@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from gustloom.llm import brown_lm, exact_dedup, html_render, imatch, language_id, minhash_join, packing, prefix_bpe, sharding, token_counts
+from gustloom.llm import brown_lm, exact_dedup, filter_audit, html_render, imatch, importance, language_id, minhash_join, packing, prefix_bpe, sharding, token_counts, topk
 
 
 #: The shard limit of op5's query: small enough that the small tables split too.
@@ -58,9 +58,21 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), carry={"ids_crc32": F.crc32("token_ids")})
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_extraction, op2_exact_dedup, op3_imatch_fingerprints, op4_prefix_bpe, op5_sharding, op6_language_id, op7_brown_lm, op8_token_counts, op9_minhash_near_dedup, op10_best_fit_packing)
+    for f in (op1_html_extraction, op2_exact_dedup, op3_imatch_fingerprints, op4_prefix_bpe, op5_sharding, op6_language_id, op7_brown_lm, op8_token_counts, op9_minhash_near_dedup, op10_best_fit_packing, op11_topk_search, op12_importance_resampling, op13_filter_audit)
 }
 
 ORACLE_SQL = {
@@ -68,4 +80,7 @@ ORACLE_SQL = {
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
     FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
     "op5_sharding": sharding.oracle_sql(QUERY_SHARD),
+    "op11_topk_search": topk.ORACLE_SQL,
+    "op12_importance_resampling": importance.ORACLE_SQL,
+    "op13_filter_audit": filter_audit.ORACLE_SQL,
 }
