@@ -57,7 +57,7 @@ class Hasher:
             for n in range(self.least, self.most + 1):
                 first = max(0, held - n + 1)  # runs that end before it were in the slice before
                 yield [b" ".join(words[i : i + n]) for i in range(first, len(words) - n + 1)]
-            tail = words[len(words) - self.most + 1 :] if self.most > 1 else []
+            tail = words[max(0, len(words) - self.most + 1) :] if self.most > 1 else []
 
     def of(self, runs: Iterable[bytes]) -> Iterator[int]:
         """The bucket of each run."""
