@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustloom.llm.common import Workspace, map_arrow, rows_of
+from gustloom.llm.common import Workspace, arrow_type, map_arrow, rows_of
 
 #: Types that are words, types that are endings of other words, classes (at most 64), passes of exchange. They bound the bigram matrix, not the words that get a class.
 WORD_TYPES, ENDING_TYPES, CLASSES, PASSES = 1000, 500, 64, 6
@@ -259,7 +259,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held:
     model = spark.sparkContext.broadcast((types, at, {w: i for i, w in enumerate(words_)}, np.array([*counts_, 0], np.float64), np.array([*classes_, 0], np.uint8)))
 
     id_name = dict(rows.dtypes)["id"]
-    id_type = pa.string() if id_name == "string" else pa.int64()
+    id_type = arrow_type(rows, "id")
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types, at, index, counted, classed = model.value

@@ -162,12 +162,24 @@ def identify(rows: DataFrame, model: TextModel, key_cols: list[str], text_col: s
 
 
 def declared_language(page: Column) -> Column:
-    """The language that a page's markup declares: on html (lang or xml:lang), else on body, else for its content in a meta tag; null if none."""
-    lang = r"""\b(?:xml:)?lang\s*=\s*["']?\s*([a-z]{2,3})\b"""
-    content = r"""\bcontent\s*=\s*["']?\s*([a-z]{2,3})\b"""
-    name = r"""\b(?:http-equiv|name)\s*=\s*["']?(?:content-language|language)\b"""
-    patterns = (rf"<html\b[^>]*?{lang}", rf"<body\b[^>]*?{lang}", rf"<meta\b(?=[^>]*?{name})[^>]*?{content}")
-    return F.coalesce(*(F.nullif(F.regexp_extract(F.coalesce(page, F.lit("")), f"(?i){p}", 1), F.lit("")) for p in patterns))
+    """The language that a page's markup declares: on html (lang or xml:lang), else on body, else for its content in a meta tag; null if none.
+
+    Comments and the contents of scripts, styles, templates and titles declare nothing; other attributes whose names end
+    in ``lang``, and what stands in their values, don't either.
+    """
+    page = F.regexp_replace(F.coalesce(page, F.lit("")), r"(?s)<!--.*?(?:-->|\z)", " ")
+    page = F.regexp_replace(page, r"(?is)<(script|style|template|textarea|title)\b.*?(?:</\1|\z)", " ")
+    code = r"""\s*=\s*["']?\s*([a-z]{2,3})(?![a-z])"""
+    begins = r"""(?i)(?<![^\s/"'])"""  # an attribute's name, after a space or another's value
+
+    def on(tag: str) -> Column:
+        attributes = F.regexp_extract(page, rf"(?i)<{tag}(?=[\s/])([^>]*)", 1)
+        others = rf"""{begins}(?!(?:xml:)?lang\s*=)[^\s=/"']+\s*=\s*(?:"[^"]*"|'[^']*')"""
+        return F.regexp_extract(F.regexp_replace(attributes, others, " "), rf"{begins}(?:xml:)?lang{code}", 1)
+
+    name = r"""(?<![\w:-])(?:http-equiv|name)\s*=\s*["']?\s*(?:content-language|language)(?![\w-])"""
+    meta = F.regexp_extract(page, rf"(?i)<meta\b(?=[^>]*?{name})[^>]*?(?<![\w:-])content{code}", 1)
+    return F.coalesce(*(F.nullif(F.lower(found), F.lit("")) for found in (on("html"), on("body"), meta)))
 
 
 def identify_pages(pages: DataFrame, documents: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustloom.llm.common import Workspace, map_arrow, rows_of, text_of
+from gustloom.llm.common import Workspace, arrow_type, map_arrow, rows_of, text_of
 
 COORDINATES, MATCHES = 48, 20
 #: Ids (8 bytes each) that may be broadcast to pick the texts to read again; beyond it, a shuffle picks them.
@@ -106,7 +106,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _signed(rows: DataFrame, words: int, coordinates: int) -> DataFrame:
     id_name = dict(rows.dtypes)["id"]
-    id_type = pa.string() if id_name == "string" else pa.int64()
+    id_type = arrow_type(rows, "id")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words, coordinates)

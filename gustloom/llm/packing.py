@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustloom.llm.bpe_arrays import Vocabulary, ragged
-from gustloom.llm.common import Lately, Workspace, map_arrow, rows_of
+from gustloom.llm.common import Lately, Workspace, arrow_type, map_arrow, rows_of
 
 SEQUENCE, END = 4096, 1
 #: Pieces per block, islands per block, rounds of migration, packings per island, crossovers per round.
@@ -54,10 +54,14 @@ _encoders: dict[str, Encoder] = {}
 
 
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = SEQUENCE, end: int = END) -> DataFrame:
-    """id, piece, start, length and token_ids (binary, little-endian 32-bit) of every document's pieces. A null text is empty: only its end."""
+    """id, piece, start, length and token_ids (binary, little-endian 32-bit) of every document's pieces.
+
+    A null text is empty: one piece, its end. Long texts are encoded whole and cut. Null and repeated ids pass through,
+    each row by itself; an empty table gives no rows. Other columns aren't read.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_name = dict(rows.dtypes)["id"]
-    id_type = pa.string() if id_name == "string" else pa.int64()
+    id_type = arrow_type(rows, "id")
     last = np.array([end], "<u4")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

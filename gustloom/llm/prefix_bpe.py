@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustloom.llm.bpe_arrays import BYTE_LEVEL, Splitter, ragged, split_texts
-from gustloom.llm.common import Lately, map_arrow, rows_of
+from gustloom.llm.common import Lately, arrow_type, map_arrow, rows_of
 
 #: Pre-tokens, and token pairs, that a worker keeps.
 CACHE, PAIRS = 600_000, 2_000_000
@@ -206,7 +206,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_name = dict(rows.dtypes)["id"]
-    id_type = pa.string() if id_name == "string" else pa.int64()
+    id_type = arrow_type(rows, "id")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _codecs:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustloom.llm.bpe_arrays import Vocabulary
-from gustloom.llm.common import Lately, map_arrow, rows_of
+from gustloom.llm.common import Lately, arrow_type, map_arrow, rows_of
 
 #: Pre-tokens whose counts a worker keeps.
 CACHE = 600_000
@@ -56,5 +56,5 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    id_type = pa.string() if dict(rows.dtypes)["id"] == "string" else pa.int64()
+    id_type = arrow_type(rows, "id")
     return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, n_bytes long, n_tokens long, over_limit boolean").withColumnRenamed("id", id_col)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gustloom.llm import bpe_arrays, brown_lm, common, exact_dedup, html_render, imatch, language_id, minhash_join, packing, prefix_bpe, queries, sharding, token_counts
+from gustloom.llm import bpe_arrays, brown_lm, common, exact_dedup, html_render, imatch, importance, language_id, minhash_join, packing, prefix_bpe, queries, sharding, token_counts
 
 BYTE, MULTI, WORD = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken", "word_bpe_49k.json"))
 ODD = ["", "  a  b", "x\n y\n\n  z \t", "foo<|endoftext|>bar <|endoftext|> baz\n <|endoftext|>", "a" * 30 + " b'sx 'll I'm", "Σίσυφος ΟΔΟΣ İstanbul", "日本語 ñandú é", "\x1c\x1d a\x85b\xa0c", "ab" * 2000, "\n", "Ⅷ ½ ²x 🙂"]
@@ -73,6 +73,21 @@ def test_every_operator_handles_odd_rows(odd, docs):
     assert kept == odd.select(F.coalesce("text", F.lit(""))).distinct().count()
 
 
+@pytest.mark.parametrize("kind", ["int", "string", "decimal(12,2)", "date", "smallint"])
+def test_ids_of_any_type(odd, docs, kind):
+    """Ids come back as they were given, in their own type."""
+    of = (lambda c: F.date_add(F.lit("2020-01-01").cast("date"), c.cast("int"))) if kind == "date" else lambda c: c.cast(kind)
+    given = odd.withColumn("doc_id", of(F.col("doc_id"))).limit(30)
+    want = sorted(str(r[0]) for r in given.select("doc_id").collect())
+    runs = {
+        "html": lambda d: html_render.visible_text(d.select("doc_id", F.col("text").alias("html")), "doc_id"), "bpe": lambda d: prefix_bpe.round_trip(d, MULTI), "brown": brown_lm.score, "count": lambda d: token_counts.token_counts(d, BYTE),
+        "near": minhash_join.near_duplicates, "pack": lambda d: packing.pack(d, WORD).where("piece = 0"), "exact": exact_dedup.exact_dedup, "resample": lambda d: importance.resample(d, docs.limit(5)),
+    }
+    for name, run in runs.items():
+        got = run(given)
+        assert dict(got.dtypes)["doc_id"] == kind and sorted(str(r[0]) for r in got.select("doc_id").collect()) == want, name
+
+
 def test_values_on_odd_rows(odd):
     """Nulls count as empty, repeated rows and rows without an id are treated each, whatever other columns there are."""
     rows = [(r["doc_id"], r["text"] or "") for r in odd.collect()]
@@ -572,6 +587,8 @@ def test_all_labelled_languages_are_learned(spark):
 
 def test_declared_languages(spark):
     cases = {"<html lang=en>": "en", '<HTML xml:lang="fr-CA">': "fr", "<html><body lang='de'>": "de", '<meta http-equiv="Content-Language" content="es">': "es", '<meta content="it" name=language>': "it", "<html><p lang=en>": None, "": None, None: None, '<meta name=x content="it">': None}
+    cases |= {"<html data-lang='fr' lang=de>": "de", "<!-- <html lang=it> --><html lang=de>": "de", "<!-- <html lang=it> <html lang=de>": None, "<html title='lang=fr' lang=de>": "de", '<html lang="pt" data-lang=fr>': "pt", "<script>var x='<html lang=it>'</script><html lang=en>": "en"}
+    cases |= {"<html hreflang=fr><body lang=es>": "es", "<html lang=english>": None, "<meta data-name=language content=it>": None, "<meta name=language-x content=it>": None, "<html" + " a=b" * 30_000 + " lang=de>": "de", "<htmlx lang=de>": None, "<html\nclass='a'\nLANG = 'NL-be'>": "nl"}
     got = spark.createDataFrame([(k,) for k in cases], "html string").select("html", language_id.declared_language(F.col("html"))).collect()
     assert {r[0]: r[1] for r in got} == cases
 
@@ -682,7 +699,7 @@ def test_html():
     assert html_render.render(PAGE).split("\n") == [
         "Hello bold world", "", "para one", "", "para two", "line", "", "- a", "- b", "  1. x", "  2. y", "- c", "", "Name       Qty", "Apple pie  3", "r          1", "           2", "", "  a", "   b", "", "x <tag> &",
     ]
-    cases = {"": "", "<": "<", "a < b": "a < b", "<li>a<li>b": "- a\n- b", "<b><p>x</b>y": "x\n\ny", "a<br><br>b": "a\n\nb", "<ul><li><p>a</p><p>b</p></li></ul>": "- a\n\n  b", "<table><td>x": "x", "<!-- a": "", "<script>x": "", "<plaintext><b>x": "<b>x", "<p>  </p><p>x": "x", "<noscript>a</noscript>b": "b"}
+    cases = {"": "", "<": "<", "a < b": "a < b", "<li>a<li>b": "- a\n- b", "<b><p>x</b>y": "xy", "a<br><br>b": "a\n\nb", "<ul><li><p>a</p><p>b</p></li></ul>": "- a\n\n  b", "<table><td>x": "x", "<!-- a": "", "<script>x": "", "<plaintext><b>x": "<b>x", "<p>  </p><p>x": "x", "<noscript>a</noscript>b": "b"}
     assert {k: html_render.render(k) for k in cases} == cases
     assert html_render.render("<div>" * 5000 + "x") == "x" and html_render.render("<table><tr><td>" * 300 + "z") == "z"
 
