@@ -39,7 +39,7 @@ def range_of(rows: DataFrame, order: str, ranges: int = 0) -> Column:
     The cuts, fewer than the ranges, are all that comes to the driver. Equal values share a range.
     """
     ranges = ranges or 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = F.unix_micros(order) if dict(rows.dtypes)[order].startswith("timestamp") else F.col(order)
+    key = F.unix_micros(F.col(order).cast("timestamp")) if dict(rows.dtypes)[order].startswith("timestamp") else F.col(order)
     cuts = rows.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0] if ranges > 1 else []
     cuts = sorted(set(cuts or []))
     if not cuts:

@@ -3,7 +3,11 @@
 A commit's files are staged where no reader looks, read back, and moved to a folder of the commit's own. It counts from
 the moment that its marker is in the log: the marker of version n + 1 names version n as its parent, and only one
 writer can create it. Who comes second looks at what has changed and tries again on top of it. A commit that failed
-leaves files that no marker names.
+leaves files that no marker names; tidy() removes them.
+
+Every CHECKPOINT_EVERY versions a checkpoint gathers the log, the newest pointers, the receipts and an index of the
+objects in tables of their own. A reader takes the newest checkpoint and the few commits after it, so that what it reads
+doesn't grow with the number of past commits. A version that a checkpoint or the log still holds can be read as it was.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from gustloom.functions.columns import dated_path
 from gustloom.operators.gate import has_work
@@ -29,10 +34,18 @@ RECEIPT = "kind string, path string, sha256 string, source_sha256 string, genera
 OUTCOME = "kind string, path string, outcome string, commit string"
 #: Attempts to be the next version, and the seconds before another one; the last counts for all that follow.
 ATTEMPTS, DELAYS = 8, (1, 2, 4, 8, 12, 16, 20, 30)
+INDEX = "path string, sha256 string, source_sha256 string, commit string, kind string, day date"
+COMMIT = "version long, commit string, query string, batch long"
+#: Versions between checkpoints.
+CHECKPOINT_EVERY = 20
 
 
 class Conflict(RuntimeError):
-    """An immutable path holds other bytes."""
+    """An immutable path holds other bytes, or a receipt of it names others."""
+
+
+class Damaged(RuntimeError):
+    """The stored bytes of an object aren't those that were recorded."""
 
 
 class Store:
@@ -45,57 +58,172 @@ class Store:
     def path(self, name: str):
         return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
 
+    def listed(self, folder: str) -> list[tuple[str, int]]:
+        """Names and times (milliseconds) of what is in a folder, without what is hidden."""
+        path = self.path(folder)
+        if not self.fs.exists(path):
+            return []
+        return [(n, int(f.getModificationTime())) for f in self.fs.listStatus(path) if not (n := str(f.getPath().getName())).startswith(("_", "."))]
+
+    def markers(self, folder: str) -> list[int]:
+        return sorted(int(n.removesuffix(".json")) for n, _ in self.listed(folder) if n.endswith(".json"))
+
+    def marked(self, name: str) -> dict:
+        """What a marker says."""
+        file = self.fs.open(self.path(name))
+        try:
+            return json.loads(str(self.jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")))
+        finally:
+            file.close()
+
     def version(self) -> int:
         """The newest version; 0 before the first."""
-        log = self.path("log")
-        if not self.fs.exists(log):
-            return 0
-        names = (str(f.getPath().getName()) for f in self.fs.listStatus(log))
-        return max((int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith(("_", "."))), default=0)
-
-    def claim(self, version: int, commit: str) -> bool:
-        """Create the marker of a version; False if another writer has. It appears with all of its bytes at once."""
-        staged, marker = self.path(f"log/_{commit}-{version}"), self.path(f"log/{version:020d}.json")
+        return max([0, *self.markers("log")[-1:], *self.markers("checkpoints")[-1:]])
+
+    def base(self, version: int | None = None) -> tuple[int, str | None]:
+        """The newest checkpoint, of those up to a version, and its folder; (0, None) if there is none."""
+        found = [v for v in self.markers("checkpoints") if version is None or v <= version]
+        return (found[-1], self.marked(f"checkpoints/{found[-1]:020d}.json")["folder"]) if found else (0, None)
+
+    def commits(self, after: int, version: int | None = None) -> list[dict]:
+        """The markers after a version, oldest first: few, if the version is a checkpoint's."""
+        return [self.marked(f"log/{v:020d}.json") for v in self.markers("log") if v > after and (version is None or v <= version)]
+
+    def create(self, marker: str, facts: dict) -> bool:
+        """Create a marker; False if there is one. It appears with all of its bytes at once."""
+        folder, _, name = marker.rpartition("/")
+        staged, target = self.path(f"{folder}/_{uuid.uuid4().hex}-{name}"), self.path(marker)
         out = self.fs.create(staged, True)
-        out.write(bytearray(json.dumps({"version": version, "parent": version - 1, "commit": commit}).encode() + b"\n"))
+        out.write(bytearray(json.dumps(facts).encode() + b"\n"))
         out.close()
         context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(staged.toUri() if staged.toUri().getScheme() else self.fs.getUri(), self.spark._jsc.hadoopConfiguration())
         none = self.spark.sparkContext._gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 0)
         try:
-            context.rename(context.makeQualified(staged), context.makeQualified(marker), none)  # never over a marker that is there
+            context.rename(context.makeQualified(staged), context.makeQualified(target), none)  # never over a marker that is there
         except Exception as error:
             self.fs.delete(staged, False)
-            if self.fs.exists(marker):
+            if self.fs.exists(target):
                 return False
             raise error
         return True
 
+    def claim(self, version: int, commit: str, source: tuple[str, int] | None = None) -> bool:
+        """Create the marker of a version; False if another writer has, or had before its marker was tidied away."""
+        query, batch = source or (None, None)
+        if self.base()[0] >= version or not self.create(f"log/{version:020d}.json", {"version": version, "parent": version - 1, "commit": commit, "query": query, "batch": batch}):
+            return False
+        if self.base()[0] >= version:  # a checkpoint has overtaken a writer that slept for long
+            self.fs.delete(self.path(f"log/{version:020d}.json"), False)
+            return False
+        return True
+
     def move(self, source: str, target: str) -> None:
         self.fs.mkdirs(self.path(target).getParent())
         if not self.fs.rename(self.path(source), self.path(target)):
             raise RuntimeError(f"could not move {source} to {target}")
 
-    def table(self, name: str, schema: str, version: int | None = None) -> DataFrame:
-        """The rows of a table that commits up to a version brought in."""
-        if not self.version() or not self.fs.exists(self.path(name)):
-            return self.spark.createDataFrame([], schema)
-        log = self.spark.read.schema("version long, commit string").json(f"{self.root}/log")
-        seen = log if version is None else log.where(F.col("version") <= version)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}").join(F.broadcast(seen.select("commit")), "commit", "left_semi")  # a short row a publication
+    def table(self, name: str, schema: str, version: int | None = None, folder: str | None = None) -> DataFrame:
+        """The rows of a table that commits up to a version brought in, with the ``version`` that did.
+
+        ``folder``: its name in a checkpoint; without one, all commits count by themselves.
+        """
+        base, place = self.base(version) if folder else (0, None)
+        if version is not None and not {*range(base + 1, version + 1)} <= {*self.markers("log")}:
+            raise ValueError(f"version {version} is no longer there, or not yet")
+        full = f"{schema}, version long"
+        out = self.spark.read.schema(full).parquet(f"{self.root}/{place}/{folder}") if place else self.spark.createDataFrame([], full)
+        later = [c for c in self.commits(base, version) if self.fs.exists(self.path(f"{name}/commit={c['commit']}"))]
+        if not later:
+            return out
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*(f"{self.root}/{name}/commit={c['commit']}" for c in later))
+        known = self.spark.createDataFrame([(c["commit"], c["version"]) for c in later], "commit string, version long")
+        return out.unionByName(rows.join(F.broadcast(known), "commit").select(out.columns))  # as many rows as there are commits after the checkpoint
+
+    def log(self, version: int | None = None) -> DataFrame:
+        """All commits up to a version."""
+        base, place = self.base(version)
+        later = [(c["version"], c["commit"], c.get("query"), c.get("batch")) for c in self.commits(base, version)]
+        rows = self.spark.createDataFrame(later, COMMIT)
+        return rows.unionByName(self.spark.read.schema(COMMIT).parquet(f"{self.root}/{place}/commits")) if place else rows
+
+    def done(self, source: tuple[str, int]) -> str | None:
+        """The commit of a query's batch, if it has been made: the newest of that query, or one before it."""
+        found = self.log().where((F.col("query") == source[0]) & (F.col("batch") == source[1])).first()
+        return found["commit"] if found else None
 
 
-def pointers(spark: SparkSession, root: str) -> DataFrame:
-    """The current pointer of each kind: of all that were committed, the newest; an absent one gives no row."""
-    return last_wins(Store(spark, root).table(POINTERS, POINTER), ["kind"], "generated_at")
+def pointers(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The current pointer of each kind, or that of a version: the newest; of those with one time the one that came last. An absent one gives no row."""
+    return _newest(Store(spark, root).table(POINTERS, POINTER, version, POINTERS)).drop("version")
 
 
-def receipts(spark: SparkSession, root: str) -> DataFrame:
-    return Store(spark, root).table(RECEIPTS, RECEIPT)
+def _newest(rows: DataFrame) -> DataFrame:
+    """Few rows: the pointers of a checkpoint and of the commits after it."""
+    return rows.groupBy("kind").agg(F.max_by(F.struct(*(c for c in rows.columns if c != "kind")), F.struct("generated_at", "version")).alias("x")).select("kind", "x.*").select(rows.columns)
 
 
-def objects(spark: SparkSession, root: str) -> DataFrame:
+def receipts(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    return Store(spark, root).table(RECEIPTS, RECEIPT, version, RECEIPTS).drop("version")
+
+
+def index(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """Committed objects without their content."""
+    return Store(spark, root).table(OBJECTS, INDEX, version, "index").drop("version")
+
+
+def objects(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """Committed objects; their content is gzip."""
-    return Store(spark, root).table(OBJECTS, OBJECT)
+    store = Store(spark, root)
+    if not store.version() or not store.fs.exists(store.path(OBJECTS)):
+        return spark.createDataFrame([], OBJECT)
+    seen = store.log(version).select("commit")
+    return spark.read.schema(OBJECT).parquet(f"{store.root}/{OBJECTS}").join(seen, "commit", "left_semi")
+
+
+def checkpoint(spark: SparkSession, root: str) -> int:
+    """Gather the newest version in tables of its own, if there is none of it yet; the version."""
+    store = Store(spark, root)
+    version = store.version()
+    if not version or store.base()[0] == version:
+        return version
+    folder = f"checkpointed/{version}-{uuid.uuid4().hex}"
+    at = lambda name: f"{store.root}/{folder}/{name}"
+    _newest(store.table(POINTERS, POINTER, version, POINTERS)).write.parquet(at(POINTERS))
+    store.table(RECEIPTS, RECEIPT, version, RECEIPTS).write.parquet(at(RECEIPTS))
+    # By kind and day, so that the footers of files tell a writer which ones its own days are in.
+    store.table(OBJECTS, INDEX, version, "index").repartitionByRange("kind", "day").sortWithinPartitions("kind", "day").write.parquet(at("index"))
+    store.log(version).write.parquet(at("commits"))
+    if not store.create(f"checkpoints/{version:020d}.json", {"version": version, "folder": folder}):
+        store.fs.delete(store.path(folder), True)
+    return version
+
+
+def tidy(spark: SparkSession, root: str, now_ms: int, grace_ms: int) -> list[str]:
+    """Remove what no reader needs and no writer may still be at work on: what is older than the grace time and
+
+    belongs to a commit that isn't in the log; is staged; is in the newest checkpoint (markers, and the pointers, receipts and
+    outcomes of single commits); or is an older checkpoint. Versions before the newest checkpoint can't be read from then on.
+    Objects of commits stay. What was removed, by name.
+    """
+    store, gone = Store(spark, root), []
+    old = lambda folder: [n for n, t in store.listed(folder) if t < now_ms - grace_ms]
+    live = store.log().select("commit", "version")
+    base, place = store.base()
+    if place and f"{base:020d}.json" not in old("checkpoints"):
+        base, place = 0, None  # readers may still be at the versions before it
+    for name in (OBJECTS, RECEIPTS, POINTERS, OUTCOMES):
+        given = [(n.removeprefix("commit="),) for n in old(name) if n.startswith("commit=")]
+        known = spark.createDataFrame(given, "commit string").join(live, "commit", "left")
+        dead = known.where(F.col("version").isNull() | ((F.col("version") <= base) & F.lit(name != OBJECTS)))
+        gone += [f"{name}/commit={r['commit']}" for r in dead.select("commit").collect()]
+    gone += [f"staging/{n}" for n in old("staging")]
+    if place:
+        gone += [f"log/{v:020d}.json" for v in store.markers("log") if v <= base and f"{v:020d}.json" in set(old("log"))]
+        gone += [f"checkpoints/{v:020d}.json" for v in store.markers("checkpoints") if v < base]
+        gone += [f"checkpointed/{n}" for n in old("checkpointed") if int(n.partition("-")[0]) < base or int(n.partition("-")[0]) == base and f"checkpointed/{n}" != place]
+    for name in gone:
+        store.fs.delete(store.path(name), True)
+    return gone
 
 
 def packed(rows: DataFrame, content: str = "content") -> DataFrame:
@@ -119,14 +247,20 @@ def place(rows: DataFrame) -> DataFrame:
     return out.withColumns({"path": dated_path("payloads", "kind", "generated_at", ".json.gz"), "sha256": F.sha2("content", 256), "day": F.to_date("generated_at")})
 
 
-def publish(spark: SparkSession, root: str, rows: DataFrame, now: Column, ready: Column | None = None, plan: DataFrame | None = None, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+def publish(spark: SparkSession, root: str, rows: DataFrame, now: Column, ready: Column | None = None, plan: DataFrame | None = None, sleep: Callable[[float], None] = time.sleep, source: tuple[str, int] | None = None) -> DataFrame:
     """Commit new objects with their receipts and pointers. Returns (kind, path, outcome): written, same, suppressed_noop.
 
-    Other bytes at a path raise Conflict and nothing is committed. A pointer moves only forward, and only to ready
-    objects. With a ``plan`` of the gate that leaves no work, models aren't transferred. If all objects are there and no
+    Other bytes at a path raise Conflict and nothing is committed, and so does a receipt that names others; an object
+    that is there is read again, and Damaged is raised where its bytes aren't the recorded ones. A pointer moves only
+    forward, and only to ready objects; one of equal time takes the place of the last. With a ``plan`` of the gate that leaves no work, models aren't transferred. If all objects are there and no
     pointer moves, no version is made.
+
+    ``source``: the name and batch number of a stream. They are in the commit's marker, so that a batch that is run again
+    finds its commit, wherever the run before it ended.
     """
     store, commit = Store(spark, root), uuid.uuid4().hex
+    if source and (made := store.done(source)):
+        return _outcomes(store, made)
     given = rows.withColumn("ready", F.lit(True) if ready is None else ready)
     idle = plan is not None and not has_work(plan).first()[0]
     suppressed = given.where("kind = 'models'") if idle else given.limit(0)
@@ -143,8 +277,11 @@ def publish(spark: SparkSession, root: str, rows: DataFrame, now: Column, ready:
                 for name in (OBJECTS, RECEIPTS, POINTERS, OUTCOMES):
                     if not store.fs.exists(store.path(f"{name}/commit={commit}")):
                         store.move(f"{stage}/{name}", f"{name}/commit={commit}")
-                if store.claim(parent + 1, commit):
-                    return store.table(OUTCOMES, OUTCOME).where(F.col("commit") == commit).drop("commit")
+                if store.claim(parent + 1, commit, source):
+                    out = _outcomes(store, commit)
+                    if parent + 1 - store.base()[0] >= CHECKPOINT_EVERY:
+                        checkpoint(spark, root)
+                    return out
                 for name in (OBJECTS, RECEIPTS, POINTERS, OUTCOMES):
                     store.fs.delete(store.path(f"{name}/commit={commit}"), True)
             else:
@@ -156,15 +293,44 @@ def publish(spark: SparkSession, root: str, rows: DataFrame, now: Column, ready:
         store.fs.delete(store.path(stage), True)
 
 
+def publish_stream(stream: DataFrame, root: str, name: str, checkpoint: str, now: Column, ready: Column | None = None) -> StreamingQuery:
+    """Publish all that a stream of (kind, generated_at, content) has brought, a commit a batch and each batch once.
+
+    The stream's checkpoint is written after the commit. If a run ends between the two, the next one is given the batch
+    again, and finds it in the log.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        publish(batch.sparkSession, root, batch, now, ready, source=(name, number))
+
+    return stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(write).start()
+
+
+def _outcomes(store: Store, commit: str) -> DataFrame:
+    """The outcomes of a commit; none, if they have been tidied away."""
+    if not store.fs.exists(store.path(f"{OUTCOMES}/commit={commit}")):
+        return store.spark.createDataFrame([], OUTCOME).drop("commit")
+    return store.spark.read.schema(OUTCOME).parquet(f"{store.root}/{OUTCOMES}/commit={commit}").drop("commit")
+
+
 def _stage(store: Store, placed: DataFrame, at: Callable[[str], str], now: Column, parent: int, suppressed: DataFrame) -> bool:
     """Write what this run adds to version ``parent`` and read it back; whether it adds anything."""
     spark = store.spark
     keys = placed.select("kind", "day", "path")
-    days = F.broadcast(keys.select("kind", "day").distinct()) if keys.count() < 100_000 else keys.select("kind", "day").distinct()
-    have = store.table(OBJECTS, OBJECT, parent).join(days, ["kind", "day"], "left_semi").select("path", F.col("sha256").alias("have"))  # only this run's partitions
-    state = placed.join(have, "path", "left").select("kind", "day", "path", "sha256", "source_sha256", "content", "generated_at", "ready", "have")
+    few = keys.count() < 100_000
+    days = F.broadcast(keys.select("kind", "day").distinct()) if few else keys.select("kind", "day").distinct()
+    here = store.table(OBJECTS, INDEX, parent, "index").join(days, ["kind", "day"], "left_semi")  # only this run's days
+    have = here.select("path", F.col("sha256").alias("have"), F.col("commit").alias("brought_by"))
+    state = placed.join(have, "path", "left").select("kind", "day", "path", "sha256", "source_sha256", "content", "generated_at", "ready", "have", "brought_by")
     if bad := state.where("have is not null and have <> sha256").select("path").limit(1).collect():
         raise Conflict(f"immutable path holds other bytes: {bad[0][0]}")
+    again = state.where("have is not null").select("path", F.col("sha256").alias("want"), F.col("brought_by").alias("commit"), "kind", "day")
+    if not again.isEmpty():
+        again = spark.createDataFrame(again.toArrow()) if few else again
+        stored = spark.read.schema(OBJECT).parquet(f"{store.root}/{OBJECTS}").join(F.broadcast(again) if few else again, ["commit", "kind", "day", "path"]).select("path", "want", F.sha2("content", 256).alias("read_sha"))
+        lost = again.join(stored.select("path", "read_sha"), "path", "left").where("read_sha is null or read_sha <> want").select("path").limit(1).collect()
+        if lost:
+            raise Damaged(f"stored bytes differ from the recorded hash: {lost[0][0]}")
     new = state.where("have is null")
     new.select("path", "sha256", "source_sha256", "content", "kind", "day").write.mode("overwrite").partitionBy("kind", "day").option("compression", "none").parquet(at(OBJECTS))
     spark.createDataFrame([], "path string, sha256 string, source_sha256 string, content binary").write.mode("append").parquet(at(OBJECTS) + "/kind=none/day=1970-01-01")
@@ -172,12 +338,15 @@ def _stage(store: Store, placed: DataFrame, at: Callable[[str], str], now: Colum
     fits = new.select("path", "sha256").join(back, "path", "left").agg(F.coalesce(F.bool_and(F.coalesce(F.col("read_sha") == F.col("sha256"), F.lit(False))), F.lit(True))).first()[0]
     if not fits:
         raise RuntimeError("read-back differs from what was written")
-    old = store.table(RECEIPTS, RECEIPT, parent).select("path", F.lit(True).alias("receipted"))
+    old = store.table(RECEIPTS, RECEIPT, parent, RECEIPTS).select("path", F.lit(True).alias("receipted"), F.col("sha256").alias("receipt_sha"))
+    if bad := state.join(old, "path").where("receipt_sha <> sha256").select("path").limit(1).collect():
+        raise Conflict(f"a receipt names other bytes: {bad[0][0]}")
     fresh = state.join(old, "path", "left").where("receipted is null").select("kind", "path", "sha256", "source_sha256", "generated_at", now.alias("verified_at"), "ready")
     fresh.write.mode("overwrite").parquet(at(RECEIPTS))
-    current = last_wins(store.table(POINTERS, POINTER, parent), ["kind"], "generated_at").select("kind", F.col("generated_at").alias("at"))
-    moved = last_wins(state.where("ready").select("kind", "path", "sha256", "generated_at"), ["kind"], "generated_at").join(current, "kind", "left").where("at is null or generated_at > at")
-    moved.drop("at").write.mode("overwrite").parquet(at(POINTERS))
+    current = _newest(store.table(POINTERS, POINTER, parent, POINTERS)).select("kind", F.col("generated_at").alias("at"), F.col("path").alias("to"), F.col("sha256").alias("to_sha"))
+    ours = last_wins(state.where("ready").select("kind", "path", "sha256", "generated_at"), ["kind"], "generated_at").join(current, "kind", "left")
+    moved = ours.where("at is null or generated_at > at or generated_at = at and (path <> to or sha256 <> to_sha)")
+    moved.drop("at", "to", "to_sha").write.mode("overwrite").parquet(at(POINTERS))
     outcome = state.select("kind", "path", F.when(F.col("have").isNull(), "written").otherwise("same").alias("outcome"))
     held = suppressed.select("kind", dated_path("payloads", "kind", "generated_at", ".json.gz").alias("path"), F.lit("suppressed_noop").alias("outcome"))
     outcome.unionByName(held).write.mode("overwrite").parquet(at(OUTCOMES))

@@ -10,7 +10,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from gustloom.plans import audits, catalog, inputs  # noqa: F401
+from gustloom.plans import audits, catalog, history, inputs  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

@@ -66,11 +66,11 @@ def test_publish_behind_another_writer(spark, tmp_path, monkeypatch):
     root, now, waits = str(tmp_path / "store"), F.lit(T0), []
     claim, raced = P.Store.claim, []
 
-    def late(store, version, commit):
+    def late(store, version, commit, source=None):
         if not raced:
             raced.append(version)
             P.publish(spark, root, contents(spark, ("models", 5, b"theirs")), now)
-        return claim(store, version, commit)
+        return claim(store, version, commit, source)
 
     monkeypatch.setattr(P.Store, "claim", late)
     ours = P.publish(spark, root, contents(spark, ("models", 3, b"ours"), ("svg", 3, b"ours too")), now, sleep=waits.append)
