@@ -72,8 +72,9 @@ def packed_time(text: Column | str) -> Column:
 
 
 def message_time(date: Column | str, time: Column | str) -> Column:
-    """A coded date and a time that is padded to four digits; null unless both are digits."""
-    d, t = col(date).cast("string"), F.lpad(col(time).cast("string"), 4, "0")
+    """A coded date and a time of up to four digits, padded to four; null unless both are digits. A longer time isn't cut: it's none."""
+    given = F.trim(col(time).cast("string"))
+    d, t = F.trim(col(date).cast("string")), F.when(F.length(given) <= 4, F.lpad(given, 4, "0")).otherwise(given)
     return F.when(d.rlike(r"^\d{8}$") & t.rlike(r"^\d{4}$"), F.try_to_timestamp(F.concat(d, t), F.lit("yyyyMMddHHmm")))
 
 
@@ -208,10 +209,10 @@ CANONICAL_PARAMETERS = {
 
 
 def step_end_hours(text: Column | str) -> Column:
-    """The end of a step range in hours: its last number with its unit (h unless m, s or d)."""
-    pattern = F.lit(r"(\d+(?:\.\d+)?)([smhd]?)")
-    value = F.try_element_at(F.regexp_extract_all(col(text), pattern, F.lit(1)), F.lit(-1)).try_cast("double")
-    unit = F.try_element_at(F.regexp_extract_all(col(text), pattern, F.lit(2)), F.lit(-1))
+    """The end of a step range in hours: its last number with the letter right after it, in any case: minutes, seconds, days, else hours."""
+    last = F.regexp_extract(F.lower(col(text)), r"([0-9]+[.]?[0-9]*)([a-z]?)[^0-9]*$", 0)
+    value = F.regexp_extract(last, r"^([0-9]+([.][0-9]+)?)", 1).try_cast("double")
+    unit = F.regexp_extract(last, r"^[0-9]+(?:[.][0-9]+)?([a-z]?)", 1)
     return value * F.when(unit == "m", 1 / 60).when(unit == "s", 1 / 3600).when(unit == "d", 24.0).otherwise(1.0)
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 MEMBERS = 20
 #: Keys whose bin edges (8 KB each) the driver holds.
 LARGE_KEYS = 2000
+#: Distinct values, over all keys, whose counts are put in order a key at a time.
+FEW_VALUES = 200_000
 
 
 def circular_mean(degrees: Column | str) -> Column:
@@ -29,38 +31,44 @@ def statistics(rows: DataFrame, key: list[str], speed: str = "wind_speed_ms", di
 def large_percentiles(rows: DataFrame, key: list[str], value: str, shares: list[float], bins: int = 1024) -> DataFrame:
     """(key, n, one column p0, p1, ... a share): exact percentiles, interpolated, of up to LARGE_KEYS keys that may hold any number of rows.
 
-    A sketch gives each key's bin edges, with about as many rows in each bin; counts by bin, combined before the
-    shuffle, tell in which bins the wanted ranks are, and only those bins' distinct values are put in order. The edges
-    pass through the driver, so that every use of them is the same. Null values are left out.
+    Rows are first counted by key and value, combined before the shuffle. If FEW_VALUES counts are left at most, they are
+    all that is put in order. Otherwise a sketch gives each key's bin edges, with about as many rows in each bin; the counts of the bins tell in which of them the wanted ranks are, and only those bins'
+    values are put in order. What is joined has a few rows a key and is broadcast: the edges (8 KB a key) are a table of
+    the driver's, so that every use of them is the same. Null values are left out.
     """
-    some = rows.where(F.col(value).isNotNull()).select(*key, F.col(value).cast("double").alias("_v"))
-    edges = some.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.percentile_approx("_v", [i / bins for i in range(1, bins)], 20 * bins)).alias("_edges"))
-    held = edges.limit(LARGE_KEYS + 1).collect()
+    names = [f"_k{i}" for i in range(len(key))]
+    counted = rows.where(F.col(value).isNotNull()).groupBy(*key, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    if counted.limit(FEW_VALUES + 1).count() <= FEW_VALUES:
+        some = counted.groupBy(*key).agg(F.sum("_c").alias("n"), F.percentile("_v", F.array(*map(F.lit, shares)), F.col("_c")).alias("_p"))
+        return some.select(*key, "n", *(F.get("_p", i).alias(f"p{i}") for i in range(len(shares))))
+    # Edges only balance the bins, so that a coarse sketch will do.
+    sketch = F.array_distinct(F.percentile_approx(F.col(value).cast("double"), [i / bins for i in range(1, bins)], 4 * bins))
+    held = rows.where(F.col(value).isNotNull()).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), sketch.alias("_edges")).limit(LARGE_KEYS + 1)
+    schema, held = held.schema, held.collect()
     if len(held) > LARGE_KEYS:
         raise ValueError(f"more than {LARGE_KEYS} keys: their groups are small enough for percentile()")
-    edges = rows.sparkSession.createDataFrame(held, edges.schema)
-    names = [f"_k{i}" for i in range(len(key))]
+    edges = rows.sparkSession.createDataFrame(held, schema)
 
     def joined(left: DataFrame, right: DataFrame, *on: str) -> DataFrame:
-        """Null-safe on the key; ``right`` has a few rows a key."""
+        """Null-safe on the key; ``right`` has as many rows a key as there are shares, at most twice as many."""
         r = right.select(*(F.col(k).alias(n) for k, n in zip(key, names)), *(F.col(c).alias(f"_{c}_r") if c in on else F.col(c) for c in right.columns if c not in key))
         same = F.lit(True)
         for k, n in zip(key, names):
             same = same & F.col(k).eqNullSafe(F.col(n))
         for c in on:
             same = same & (F.col(c) == F.col(f"_{c}_r"))
-        return left.join(r, same).drop(*names, *(f"_{c}_r" for c in on))
+        return left.join(F.broadcast(r), same).drop(*names, *(f"_{c}_r" for c in on))
 
     powers = F.lit([1 << i for i in reversed(range(bins.bit_length()))])
     step = lambda at, p: F.when((at + p <= F.size("_edges")) & (F.get("_edges", at + p - 1) <= F.col("_v")), at + p).otherwise(at)
-    counted = joined(some, edges).withColumn("_bin", F.aggregate(powers, F.lit(0), step)).groupBy(*key, "_bin", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    totals = counted.groupBy(*key, "_bin").agg(F.sum("_c").alias("_t"))
-    upto = F.sum("_t").over(Window.partitionBy(*key).orderBy("_bin"))  # a row a bin
+    binned = joined(counted, edges).withColumn("_bin", F.aggregate(powers, F.lit(0), step))
+    totals = binned.groupBy(*key, "_bin").agg(F.sum("_c").alias("_t"))  # a row a bin
+    upto = F.sum("_t").over(Window.partitionBy(*key).orderBy("_bin"))
     spans = joined(totals.withColumn("_before", upto - F.col("_t")), edges.select(*key, "n"))
     ranks = F.array_distinct(F.flatten(F.array(*(F.array(F.floor(s * (F.col("n") - 1)), F.ceil(s * (F.col("n") - 1))) for s in shares))))
-    wanted = spans.select(*key, "_bin", "_before", "n", F.explode(ranks).alias("_rank")).where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_t")))
-    needed = wanted.groupBy(*key, "_bin", "_before").agg(F.collect_list("_rank").alias("_ranks"))  # twice as many as shares, at most
-    inside = joined(counted, needed, "_bin")
+    wanted = spans.select(*key, "_bin", "_before", F.explode(ranks).alias("_rank"), "_t").where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_t")))
+    needed = wanted.groupBy(*key, "_bin", "_before").agg(F.collect_list("_rank").alias("_ranks"))
+    inside = joined(binned.drop("_edges", "n"), needed, "_bin")
     end = F.col("_before") + F.sum("_c").over(Window.partitionBy(*key, "_bin").orderBy("_v"))
     found = inside.withColumn("_end", end).withColumn("_rank", F.explode("_ranks")).where((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_c")))
     at = found.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))

@@ -21,7 +21,7 @@ def rows_match(seed: DataFrame) -> DataFrame:
 
 
 def plan(discovered: DataFrame, archived: DataFrame, latest: DataFrame, seed: DataFrame, retries: DataFrame, now: Column) -> DataFrame:
-    """(model, run, action, reason). Inputs: discovered (model, run, and maybe probe_error), archived (model, run), latest (model, run, complete), seed rows (model, run), retries (model, run, state, attempts, not_before).
+    """(model, run, action, reason). Inputs: discovered (model, run, and maybe probe_error), archived (model, run), latest (model, run, complete), seed rows (model, run), retries (model, run, state, attempts, not_before, and maybe maximum_attempts).
 
     A cycle with all three proofs is carried over, or its supplement tried again where the model has one and it's due.
     Anything less is fetched, and the reason lists the proofs that are missing; so is a model whose probe failed.
@@ -29,7 +29,7 @@ def plan(discovered: DataFrame, archived: DataFrame, latest: DataFrame, seed: Da
     a = archived.select("model", "run").distinct().withColumn("archived", F.lit(True))
     b = latest.where("complete").select("model", "run").distinct().withColumn("current", F.lit(True))
     c = rows_match(seed).withColumn("seeded", F.lit(True))
-    d = retries.where(F.col("model").cast("string") == SUPPLEMENTED).select("model", "run", due(F.col("state"), F.col("attempts"), F.col("not_before"), now).alias("retry"))
+    d = retries.where(F.col("model").cast("string") == SUPPLEMENTED).select("model", "run", due(F.col("state"), F.col("attempts"), F.col("not_before"), now, F.col("maximum_attempts") if "maximum_attempts" in retries.columns else RETRY_MOST).alias("retry"))
     keys = ["model", "run"]
     joined = discovered.join(a, keys, "left").join(b, keys, "left").join(c, keys, "left").join(d, keys, "left").na.fill(False, ["archived", "current", "seeded", "retry"])
     failed = F.col("probe_error").isNotNull() if "probe_error" in discovered.columns else F.lit(False)
@@ -42,8 +42,9 @@ def plan(discovered: DataFrame, archived: DataFrame, latest: DataFrame, seed: Da
     return joined.select("model", "run", action.alias("action"), reason.alias("reason"))
 
 
-def due(state: Column, attempts: Column, not_before: Column, now: Column) -> Column:
-    return F.coalesce((state == "pending") & (attempts < RETRY_MOST) & (now >= not_before), F.lit(False))
+def due(state: Column, attempts: Column, not_before: Column, now: Column, most: Column | int = RETRY_MOST) -> Column:
+    """Whether a supplement may be tried again; ``most``: the attempts that its own state allows, RETRY_MOST where it says nothing."""
+    return F.coalesce((state == "pending") & (attempts < F.coalesce(most if isinstance(most, Column) else F.lit(most), F.lit(RETRY_MOST))) & (now >= not_before), F.lit(False))
 
 
 def next_retry(state: Column, attempts: Column, missing: Column, tried: Column, now: Column) -> Column:

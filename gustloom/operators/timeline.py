@@ -84,18 +84,13 @@ def axis_valid(rows: DataFrame, key: list[str], position: str, time: str) -> Dat
 
 
 def first_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key by a total order of columns; as an aggregate it combines before the shuffle. Nulls come last."""
-    rest = [c for c in rows.columns if c not in key and c not in order]
-    nulls = lambda c: F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v"))
-    best = rows.groupBy(*key).agg(F.min_by(F.struct(*order, *rest), F.struct(*(nulls(c).alias(f"_{i}") for i, c in enumerate(order)))).alias("_x"))
-    return best.select(*(F.col(c) if c in key else F.col(f"_x.{c}").alias(c) for c in rows.columns))
+    """The first row of each key by a total order of columns; nulls come last. Each task keeps its own first rows before the shuffle."""
+    return top(rows, key, [F.col(c).asc_nulls_last() for c in order], 1).select(*rows.columns)
 
 
 def last_wins(rows: DataFrame, key: list[str], order: str) -> DataFrame:
-    """The last row of each key; as an aggregate it combines before the shuffle."""
-    rest = [c for c in rows.columns if c not in key]
-    best = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_x"))
-    return best.select(*key, *(F.col(f"_x.{c}") for c in rest))
+    """The last row of each key; of rows of one order any. Each task keeps its own last rows before the shuffle; rows without an order come after all others."""
+    return top(rows, key, [F.col(order).desc_nulls_last()], 1).select(*key, *(c for c in rows.columns if c not in key))
 
 
 def top(rows: DataFrame, key: list[str], order: list[str], most: int) -> DataFrame:

@@ -338,3 +338,45 @@ def members_at_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = e.select("k", F.posexplode(F.slice("embedding", 1, 8)).alias("i", "value")).select("k", hour(F.col("i")).alias("time"), F.col("value").cast("double").alias("value"))
     cycles = e.select("k", hour((F.col("k") % 4).cast("int")).alias("run"), F.lit([0, 2, 5]).alias("leads"))
     return ensemble.at_leads(long, cycles, ["k"]).select("k", "lead", "value")
+
+
+@query("""
+    WITH l AS (SELECT o_orderkey AS k, o_orderkey % 6 AS odd, strftime(o_orderdate, '%H%M') AS hm FROM orders)
+    SELECT k, CASE WHEN odd = 0 OR odd = 1 THEN NULL WHEN odd = 2 THEN '0100' ELSE hm END AS at, CASE odd WHEN 4 THEN k % 60 * (1.0::DOUBLE / 60) WHEN 5 THEN k % 9 * 24.0::DOUBLE WHEN 3 THEN k % 600 / 10.0::DOUBLE ELSE (k % 300)::DOUBLE END AS hours FROM l""")
+def message_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coded times with too many digits or none, short ones, and step ranges with units of either case."""
+    odd = F.col("k") % 6
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.date_format("o_orderdate", "HHmm").alias("hm"))
+    time = F.when(odd == 0, F.concat("hm", F.lit("00"))).when(odd == 1, "noon").when(odd == 2, "100").otherwise(F.col("hm"))
+    number = lambda n: n.cast("string")
+    step = F.when(odd == 4, F.concat(F.lit("0-"), number(F.col("k") % 60), F.lit("M"))).when(odd == 5, F.concat(number(F.col("k") % 9), F.lit("D"))).when(odd == 3, F.format_string("0-%.1fH", (F.col("k") % 600) / 10)).otherwise(number(F.col("k") % 300))
+    return o.select("k", F.date_format(C.message_time(F.lit("20250314"), time), "HHmm").alias("at"), C.step_end_hours(step).alias("hours"))
+
+
+@query("""
+    SELECT o_orderkey AS k, o_orderkey % 5 IN (0, 1) AND o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 AS native_verified, abs(o_custkey % 100 / 1000.0 - 0.05) <= 0.011 AND o_custkey % 13 <> 0 AS parity_verified,
+      (o_orderkey % 5 IN (0, 1) AND o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0) AND (abs(o_custkey % 100 / 1000.0 - 0.05) <= 0.011 AND o_custkey % 13 <> 0) AS verified FROM orders WHERE o_custkey % 100 NOT IN (39, 61)""")
+def grid_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a native grid's identity, one in eleven cut short, and the point that a tool chose on the regular grid, missing in one of thirteen. Distances at the very tolerance are left to pytest."""
+    o = table(spark, sf_dir, "orders").where("o_custkey % 100 not in (39, 61)").select(F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 100 / 1000.0).alias("off"), F.col("o_custkey").alias("c"))
+    kind = F.element_at(F.array(*map(F.lit, ("unstructured_grid", "unstructured", "regular_ll", "rotated_ll", "lambert"))), (F.col("k") % 5 + 1).cast("int"))
+    number = F.when(F.col("k") % 7 == 0, "101").otherwise("47")
+    line = F.concat_ws(" ", kind, F.lit("101"), number, F.when(F.col("k") % 11 != 0, F.lit("a1b2c3")), F.lit("542040"))
+    natives = grib_text.grid_identity(o.select("k", line.alias("line")))
+    point = F.concat(F.lit("Grid Point chosen #1 index=17 latitude=52.5"), F.lit(" longitude="), F.format_string("%.3f", F.col("off") + 9), F.lit(" distance=3.1 (Km)"))
+    tool = o.where("c % 13 <> 0").select("k", F.posexplode(F.array(F.lit("10u 3 20250314 1.5"), point)).alias("pos", "line"))
+    returned = o.select("k", F.lit(52.5).alias("latitude"), F.lit(9.05).alias("longitude"))
+    return grib_text.provenance(natives, grib_text.nearest(tool, ["k"]), returned, ["k"])
+
+
+@query("""
+    WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n FROM lineitem), c AS (SELECT k, count(*) AS m, max(n) AS top FROM l GROUP BY 1),
+    v AS (SELECT *, m - (k % 4 = 0)::INT AS values_, k % 6 = 1 AS renamed FROM c)
+    SELECT k, m AS n_metadata, values_ AS n_values, CASE WHEN m <> values_ THEN 'metadata_value_count_mismatch' ELSE 'metadata_value_name_mismatch' END AS reason FROM v WHERE m <> values_ OR renamed""")
+def metadata_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with a value fewer than messages, and files whose first value has another name."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n")).distinct()
+    listed = lines.groupBy("k").agg(F.array_sort(F.collect_set("n")).alias("ns")).select("k", F.posexplode("ns").alias("pos", "n"), F.size("ns").alias("m"))  # an order's lines are few
+    meta = listed.select("k", "pos", F.concat(F.lit("v"), "n").alias("short_name"))
+    values = listed.where((F.col("k") % 4 != 0) | (F.col("pos") < F.col("m") - 1)).select("k", "pos", F.when((F.col("k") % 6 == 1) & (F.col("pos") == 0), "other").otherwise(F.concat(F.lit("v"), "n")).alias("short_name"), F.col("n").cast("double").alias("value"))
+    return grib_text.metadata_reject(meta, values, ["k"])

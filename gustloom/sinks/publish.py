@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gustloom.functions.columns import dated_path
+from gustloom.functions.columns import compact_stamp, dated_path
 from gustloom.operators.gate import has_work
 from gustloom.operators.timeline import last_wins
 
@@ -361,12 +361,20 @@ def preserved(spark: SparkSession, root: str, before: DataFrame) -> DataFrame:
 def batch_receipts(reports: DataFrame, found: DataFrame, kinds: tuple[str, ...] = ("wunstorf", "etnw")) -> tuple[DataFrame, DataFrame]:
     """(batches, mismatches). A batch needs every child kind with a receipt that fits its report; its time is the newest child's.
 
-    reports: batch, kind, generated_at, sha256, status, error_count, ready. found: kind, generated_at, sha256, readback_verified, method_version.
+    reports: batch, kind, generated_at, sha256, status, error_count, ready. found: kind, generated_at, sha256 (of the payload that was
+    transferred), readback_verified, method_version, and where they are recorded stamp, audit_sha256 (of the payload that was
+    audited) and commit_sha. A receipt belongs to a report by kind and time; all else about it is compared.
     """
-    r = found.select(F.col("kind"), F.col("generated_at").alias("r_at"), F.col("sha256").alias("r_sha"), "readback_verified", "method_version")
+    extra = {"stamp": "r_stamp", "audit_sha256": "r_audit", "commit_sha": "r_commit"}
+    r = found.select(F.col("kind"), F.col("generated_at").alias("r_at"), F.col("sha256").alias("r_sha"), "readback_verified", "method_version", *(F.col(c).alias(a) for c, a in extra.items() if c in found.columns))
+    has = lambda c: c in found.columns
     joined = reports.join(r, (reports.kind == r.kind) & (reports.generated_at == r.r_at), "left").drop(r.kind)
     faults = F.filter(F.array(
-        F.when(F.col("r_at").isNull(), F.lit("receipt_missing")), F.when(F.col("r_sha") != F.col("sha256"), "payload_sha256"), F.when(~F.coalesce("readback_verified", F.lit(False)), "readback_verified"),
+        F.when(F.col("r_at").isNull(), F.lit("receipt_missing")), F.when(~F.col("r_sha").eqNullSafe(F.col("sha256")) & F.col("r_at").isNotNull() | F.coalesce(F.col("sha256") == "", F.lit(False)), "payload_sha256"),
+        *([F.when(~F.col("r_stamp").eqNullSafe(compact_stamp("generated_at")) & F.col("r_at").isNotNull(), "stamp")] if has("stamp") else []),
+        *([F.when(~F.col("r_audit").eqNullSafe(F.col("sha256")) & F.col("r_at").isNotNull(), "audit_input_payload_sha256")] if has("audit_sha256") else []),
+        *([F.when((F.coalesce("r_commit", F.lit("")) == "") & F.col("r_at").isNotNull(), "verified_data_commit_sha")] if has("commit_sha") else []),
+        F.when(~F.coalesce("readback_verified", F.lit(False)), "readback_verified"),
         F.when(F.coalesce(F.col("method_version") != "private-transfer-readback-v2", F.lit(True)), "method_version"), F.when(F.col("error_count") > 0, "error_count"), F.when(~F.coalesce("ready", F.lit(False)), "not_ready"),
     ), lambda x: x.isNotNull())
     checked = joined.withColumn("faults", faults)

@@ -31,8 +31,32 @@ def exact(messages: DataFrame, run: Column, valid: Column) -> DataFrame:
 def identity_reject(messages: DataFrame, key: list[str], run: Column, valid: Column) -> DataFrame:
     """Why each file's messages aren't those of a run and valid time; the first reason, null if there is none."""
     step = C.hours_between(run, valid)
-    agg = messages.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.coalesce(F.col("run") == run, F.lit(False))).alias("runs"), F.bool_and(F.coalesce(F.col("valid") == valid, F.lit(False))).alias("valids"), F.bool_and(F.coalesce(F.abs(F.col("step_end") - step) <= 1e-6, F.lit(False))).alias("steps"))
-    return agg.select(*key, F.when(F.col("n") == 0, "no_messages").when(~F.col("runs"), "run_time_mismatch").when(~F.col("valids"), "valid_time_mismatch").when(~F.col("steps"), "step_range_mismatch").alias("reason"))
+    agg = messages.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.coalesce(F.col("run") == run, F.lit(False))).alias("runs"), F.bool_and(F.coalesce(F.col("valid") == valid, F.lit(False))).alias("valids"), F.bool_and(F.coalesce(F.abs(F.col("step_end") - step) <= 1e-9, F.lit(False))).alias("steps"))
+    return agg.select(*key, F.when(F.col("n") == 0, "no_messages").when(~F.col("runs"), "run_time_mismatch").when(~F.col("valids"), "valid_time_mismatch").when(~F.col("steps"), "step_end_mismatch").alias("reason"))
+
+
+def identity_failures(files: DataFrame, messages: DataFrame, key: list[str], run: str = "expected_run", valid: str = "expected_valid") -> DataFrame:
+    """(key, reason, short_name, observed): everything in which a file's messages aren't those of its run and valid time.
+
+    ``files`` has the key and what is expected of each file. A file without messages and one whose expected lead is no whole
+    hour from 0 on have one row each, and no others; a message has a row for each of run, valid time and step end that differs.
+    """
+    lead = C.hours_between(F.col(run), F.col(valid))
+    whole = F.coalesce((F.abs(lead - F.rint(lead)) <= 1e-9) & (lead >= 0), F.lit(False))
+    m = messages.select(*(F.col(k).alias(f"_m{i}") for i, k in enumerate(key)), *(F.col(c).alias(f"_{c}") for c in ("short_name", "run", "valid", "step_range", "step_end")), F.lit(True).alias("_there"))
+    same = F.lit(True)
+    for i, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"_m{i}"))
+    joined = files.join(m, same, "left")
+    fault = lambda when, reason, observed: F.when(when, F.struct(F.lit(reason).alias("reason"), F.col("_short_name").alias("short_name"), observed.cast("string").alias("observed")))
+    each = F.filter(F.array(
+        fault(~F.col("_run").eqNullSafe(F.col(run)), "run_time_mismatch", F.col("_run")), fault(~F.col("_valid").eqNullSafe(F.col(valid)), "valid_time_mismatch", F.col("_valid")),
+        fault(F.coalesce(F.abs(F.col("_step_end") - F.rint(lead)) > 1e-9, F.lit(True)), "step_end_mismatch", F.col("_step_range")),
+    ), lambda x: x.isNotNull())
+    alone = lambda reason: F.array(F.struct(F.lit(reason).alias("reason"), F.lit(None).cast("string").alias("short_name"), lead.cast("string").alias("observed")))
+    faults = F.when(~whole, alone("expected_lead_not_whole_hours")).when(F.col("_there").isNull(), alone("no_messages")).otherwise(each)
+    found = joined.select(*key, F.explode(faults).alias("_f")).select(*key, "_f.*")
+    return found.where(~F.col("reason").isin("expected_lead_not_whole_hours", "no_messages")).unionByName(found.where(F.col("reason").isin("expected_lead_not_whole_hours", "no_messages")).distinct())
 
 
 def batch_leads(messages: DataFrame, key: list[str], run: Column, expected: Column) -> DataFrame:
@@ -68,6 +92,7 @@ def zip_reject(columns: DataFrame, key: list[str], names: list[str]) -> DataFram
     return columns.where(F.array_min(sizes) != F.array_max(sizes)).select(*key, F.lit("metadata_column_length_mismatch").alias("reason"))
 
 
+#: Fixed value: the line with the point that the tool chose.
 _POINT = r"Grid Point chosen .*?latitude=([+-]?\d+(?:\.\d+)?) longitude=([+-]?\d+(?:\.\d+)?)"
 #: How lines begin, and what they hold, that have no value.
 _NO_VALUE = r"^(?:edition|shortName|Other grid|- )|messages in|total messages|Input Point:|Grid Point"
@@ -100,22 +125,69 @@ def nearest_reject(lines: DataFrame, key: list[str], line: str = "line") -> Data
 
 
 def with_metadata(metadata: DataFrame, values: DataFrame, key: list[str]) -> DataFrame:
-    """Metadata and values of messages by position (column ``pos``); a short name that differs marks the row."""
+    """Metadata and values of messages by position (column ``pos``); a short name that differs marks the row.
+
+    A file that hasn't as many of the one as of the other has no rows here, but one of metadata_reject(): positions then
+    say nothing about which value belongs to which message.
+    """
     v = values.select(*key, "pos", F.col("short_name").alias("value_name"), "value")
-    return metadata.join(v, [*key, "pos"]).withColumn("mismatch", F.col("short_name") != F.col("value_name"))
+    odd = _counts(metadata, values, key).where("n_metadata <> n_values").select(*key)
+    return metadata.join(v, [*key, "pos"]).join(odd, key, "left_anti").withColumn("mismatch", F.col("short_name") != F.col("value_name"))
+
+
+def _counts(metadata: DataFrame, values: DataFrame, key: list[str]) -> DataFrame:
+    both = metadata.select(*key, F.lit(1).alias("m"), F.lit(0).alias("v")).unionByName(values.select(*key, F.lit(0).alias("m"), F.lit(1).alias("v")))
+    return both.groupBy(*key).agg(F.sum("m").alias("n_metadata"), F.sum("v").alias("n_values"))
+
+
+def metadata_reject(metadata: DataFrame, values: DataFrame, key: list[str]) -> DataFrame:
+    """(key, n_metadata, n_values, reason): files whose values can't be told to their messages, by count or else by a short name."""
+    counts = _counts(metadata, values, key)
+    differs = with_metadata(metadata, values, key).where("mismatch").select(*key).distinct().withColumn("_named", F.lit(True))
+    reason = F.when(F.col("n_metadata") != F.col("n_values"), "metadata_value_count_mismatch").when(F.col("_named"), "metadata_value_name_mismatch")
+    return counts.join(differs, key, "left").select(*key, "n_metadata", "n_values", reason.alias("reason")).where("reason is not null")
 
 
 def grid_identity(lines: DataFrame, line: str = "line") -> DataFrame:
-    """gridType, number of grid, its UUID and the first point of 'type number uuid lat lon' lines."""
-    p = F.split(F.trim(F.col(line)), r"\s+")
+    """A grid's identity from the five values that a tool prints in a line: its type, the number of its definition's template, the number of the grid, its UUID, the number of points.
+
+    A line with fewer values is kept and says so in ``reject``; further ones are ignored.
+    """
+    p = F.filter(F.split(F.col(line), r"\s+"), lambda x: x != "")
     rest = [c for c in lines.columns if c != line]
-    return lines.select(*rest, p[0].alias("grid_type"), p[1].try_cast("int").alias("grid_number"), p[2].alias("uuid"), p[3].try_cast("double").alias("latitude"), p[4].try_cast("double").alias("longitude"))
+    at = lambda i: F.when(F.size(p) >= 5, F.get(p, i))
+    return lines.select(
+        *rest, at(0).alias("grid_type"), at(1).try_cast("int").alias("template_number"), at(2).try_cast("int").alias("grid_number"), at(3).alias("uuid"), at(4).try_cast("long").alias("n_points"),
+        F.when(F.size(p) < 5, "grid_identity_incomplete").alias("reject"),
+    )
+
+
+#: What a native grid calls itself, its number, and how near the regular grid's point is to the returned one.
+NATIVE_TYPES, NATIVE_NUMBER, PARITY_DEGREES = ("unstructured_grid", "unstructured"), 47, 0.011
 
 
-def native_grid(grid: str, returned: str) -> Column:
-    """Whether an ensemble's grid is the native one and its point the returned one, within 0.011 degrees."""
-    near = lambda a: F.abs(F.col(f"{grid}.{a}") - F.col(f"{returned}.{a}")) <= 0.011
-    return (F.col(f"{grid}.grid_type") == "unstructured_grid") & (F.col(f"{grid}.grid_number") == 47) & (F.length(f"{grid}.uuid") > 0) & near("latitude") & near("longitude")
+def native_grid(grid: str) -> Column:
+    """Whether a grid_identity() (a struct's name) is that of the ensemble's native grid."""
+    g = lambda c: F.col(f"{grid}.{c}")
+    return F.coalesce(g("grid_type").isin(*NATIVE_TYPES) & (g("grid_number") == NATIVE_NUMBER) & (F.length(g("uuid")) > 0), F.lit(False))
+
+
+def point_parity(point: str, returned: str) -> Column:
+    """Whether the point that nearest() gives on the regular grid is the returned one (names of structs with latitude and longitude)."""
+    near = lambda a: F.abs(F.col(f"{point}.{a}") - F.col(f"{returned}.{a}")) <= PARITY_DEGREES
+    return F.coalesce(near("latitude") & near("longitude"), F.lit(False))
+
+
+def provenance(natives: DataFrame, points: DataFrame, returned: DataFrame, key: list[str]) -> DataFrame:
+    """(key, native_verified, parity_verified, verified): what the native grid's identity, the regular grid's chosen point and the returned coordinates of each response prove together.
+
+    natives: key and the columns of grid_identity(). points: key, latitude, longitude, as of nearest(), in any number of
+    rows. returned: key, latitude, longitude. Every returned response has a row.
+    """
+    one = points.groupBy(*key).agg(F.min(F.struct("latitude", "longitude")).alias("point"))
+    held = natives.select(*key, F.struct("grid_type", "grid_number", "uuid").alias("grid"))
+    joined = returned.select(*key, F.struct("latitude", "longitude").alias("returned")).join(held, key, "left").join(one, key, "left")
+    return joined.select(*key, native_grid("grid").alias("native_verified"), point_parity("point", "returned").alias("parity_verified")).withColumn("verified", F.col("native_verified") & F.col("parity_verified"))
 
 
 #: By which native names, or which words of its label, a message is a context variable.

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 import zipfile
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -129,13 +131,14 @@ def station_csv(spark: SparkSession, path: str, now: Column | None = None, days:
     """(path, member, time, wind_speed_ms, wind_direction_deg): semicolon CSV in Latin-1 inside zip files, from the member with the most usable rows (the first of several).
 
     Of a file's .txt members those named as products count, or all where none is. Headers are matched without case or
-    surrounding spaces; -900 and less stand for missing. With ``now``, rows older than so many days are left out.
+    surrounding spaces; -900 and less stand for missing. With ``now``, rows older than so many days are left out. A file
+    that is no zip, or a damaged one, has no rows here, but one of station_csv_rejects().
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select(F.regexp_extract("path", r"[^/]+$", 0).alias("path"), "content")
-
     def unzip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if _damage(content):
+                    continue
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     texts = [m for m in z.namelist() if m.lower().endswith(".txt")]
                     for order, member in enumerate([m for m in texts if any(p in m.lower() for p in PRODUCT_MEMBERS)] or texts):
@@ -149,7 +152,7 @@ def station_csv(spark: SparkSession, path: str, now: Column | None = None, days:
                             t, s, d = zip(*cells)
                             yield pa.RecordBatch.from_arrays([pa.array([name] * len(t)), pa.array([order] * len(t), pa.int32()), pa.array([member] * len(t)), pa.array(t, pa.string()), pa.array(s, pa.string()), pa.array(d, pa.string())], ["path", "nth", "member", "t", "s", "d"])
 
-    raw = files.mapInArrow(unzip, "path string, nth int, member string, t string, s string, d string")
+    raw = _zips(spark, path).mapInArrow(unzip, "path string, nth int, member string, t string, s string, d string")
     typed = raw.select("path", "nth", "member", C.packed_time("t").alias("time"), C.locale_number("s").alias("wind_speed_ms"), C.locale_number("d").alias("wind_direction_deg")).where("time is not null and wind_speed_ms is not null and wind_direction_deg is not null")
     counts = typed.groupBy("path", "nth").agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy("path").agg(F.max_by("nth", F.struct("n", -F.col("nth"))).alias("nth"))
@@ -157,9 +160,37 @@ def station_csv(spark: SparkSession, path: str, now: Column | None = None, days:
     return kept if now is None else kept.where(F.col("time") >= now - F.make_dt_interval(days=F.lit(days)))
 
 
-def hrefs(html: Column | str, base: Column | None = None) -> Column:
-    """Links of a directory page; with ``base``, the page's address, as they resolve against it."""
-    found = F.regexp_extract_all(C.col(html), F.lit("href=[\"']([^\"']+)"), F.lit(1))
+def _zips(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select(F.regexp_extract("path", r"[^/]+$", 0).alias("path"), "content")
+
+
+def _damage(content: bytes) -> str | None:
+    """Why an archive can't be read, or which of its members can't."""
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            bad = z.testzip()
+            return f"damaged member {bad}" if bad else None
+    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError) as error:
+        return f"{type(error).__name__}: {error}"
+
+
+def station_csv_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(path, reject): archives that can't be read, and why. Spark lists no files without any bytes."""
+
+    def test(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(name, why) for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if (why := _damage(content))]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], ["path", "reject"])
+
+    return _zips(spark, path).mapInArrow(test, "path string, reject string")
+
+
+def hrefs(html: Column | str, base: Column | None = None, ending: str = "") -> Column:
+    """Links of a directory page, whatever the case of the attribute; with ``base``, the page's address, as they resolve against it.
+
+    ``ending``: only links that end so, in any case, such as ``.grib2.bz2``.
+    """
+    found = F.regexp_extract_all(C.col(html), F.lit("(?i)href=[\"']([^\"']+" + re.escape(ending) + (")[\"']" if ending else ")")), F.lit(1))
     return found if base is None else F.transform(found, lambda x: resolved(x, base))
 
 

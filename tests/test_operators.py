@@ -12,6 +12,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from gustloom.functions import columns as C
 from gustloom.operators import coverage, ensemble, gate, timeline
 from gustloom.rules.engine import bundle_rules, issues
 from gustloom.sinks import publish as P
@@ -211,6 +212,10 @@ def test_grib_text(spark):
     assert {r["f"]: r["reject"] for r in grib_text.nearest_reject(tool, ["f"]).collect()} == {"b": "no_grid_point", "c": "no_values"}
     meta = spark.createDataFrame([("a", 0, "tcc"), ("a", 1, "2d")], "f string, pos int, short_name string")
     assert [r["mismatch"] for r in grib_text.with_metadata(meta, grib_text.nearest(tool, ["f"]), ["f"]).orderBy("pos").collect()] == [False, True]
+    short = spark.createDataFrame([("a", 0, "tcc"), ("a", 1, "2t"), ("a", 2, "2d"), ("z", 0, "2t")], "f string, pos int, short_name string")
+    assert grib_text.with_metadata(short, grib_text.nearest(tool, ["f"]), ["f"]).count() == 0
+    assert sorted(map(tuple, grib_text.metadata_reject(short, grib_text.nearest(tool, ["f"]), ["f"]).collect())) == [("a", 3, 2, "metadata_value_count_mismatch"), ("z", 1, 0, "metadata_value_count_mismatch")]
+    assert [tuple(r) for r in grib_text.metadata_reject(meta, grib_text.nearest(tool, ["f"]), ["f"]).collect()] == [("a", 2, 2, "metadata_value_name_mismatch")]
     plan = requests.plan(spark.createDataFrame([("GFS", T0, 3)], "model string, run timestamp, lead int"), {"gfs_0p25": 0.3}, probe=True).first()["query"]
     assert "f003" in plan and "leftlon=9.042" in plan and "var_UGRD=on" in plan and "APCP" not in plan and "TMP" not in plan
     cols = spark.createDataFrame([("a", [1, 2], ["x", "y"]), ("b", [1], ["x", "y"])], "f string, p array<int>, q array<string>")
@@ -234,12 +239,29 @@ def test_lag_over_ranges_by_brute_force(spark, rows, ranges):
 def test_large_percentiles_by_brute_force(spark, rows, bins):
     df = spark.createDataFrame([(k if k == "a" else None, v) for k, v in rows], "k string, v double")
     shares = [0.0, 0.1, 0.5, 0.9, 1.0]
-    got = {r["k"]: tuple(r)[1:] for r in ensemble.large_percentiles(df, ["k"], "v", shares, bins).collect()}
+    runs = []
+    for few in (0, 10**6):  # both plans
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(ensemble, "FEW_VALUES", few)
+            runs.append({r["k"]: tuple(r)[1:] for r in ensemble.large_percentiles(df, ["k"], "v", shares, bins).collect()})
     want = {}
     for key in {k if k == "a" else None for k, v in rows if v is not None}:
         vs = [v for k, v in rows if (k if k == "a" else None) == key and v is not None]
         want[key] = (len(vs), *(pytest.approx(float(np.quantile(vs, s)), abs=1e-6) for s in shares))
-    assert got == want
+    assert runs == [want, want]
+
+
+def test_large_percentiles_never_deal_rows_by_the_key_alone(spark, sf, monkeypatch):
+    """What is shuffled by key is counted by value before; all joins are broadcast, also where the session would broadcast nothing by itself."""
+    monkeypatch.setattr(ensemble, "FEW_VALUES", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ensemble.large_percentiles(spark.read.parquet(f"{sf}/lineitem.parquet"), ["l_returnflag"], "l_extendedprice", [0.5])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BroadcastHashJoin" in plan
+    assert "hashpartitioning(l_returnflag" in plan and all("_v" in x or "_bin" in x or "_bin" in plan for x in plan.split("Exchange hashpartitioning(")[1:])
 
 
 def test_first_wins_and_top(spark):
@@ -289,3 +311,63 @@ def test_merge_products(spark):
 def test_gzip_payloads_read_as_json(spark, tmp_path):
     (tmp_path / "a.json.gz").write_bytes(gzip.compress(b'{"a": 1}'))
     assert spark.read.json(str(tmp_path)).first()["a"] == 1
+
+
+def test_identity_failures(spark):
+    """All of a file's failures; files without messages and leads that are no whole hours have one of their own."""
+    hour = lambda h: T0 + timedelta(hours=h)
+    files = spark.createDataFrame([("ok", T0, hour(3)), ("bad", T0, hour(3)), ("none", T0, hour(3)), ("half", T0, hour(2.5)), ("past", T0, hour(-1))], "f string, expected_run timestamp, expected_valid timestamp")
+    lines = [("ok", "10u 20260925 0 3 20260925 300"), ("bad", "10u 20260925 0 3 20260925 300"), ("bad", "10v 20260924 2100 0-360m 20260925 600"), ("bad", "gust 20260925 0 x 20260925 300"), ("half", "10u 20260925 0 3 20260925 300"), ("half", "10v 20260925 0 3 20260925 300")]
+    got = grib_text.identity_failures(files, grib_text.identities(spark.createDataFrame(lines, "f string, line string")), ["f"])
+    assert sorted((r["f"], r["reason"], r["short_name"]) for r in got.collect()) == [
+        ("bad", "run_time_mismatch", "10v"), ("bad", "step_end_mismatch", "10v"), ("bad", "step_end_mismatch", "gust"), ("bad", "valid_time_mismatch", "10v"),
+        ("half", "expected_lead_not_whole_hours", None), ("none", "no_messages", None), ("past", "expected_lead_not_whole_hours", None),
+    ]
+
+
+def test_grid_provenance(spark):
+    lines = [("a", "unstructured_grid 101 47 a1b2 542040"), ("b", " unstructured 101 47 a1b2 542040 "), ("c", "regular_ll 0 47 a1b2 9"), ("d", "unstructured_grid 101 48 a1b2 9"), ("e", "unstructured_grid 101 47"), ("f", "unstructured_grid 47 101 a1b2 9")]
+    natives = grib_text.grid_identity(spark.createDataFrame(lines, "k string, line string"))
+    one = natives.where("k = 'a'").first()
+    assert (one["template_number"], one["grid_number"], one["uuid"], one["n_points"], one["reject"]) == (101, 47, "a1b2", 542040, None)
+    assert [r["k"] for r in natives.where("reject = 'grid_identity_incomplete'").collect()] == ["e"]
+    tool = [(k, i, x) for k in "abcdefh" for i, x in enumerate(["10u 3 1.5", f"Grid Point chosen #1 index=1 latitude={52.5 if k != 'b' else 52.52} longitude=9.34 distance=1"])]
+    points = grib_text.nearest(spark.createDataFrame(tool, "k string, pos int, line string"), ["k"])
+    returned = spark.createDataFrame([(k, 52.505, 9.345) for k in "abcdefgh"], "k string, latitude double, longitude double")
+    got = {r["k"]: (r["native_verified"], r["parity_verified"], r["verified"]) for r in grib_text.provenance(natives, points, returned, ["k"]).collect()}
+    yes, no = True, False
+    assert got == {"a": (yes, yes, yes), "b": (yes, no, no), "c": (no, yes, no), "d": (no, yes, no), "e": (no, yes, no), "f": (no, yes, no), "g": (no, no, no), "h": (no, yes, no)}
+
+
+def test_damaged_archives_are_rejected(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "good.zip", "w") as z:
+        z.writestr("produkt_x.txt", "MESS_DATUM;F;D\n202609250000;3;90\n")
+    whole = (tmp_path / "good.zip").read_bytes()
+    (tmp_path / "page.zip").write_bytes(b"<html>not found</html>")
+    (tmp_path / "cut.zip").write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "rot.zip").write_bytes(whole.replace(b"202609250000;3", b"202609250000;4"))
+    assert [(r["path"], r["wind_speed_ms"]) for r in stations.station_csv(spark, str(tmp_path)).collect()] == [("good.zip", 3.0)]
+    assert sorted(r["path"] for r in stations.station_csv_rejects(spark, str(tmp_path)).collect()) == ["cut.zip", "page.zip", "rot.zip"]
+
+
+def test_times_steps_and_links(spark):
+    row = spark.range(1).select(
+        *(C.message_time(F.lit("20260925"), F.lit(t)).alias(f"t{i}") for i, t in enumerate(["120000", "12000", "1200", "0", " 600 ", "12:0"])), *(C.step_end_hours(F.lit(t)).alias(f"s{i}") for i, t in enumerate(["0-30M", "0m-90m", "1D", "0-3600S", "3-6", "6H", "x", "0-1.5h", "12 h"])),
+        stations.hrefs(F.lit("<A HREF='a.grib2.bz2'>x</A><a href=\"b.GRIB2.BZ2\">y</a><a href='c.html'>")).alias("all"), stations.hrefs(F.lit("<A HREF='a.grib2.bz2'>x</A><a href=\"b.GRIB2.BZ2\">y</a><a href='c.html'>"), ending=".grib2.bz2").alias("some"),
+    ).first()
+    assert [row[f"t{i}"] and row[f"t{i}"].hour for i in range(6)] == [None, None, 12, 0, 6, None]
+    assert [row[f"s{i}"] for i in range(9)] == [0.5, 1.5, 24.0, 1.0, 6.0, 6.0, None, 1.5, 12.0]
+    assert row["all"] == ["a.grib2.bz2", "b.GRIB2.BZ2", "c.html"] and row["some"] == ["a.grib2.bz2", "b.GRIB2.BZ2"]
+
+
+def test_batch_receipt_faults(spark):
+    """Each field of a receipt that differs from its report comes out by itself."""
+    at = lambda m: T0 + timedelta(minutes=m)
+    stamp = "20260925T000000000000Z"
+    good = ("wunstorf", T0, "s", True, "private-transfer-readback-v2", stamp, "s", "c0ffee")
+    cases = {"ok": {}, "payload_sha256": {2: "other"}, "stamp": {5: "x"}, "audit_input_payload_sha256": {6: None}, "verified_data_commit_sha": {7: ""}, "readback_verified": {3: False}, "method_version": {4: None}}
+    reports = spark.createDataFrame([(name, f"wunstorf:{name}", T0, "s", 0, True) for name in cases], "batch string, kind string, generated_at timestamp, sha256 string, error_count int, ready boolean")
+    rows = [(f"wunstorf:{name}", *[change.get(i, v) for i, v in enumerate(good)][1:]) for name, change in cases.items()]
+    found = spark.createDataFrame(rows, "kind string, generated_at timestamp, sha256 string, readback_verified boolean, method_version string, stamp string, audit_sha256 string, commit_sha string")
+    whole, faults = P.batch_receipts(reports, found, kinds=("wunstorf",))
+    assert [r["batch"] for r in whole.collect()] == ["ok"] and {r["batch"]: r["fault"] for r in faults.collect()} == {name: name for name in cases if name != "ok"} and at(0) == T0
