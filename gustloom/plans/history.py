@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustloom.operators import asof
+from gustloom.functions import variants as V
+from gustloom.operators import asof, leads
 from gustloom.plans.catalog import query, table
+from gustloom.rules import carry
+from gustloom.sinks import assembly
+from gustloom.sources import bundles, stations
 from gustloom.streaming import stateful
 from gustloom.streaming.folders import Folder
 
@@ -87,3 +91,91 @@ def _facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     SELECT field, valid, revision, known_from, known_to, value FROM s WHERE known_to IS NULL OR known_from < known_to""")
 def known_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof.intervals(_facts(spark, sf_dir)[0], ["field", "valid"]).select("field", "valid", "revision", "known_from", "known_to", "value")
+
+
+def _grid_rows() -> str:
+    """(model, hour, leads) of the acquisition grid beyond the compatibility horizon, as SQL rows, by the grid's bands."""
+    native = lambda m, h: {"ICON-EU": 120 if h in leads.SYNOPTIC else 51, "ECMWF-IFS": 360 if h in (0, 12) else 144, "GFS": 384, "GEFS-control": 840 if h == 0 else 384}.get(m, 48)
+    rows = []
+    for m in leads.MODELS:
+        for h in leads.SYNOPTIC:
+            most, near = native(m, h), 90 if m == "ECMWF-IFS" and h in (6, 18) else min(120, native(m, h))
+            grid = [x for a, b, step, hours in leads.BANDS if h in hours for x in range(a, b + 1, step) if x <= most]
+            rows.append(f"('{m}', {h}, {[x for x in grid if x > near]}::INT[], {max(grid)})")
+    return ", ".join(rows)
+
+
+@query(f"""
+    WITH grid(model, hour, wanted, top) AS (VALUES {_grid_rows()}),
+    o AS (SELECT o_orderkey AS k, (['{"', '".join(leads.MODELS)}'])[1 + o_custkey % 6] AS model, o_orderkey % 4 * 6 AS hour, o_orderkey % 3 AS kind FROM orders),
+    l AS (SELECT l_orderkey AS k, (120 + l_partkey % 30 * 12)::INT AS lead FROM lineitem),
+    r AS (SELECT k, model, hour, kind, wanted, top, coalesce(list(DISTINCT lead ORDER BY lead) FILTER (lead IS NOT NULL), []) AS leads FROM o JOIN grid USING (model, hour) LEFT JOIN l USING (k) GROUP BY ALL),
+    s AS (SELECT *, list_filter(leads, lambda x: list_contains(wanted, x)) AS kept, list_filter(leads, lambda x: NOT list_contains(wanted, x)) AS gone FROM r)
+    SELECT k::VARCHAR AS path, model, array_to_string(kept, ',') AS kept, array_to_string(kept, ',') AS statuses, array_to_string(gone, ',') AS dropped, CASE WHEN len(kept) > 0 THEN 2 ELSE 1 END AS errors,
+      kind = 0 OR len(gone) > 0 AS reconciled, CASE WHEN kind = 0 OR len(gone) > 0 THEN CASE kind WHEN 0 THEN 'acquisition-grid-v1' ELSE 'acquisition-grid-v2' END END AS former, 'acquisition-grid-v2' AS version, top AS most, 'kept' AS other
+    FROM s WHERE kind < 2
+    UNION ALL SELECT k::VARCHAR, model, NULL, NULL, NULL, NULL, false, NULL, NULL, NULL, NULL FROM s WHERE kind = 2""")
+def carried_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive sources written under the older grid, under the present one, and broken ones, under the contract of now."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.element_at(F.array(*map(F.lit, leads.MODELS)), (F.col("o_custkey") % 6 + 1).cast("int")).alias("model"), (F.col("o_orderkey") % 4 * 6).cast("int").alias("hour"), (F.col("o_orderkey") % 3).alias("kind"))
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.array_sort(F.collect_set((120 + F.col("l_partkey") % 30 * 12).cast("int"))).alias("leads"))
+    rows = o.join(lines, "k", "left").withColumn("leads", F.coalesce("leads", F.array().cast("array<int>")))
+    listed = F.array_join("leads", ",")
+    records = F.array_join(F.transform("leads", lambda h: F.concat(F.lit('{"forecast_lead_hours":'), h.cast("string"), F.lit(',"v":1}'))), ",")
+    statuses = F.array_join(F.transform("leads", lambda h: F.concat(F.lit('"'), h.cast("string"), F.lit('":{"status":"received"}'))), ",")
+    now = F.to_json(leads.extension("model", "hour"))
+    json = F.concat(
+        F.lit('{"run_time_utc":"2026-09-25T'), F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit(':00:00Z","other":"kept","acquisition_grid_version":"'), F.when(F.col("kind") == 0, "acquisition-grid-v1").otherwise("acquisition-grid-v2"),
+        F.lit('","retention_grid_version":"acquisition-grid-v2","acquisition_max_lead_hours":'), F.array_max(leads.grid("model", "hour")).cast("string"), F.lit(',"requested_extension_leads":'), F.when(F.col("kind") == 0, "[]").otherwise(now),
+        F.lit(',"records":['), records, F.when(F.col("kind") == 2, F.concat(F.when(F.size("leads") > 0, ",").otherwise(""), F.lit('{"forecast_lead_hours":true}'))).otherwise(""), F.lit('],"lead_status":{'), statuses,
+        F.lit('},"errors":[{"reason":"late","leads":['), listed, F.lit(']},{"reason":"other"}]}'),
+    )
+    bundles_ = bundles.from_text(rows.select(F.col("k").cast("string").alias("k"), F.concat(F.lit('{"full_horizon_archive":{"sources":{"'), "model", F.lit('":'), json, F.lit("}}}")).alias("json")), "k", "json")
+    out = carry.carried(carry.archive_sources(bundles_), F.lit("2026-09-26T00:00:00Z").cast("timestamp"))
+    s = lambda p: V.text("source", p)
+    known = F.col("source").isNotNull()
+    joined = lambda xs: F.when(known, F.array_join(xs, ","))
+    return out.select(
+        "path", "model", joined(F.transform(V.items("source", "$.records"), lambda r: V.text(r, "$.forecast_lead_hours"))).alias("kept"), joined(F.transform(F.array_sort(F.transform(F.map_keys(V.entries("source", "$.lead_status")), lambda k: k.cast("int"))), lambda k: k.cast("string"))).alias("statuses"),
+        F.when(known, F.array_join("dropped_leads", ",")).alias("dropped"), F.when(known, F.size(V.items("source", "$.errors"))).alias("errors"), "reconciled", s("$.carry_forward_contract_reconciliation.previous_contract.acquisition_grid_version").alias("former"),
+        s("$.acquisition_grid_version").alias("version"), V.strict_int("source", "$.acquisition_max_lead_hours").alias("most"), s("$.other").alias("other"),
+    )
+
+
+_TILL = "2024-01-20 00:00:00"
+
+
+@query(f"""
+    WITH e AS (SELECT user_id, event_type, date_trunc('day', ts)::DATE AS day, ts, value, ts > TIMESTAMP '{_TILL}' + INTERVAL 15 MINUTES AS future, value > 120 AND user_id % 4 > 0 AS kept FROM events),
+    d AS (SELECT user_id, event_type, day, min(ts) AS first_time, max(ts) AS last_time, arg_max(value, ts) AS latest_value, count(*) AS n FROM e WHERE kept AND NOT future GROUP BY ALL),
+    f AS (SELECT user_id, event_type, day, count(*) FILTER (future) AS future_count FROM e WHERE kept GROUP BY ALL),
+    b AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY last_time DESC, day DESC) AS r FROM d JOIN f USING (user_id, event_type, day)),
+    q AS (SELECT user_id, event_type, day, epoch(day) // 86400 % 5 > 0 AND (user_id + epoch(day) // 86400) % 8 > 0 AND user_id % 8 <> 4 AS success, count(*) FILTER (kept) AS n FROM e GROUP BY ALL),
+    a AS (SELECT user_id, event_type, bool_or(success) AS answered, coalesce(bool_and(n = 0) FILTER (success), false) AS nothing FROM q GROUP BY ALL)
+    SELECT user_id, event_type, CASE WHEN b.n > 0 THEN 'received' WHEN nothing THEN 'empty_despite_success' ELSE 'request_or_parse_failure' END AS availability, b.day::VARCHAR AS source_day, coalesce(b.n, 0) AS n, first_time, last_time, latest_value,
+      round((epoch_us(TIMESTAMP '{_TILL}') - epoch_us(last_time)) / 60000000.0::DOUBLE, 2) AS age_minutes, future_count, answered
+    FROM a LEFT JOIN b USING (user_id, event_type) WHERE coalesce(r, 1) = 1""")
+def newest_day_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Charts by user, kind and day: some users' are always empty, some requests fail, and points may lie in the future."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_type", F.to_date("ts").alias("day"), F.col("ts").alias("time"), "value", (F.col("ts") > F.lit(_TILL).cast("timestamp_ntz") + F.expr("interval 15 minutes")).alias("future"), ((F.col("value") > 120) & (F.col("user_id") % 4 > 0)).alias("kept"))
+    days = F.unix_date("day")
+    asked = e.groupBy("user_id", "event_type", "day").agg(F.count_if("kept").alias("n")).withColumn("success", (days % 5 > 0) & ((F.col("user_id") + days) % 8 > 0) & (F.col("user_id") % 8 != 4))
+    return stations.newest_day(e.where("kept"), asked, ["user_id", "event_type"], F.lit(_TILL).cast("timestamp_ntz")).withColumn("source_day", F.col("source_day").cast("string"))
+
+
+@query("""
+    WITH b AS (SELECT l_orderkey % 7 AS batch, 'b' || l_suppkey % 5 AS path, l_returnflag AS model, l_linenumber::INT AS lead, l_linestatus AS field, l_shipdate AS t, CASE WHEN l_partkey % 3 > 0 THEN l_extendedprice END AS value, 'e' || l_partkey % 7 AS error FROM lineitem),
+    c AS (SELECT path, model, lead, field, arg_max(value, (t, value)) FILTER (value IS NOT NULL) AS value, max(t) FILTER (value IS NOT NULL) AS got_at, arg_max(error, (t, error)) FILTER (value IS NULL) AS error, max(t) FILTER (value IS NULL) AS lost_at FROM b WHERE batch < 3 GROUP BY ALL)
+    SELECT path, model, lead, field, value, CASE WHEN lost_at IS NOT NULL AND (got_at IS NULL OR lost_at > got_at) THEN error END AS error FROM c""")
+def assembled_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bundles merged from three batches, the newest first; each merge writes the bundles that it touches."""
+    out = Folder(spark, "bundles").path("bundles")
+    lines = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") % 7).alias("batch"), F.concat(F.lit("b"), (F.col("l_suppkey") % 5).cast("string")).alias("path"), F.col("l_returnflag").alias("model"), F.col("l_linenumber").alias("lead"), F.col("l_linestatus").alias("field"),
+        F.col("l_shipdate").cast("timestamp").alias("at"), F.when(F.col("l_partkey") % 3 > 0, F.col("l_extendedprice")).alias("value"), F.concat(F.lit("e"), (F.col("l_partkey") % 7).cast("string")).alias("error"),
+    )
+    for batch in (2, 0, 1):
+        assembly.merge(spark, out, lines.where(F.col("batch") == batch).drop("batch"), ["F", "O"])
+    r = assembly.records(spark, out)
+    fields = r.withColumn("field", F.explode(F.array_distinct(F.concat(F.map_keys("values"), F.map_keys("errors")))))
+    return fields.select("path", "model", "lead", "field", F.try_element_at("values", "field").alias("value"), F.try_element_at("errors", "field").alias("error"))

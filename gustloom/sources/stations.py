@@ -79,6 +79,29 @@ def chart_summary(points: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
+def newest_day(points: DataFrame, requests: DataFrame, key: list[str], now: Column) -> DataFrame:
+    """Of several days' series the one whose last point is newest, of each key: which day, its counts and times, or why there is none.
+
+    points: key, day, time, value, future (of any number of days; the newest day wins a tie). requests: key, day, success,
+    n (points that the provider sent). Every key of either has a row. ``availability``: ``received``;
+    ``empty_despite_success``, where all requests that succeeded brought nothing; else ``request_or_parse_failure``.
+    Days are summed up before keys are, so that neither a key's days nor its points meet unreduced.
+    """
+    days = chart_summary(points, [*key, "day"]).where("n > 0")
+    best = days.groupBy(*key).agg(F.max(F.struct("last_time", "day", "first_time", "latest_value", "n", "future_count")).alias("x"))
+    asked = requests.groupBy(*key).agg(F.bool_or("success").alias("answered"), F.coalesce(F.bool_and(F.when(F.col("success"), F.col("n") == 0)), F.lit(False)).alias("nothing"))
+    joined = best.join(asked, key, "full")
+    age = F.round((F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("x.last_time").cast("timestamp"))) / 6e7, 2)
+    why = F.when(F.col("x").isNotNull(), "received").when(F.coalesce("nothing", F.lit(False)), "empty_despite_success").otherwise("request_or_parse_failure")
+    return joined.select(*key, why.alias("availability"), F.col("x.day").alias("source_day"), F.coalesce("x.n", F.lit(0)).alias("n"), "x.first_time", "x.last_time", "x.latest_value", age.alias("age_minutes"), "x.future_count", F.coalesce("answered", F.lit(False)).alias("answered"))
+
+
+def fallback_days(chosen: DataFrame, station: list[str], endpoint: str, required: list[str]) -> DataFrame:
+    """(station, endpoint) to ask again of the day before: all required ones, where any of them has no series yet. ``chosen``: newest_day() of the present day."""
+    lacking = chosen.where(F.col(endpoint).isin(required)).groupBy(*station).agg(F.count_if(F.col("availability") == "received").alias("there")).where(F.col("there") < len(required))
+    return lacking.select(*station, F.explode(F.lit(required)).alias(endpoint))
+
+
 def series_empty(requests: DataFrame, key: list[str]) -> DataFrame:
     """Whether all successful requests returned no points (and there was one)."""
     return requests.where("success").groupBy(*key).agg(F.bool_and(F.col("n") == 0).alias("empty_despite_success"))
