@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustloom.functions import variants as V
@@ -10,7 +10,7 @@ from gustloom.operators import asof, leads
 from gustloom.plans.catalog import query, table
 from gustloom.rules import carry
 from gustloom.sinks import assembly
-from gustloom.sources import bundles, stations
+from gustloom.sources import bundles, ensemble_responses, stations
 from gustloom.streaming import stateful
 from gustloom.streaming.folders import Folder
 
@@ -179,3 +179,66 @@ def assembled_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = assembly.records(spark, out)
     fields = r.withColumn("field", F.explode(F.array_distinct(F.concat(F.map_keys("values"), F.map_keys("errors")))))
     return fields.select("path", "model", "lead", "field", F.try_element_at("values", "field").alias("value"), F.try_element_at("errors", "field").alias("error"))
+
+
+#: Hours of the made responses, and the leads that records are made of; the last one is beyond the axis.
+_AXIS, _LEADS = 12, (0, 3, 6, 9, 12, 15)
+_MADE = f"""
+    e AS (SELECT vec_id AS k, list_transform(embedding, lambda x: floor(abs(x::DOUBLE) * 1000)::BIGINT / 10.0::DOUBLE) AS w FROM embeddings),
+    v AS (SELECT k, m, h, w[1 + (m * 7 + h) % 64] AS speed, (w[1 + (m * 11 + h) % 64] * 37)::BIGINT % 360 AS direction, w[1 + (m * 5 + h) % 64] + 1 AS gust, NOT (k % 7 = 3 AND m = 3 AND h = 6) AS there
+      FROM e, range(20) a(m), range({_AXIS + 1}) b(h)),
+    bad AS (SELECT k, list_filter([CASE WHEN k % 11 = 1 THEN 'run_not_settled_or_no_cycle' END, CASE WHEN k % 13 = 1 THEN 'wind_member_identity_mismatch' END, CASE WHEN k % 17 = 1 THEN 'run_metadata_changed' END, CASE WHEN k % 19 = 1 THEN 'utc_offset_not_zero' END,
+      CASE WHEN k % 23 = 1 THEN 'unexpected_wind_units' END, CASE WHEN k % 29 = 1 THEN 'returned_coordinate_missing' END, CASE WHEN k % 31 = 1 THEN 'returned_coordinate_implausible' END,
+      CASE WHEN k % 37 = 1 THEN 'time_axis_unordered_or_repeated' END, CASE WHEN k % 41 = 1 THEN 'values_not_as_long_as_axis' END], lambda x: x IS NOT NULL) AS refusals FROM e)"""
+
+
+def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of twenty members made of vectors; each fault is in those of its own remainder."""
+    k = F.col("vec_id")
+    tenths = F.transform("embedding", lambda x: F.floor(F.abs(x.cast("double")) * 1000) / 10.0)
+    rows = table(spark, sf_dir, "embeddings").select(k.alias("k"), tenths.alias("w")).repartition("k")  # a vector becomes a long text
+    k, w = F.col("k"), F.col("w")
+    stamp = lambda h: f"2026-09-25T{h:02d}:00"
+    stamps = [stamp(h) for h in range(_AXIS + 1)]
+    swapped = [stamps[1], stamps[0], *stamps[2:]]
+    axis = F.when(k % 37 == 1, '["' + '","'.join(swapped) + '"]').otherwise('["' + '","'.join(stamps) + '"]')
+    hours = F.sequence(F.lit(0), F.lit(_AXIS))
+
+    def column(m: Column, name: str, value) -> Column:
+        key = F.concat(F.lit(f'"{name}'), F.when(m == 0, "").otherwise(F.concat(F.lit("_member"), F.lpad(m.cast("string"), 2, "0"))), F.lit('":['))
+        cut = F.when((k % 41 == 1) & (m == 2) & F.lit(name == "wind_speed_10m"), F.slice(hours, 1, _AXIS)).otherwise(hours)
+        cells = F.transform(cut, lambda h: F.when((k % 7 == 3) & (m == 3) & (h == 6) & F.lit(name == "wind_speed_10m"), "null").otherwise(value(h).cast("string")))
+        return F.concat(key, F.array_join(cells, ","), F.lit("]"))
+
+    at = lambda m, n, h: F.get(w, ((m * n + h) % 64).cast("int"))
+    members = F.sequence(F.lit(0), F.lit(19))
+    named = lambda name, value: F.array_join(F.transform(members if name != "wind_gusts_10m" else F.when(k % 13 == 1, F.slice(members, 1, 19)).otherwise(members), lambda m: column(m, name, lambda h: value(m, h))), ",")
+    json = F.concat(
+        F.lit('{"utc_offset_seconds":'), F.when(k % 19 == 1, "3600").otherwise("0"), F.lit(',"hourly_units":{"wind_speed_10m":"'), F.when(k % 23 == 1, "km/h").otherwise("m/s"), F.lit('","wind_gusts_10m":"m/s"},"latitude":'), F.when(k % 31 == 1, "51.1").otherwise("52.5"),
+        F.when(k % 29 == 1, "").otherwise(',"longitude":9.34'), F.lit(',"hourly":{"time":'), axis, F.lit(","), named("wind_speed_10m", lambda m, h: at(m, 7, h)), F.lit(","), named("wind_direction_10m", lambda m, h: (at(m, 11, h) * 37).cast("long") % 360), F.lit(","),
+        named("wind_gusts_10m", lambda m, h: at(m, 5, h) + 1), F.lit("}}"),
+    )
+    t = lambda x: F.lit(x).cast("timestamp")
+    meta = lambda changed: F.struct(t("2026-09-25T00:00:00Z").alias("last_run_initialisation_time_utc"), t("2026-09-25T01:30:00Z").alias("last_run_availability_time_utc"), F.when(changed, t("2026-09-25T01:40:00Z")).otherwise(t("2026-09-25T01:31:00Z")).alias("last_run_modification_time_utc"))
+    return rows.select(k.alias("path"), F.parse_json(json).alias("payload"), meta(F.lit(False)).alias("before"), meta(k % 17 == 1).alias("after"), F.when(k % 11 == 1, t("2026-09-25T01:39:59Z")).otherwise(t("2026-09-25T01:40:00Z")).alias("asked_at"))
+
+
+@query(f"""
+    WITH {_MADE}
+    SELECT k AS path, array_to_string(refusals, ',') AS refusals,
+      array_to_string(list_filter([CASE WHEN k % 13 = 1 THEN 'hourly_member_set_mismatch_gust' END, CASE WHEN k % 7 = 3 OR k % 41 = 1 THEN 'hourly_value_not_finite_speed' END], lambda x: x IS NOT NULL), ',') AS hourly_faults FROM bad""")
+def ensemble_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ensemble_responses.checked(_responses(spark, sf_dir), hours=_AXIS)
+    return out.select("path", F.array_join("refusals", ",").alias("refusals"), F.array_join("hourly_faults", ",").alias("hourly_faults"))
+
+
+@query(f"""
+    WITH {_MADE},
+    l AS (SELECT k, lead FROM bad, (SELECT unnest({list(_LEADS)}) AS lead) WHERE len(refusals) = 0),
+    s AS (SELECT k, h AS lead, count(*)::INT AS members, round(quantile_cont(speed, 0.5), 3) AS speed, round(quantile_cont(gust, 0.5), 3) AS gust, round(max(gust) - min(speed), 3) AS spread FROM v WHERE there GROUP BY ALL)
+    SELECT l.k AS path, l.lead::INT AS lead, coalesce(members, 0) AS members, s.speed, s.gust, CASE WHEN members = 20 THEN round(s.speed, 3) END AS derived_speed,
+      CASE WHEN l.lead > {_AXIS} THEN 'valid_time_not_on_axis' WHEN members < 20 THEN 'members_incomplete: 3' END AS error FROM l LEFT JOIN s ON s.k = l.k AND s.lead = l.lead""")
+def ensemble_lead_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = Folder(spark, "responses").table("checked", ensemble_responses.checked(_responses(spark, sf_dir), hours=_AXIS))
+    out = ensemble_responses.records(rows, F.lit(list(_LEADS)))
+    return out.select("path", "lead", F.greatest(F.lit(0), F.coalesce(F.size("members"), F.lit(0))).alias("members"), F.round("statistics.median", 3).alias("speed"), F.round("statistics.gust_median", 3).alias("gust"), F.col("derived.wind_speed_ms").alias("derived_speed"), "error")
