@@ -27,7 +27,7 @@ BLOCK, ISLANDS, ROUNDS, POPULATION, CROSSOVERS = 2048, 2, 2, 4, 16
 #: Of each block's bins, one in so many at most (and one at least) is opened for packing across blocks, if it isn't as full as FULL.
 OPENED, FULL = 4, 0.99
 #: Pre-tokens that a worker keeps, in two halves; characters that it encodes at once.
-CACHE, RANGE = 600_000, 4_000_000
+CACHE, RANGE = 300_000, 2_000_000
 
 
 class Encoder:
