@@ -338,13 +338,15 @@ def batch_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     WITH b(lo, hi, step, hours) AS (VALUES (0, 48, 3, [0, 6, 12, 18]), (51, 72, 3, [0, 6, 12, 18]), (78, 120, 6, [0, 6, 12, 18]), (132, 240, 12, [0, 12]), (264, 384, 24, [0, 12]), (408, 840, 24, [0])),
-    m AS (SELECT r_regionkey, h.hour, CASE r_regionkey WHEN 0 THEN 48 WHEN 1 THEN 120 WHEN 2 THEN CASE WHEN h.hour IN (0, 12) THEN 360 ELSE 144 END WHEN 3 THEN 384 ELSE CASE WHEN h.hour = 0 THEN 840 ELSE 384 END END AS most FROM region, (SELECT unnest([0, 6, 12, 18]) AS hour) h),
-    x AS (SELECT r_regionkey, m.hour, most, unnest(generate_series(lo, hi, step)) AS lead FROM m JOIN b ON list_contains(b.hours, m.hour))
-    SELECT r_regionkey, hour::INT AS hour, lead::INT AS lead FROM x WHERE lead <= most""")
+    o AS (SELECT DISTINCT o_custkey AS k, o_custkey % 5 AS m, o_orderkey % 4 * 6 AS hour FROM orders),
+    m AS (SELECT k, hour, CASE m WHEN 0 THEN 48 WHEN 1 THEN 120 WHEN 2 THEN CASE WHEN hour IN (0, 12) THEN 360 ELSE 144 END WHEN 3 THEN 384 ELSE CASE WHEN hour = 0 THEN 840 ELSE 384 END END AS most FROM o),
+    x AS (SELECT k, m.hour, most, unnest(generate_series(lo, hi, step)) AS lead FROM m JOIN b ON list_contains(b.hours, m.hour))
+    SELECT k, hour::INT AS hour, lead::INT AS lead FROM x WHERE lead <= most""")
 def expected_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leads of every customer's model and of the cycles of their orders."""
     names = F.array(*map(F.lit, ("ICON-D2", "ICON-EU", "ECMWF-IFS", "GFS", "GEFS-control")))
-    r = table(spark, sf_dir, "region").select("r_regionkey", F.get(names, F.col("r_regionkey")).alias("model"), F.explode(F.lit([0, 6, 12, 18])).alias("hour"))
-    return r.select("r_regionkey", "hour", F.explode(leads.grid("model", "hour")).alias("lead"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.get(names, (F.col("o_custkey") % 5).cast("int")).alias("model"), (F.col("o_orderkey") % 4 * 6).cast("int").alias("hour")).distinct()
+    return o.select("k", "hour", F.explode(leads.grid("model", "hour")).alias("lead"))
 
 
 @query("""

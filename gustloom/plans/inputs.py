@@ -279,13 +279,16 @@ def lead_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH t(i, text) AS (VALUES (0, '2025-03-14T06:00:00Z'), (1, '2025-03-14T07:30:00+01:30'), (2, '2025-03-14 06:00:00'), (3, 'soon'), (4, '1741932000'), (5, '1741932000000'), (6, ''))
-    SELECT n_nationkey, i, CASE WHEN i < 3 THEN 1741932000 END::BIGINT AS lenient, CASE WHEN i < 2 THEN 1741932000 END::BIGINT AS aware, CASE WHEN i NOT IN (3, 6) THEN 1741932000 END::BIGINT AS either, CASE WHEN i = 2 THEN 'timezone_required' WHEN i > 2 THEN 'unparseable_timestamp' END AS reject FROM nation, t""")
+    WITH e AS (SELECT event_id, event_id % 8 AS form, epoch(ts)::BIGINT - (epoch(ts)::BIGINT > epoch(ts))::BIGINT AS s FROM events)
+    SELECT event_id, form, CASE WHEN form < 4 THEN s END AS lenient, CASE WHEN form < 3 THEN s END AS aware, CASE WHEN form NOT IN (6, 7) THEN s END AS either, CASE WHEN form = 3 THEN 'timezone_required' WHEN form > 3 THEN 'unparseable_timestamp' END AS reject FROM e""")
 def time_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = F.lit(["2025-03-14T06:00:00Z", "2025-03-14T07:30:00+01:30", "2025-03-14 06:00:00", "soon", "1741932000", "1741932000000", ""])
-    n = table(spark, sf_dir, "nation").select("n_nationkey", F.posexplode(texts).alias("i", "t"))
+    """Each event's time as text in one of eight forms: UTC, two offsets, without a zone, epoch seconds and milliseconds, words, nothing."""
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    iso = lambda shift: F.date_format(F.timestamp_seconds(at + shift), "yyyy-MM-dd'T'HH:mm:ss")
+    forms = (F.concat(iso(0), F.lit("Z")), F.concat(iso(5400), F.lit("+01:30")), F.concat(iso(-25200), F.lit("-07:00")), F.regexp_replace(iso(0), "T", " "), at.cast("string"), (at * 1000).cast("string"), F.concat(F.lit("at "), iso(0)), F.lit(""))
+    e = table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 8).alias("form"), F.get(F.array(*forms), (F.col("event_id") % 8).cast("int")).alias("t"))
     seconds = lambda c: F.unix_timestamp(c)
-    return n.select("n_nationkey", "i", seconds(C.lenient_utc("t")).alias("lenient"), seconds(C.aware_only("t")).alias("aware"), seconds(C.epoch_or_iso("t")).alias("either"), C.time_reject("t", True).alias("reject"))
+    return e.select("event_id", "form", seconds(C.lenient_utc("t")).alias("lenient"), seconds(C.aware_only("t")).alias("aware"), seconds(C.epoch_or_iso("t")).alias("either"), C.time_reject("t", True).alias("reject"))
 
 
 @query("""
