@@ -268,6 +268,12 @@ def test_first_wins_and_top(spark):
     rows = spark.createDataFrame([("a", 2, "x"), ("a", None, "y"), ("a", 1, None), ("b", None, "z")], "k string, o int, v string")
     assert sorted(map(tuple, timeline.first_wins(rows, ["k"], ["o"]).collect())) == [("a", 1, None), ("b", None, "z")]
     assert sorted((r["k"], r["n"]) for r in timeline.top(rows, ["k"], ["o", "v"], 2).collect()) == [("a", 1), ("a", 2), ("b", 1)]
+
+
+def test_first_and_last_keep_a_column_of_the_rank_s_name(spark):
+    rows = spark.createDataFrame([("a", 3, 1), ("a", 3, 2), ("a", 7, 5)], "k string, n int, o int")
+    assert sorted(map(tuple, timeline.first_wins(rows, ["k", "n"], ["o"]).collect())) == [("a", 3, 1), ("a", 7, 5)]
+    assert sorted((r["k"], r["n"], r["o"]) for r in timeline.last_wins(rows, ["k", "n"], "o").collect()) == [("a", 3, 2), ("a", 7, 5)]
     cycles = spark.createDataFrame([("a", 1, True), ("a", 2, False), ("a", 3, False), ("b", 1, False)], "k string, c int, p boolean")
     assert [tuple(r) for r in timeline.newest_eligible(cycles, ["k"], "c", "p").collect()] == [("a", 1, 3)]
     assert [[x["cycle"] for x in r["trail"]] for r in timeline.newest_eligible(cycles, ["k"], "c", "p", most=2).collect()] == [[3, 2]]
