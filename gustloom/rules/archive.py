@@ -21,7 +21,7 @@ def validate(bundles: DataFrame) -> tuple[DataFrame, DataFrame]:
     that isn't refused. Rejects: (path, model, rank, reason), all reasons; the least rank is the one that a validator
     which stops at the first would report.
     """
-    held = bundles.where(V.kind("payload", "$.full_horizon_archive") == "object")
+    held = bundles.where(V.is_object("payload", "$.full_horizon_archive"))
     models = F.array(*map(F.lit, sorted(L.MODELS)))
     top = held.select(
         "path", F.when(F.coalesce(V.text("payload", "$.full_horizon_archive.method_version") != VERSION, F.lit(True)), "unknown full-horizon archive version")

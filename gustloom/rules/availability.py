@@ -58,7 +58,7 @@ def problems(bundles: DataFrame) -> DataFrame:
         states = V.part("rec", "$.field_availability_states")
         row = F.filter(F.array(
             F.when(~V.truth("rec", "$.retrieved_at_utc"), F.lit("missing retrieved_at_utc")),
-            F.when(V.kind(states).isNull(), F.lit("missing field_availability_states")).when(V.kind(states) != "array", "field_availability_states is not a list"),
+            F.when(V.kind(states).isNull(), F.lit("missing field_availability_states")).when(~V.is_array(states), "field_availability_states is not a list"),
         ), lambda x: x.isNotNull())
         a = recs.select("path", "model", "pos", F.lit("").alias("place"), F.explode(row).alias("problem"))
 
@@ -68,7 +68,7 @@ def problems(bundles: DataFrame) -> DataFrame:
             base = [F.when(~known, "invalid status"), F.when(~V.truth(x, "$.availability_observed_at_utc"), "missing observed time"), F.when((status == "received") & ~V.truth(x, "$.field_available_at_utc"), "received without field_available_at_utc")]
             if declared:
                 base += [F.when(~V.truth(x, "$.parameter_native") | F.coalesce(V.text(x, "$.namespace") != "availability", F.lit(True)), "identity incomplete"), F.when(V.schema_has(x, "value"), "must not carry a value")]
-                return F.when(F.coalesce(V.kind(x) != "object", F.lit(True)), F.array(F.lit("is not an object"))).otherwise(F.filter(F.array(*base), lambda y: y.isNotNull()))
+                return F.when(F.coalesce(~V.is_object(x), F.lit(True)), F.array(F.lit("is not an object"))).otherwise(F.filter(F.array(*base), lambda y: y.isNotNull()))
             base.append(F.when(known & (status != "received") & V.kind(x, "$.value").isNotNull(), "non-received carries value"))
             return F.when(~known, F.array(F.lit("invalid status"))).otherwise(F.filter(F.array(*base), lambda y: y.isNotNull()))
 

@@ -43,7 +43,7 @@ def carried(sources: DataFrame, now: Column) -> DataFrame:
     listed = given.withColumns({"recs": V.items("source", "$.records"), "wanted": wanted})
     listed = listed.withColumn("their_leads", F.transform("recs", lead))
     reject = (
-        F.when(F.coalesce(V.kind("source", "$.records"), F.lit("array")) != "array", "records_are_no_list").when(F.exists("recs", lambda r: F.coalesce(V.kind(r) != "object", F.lit(True))), "record_is_no_object")
+        F.when(~V.is_array("source", "$.records") & V.kind("source", "$.records").isNotNull(), "records_are_no_list").when(F.exists("recs", lambda r: F.coalesce(~V.is_object(r), F.lit(True))), "record_is_no_object")
         .when(F.exists("their_leads", lambda h: h.isNull()), "record_lead_is_no_whole_number")
     )
     asked = lambda h: F.array_contains(F.col("wanted"), h)
@@ -51,7 +51,7 @@ def carried(sources: DataFrame, now: Column) -> DataFrame:
     def error(item: Column) -> Column:
         kept = F.filter(V.items(item, "$.leads"), lambda h: F.coalesce(asked(V.strict_int(h)), F.lit(False)))
         cut = F.to_variant_object(F.map_concat(F.map_filter(V.entries(item), lambda k, _: k != "leads"), F.create_map(F.lit("leads"), _list(kept))))
-        named = F.coalesce(V.kind(item, "$.leads") == "array", F.lit(False))
+        named = F.coalesce(V.is_array(item, "$.leads"), F.lit(False))
         return F.when(~named, item).when(F.size(kept) > 0, cut)
 
     statuses = F.map_filter(V.entries("source", "$.lead_status"), lambda k, _: F.coalesce(asked(k.try_cast("int")) & (k.try_cast("int").cast("string") == k), F.lit(False)))
@@ -74,9 +74,9 @@ def carried(sources: DataFrame, now: Column) -> DataFrame:
         current_retention_grid_version=contract["retention_grid_version"], current_requested_extension_leads=_list(F.col("wanted")), dropped_obsolete_extension_leads=_list(F.col("dropped_leads")),
     )
     none = F.create_map().cast("map<string,variant>")
-    errors = F.when(V.kind("source", "$.errors") == "array", F.create_map(F.lit("errors"), _list(F.filter(F.transform(V.items("source", "$.errors"), error), lambda x: x.isNotNull())))).otherwise(none)
+    errors = F.when(V.is_array("source", "$.errors"), F.create_map(F.lit("errors"), _list(F.filter(F.transform(V.items("source", "$.errors"), error), lambda x: x.isNotNull())))).otherwise(none)
     replaced = (*contract, RECONCILIATION)
-    kept = F.map_filter(V.entries("source"), lambda k, _: ~k.isin(*replaced) & ((k != "errors") | F.coalesce(V.kind("source", "$.errors") != "array", F.lit(True))))
+    kept = F.map_filter(V.entries("source"), lambda k, _: ~k.isin(*replaced) & ((k != "errors") | F.coalesce(~V.is_array("source", "$.errors"), F.lit(True))))
     old = F.map_filter(V.entries("source"), lambda k, _: k == RECONCILIATION)
     noted = F.when(F.col("reconciled"), F.create_map(F.lit(RECONCILIATION), record)).otherwise(old)
     fields = F.map_concat(kept, F.create_map(*(x for k, v in contract.items() for x in (F.lit(k), v))), errors, noted)

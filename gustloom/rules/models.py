@@ -49,7 +49,7 @@ def _errors(rec: str, in_scope: Column) -> Column:
     fields = F.map_entries(V.entries(rec, "$.values"))
     classed = lambda e: F.when(~in_scope, "outside").when(e["key"].isin(*OPTIONAL_FIELDS), "optional").otherwise("critical")
     bad = lambda e: V.truth(e["value"], "$.error") | V.truth(e["value"], "$.error_type") | V.truth(e["value"], "$.error_message")
-    listed = F.transform(F.filter(fields, lambda e: (V.kind(e["value"]) == "object") & bad(e)), lambda e: entry(F.concat(F.lit("values."), e["key"]), F.coalesce(V.text(e["value"], "$.error"), V.text(e["value"], "$.error_message")), classed(e)))
+    listed = F.transform(F.filter(fields, lambda e: V.is_object(e["value"]) & bad(e)), lambda e: entry(F.concat(F.lit("values."), e["key"]), F.coalesce(V.text(e["value"], "$.error"), V.text(e["value"], "$.error_message")), classed(e)))
     return F.concat(F.filter(F.array(*own), lambda x: x.isNotNull()), listed)
 
 
@@ -183,7 +183,7 @@ def _stages(good: DataFrame) -> DataFrame:
 def _ensemble(rows: DataFrame, scoped: DataFrame, base: DataFrame) -> DataFrame:
     """Identity and member failures of the ensemble's records."""
     ident = V.part("rec", "$.source_run_identity")
-    held = rows.where(F.col("model") == EPS).withColumn("ident", F.when(V.kind(ident) == "object", ident))
+    held = rows.where(F.col("model") == EPS).withColumn("ident", F.when(V.is_object(ident), ident))
     first = lambda c: F.min_by(c, F.when(F.col("ident").isNotNull(), F.col("pos")))
     at = "ident"
     keys = F.array(*(F.coalesce(F.to_json(V.part(at, f"$.{k}")), F.lit("null")) for k in IDENTITY_KEYS))
@@ -210,7 +210,7 @@ def _ensemble(rows: DataFrame, scoped: DataFrame, base: DataFrame) -> DataFrame:
     ]
     identity = agg.select("path", "model", F.filter(F.array(*reasons), lambda x: x.isNotNull()).alias("identity_failures"))
 
-    members = F.filter(V.items("rec", "$.members"), lambda x: V.kind(x) == "object")
+    members = F.filter(V.items("rec", "$.members"), lambda x: V.is_object(x))
     ids = F.array_sort(F.filter(F.transform(members, lambda x: V.strict_int(x, "$.member")), lambda x: x.isNotNull()))
     lacking = F.exists(members, lambda x: V.number(x, "$.wind_speed_ms").isNull() | V.number(x, "$.wind_direction_deg").isNull() | V.number(x, "$.gust_ms").isNull())
     bad = (ids != F.sequence(F.lit(0), F.lit(MEMBERS - 1))) | F.coalesce(V.number("rec", "$.derived.ensemble_member_count") != MEMBERS, F.lit(True)) | F.coalesce(V.number("rec", "$.ensemble_statistics.member_count") != MEMBERS, F.lit(True)) | lacking
@@ -220,7 +220,7 @@ def _ensemble(rows: DataFrame, scoped: DataFrame, base: DataFrame) -> DataFrame:
 
 def hourly_failures(source: Column, run: Column) -> Column:
     """Reasons why an hourly member source isn't a whole, verified one. Everything is one expression over the row."""
-    there = V.kind(source) == "object"
+    there = V.is_object(source)
     times = F.transform(V.items(source, "$.times_utc"), lambda x: V.instant(x))
     valid_axis = (F.size(times) > 0) & ~F.exists(times, lambda x: x.isNull())
     whole = F.forall(times, lambda x: (F.minute(x) == 0) & (F.pmod(F.unix_micros(x), F.lit(60_000_000)) == 0))
@@ -271,7 +271,7 @@ def mature_exception(evidence: Column, run: Column, now: Column, full: Column) -
     own = last(run)
     return (
         F.when(~F.coalesce(full, F.lit(False)) | run.isNull(), "not_full_validation")
-        .when(F.coalesce(V.kind(evidence) != "object", F.lit(True)), "selection_evidence_missing")
+        .when(F.coalesce(~V.is_object(evidence), F.lit(True)), "selection_evidence_missing")
         .when(F.coalesce(V.text(evidence, "$.method_version") != "gefs-newest-mature-cycle-selection-v1", F.lit(True)), "method_version_mismatch")
         .when(~V.true(evidence, "$.full_horizon_publication_required"), "full_horizon_not_required")
         .when(F.coalesce(V.instant(evidence, "$.selected_cycle_run_time_utc") != run, F.lit(True)), "selected_cycle_mismatch")

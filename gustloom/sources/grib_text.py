@@ -225,7 +225,7 @@ def json_metadata(files: DataFrame, text: str = "text") -> DataFrame:
     messages = files.select(*rest, F.posexplode(V.items(F.try_parse_json(text), "$.messages")).alias("pos", "m"))
     pairs = F.map_from_entries(F.transform(V.items("m"), lambda e: F.struct(V.text(e, "$.key").alias("key"), V.text(e, "$.value").alias("value"))))
     flat = F.map_from_entries(F.transform(F.map_entries(V.entries("m")), lambda e: F.struct(e["key"].alias("key"), V.text(e["value"]).alias("value"))))
-    meta = F.when(V.kind("m") == "array", pairs).otherwise(flat)
+    meta = F.when(V.is_array("m"), pairs).otherwise(flat)
     names = {"short_name": "shortName", "name": "name", "units": "units", "level_type": "typeOfLevel", "step_type": "stepType", "step_range": "stepRange"}
     typed = messages.withColumn("meta", meta)
     at = lambda k: F.try_element_at("meta", F.lit(k))

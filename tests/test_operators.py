@@ -268,12 +268,6 @@ def test_first_wins_and_top(spark):
     rows = spark.createDataFrame([("a", 2, "x"), ("a", None, "y"), ("a", 1, None), ("b", None, "z")], "k string, o int, v string")
     assert sorted(map(tuple, timeline.first_wins(rows, ["k"], ["o"]).collect())) == [("a", 1, None), ("b", None, "z")]
     assert sorted((r["k"], r["n"]) for r in timeline.top(rows, ["k"], ["o", "v"], 2).collect()) == [("a", 1), ("a", 2), ("b", 1)]
-
-
-def test_first_and_last_keep_a_column_of_the_rank_s_name(spark):
-    rows = spark.createDataFrame([("a", 3, 1), ("a", 3, 2), ("a", 7, 5)], "k string, n int, o int")
-    assert sorted(map(tuple, timeline.first_wins(rows, ["k", "n"], ["o"]).collect())) == [("a", 3, 1), ("a", 7, 5)]
-    assert sorted((r["k"], r["n"], r["o"]) for r in timeline.last_wins(rows, ["k", "n"], "o").collect()) == [("a", 3, 2), ("a", 7, 5)]
     cycles = spark.createDataFrame([("a", 1, True), ("a", 2, False), ("a", 3, False), ("b", 1, False)], "k string, c int, p boolean")
     assert [tuple(r) for r in timeline.newest_eligible(cycles, ["k"], "c", "p").collect()] == [("a", 1, 3)]
     assert [[x["cycle"] for x in r["trail"]] for r in timeline.newest_eligible(cycles, ["k"], "c", "p", most=2).collect()] == [[3, 2]]
@@ -377,3 +371,18 @@ def test_batch_receipt_faults(spark):
     found = spark.createDataFrame(rows, "kind string, generated_at timestamp, sha256 string, readback_verified boolean, method_version string, stamp string, audit_sha256 string, commit_sha string")
     whole, faults = P.batch_receipts(reports, found, kinds=("wunstorf",))
     assert [r["batch"] for r in whole.collect()] == ["ok"] and {r["batch"]: r["fault"] for r in faults.collect()} == {name: name for name in cases if name != "ok"} and at(0) == T0
+
+
+def test_first_and_last_keep_a_column_of_the_rank_s_name(spark):
+    rows = spark.createDataFrame([("a", 3, 1), ("a", 3, 2), ("a", 7, 5)], "k string, n int, o int")
+    assert sorted(map(tuple, timeline.first_wins(rows, ["k", "n"], ["o"]).collect())) == [("a", 3, 1), ("a", 7, 5)]
+    assert sorted((r["k"], r["n"], r["o"]) for r in timeline.last_wins(rows, ["k", "n"], "o").collect()) == [("a", 3, 2), ("a", 7, 5)]
+
+
+def test_gaps_of_an_array_are_those_of_its_rows(spark):
+    minutes = [0, 5, 5.1, 16, 40]
+    times = spark.createDataFrame([("a", m) for m in minutes], "k string, m double").select("k", F.timestamp_seconds(F.col("m") * 60).alias("t"))
+    rows = sorted(r["missing"] for r in timeline.cadence_gaps(times, ["k"], "t", 5.0).collect())
+    held = times.groupBy("k").agg(F.array_sort(F.collect_set("t")).alias("ts"))
+    assert sorted(held.select(timeline.array_cadence_gaps("ts", 5.0).alias("g")).first()["g"]) == rows == [1, 4]
+    assert held.select(F.slice("ts", 1, 1).alias("ts")).select(timeline.array_cadence_gaps("ts", 5.0).alias("g")).first()["g"] == []
