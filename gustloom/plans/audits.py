@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gustloom.plans.catalog import query, table
 from gustloom.rules import archive, models, stations
-from gustloom.sources.bundles import from_text
+from gustloom.sources.bundles import from_text, spread
 
 NOW = "2025-03-14 09:00:00"
 
@@ -36,7 +36,7 @@ def _minutes(x: str) -> str:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    return spread(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), "k")
 
 
 _SVG_JSON = f"""to_json(named_struct(

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustloom.functions import columns as C
 from gustloom.functions import variants as V
 from gustloom.operators import timeline as T
 from gustloom.rules.engine import bundle_rules, issues, report, rule
-from gustloom.sources import bundles as B
 
 SVG, SKM, DWD, ETNW = "SVG-42374", "SKM-898", "DWD-05715", "ETNW"
 # Fixed values of the policy, in minutes.
@@ -27,18 +25,17 @@ def audit_svg(bundles: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
     """(issues, reports) of the operational station: requests, the current observation, the recent history."""
     p = SVG_POLICY
     there = F.col("payload").isNotNull()
-    good = bundles.where(there)
     start, end = V.instant("payload", "$.requested_history_window.start_utc"), V.instant("payload", "$.requested_history_window.end_utc")
-    window = good.select("path", start.alias("start"), end.alias("end"))
-    history = B.observations(good, "$.recent_historic_observations").where(V.kind("row") == "object").select("path", "pos", V.instant("row", "$.time_utc").alias("time")).join(window, "path")
-    late = F.col("time") > now + F.make_dt_interval(mins=F.lit(int(p["future"])))
-    outside = (F.col("time") < F.col("start")) | (F.col("time") > F.col("end"))
-    per = history.groupBy("path").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("time").isNull()).alias("unparsed"), F.count("time").alias("timed"), F.count_distinct("time").alias("distinct"),
-        F.count_if(late).alias("late"), F.count_if(outside).alias("outside"), F.min("time").alias("first"), F.max("time").alias("last"),
-    )
-    gaps = T.cadence_gaps(history, ["path"], "time", p["cadence"]).groupBy("path").agg(F.count(F.lit(1)).alias("gaps"), F.sum("missing").alias("missing"))
-    rows = bundles.join(window, "path", "left").join(per, "path", "left").join(gaps, "path", "left").na.fill(0, ["n", "unparsed", "timed", "distinct", "late", "outside", "gaps", "missing"])
+    late = lambda t: t > now + F.make_dt_interval(mins=F.lit(int(p["future"])))
+    outside = lambda t: (t < F.col("start")) | (t > F.col("end"))
+    history = F.transform(F.filter(V.items("payload", "$.recent_historic_observations"), lambda x: V.is_object(x)), lambda x: V.instant(x, "$.time_utc"))
+    # A bundle's history is an array of its own row: nothing is joined, and no frame of times can be taken for a small one.
+    rows = bundles.withColumns({"start": start, "end": end, "history": history}).withColumn("times", F.array_compact("history"))
+    rows = rows.withColumn("apart", F.array_sort(F.array_distinct("times"))).withColumn("gap_list", T.array_cadence_gaps("apart", p["cadence"]))
+    rows = rows.withColumns({
+        "n": F.size("history"), "timed": F.size("times"), "unparsed": F.size("history") - F.size("times"), "distinct": F.size("apart"), "late": F.size(F.filter("times", late)), "outside": F.size(F.filter("times", outside)),
+        "first": F.get("apart", F.lit(0)), "last": F.array_max("apart"), "gaps": F.size("gap_list"), "missing": F.aggregate("gap_list", F.lit(0), lambda a, x: a + x),
+    })
     at = V.instant("payload", "$.latest_observation.time_utc")
     age = _age(now, at)
     bounded = F.col("end") > F.col("start")
@@ -101,30 +98,32 @@ def audit_skm(bundles: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
     def failed(x: Column) -> Column:
         kind = V.text(x, "$.kind")
         severity = F.when(F.coalesce(~F.try_element_at(works, kind), F.lit(False)), "ERROR").otherwise("WARN")
-        return rule("SKM_HTTP_OR_PARSE_ATTEMPT_FAILED", severity, SKM, F.coalesce(kind, F.lit("request")), (V.kind(x) == "object") & ~V.truth(x, "$.success"), http_status=V.text(x, "$.http_status"))
+        return rule("SKM_HTTP_OR_PARSE_ATTEMPT_FAILED", severity, SKM, F.coalesce(kind, F.lit("request")), V.is_object(x) & ~V.truth(x, "$.success"), http_status=V.text(x, "$.http_status"))
 
     found = issues(bundles, ["path"], *rules, more=[F.transform(F.when(there, V.items("payload", "$.requests")).otherwise(F.array().cast("array<variant>")), failed)])
     return found, report(bundles, found, bundles.select("path", F.coalesce(fine, F.lit(False)).alias("usable"))).withColumn("non_blocking", F.lit(True))
 
 
 def _series(bundles: DataFrame, now: Column, future: float, gust: bool) -> DataFrame:
-    """Per bundle: rows, bad rows, whether the axis rises, the last valid time in input order."""
-    rows = B.observations(bundles.where("payload is not null"))
-    at, speed, direction = V.aware_instant("row", "$.time_utc"), V.number("row", "$.wind_speed_ms"), V.number("row", "$.wind_direction_deg")
-    valid = (V.kind("row") == "object") & at.isNotNull() & (_age(at, now) <= future) & (speed >= 0)
-    turned = direction.between(0, 360)
-    if gust:
-        turned = F.coalesce(turned, F.lit(False)) | V.true("row", "$.wind_direction_variable")
-        valid = valid & (V.kind("row", "$.wind_gust_ms").isNull() | (V.number("row", "$.wind_gust_ms") >= 0))
-    marked = rows.select("path", "pos", at.alias("time"), F.coalesce(valid & turned, F.lit(False)).alias("valid"))
-    axis = T.axis_valid(marked.where("valid"), ["path"], "pos", "time")
-    per = marked.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("valid")).alias("bad"), F.max_by(F.when(F.col("valid"), F.col("time")), F.when(F.col("valid"), F.col("pos"))).alias("last"))
-    return per.join(axis, "path", "left")
+    """Bundles with the number of their rows, of bad ones, whether the axis rises, the last valid time in input order. All of it is read off the bundle's own array."""
+
+    def marked(row: Column) -> Column:
+        at, direction = V.aware_instant(row, "$.time_utc"), V.number(row, "$.wind_direction_deg")
+        valid = V.is_object(row) & at.isNotNull() & (_age(at, now) <= future) & (V.number(row, "$.wind_speed_ms") >= 0)
+        turned = direction.between(0, 360)
+        if gust:
+            turned = F.coalesce(turned, F.lit(False)) | V.true(row, "$.wind_direction_variable")
+            valid = valid & (V.kind(row, "$.wind_gust_ms").isNull() | (V.number(row, "$.wind_gust_ms") >= 0))
+        return F.when(valid & turned, at)
+
+    rows = bundles.withColumn("valid", F.transform(V.items("payload", "$.observations"), marked)).withColumn("times", F.array_compact("valid"))
+    back = F.filter(F.slice("times", 2, F.size("times")), lambda t, i: t <= F.get("times", i))
+    return rows.withColumns({"n": F.size("valid"), "bad": F.size("valid") - F.size("times"), "axis_valid": F.size(back) == 0, "last": F.try_element_at("times", F.lit(-1))}).drop("valid", "times")
 
 
 def _audit_series(bundles: DataFrame, now: Column, kind: str, source: str, identity: Column, future: float, gust: bool, fresh: list) -> tuple[DataFrame, DataFrame]:
     there = F.col("payload").isNotNull()
-    rows = bundles.join(_series(bundles, now, future, gust), "path", "left").na.fill(0, ["n", "bad"])
+    rows = _series(bundles, now, future, gust)
     retrieved, latest, held = V.aware_instant("payload", "$.retrieved_at_utc"), V.aware_instant("payload", "$.latest_observation_time_utc"), V.aware_instant("payload", "$.latest_observation.time_utc")
     age = _age(now, latest)
     found = issues(

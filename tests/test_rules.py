@@ -219,3 +219,11 @@ def test_hourly_source(spark):
     }
     rows = spark.createDataFrame([(k, json.dumps(v)) for k, (v, _) in cases.items()], "k string, j string").withColumn("s", F.try_parse_json("j"))
     assert {r["k"]: r["f"] for r in rows.select("k", M.hourly_failures(F.col("s"), F.lit(START)).alias("f")).collect()} == {k: want for k, (_, want) in cases.items()}
+
+
+def test_station_audits_join_and_shuffle_nothing(spark):
+    """A frame of a bundle's times, joined, was broadcast by its guessed size; each bundle is audited in its own row."""
+    b = from_text(spark.range(3).select(F.col("id").alias("k"), F.lit("{}").alias("json")), "k", "json")
+    for audit in (S.audit_svg, S.audit_wunstorf, S.audit_etnw):
+        plan = audit(b, F.lit("2025-03-14T09:00:00Z").cast("timestamp"))[0]._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan and plan.count("Range (") == 1
