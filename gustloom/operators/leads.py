@@ -39,24 +39,26 @@ def policy_max(model: Column | str, hour: Column | str) -> Column:
     )
 
 
+def _given(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once a row; inside a filter's lambda it would be once an element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def grid(model: Column | str, hour: Column | str) -> Column:
     """Sorted leads of the acquisition grid."""
-    most = native_max(model, hour)
     none = F.array().cast("array<int>")
     parts = [F.when(col(hour).isin(*hours), F.sequence(F.lit(a), F.lit(b), F.lit(step))).otherwise(none) for a, b, step, hours in BANDS]
-    return F.filter(F.concat(*parts), lambda x: x <= most)
+    return _given(native_max(model, hour), lambda most: F.filter(F.concat(*parts), lambda x: x <= most))
 
 
 def extension(model: Column | str, hour: Column | str) -> Column:
     """Grid leads beyond the compatibility horizon."""
-    most = compatibility_max(model, hour)
-    return F.filter(grid(model, hour), lambda x: x > most)
+    return _given(compatibility_max(model, hour), lambda most: F.filter(grid(model, hour), lambda x: x > most))
 
 
 def core_extension(model: Column | str, hour: Column | str) -> Column:
     """Grid leads over 48 h within the compatibility horizon."""
-    most = compatibility_max(model, hour)
-    return F.filter(grid(model, hour), lambda x: (x > 48) & (x <= most))
+    return _given(compatibility_max(model, hour), lambda most: F.filter(grid(model, hour), lambda x: (x > 48) & (x <= most)))
 
 
 def desired(model: Column | str) -> Column:

@@ -118,8 +118,8 @@ def _grid_rows() -> str:
 def carried_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive sources written under the older grid, under the present one, and broken ones, under the contract of now."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.element_at(F.array(*map(F.lit, leads.MODELS)), (F.col("o_custkey") % 6 + 1).cast("int")).alias("model"), (F.col("o_orderkey") % 4 * 6).cast("int").alias("hour"), (F.col("o_orderkey") % 3).alias("kind"))
-    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.array_sort(F.collect_set((120 + F.col("l_partkey") % 30 * 12).cast("int"))).alias("leads"))
-    rows = o.join(lines, "k", "left").withColumn("leads", F.coalesce("leads", F.array().cast("array<int>")))
+    lines = bundles.spread(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), "l_partkey"), "k").groupBy("k").agg(F.array_sort(F.collect_set((120 + F.col("l_partkey") % 30 * 12).cast("int"))).alias("leads"))
+    rows = bundles.spread(o, "k").join(lines.hint("merge"), "k", "left").withColumn("leads", F.coalesce("leads", F.array().cast("array<int>")))
     listed = F.array_join("leads", ",")
     records = F.array_join(F.transform("leads", lambda h: F.concat(F.lit('{"forecast_lead_hours":'), h.cast("string"), F.lit(',"v":1}'))), ",")
     statuses = F.array_join(F.transform("leads", lambda h: F.concat(F.lit('"'), h.cast("string"), F.lit('":{"status":"received"}'))), ",")

@@ -386,3 +386,13 @@ def test_gaps_of_an_array_are_those_of_its_rows(spark):
     held = times.groupBy("k").agg(F.array_sort(F.collect_set("t")).alias("ts"))
     assert sorted(held.select(timeline.array_cadence_gaps("ts", 5.0).alias("g")).first()["g"]) == rows == [1, 4]
     assert held.select(F.slice("ts", 1, 1).alias("ts")).select(timeline.array_cadence_gaps("ts", 5.0).alias("g")).first()["g"] == []
+
+
+def test_the_grid_works_out_a_model_s_horizon_once_a_row(spark):
+    from gustloom.operators import leads as L
+
+    rows = spark.createDataFrame([("GFS", 12), ("ICON-EU", 3), ("GEFS-control", 0), ("other", 6), ("GFS", None)], "model string, hour int")
+    got = {(r["model"], r["hour"]): (r["g"], r["e"]) for r in rows.select("model", "hour", L.grid("model", "hour").alias("g"), L.extension("model", "hour").alias("e")).collect()}
+    assert [len(got[k][0]) for k in (("GFS", 12), ("ICON-EU", 3), ("GEFS-control", 0))] == [49, 17, 68] and got[("GFS", 12)][1] == [*range(132, 241, 12), *range(264, 385, 24)]
+    assert not got[("other", 6)][0] and not got[("GFS", None)][0]
+    assert "<= CASE WHEN" not in rows.select(L.grid("model", "hour"))._jdf.queryExecution().analyzed().toString()
