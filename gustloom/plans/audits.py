@@ -6,6 +6,9 @@ sides of its bound; the DuckDB form never sees the JSON.
 
 from __future__ import annotations
 
+import re
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,11 @@ def _codes(found: DataFrame) -> DataFrame:
     return found.groupBy(F.col("path").cast("long").alias("k"), "code", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _kept(bundles: DataFrame) -> DataFrame:
+    """Bundles that several steps read: each is made and parsed once, and executors keep it on disk where memory is short."""
+    return bundles.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _minutes(x: str) -> str:
     """Spark SQL: the time so many minutes before now, as the bundles have it."""
     return f"date_format(timestamp '{NOW}' - make_dt_interval(0, 0, {x}), \"yyyy-MM-dd'T'HH:mm:ss'+00:00'\")"
@@ -183,15 +191,15 @@ _ATTEMPTS = "case when f = 15 then array(named_struct('model', 'GFS', 'stage', '
 
 def _model_bundles(spark: SparkSession, sf_dir: str, mode: str, fault: str, more: str = "") -> DataFrame:
     """One bundle a supplier, with its fault."""
-    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.expr(f"cast({fault} as int)").alias("f"))
-    names = rows.select("*", F.explode(F.lit(["ICON-D2", "ICON-D2-EPS", "ICON-EU", "ECMWF-IFS", "GFS", "GEFS-control"])).alias("mo"))
+    rows = spread(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey").select(F.col("s_suppkey").alias("k"), F.expr(f"cast({fault} as int)").alias("f"))
     leads = _LEADS if mode == "test" else "filter(concat(sequence(0, 72, 3), sequence(78, 120, 6)), x -> x <= case when mo in ('ICON-D2', 'ICON-D2-EPS') then 48 when mo = 'ECMWF-IFS' then 90 else 120 end)"
-    listed = names.select("k", "f", "mo", F.expr(f"transform({leads}, h -> {_RECORD.replace('late', '(' + _LATE + ')')})").alias("records"))
-    held = listed.groupBy("k", "f").agg(F.map_from_entries(F.collect_list(F.struct("mo", "records"))).alias("models"))
+    names = "array('ICON-D2', 'ICON-D2-EPS', 'ICON-EU', 'ECMWF-IFS', 'GFS', 'GEFS-control')"
+    listed = f"transform({names}, mo -> transform({leads}, h -> {_RECORD.replace('late', '(' + _LATE + ')')}))"
+    held = rows.select("k", "f", F.expr(f"map_from_arrays({names}, {listed})").alias("models"))
     retrieved = f"case when f = 13 then 'noon' when f = 14 then {_minutes('-16')} else {_minutes('0')} end"
     text = F.expr(f"""CASE f WHEN 21 THEN NULL WHEN 20 THEN '{{"models"' ELSE to_json(named_struct('mode', '{mode}', 'schema_version', 1, 'retrieved_at_utc', {retrieved},
         'spot', named_struct('lat', if(f = 12, 52.6, 52.4942), 'lon', 9.3418), 'quality', named_struct('errors', if(f = 31, array('GFS: decode'), array())), 'provider_attempts', {_ATTEMPTS}, 'models', models{more})) END""")
-    return from_text(held.select("k", text.alias("json")), "k", "json")
+    return _kept(from_text(held.select("k", text.alias("json")), "k", "json"))
 
 
 @query("""
@@ -263,14 +271,15 @@ _SOURCE = f"""named_struct('run_time_utc', {_at("0", _ARCHIVE_RUN)}, 'target_max
 def _archive_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gustloom.operators import leads as L
 
-    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.expr("cast(s_suppkey % 17 as int)").alias("f"), F.explode(F.lit(list(L.MODELS))).alias("mo"))
+    rows = spread(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey").select(F.col("s_suppkey").alias("k"), F.expr("cast(s_suppkey % 17 as int)").alias("f"))
     hour = F.lit(12)
-    held = rows.withColumns({"ext": L.extension("mo", hour), "core": F.filter(L.grid("mo", hour), lambda x: x <= L.compatibility_max("mo", hour)), "most": L.native_max("mo", hour)})
-    listed = held.select("k", "f", "mo", F.expr(f"transform(core, h -> {_ARCHIVED})").alias("records"), F.expr(_SOURCE).alias("source"))
-    pairs = lambda c, keep: F.map_from_entries(F.collect_list(F.when(keep, F.struct("mo", c))))
-    made = listed.groupBy("k", "f").agg(pairs("records", F.lit(True)).alias("models"), pairs("source", ~((F.col("f") == 6) & (F.col("mo") == "GFS"))).alias("sources"))
+    leads = lambda mo: F.struct(mo.alias("mo"), L.extension(mo, hour).alias("ext"), F.filter(L.grid(mo, hour), lambda x: x <= L.compatibility_max(mo, hour)).alias("core"), L.native_max(mo, hour).alias("most"))
+    grids = rows.withColumn("grids", F.transform(F.lit(list(L.MODELS)), leads))
+    of = lambda text: re.sub(r"\b(mo|ext|core|most)\b", r"g.\1", text)
+    pairs = lambda body, which="grids": F.expr(f"map_from_entries(transform({which}, g -> struct(g.mo, {of(body)})))")
+    made = grids.select("k", "f", pairs(f"transform(core, h -> {_ARCHIVED})").alias("models"), pairs(_SOURCE, "filter(grids, g -> not (f = 6 and g.mo = 'GFS'))").alias("sources"))
     archive = "if(f = 12, null, named_struct('method_version', if(f = 5, 'v0', 'full-horizon-archive-v1'), 'sources', sources))"
-    return from_text(made.select("k", F.expr(f"to_json(named_struct('models', models, 'full_horizon_archive', {archive}))").alias("json")), "k", "json")
+    return _kept(from_text(made.select("k", F.expr(f"to_json(named_struct('models', models, 'full_horizon_archive', {archive}))").alias("json")), "k", "json"))
 
 
 @query("""

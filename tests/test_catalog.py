@@ -61,3 +61,10 @@ def test_entry_without_the_llm_folders(tmp_path):
         if name and (root / name).exists():
             shutil.copy(root / name, tmp_path)
         subprocess.run([sys.executable, "-c", check], cwd=tmp_path, check=True, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+
+
+def test_bundles_that_many_steps_read_are_made_once(spark, sf):
+    for made in (audits._model_bundles(spark, sf, "test", "0"), audits._archive_bundles(spark, sf)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert made.storageLevel.useDisk and "collect_list" not in plan and "InMemoryTableScan" in plan
+        made.unpersist()
