@@ -217,7 +217,7 @@ def _model_bundles(spark: SparkSession, sf_dir: str, mode: str, fault: str, more
         (32, 'MODEL_RUN_OLDER_THAN_CURRENTNESS_POLICY', 'ERROR'), (32, 'MODEL_RUN_OLDER_THAN_CURRENTNESS_POLICY', 'ERROR'), (32, 'MODEL_RUN_OLDER_THAN_CURRENTNESS_POLICY', 'ERROR'), (32, 'FEWER_THAN_TWO_COMPLETE_CURRENT_INDEPENDENT_MODEL_FAMILIES', 'ERROR'))
     SELECT k, code, severity, count(*) AS n FROM s JOIN e USING (f) GROUP BY ALL""")
 def audit_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _codes(models.audit(_model_bundles(spark, sf_dir, "test", "s_suppkey % 34"), _now())[0])
+    return _codes(models.audit(_model_bundles(spark, sf_dir, "test", "s_suppkey % 34"), _now(), keep=_kept)[0])
 
 
 def _attempt(hours: int, status: str, lead: int) -> str:
@@ -241,7 +241,7 @@ _EVIDENCE = f"""if(k % 12 = 1, null, named_struct('GEFS-control', named_struct(
 def audit_models_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Production bundles under full validation: an old cycle is excused only where it's proven the newest mature one."""
     bundles = _model_bundles(spark, sf_dir, "production", "if(s_suppkey % 12 = 10, 101, 100)", f", 'provider_selection_evidence', {_EVIDENCE}")
-    return _codes(models.audit(bundles, _now(), full_validation=True)[0])
+    return _codes(models.audit(bundles, _now(), full_validation=True, keep=_kept)[0])
 
 
 @query("""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,13 +68,16 @@ def lead_rows(recs: DataFrame) -> DataFrame:
     return typed.withColumn("nth", F.when(F.col("lead").isNotNull(), order))
 
 
-def audit(bundles: DataFrame, now: Column, full_validation: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(issues, source summaries, reports) of model bundles, all of them in one job. ``now`` is a timestamp."""
+def audit(bundles: DataFrame, now: Column, full_validation: bool = False, keep: Callable[[DataFrame], DataFrame] = lambda x: x) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(issues, source summaries, reports) of model bundles, all of them in one job. ``now`` is a timestamp.
+
+    ``keep`` may persist a frame of a row a bundle and model, from which issues and summaries are both made.
+    """
     good = bundles.where("payload is not null")
     models = bundles.sparkSession.createDataFrame([(m, float(h)) for m, h in MAX_RUN_AGE.items()], "model string, max_age double")
     envelope = good.select(
-        "path", "payload", F.coalesce(V.text("payload", "$.mode"), F.lit("unknown")).alias("mode"),
-        F.transform(V.items("payload", "$.quality.errors"), lambda x: V.text(x)).alias("quality_errors"),
+        "path", F.coalesce(V.text("payload", "$.mode"), F.lit("unknown")).alias("mode"), F.transform(V.items("payload", "$.quality.errors"), lambda x: V.text(x)).alias("quality_errors"),
+        V.part("payload", "$.ensemble_hourly_source").alias("hourly_source"), V.part("payload", "$.provider_selection_evidence.GEFS-control").alias("evidence"),
     )
     rows = lead_rows(B.records(good))
     runs = rows.groupBy("path", "model").agg(
@@ -108,13 +113,14 @@ def audit(bundles: DataFrame, now: Column, full_validation: bool = False) -> tup
     listed = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind))
     entry = "array<struct<lead_hours:int,location:string,message:string,classification:string>>"
     audited = audited.withColumns({c: listed(c, "array<int>") for c in ("no_fields", "misplaced", "mistimed")} | {"errors": listed("errors", entry), "points": listed("points", "array<struct<latitude:double,longitude:double>>"), "identity_failures": listed("identity_failures", "array<string>"), "member_failures": listed("member_failures", "array<int>"), "stages": listed("stages", "array<struct<stage:string,outcome:string>>")})
-    audited = audited.withColumn("hourly_failures", F.when((F.col("model") == EPS) & (F.col("record_count") > 0) & (F.col("mode") == "production"), hourly_failures(V.part("payload", "$.ensemble_hourly_source"), F.col("bundle_run"))).otherwise(F.array().cast("array<string>")))
+    audited = audited.withColumn("hourly_failures", F.when((F.col("model") == EPS) & (F.col("record_count") > 0) & (F.col("mode") == "production"), hourly_failures(F.col("hourly_source"), F.col("bundle_run"))).otherwise(F.array().cast("array<string>")))
     audited = audited.withColumns({
         "missing": F.array_except("expected", "got"), "extra": F.array_except("got", "expected"),
         "critical": F.filter("errors", lambda e: e["classification"] == "critical"), "optional": F.filter("errors", lambda e: e["classification"] == "optional"),
         "own_errors": F.filter("quality_errors", lambda e: e.startswith(F.concat(F.col("model"), F.lit(":")))),
-        "run_age": C.hours_between(F.col("bundle_run"), now), "exception": F.when(F.col("model") == "GEFS-control", mature_exception(V.part("payload", "$.provider_selection_evidence.GEFS-control"), F.col("bundle_run"), now, full)).otherwise("not_applicable"),
+        "run_age": C.hours_between(F.col("bundle_run"), now), "exception": F.when(F.col("model") == "GEFS-control", mature_exception(F.col("evidence"), F.col("bundle_run"), now, full)).otherwise("not_applicable"),
     })
+    audited = keep(audited.drop("hourly_source", "evidence"))
     old = (F.col("run_age") >= -RUN_FUTURE_MIN / 60) & (F.col("run_age") > F.col("max_age"))
     some = lambda c: F.size(c) > 0
     m = F.col("model")

@@ -227,3 +227,10 @@ def test_station_audits_join_and_shuffle_nothing(spark):
     for audit in (S.audit_svg, S.audit_wunstorf, S.audit_etnw):
         plan = audit(b, F.lit("2025-03-14T09:00:00Z").cast("timestamp"))[0]._jdf.queryExecution().executedPlan().toString()
         assert "Join" not in plan and "Exchange" not in plan and plan.count("Range (") == 1
+
+
+def test_issues_and_summaries_can_be_made_of_one_kept_frame(spark):
+    kept = []
+    b = from_text(spark.range(2).select(F.col("id").alias("k"), F.lit("{}").alias("json")), "k", "json")
+    M.audit(b, F.lit("2025-03-14T09:00:00Z").cast("timestamp"), keep=lambda x: kept.append(x) or x)
+    assert len(kept) == 1 and not {"payload", "hourly_source", "evidence"} & set(kept[0].columns)
